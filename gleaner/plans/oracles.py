@@ -82,3 +82,169 @@ done AS (
   WHERE m <= '1998-12')
 SELECT * FROM months
 WHERE scrape_month NOT IN (SELECT m FROM done) AND month_start >= TIMESTAMP '1996-07-01'"""
+
+# ---------------------------------------------------------------- catalogue
+
+SLUG = ("lower(replace(p_brand, '#', '')) || '/' || replace(p_name, ' ', '-') || '-' || CAST(p_partkey AS VARCHAR)")
+URL = f"'https://shop.example.com/p/' || {SLUG} || '.html'"
+NREV = "(SELECT doc_id // 5 AS k, count(*) AS n FROM documents GROUP BY 1)"
+
+ORACLES["read_pages"] = "SELECT page_id, url, CAST(length(html) AS BIGINT) AS html_chars FROM pages"
+ORACLES["extract_structured_data"] = f"""
+SELECT {URL} AS url, p_partkey % 13 <> 0 AS has_payload,
+       CASE WHEN p_partkey % 13 = 0 THEN '' ELSE 'SKU-' || CAST(p_partkey AS VARCHAR) END AS payload_sku
+FROM part"""
+ORACLES["pages_with_payload"] = f"SELECT {URL} AS url FROM part WHERE p_partkey % 13 <> 0"
+ORACLES["parse_product_json"] = f"""
+SELECT {URL} AS url, p_partkey % 17 <> 0 AS parse_ok,
+  CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE 'SKU-' || CAST(p_partkey AS VARCHAR) END AS sku,
+  CASE WHEN p_partkey % 17 = 0 OR p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS brand,
+  CAST(CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN 1 WHEN p_partkey % 3 = 1 THEN 2 ELSE 0 END
+       AS BIGINT) AS n_images,
+  CAST(CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN 0 ELSE coalesce(r.n, 0) END AS BIGINT)
+       AS n_reviews
+FROM part LEFT JOIN {NREV} r ON r.k = p_partkey WHERE p_partkey % 13 <> 0"""
+ORACLES["project_products"] = f"""
+SELECT {URL} AS url, 'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, p_name AS name,
+  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS brand, p_type || ' ' || p_name AS description,
+  CAST(p_size AS VARCHAR) || 'ml' AS size, 'aqua, ' || p_brand AS ingredients,
+  CASE p_partkey % 3
+    WHEN 0 THEN ['https://shop.example.com/img/' || CAST(p_partkey AS VARCHAR) || '.jpg']
+    WHEN 1 THEN ['https://shop.example.com/img/' || CAST(p_partkey AS VARCHAR) || 'a.jpg',
+                 'https://shop.example.com/img/' || CAST(p_partkey AS VARCHAR) || 'b.jpg']
+    ELSE CAST([] AS VARCHAR[]) END AS image_urls,
+  TIMESTAMP '2024-02-01 00:00:00' + to_seconds(p_partkey) AS scraped_at
+FROM part WHERE p_partkey % 13 <> 0 AND p_partkey % 17 <> 0"""
+REVIEWS = """
+SELECT md5(text) AS review_id, 'SKU-' || CAST(p_partkey AS VARCHAR) AS product_sku, p_name AS product_name,
+  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS brand,
+  CASE WHEN doc_id % 9 = 0 THEN NULL ELSE 'user' || CAST(doc_id % 97 AS VARCHAR) END AS author,
+  lang || ' review ' || CAST(doc_id AS VARCHAR) AS title, text AS body,
+  CAST(doc_id % 5 + 1 AS VARCHAR) AS rating,
+  printf('2024-%02d-%02d', doc_id % 12 + 1, doc_id % 28 + 1) AS date_published
+FROM part JOIN documents ON doc_id // 5 = p_partkey
+WHERE p_partkey % 13 <> 0 AND p_partkey % 17 <> 0 AND p_partkey % 11 <> 0"""
+ORACLES["explode_reviews"] = REVIEWS
+ORACLES["explode_reviews_narrow"] = f"SELECT * EXCLUDE (product_name, brand) FROM ({REVIEWS})"
+ORACLES["review_key"] = "SELECT doc_id, md5(text) AS review_key FROM documents"
+ORACLES["reviews_per_product"] = f"SELECT product_sku, count(*) AS reviews FROM ({REVIEWS}) GROUP BY 1"
+ORACLES["lookup_pages"] = f"SELECT {URL} AS url, p_partkey AS page_id FROM part"
+ORACLES["lookup_pages_missing"] = """
+SELECT 'https://shop.example.com/p/discontinued-' || CAST(p_partkey AS VARCHAR) || '.html' AS url
+FROM part WHERE p_partkey % 19 = 0"""
+ORACLES["quarantine"] = f"""
+SELECT {URL} AS url, CASE WHEN p_partkey % 13 = 0 THEN 'no_payload' ELSE 'malformed_json' END AS reason
+FROM part WHERE p_partkey % 13 = 0 OR p_partkey % 17 = 0"""
+
+# ---------------------------------------------------------------- links
+
+HREF = f"""(CASE p_partkey % 4 WHEN 0 THEN '/p/' || {SLUG} || '.html'
+  WHEN 1 THEN './p/' || {SLUG} || '.html'
+  WHEN 2 THEN 'https://shop.example.com/p/' || {SLUG} || '.html'
+  ELSE '/c/../p/' || {SLUG} || '.html' END
+  || CASE WHEN p_partkey % 24 = 17 THEN '?src=list&pos=17' ELSE '' END)"""
+ORACLES["extract_listing_links"] = f"""
+SELECT p_partkey // 24 + 1 AS page_id,
+  CAST(row_number() OVER (PARTITION BY p_partkey // 24 ORDER BY p_partkey) - 1 AS INTEGER) AS container_no,
+  CASE WHEN p_partkey % 24 = 7 THEN NULL WHEN p_partkey % 24 = 11 THEN '/c/skin-care.html' ELSE {HREF} END AS href
+FROM part WHERE p_partkey % 24 NOT IN (5, 13)"""
+ORACLES["containers_per_page"] = """
+SELECT p_partkey // 24 + 1 AS page_id,
+       CAST(count(*) FILTER (WHERE p_partkey % 24 NOT IN (5, 13)) AS BIGINT) AS containers
+FROM part GROUP BY 1
+UNION ALL SELECT max(p_partkey) // 24 + 2, CAST(0 AS BIGINT) FROM part"""
+LISTING_URLS = f"""
+SELECT DISTINCT 'https://shop.example.com/p/' || {SLUG} || '.html'
+       || CASE WHEN p_partkey % 24 = 17 THEN '?src=list&pos=17' ELSE '' END AS url
+FROM part WHERE p_partkey % 24 NOT IN (5, 7, 11, 13)"""
+ORACLES["distinct_product_urls"] = LISTING_URLS
+ORACLES["distinct_url_count"] = f"SELECT count(*) AS distinct_urls FROM ({LISTING_URLS})"
+ORACLES["preview"] = f"SELECT url FROM ({LISTING_URLS}) ORDER BY url LIMIT 5"
+ORACLES["page_cap"] = """
+SELECT DISTINCT p_partkey // 24 + 1 AS page_id,
+       'https://shop.example.com/c/skin-care.html?p=' || CAST(p_partkey // 24 + 1 AS VARCHAR) AS url
+FROM part WHERE p_partkey // 24 + 1 <= 5"""
+ORACLES["plan_listing_pages"] = """
+SELECT page_no, 'https://shop.example.com/c/skin-care.html?p=' || CAST(page_no AS VARCHAR) AS url
+FROM (SELECT unnest(range(1, max(p_partkey) // 24 + 3)) AS page_no FROM part)"""
+PAGE_LINKS = """
+SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS link_no, unnest(l) AS href
+FROM (SELECT page_id, regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1) AS l FROM pages)"""
+ORACLES["extract_page_links"] = PAGE_LINKS
+ORACLES["product_links"] = f"SELECT * FROM ({PAGE_LINKS}) WHERE contains(href, '/th')"
+ORACLES["resolve_url"] = f"""
+SELECT page_id, link_no,
+  CASE WHEN href = '' THEN 'https://shop.example.com'
+       WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+       WHEN href LIKE '//%' THEN 'https:' || href
+       WHEN href LIKE '/%' THEN 'https://shop.example.com' || href
+       ELSE 'https://shop.example.com/' || href END AS url
+FROM ({PAGE_LINKS})"""
+
+# ---------------------------------------------------------------- crawl log
+
+CRAWL = """
+SELECT user_id AS crawl_id, 'https://shop.example.com/p/item-' || CAST(user_id AS VARCHAR) || '.html' AS url,
+  ts AS attempt_ts, event_id AS attempt_seq,
+  CASE WHEN event_type = 'error' THEN
+    CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 WHEN 0 THEN 503 WHEN 1 THEN 429 ELSE 500 END
+  ELSE 200 END AS status,
+  CASE WHEN event_type = 'error' THEN 0 ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) % 25 END AS n_results
+FROM events"""
+ORACLES["classify_fetch"] = f"""
+SELECT crawl_id, attempt_seq, status,
+  CASE WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status IN (403, 429, 503) THEN 'retryable' ELSE 'error' END
+    AS fetch_class
+FROM ({CRAWL})"""
+_OUTCOME = """
+WITH a AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY attempt_ts, attempt_seq) AS n FROM ({crawl})),
+f AS (SELECT url, min(CASE WHEN status BETWEEN 200 AND 299 THEN n END) AS ok_n,
+             min(CASE WHEN {fatal} THEN n END) AS fatal_n, count(*) AS tried
+      FROM a WHERE n <= 3 GROUP BY url)
+SELECT url, CASE WHEN ok_n IS NOT NULL AND (fatal_n IS NULL OR ok_n < fatal_n) THEN 'ok' ELSE 'failed' END AS outcome,
+       CAST(coalesce(least(ok_n, fatal_n), tried) AS BIGINT) AS attempts_used
+FROM f"""
+ORACLES["fetch_outcome"] = _OUTCOME.format(crawl=CRAWL, fatal="false")
+ORACLES["fetch_outcome_narrow"] = _OUTCOME.format(
+    crawl=CRAWL, fatal="NOT (status BETWEEN 200 AND 299) AND status NOT IN (403)")
+ORACLES["error_cutoff"] = f"""
+WITH a AS (SELECT *, sum(CASE WHEN status = 200 AND n_results > 0 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY crawl_id ORDER BY attempt_ts, attempt_seq ROWS UNBOUNDED PRECEDING) AS isl
+           FROM ({CRAWL})),
+b AS (SELECT *, sum(CASE WHEN status <> 200 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY crawl_id, isl ORDER BY attempt_ts, attempt_seq ROWS UNBOUNDED PRECEDING) AS streak FROM a),
+c AS (SELECT crawl_id, min(attempt_ts) AS cut FROM b WHERE streak = 5 GROUP BY 1)
+SELECT b.crawl_id, attempt_seq, status FROM b LEFT JOIN c USING (crawl_id)
+WHERE c.cut IS NULL OR attempt_ts <= c.cut"""
+ORACLES["listing_frontier"] = f"""
+WITH p AS (SELECT crawl_id, row_number() OVER (PARTITION BY crawl_id ORDER BY attempt_ts, attempt_seq) AS page_no,
+                  status = 200 AS ok, n_results AS n FROM ({CRAWL})),
+e AS (SELECT crawl_id, min(page_no) AS stop FROM p WHERE ok AND n = 0 GROUP BY 1)
+SELECT p.crawl_id, CAST(page_no AS BIGINT) AS page_no FROM p LEFT JOIN e USING (crawl_id)
+WHERE e.stop IS NULL OR page_no < e.stop"""
+ORACLES["interim_snapshots"] = f"""
+WITH p AS (SELECT p_partkey + 1 AS product_no,
+             CASE WHEN p_partkey % 13 = 0 OR p_partkey % 17 = 0 OR p_partkey % 11 = 0 THEN 0
+                  ELSE coalesce(r.n, 0) END AS n
+           FROM part LEFT JOIN {NREV} r ON r.k = p_partkey),
+r AS (SELECT product_no, n, sum(n) OVER (ORDER BY product_no ROWS UNBOUNDED PRECEDING) AS rows_so_far FROM p)
+SELECT product_no // 5 AS snapshot_no, product_no, CAST(rows_so_far AS BIGINT) AS rows_so_far
+FROM r WHERE product_no % 5 = 0 AND n > 0"""
+
+# ---------------------------------------------------------------- forest, split
+
+ORACLES["expand_comment_forest"] = """
+WITH RECURSIVE e AS (
+  SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id,
+         CASE WHEN turn = 0 THEN NULL ELSE CAST(conv_id AS VARCHAR) || '-' || CAST((turn - 1) // 2 AS VARCHAR) END
+           AS parent_id, turn AS sib
+  FROM conversations),
+t AS (SELECT id, parent_id, id AS root_id, 0 AS depth, [sib] AS path FROM e WHERE parent_id IS NULL
+      UNION ALL
+      SELECT e.id, e.parent_id, t.root_id, t.depth + 1, list_append(t.path, e.sib)
+      FROM e JOIN t ON e.parent_id = t.id)
+SELECT id, parent_id, root_id, depth, row_number() OVER (PARTITION BY root_id ORDER BY depth, path) AS bfs_no
+FROM t"""
+ORACLES["train_test_split"] = """
+SELECT doc_id, CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS is_test
+FROM documents"""

@@ -155,3 +155,218 @@ def q_pending_months(spark, sf_dir):
     months = periods.plan_months_for(fx.table(spark, sf_dir, "lineitem"), "l_shipdate")
     ckpt = spark.range(1).select(F.lit("1996-06-15 00:00:00").cast("timestamp").alias("last_date"))
     return periods.pending_months(months, manifest_of(spark, sf_dir), ckpt)
+
+
+# ---------------------------------------------------------------- catalogue
+
+from gleaner.functions.keys import review_key  # noqa: E402
+from gleaner.operators import catalog, crawl, forest, links, split  # noqa: E402
+from gleaner.sources import readers  # noqa: E402
+from gleaner.session import scratch_dir  # noqa: E402
+
+
+def parsed_pages(spark, sf_dir) -> DataFrame:
+    return catalog.parse_product_json(catalog.extract_structured_data(fx.product_pages(spark, sf_dir)))
+
+
+@register("read_pages")
+def q_read_pages(spark, sf_dir):
+    pages = readers.read_pages(spark, f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", "url", F.length("html").cast("long").alias("html_chars"))
+
+
+@register("extract_structured_data")
+def q_extract_structured_data(spark, sf_dir):
+    df = catalog.extract_structured_data(fx.product_pages(spark, sf_dir))
+    return df.select("url", (F.col("payload") != "").alias("has_payload"),
+                     F.regexp_extract("payload", r'^\{"sku":"([^"]*)"', 1).alias("payload_sku"))
+
+
+@register("pages_with_payload")
+def q_pages_with_payload(spark, sf_dir):
+    return catalog.pages_with_payload(catalog.extract_structured_data(fx.product_pages(spark, sf_dir))) \
+        .select("url")
+
+
+@register("parse_product_json")
+def q_parse_product_json(spark, sf_dir):
+    df = catalog.pages_with_payload(parsed_pages(spark, sf_dir))
+    return df.select("url", "parse_ok", F.col("product.sku").alias("sku"), F.col("product.brand").alias("brand"),
+                     F.size("product.image_urls").cast("long").alias("n_images"),
+                     F.size("product.review").cast("long").alias("n_reviews"))
+
+
+@register("project_products")
+def q_project_products(spark, sf_dir):
+    return catalog.project_products(parsed_pages(spark, sf_dir))
+
+
+@register("explode_reviews")
+def q_explode_reviews(spark, sf_dir):
+    return catalog.explode_reviews(parsed_pages(spark, sf_dir))
+
+
+@register("explode_reviews_narrow")
+def q_explode_reviews_narrow(spark, sf_dir):
+    return catalog.explode_reviews_narrow(parsed_pages(spark, sf_dir))
+
+
+@register("review_key")
+def q_review_key(spark, sf_dir):
+    return fx.table(spark, sf_dir, "documents").select("doc_id", review_key("text").alias("review_key"))
+
+
+@register("reviews_per_product")
+def q_reviews_per_product(spark, sf_dir):
+    return catalog.reviews_per_product(catalog.explode_reviews(parsed_pages(spark, sf_dir)))
+
+
+def url_list(spark, sf_dir) -> DataFrame:
+    return readers.url_lines(fx.url_list_rows(spark, sf_dir))
+
+
+@register("lookup_pages")
+def q_lookup_pages(spark, sf_dir):
+    found, _ = catalog.lookup_pages(url_list(spark, sf_dir), fx.product_pages(spark, sf_dir))
+    return found.select("url", "page_id")
+
+
+@register("lookup_pages_missing")
+def q_lookup_pages_missing(spark, sf_dir):
+    _, missing = catalog.lookup_pages(url_list(spark, sf_dir), fx.product_pages(spark, sf_dir))
+    return missing.select("url")
+
+
+@register("quarantine")
+def q_quarantine(spark, sf_dir):
+    _, bad = catalog.quarantine(parsed_pages(spark, sf_dir))
+    return bad.select("url", "reason")
+
+
+# ---------------------------------------------------------------- links
+
+def listing_links(spark, sf_dir) -> DataFrame:
+    return links.extract_listing_links(fx.listing_pages(spark, sf_dir), fx.CONTAINER_CLASS)
+
+
+def listing_urls(spark, sf_dir) -> DataFrame:
+    prod = links.product_links(listing_links(spark, sf_dir))
+    return links.distinct_product_urls(links.resolve_urls(prod, fx.SITE_ROOT))
+
+
+@register("extract_listing_links")
+def q_extract_listing_links(spark, sf_dir):
+    return listing_links(spark, sf_dir)
+
+
+@register("containers_per_page")
+def q_containers_per_page(spark, sf_dir):
+    return links.containers_per_page(fx.listing_pages(spark, sf_dir), listing_links(spark, sf_dir))
+
+
+@register("extract_page_links")
+def q_extract_page_links(spark, sf_dir):
+    return links.extract_page_links(fx.table(spark, sf_dir, "pages"))
+
+
+@register("product_links")
+def q_product_links(spark, sf_dir):
+    return links.product_links(links.extract_page_links(fx.table(spark, sf_dir, "pages")), marker="/th")
+
+
+@register("resolve_url")
+def q_resolve_url(spark, sf_dir):
+    return links.resolve_urls(links.extract_page_links(fx.table(spark, sf_dir, "pages")), fx.SITE_ROOT) \
+        .select("page_id", "link_no", "url")
+
+
+@register("distinct_product_urls")
+def q_distinct_product_urls(spark, sf_dir):
+    return listing_urls(spark, sf_dir)
+
+
+@register("distinct_url_count")
+def q_distinct_url_count(spark, sf_dir):
+    return links.distinct_url_count(listing_urls(spark, sf_dir))
+
+
+@register("preview")
+def q_preview(spark, sf_dir):
+    return links.preview(listing_urls(spark, sf_dir), 5)
+
+
+@register("page_cap")
+def q_page_cap(spark, sf_dir):
+    return links.page_cap(fx.listing_pages(spark, sf_dir), 5).select("page_id", "url")
+
+
+@register("plan_listing_pages")
+def q_plan_listing_pages(spark, sf_dir):
+    return readers.plan_listing_pages(spark, fx.SITE_ROOT + fx.LISTING_PATH, None,
+                                      archive=fx.listing_pages(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- crawl log
+
+def crawl_log(spark, sf_dir) -> DataFrame:
+    return fx.crawl_log(spark, sf_dir)
+
+
+@register("classify_fetch")
+def q_classify_fetch(spark, sf_dir):
+    return crawl.classify_fetch(crawl_log(spark, sf_dir)).select("crawl_id", "attempt_seq", "status", "fetch_class")
+
+
+@register("fetch_outcome")
+def q_fetch_outcome(spark, sf_dir):
+    return crawl.fetch_outcome(crawl_log(spark, sf_dir))
+
+
+@register("fetch_outcome_narrow")
+def q_fetch_outcome_narrow(spark, sf_dir):
+    return crawl.fetch_outcome(crawl_log(spark, sf_dir), retry_all_errors=False)
+
+
+def _flagged_log(spark, sf_dir) -> DataFrame:
+    log = crawl_log(spark, sf_dir)
+    return log.withColumn("is_error", F.col("status") != 200) \
+              .withColumn("resets", (F.col("status") == 200) & (F.col("n_results") > 0))
+
+
+@register("error_cutoff")
+def q_error_cutoff(spark, sf_dir):
+    return crawl.error_cutoff(_flagged_log(spark, sf_dir), n=5).select("crawl_id", "attempt_seq", "status")
+
+
+def page_counts(spark, sf_dir) -> DataFrame:
+    """Listing fetches per crawl numbered in attempt order."""
+    from pyspark.sql import Window
+    log = crawl_log(spark, sf_dir)
+    w = Window.partitionBy("crawl_id").orderBy("attempt_ts", "attempt_seq")
+    return log.select("crawl_id", F.row_number().over(w).cast("long").alias("page_no"),
+                      (F.col("status") == 200).alias("ok"), F.col("n_results").alias("n_containers"))
+
+
+@register("listing_frontier")
+def q_listing_frontier(spark, sf_dir):
+    return links.listing_frontier(page_counts(spark, sf_dir)).select("crawl_id", "page_no")
+
+
+@register("interim_snapshots")
+def q_interim_snapshots(spark, sf_dir):
+    per_product = parsed_pages(spark, sf_dir).select(
+        (F.col("page_id") + 1).alias("product_no"),
+        F.when(F.col("parse_ok"), F.size("product.review")).otherwise(0).cast("long").alias("n_reviews"))
+    return crawl.interim_snapshots(per_product)
+
+
+# ---------------------------------------------------------------- forest, split
+
+@register("expand_comment_forest")
+def q_expand_comment_forest(spark, sf_dir):
+    return forest.expand_comment_forest(fx.comment_forest(spark, sf_dir))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    return split.train_test_split(fx.table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
