@@ -67,12 +67,15 @@ def preview(urls: DataFrame, n: int = 5, col: str = "url") -> DataFrame:
     return urls.orderBy(col).limit(n)
 
 
-def listing_frontier(page_counts: DataFrame, key: str = "crawl_id", page_col: str = "page_no",
+def listing_frontier(page_counts: DataFrame, key: str | None = "crawl_id", page_col: str = "page_no",
                      ok: str = "ok", n: str = "n_containers") -> DataFrame:
     """FLT-7: keep the pages before the first page that loaded fine with zero
     containers (the end of the listing); a page that failed to load does not
     end it.  The end page per crawl is an aggregate; joining it back is an
     equi-join on the crawl key."""
+    if key is None:   # one crawl: the end page is a scalar subquery, no join
+        end = page_counts.where(F.col(ok) & (F.col(n) == 0)).agg(F.min(page_col)).scalar()
+        return page_counts.where(end.isNull() | (F.col(page_col) < end))
     ends = (page_counts.where(F.col(ok) & (F.col(n) == 0))
             .groupBy(key).agg(F.min(page_col).alias("_end")))
     return (page_counts.join(ends, key, "left")

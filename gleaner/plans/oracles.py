@@ -248,3 +248,91 @@ FROM t"""
 ORACLES["train_test_split"] = """
 SELECT doc_id, CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS is_test
 FROM documents"""
+
+# ---------------------------------------------------------------- sources over written data
+
+URL_LIST = f"""
+SELECT {URL} AS url FROM part
+UNION ALL
+SELECT 'https://shop.example.com/p/discontinued-' || CAST(p_partkey AS VARCHAR) || '.html' FROM part
+WHERE p_partkey % 19 = 0"""
+ORACLES["read_threads"] = POSTS
+ORACLES["read_url_list"] = URL_LIST
+ORACLES["latest_snapshot"] = URL_LIST
+ORACLES["read_checkpoint"] = "SELECT max(o_orderdate) AS last_date FROM orders"
+
+# ---------------------------------------------------------------- sinks
+
+ORACLES["write_csv_compat"] = "SELECT doc_id, text, lang FROM documents"
+ORACLES["write_run_snapshot"] = """
+SELECT 'posts' AS kind, '20240101_000000' AS run, count(*) AS rows FROM orders
+UNION ALL SELECT 'comments', '20240101_000000', count(*) FROM lineitem"""
+ORACLES["write_daily"] = """
+SELECT 'posts' AS kind, '2024-01-01' AS run_date, count(*) AS rows FROM orders
+UNION ALL SELECT 'comments', '2024-01-01', count(*) FROM lineitem"""
+ORACLES["write_monthly"] = """
+SELECT 'posts' AS kind, strftime(o_orderdate, '%Y-%m') AS scrape_month, count(*) AS rows FROM orders GROUP BY 2
+UNION ALL SELECT 'comments', strftime(l_shipdate, '%Y-%m'), count(*) FROM lineitem GROUP BY 2"""
+ORACLES["write_url_list"] = LISTING_URLS
+ORACLES["write_checkpoint"] = """
+SELECT m AS scrape_month, kind, rows, CASE WHEN m <= '1998-12' THEN 'complete' ELSE 'open' END AS status
+FROM (SELECT strftime(o_orderdate, '%Y-%m') AS m, 'posts' AS kind, count(*) AS rows FROM orders GROUP BY 1
+      UNION ALL SELECT strftime(l_shipdate, '%Y-%m'), 'comments', count(*) FROM lineitem GROUP BY 1)"""
+
+# ---------------------------------------------------------------- streaming
+
+ORACLES["ingest_threads_stream"] = COMMENTS
+ORACLES["distinct_urls_stream"] = LISTING_URLS
+ORACLES["interim_reviews_stream"] = REVIEWS
+ORACLES["write_interim"] = f"""
+SELECT (SELECT count(*) FROM part) AS products, (SELECT count(*) FROM ({REVIEWS})) AS reviews"""
+ORACLES["error_streak_stream"] = f"""
+WITH a AS (SELECT *, sum(CASE WHEN status = 200 AND n_results > 0 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY crawl_id ORDER BY attempt_ts, attempt_seq ROWS UNBOUNDED PRECEDING) AS isl
+           FROM ({CRAWL})),
+b AS (SELECT *, sum(CASE WHEN status <> 200 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY crawl_id, isl ORDER BY attempt_ts, attempt_seq ROWS UNBOUNDED PRECEDING) AS streak FROM a),
+c AS (SELECT crawl_id, min(attempt_ts) AS cut FROM b WHERE streak = 5 GROUP BY 1)
+SELECT b.crawl_id, b.attempt_seq FROM b JOIN c ON b.crawl_id = c.crawl_id AND b.attempt_ts = c.cut"""
+
+# ---------------------------------------------------------------- composed flows
+
+_TOP = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY community ORDER BY score DESC, id) AS rn FROM ({posts})
+  WHERE community IN ({communities})
+    AND created_utc > (SELECT max(o_orderdate) FROM orders) - INTERVAL {period}
+    AND created_utc <= (SELECT max(o_orderdate) FROM orders))
+WHERE rn <= {limit}"""
+_TOP_COMMENTS = "SELECT * FROM ({comments}) WHERE post_id IN (SELECT id FROM ({top}))"
+_T1 = _TOP.format(posts=POSTS, communities="'1-URGENT'", period="1 YEAR", limit=100)
+_T3 = _TOP.format(posts=POSTS, communities="'1-URGENT', '3-MEDIUM', '5-LOW'", period="1 YEAR", limit=100)
+_TD = _TOP.format(posts=POSTS, communities="'1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'",
+                  period="1 DAY", limit=100)
+ORACLES["collect_threads"] = _T1
+ORACLES["collect_threads_comments"] = _TOP_COMMENTS.format(comments=COMMENTS, top=_T1)
+ORACLES["collect_communities"] = _T3
+ORACLES["collect_communities_comments"] = _TOP_COMMENTS.format(comments=COMMENTS, top=_T3)
+ORACLES["daily_snapshot"] = f"""
+SELECT 'posts' AS kind, count(*) AS rows, strftime((SELECT max(o_orderdate) FROM orders), '%Y-%m-%d') AS run_date
+FROM ({_TD})
+UNION ALL
+SELECT 'comments', count(*), strftime((SELECT max(o_orderdate) FROM orders), '%Y-%m-%d')
+FROM ({_TOP_COMMENTS.format(comments=COMMENTS, top=_TD)})"""
+_BACKFILL = f"""
+WITH r AS (SELECT date_trunc('month', min(o_orderdate)) AS s, max(o_orderdate) AS e FROM orders),
+p AS (SELECT *, strftime(created_utc, '%Y-%m') AS m FROM ({POSTS}), r WHERE created_utc >= r.s AND created_utc <= r.e),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY community, m ORDER BY score DESC, id) AS rn FROM p)
+        WHERE rn <= 20),
+c AS (SELECT top.m FROM ({COMMENTS}) cm JOIN top ON cm.post_id = top.id, r
+      WHERE strftime(cm.created_utc, '%Y-%m') = top.m AND cm.created_utc >= r.s AND cm.created_utc <= r.e),
+u AS (SELECT m, 1 AS p, 0 AS c FROM top UNION ALL SELECT m, 0, 1 FROM c)
+SELECT m AS scrape_month, CAST(sum(p) AS BIGINT) AS posts, CAST(sum(c) AS BIGINT) AS comments,
+       grouping(m) = 1 AS is_total
+FROM u GROUP BY ROLLUP (m)"""
+ORACLES["backfill_by_month"] = _BACKFILL
+ORACLES["resume_backfill"] = _BACKFILL
+ORACLES["collect_product_urls"] = LISTING_URLS
+ORACLES["collect_reviews"] = REVIEWS
+ORACLES["collect_products"] = ORACLES["project_products"]
+ORACLES["collect_products_reviews"] = ORACLES["explode_reviews_narrow"]

@@ -370,3 +370,277 @@ def q_expand_comment_forest(spark, sf_dir):
 @register("train_test_split")
 def q_train_test_split(spark, sf_dir):
     return split.train_test_split(fx.table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+
+
+# ---------------------------------------------------------------- sources over written data
+
+import datetime as _dt  # noqa: E402
+
+from gleaner.plans import flows  # noqa: E402
+from gleaner.sinks import writers  # noqa: E402
+from gleaner.streaming import jobs  # noqa: E402
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _write_threads_json(spark, sf_dir, path) -> str:
+    fx.thread_archive(spark, sf_dir).write.mode("overwrite").json(path)
+    return path
+
+
+def _write_snapshots(spark, sf_dir, root) -> str:
+    """Three timestamped URL lists and one unrelated file (newest = all)."""
+    part = fx.table(spark, sf_dir, "part")
+    url = fx.product_url()
+    older = part.where(F.col("p_partkey") % 3 == 0).select(
+        F.lit("product_urls_20240101_000000.txt").alias("snapshot"), url.alias("value"))
+    middle = part.where(F.col("p_partkey") % 2 == 0).select(
+        F.lit("product_urls_20240201_000000.txt").alias("snapshot"), url.alias("value"))
+    newest = fx.url_list_rows(spark, sf_dir).select(
+        F.lit("product_urls_20240301_000000.txt").alias("snapshot"), "value")
+    other = part.select(F.lit("reviews_20250101_000000.csv").alias("snapshot"), url.alias("value"))
+    (older.unionByName(middle).unionByName(newest).unionByName(other)
+     .write.mode("overwrite").partitionBy("snapshot").text(root))
+    return root
+
+
+def _max_order_date(spark, sf_dir) -> _dt.datetime:
+    return fx.table(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("m")).first()["m"]
+
+
+def _order_date_range(spark, sf_dir) -> tuple[_dt.datetime, _dt.datetime]:
+    row = fx.table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("s"), F.max("o_orderdate").alias("e")) \
+        .first()
+    return row["s"], row["e"]
+
+
+@register("read_threads")
+def q_read_threads(spark, sf_dir):
+    path = _write_threads_json(spark, sf_dir, scratch_dir(spark, "threads-json"))
+    return threads.project_posts(readers.read_threads(spark, path))
+
+
+@register("read_url_list")
+def q_read_url_list(spark, sf_dir):
+    path = scratch_dir(spark, "url-list")
+    fx.url_list_rows(spark, sf_dir).write.mode("overwrite").text(path)
+    return readers.read_url_list(spark, path)
+
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    root = _write_snapshots(spark, sf_dir, scratch_dir(spark, "snapshots"))
+    return readers.url_lines(readers.latest_snapshot(spark.read.text(root), "product_urls_", "snapshot")) \
+        .select("url")
+
+
+@register("read_checkpoint")
+def q_read_checkpoint(spark, sf_dir):
+    root = scratch_dir(spark, "checkpoint")
+    orders = fx.table(spark, sf_dir, "orders")
+    orders.agg(F.to_json(F.struct(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss")
+                                  .alias("last_date"))).alias("value")) \
+        .write.mode("overwrite").text(f"{root}/good")
+    spark.range(1).select(F.lit('{"last_date": "not a date"').alias("value")) \
+        .write.mode("overwrite").text(f"{root}/broken")
+    return readers.read_checkpoint(spark, root)
+
+
+# ---------------------------------------------------------------- sinks (write, read back)
+
+@register("write_csv_compat")
+def q_write_csv_compat(spark, sf_dir):
+    path = scratch_dir(spark, "csv")
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    writers.write_csv_compat(docs, path)
+    return writers.read_csv_compat(spark, path, docs.schema)
+
+
+@register("write_run_snapshot")
+def q_write_run_snapshot(spark, sf_dir):
+    root = scratch_dir(spark, "run")
+    writers.write_run_snapshot({"posts": posts_of(spark, sf_dir), "comments": comments_of(spark, sf_dir)},
+                               root, "20240101_000000")
+    return (spark.read.parquet(f"{root}/posts").select(F.lit("posts").alias("kind"), "run")
+            .unionByName(spark.read.parquet(f"{root}/comments").select(F.lit("comments").alias("kind"), "run"))
+            .groupBy("kind", F.col("run").cast("string").alias("run")).agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("write_daily")
+def q_write_daily(spark, sf_dir):
+    root = scratch_dir(spark, "daily")
+    tables = {"posts": posts_of(spark, sf_dir), "comments": comments_of(spark, sf_dir)}
+    writers.write_daily(tables, root, "2024-01-01")
+    writers.write_daily(tables, root, "2024-01-01")      # same-day rerun replaces
+    return (spark.read.schema(f"run_date string").parquet(f"{root}/posts").select(F.lit("posts").alias("kind"),
+                                                                                  "run_date")
+            .unionByName(spark.read.schema("run_date string").parquet(f"{root}/comments")
+                         .select(F.lit("comments").alias("kind"), "run_date"))
+            .groupBy("kind", "run_date").agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("write_monthly")
+def q_write_monthly(spark, sf_dir):
+    root = scratch_dir(spark, "monthly")
+    writers.write_monthly(threads.tag_month(posts_of(spark, sf_dir)), f"{root}/posts")
+    writers.write_monthly(threads.tag_month(comments_of(spark, sf_dir)), f"{root}/comments")
+    read = lambda k: spark.read.schema("scrape_month string").parquet(f"{root}/{k}") \
+        .select(F.lit(k).alias("kind"), "scrape_month")
+    return read("posts").unionByName(read("comments")).groupBy("kind", "scrape_month") \
+        .agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("write_url_list")
+def q_write_url_list(spark, sf_dir):
+    path = scratch_dir(spark, "urls")
+    writers.write_url_list(listing_urls(spark, sf_dir), path)
+    return readers.read_url_list(spark, path)
+
+
+@register("write_checkpoint")
+def q_write_checkpoint(spark, sf_dir):
+    path = scratch_dir(spark, "manifest")
+    writers.write_checkpoint(manifest_of(spark, sf_dir).withColumn("last_date", F.lit(None)), path)
+    return writers.read_manifest(spark, path).select("scrape_month", "kind", "rows", "status")
+
+
+# ---------------------------------------------------------------- streaming
+
+@register("ingest_threads_stream")
+def q_ingest_threads_stream(spark, sf_dir):
+    base = scratch_dir(spark, "ingest")
+    _write_threads_json(spark, sf_dir, f"{base}/in")
+    q = jobs.ingest_threads_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=3)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/comments").drop("batch_id")
+
+
+@register("distinct_urls_stream")
+def q_distinct_urls_stream(spark, sf_dir):
+    base = scratch_dir(spark, "urlstream")
+    prod = links.resolve_urls(links.product_links(listing_links(spark, sf_dir)), fx.SITE_ROOT)
+    prod.select("page_id", "url").write.mode("overwrite").parquet(f"{base}/in")
+    stream = spark.readStream.schema("page_id long, url string").option("maxFilesPerTrigger", 2) \
+        .parquet(f"{base}/in")
+    q = (jobs.distinct_urls_stream(stream).select("url").writeStream.format("parquet")
+         .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def _run_interim(spark, sf_dir) -> str:
+    base = scratch_dir(spark, "interim")
+    fx.product_pages(spark, sf_dir).repartition(12).write.mode("overwrite").parquet(f"{base}/in")
+    q = jobs.interim_reviews_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", products_per_batch=5)
+    q.awaitTermination()
+    return base
+
+
+@register("interim_reviews_stream")
+def q_interim_reviews_stream(spark, sf_dir):
+    base = _run_interim(spark, sf_dir)
+    return spark.read.parquet(f"{base}/out/reviews").drop("batch_id")
+
+
+@register("write_interim")
+def q_write_interim(spark, sf_dir):
+    base = _run_interim(spark, sf_dir)
+    prog = jobs.interim_progress(spark, f"{base}/out")
+    return prog.agg(F.max("products_so_far").cast("long").alias("products"),
+                    F.max("rows_so_far").cast("long").alias("reviews"))
+
+
+@register("error_streak_stream")
+def q_error_streak_stream(spark, sf_dir):
+    """The log arrives in three runs (days 1-10, 11-20, 21-30); each run
+    processes what is new and keeps the per-crawl streak in state."""
+    base = scratch_dir(spark, "streak")
+    log = _flagged_log(spark, sf_dir).withColumn("_run", F.least(F.floor((F.dayofmonth("attempt_ts") - 1) / 10),
+                                                                 F.lit(2)))
+    schema = log.drop("_run").schema
+    for run in range(3):
+        log.where(F.col("_run") == run).drop("_run").write.mode("overwrite").parquet(f"{base}/in/run={run}")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in/run=*")
+        q = (jobs.error_streak_stream(stream, n=5).writeStream.format("parquet")
+             .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("crawl_id", "attempt_seq")
+
+
+# ---------------------------------------------------------------- composed flows
+
+@register("collect_threads")
+def q_collect_threads(spark, sf_dir):
+    posts, _ = flows.collect_threads(fx.thread_archive(spark, sf_dir), "1-URGENT", "year", 100,
+                                     _max_order_date(spark, sf_dir))
+    return posts
+
+
+@register("collect_threads_comments")
+def q_collect_threads_comments(spark, sf_dir):
+    _, comments = flows.collect_threads(fx.thread_archive(spark, sf_dir), "1-URGENT", "year", 100,
+                                        _max_order_date(spark, sf_dir))
+    return comments
+
+
+@register("collect_communities")
+def q_collect_communities(spark, sf_dir):
+    posts, _ = flows.collect_communities(fx.thread_archive(spark, sf_dir), ["1-URGENT", "3-MEDIUM", "5-LOW"],
+                                         "year", 100, _max_order_date(spark, sf_dir))
+    return posts
+
+
+@register("collect_communities_comments")
+def q_collect_communities_comments(spark, sf_dir):
+    _, comments = flows.collect_communities(fx.thread_archive(spark, sf_dir), ["1-URGENT", "3-MEDIUM", "5-LOW"],
+                                            "year", 100, _max_order_date(spark, sf_dir))
+    return comments
+
+
+@register("daily_snapshot")
+def q_daily_snapshot(spark, sf_dir):
+    return flows.daily_snapshot(spark, fx.thread_archive(spark, sf_dir), scratch_dir(spark, "daily-job"),
+                                _max_order_date(spark, sf_dir), communities=PRIORITIES)
+
+
+@register("backfill_by_month")
+def q_backfill_by_month(spark, sf_dir):
+    start, end = _order_date_range(spark, sf_dir)
+    return flows.backfill_by_month(spark, fx.thread_archive(spark, sf_dir), scratch_dir(spark, "backfill"),
+                                   start, end, limit=20)
+
+
+@register("resume_backfill")
+def q_resume_backfill(spark, sf_dir):
+    """First run stops mid-range; the second run over the whole range only
+    writes the months the manifest does not show complete."""
+    start, end = _order_date_range(spark, sf_dir)
+    root = scratch_dir(spark, "resume")
+    archive = fx.thread_archive(spark, sf_dir)
+    flows.backfill_by_month(spark, archive, root, start, _dt.datetime(1998, 6, 15, 12, 0), limit=20)
+    return flows.resume_backfill(spark, archive, root, start, end, limit=20)
+
+
+@register("collect_product_urls")
+def q_collect_product_urls(spark, sf_dir):
+    return flows.collect_product_urls(fx.listing_pages(spark, sf_dir), fx.CONTAINER_CLASS, fx.SITE_ROOT)
+
+
+@register("collect_reviews")
+def q_collect_reviews(spark, sf_dir):
+    root = _write_snapshots(spark, sf_dir, scratch_dir(spark, "review-lists"))
+    return flows.collect_reviews(spark, root, fx.product_pages(spark, sf_dir))
+
+
+@register("collect_products")
+def q_collect_products(spark, sf_dir):
+    products, _ = flows.collect_products(url_list(spark, sf_dir), fx.product_pages(spark, sf_dir))
+    return products
+
+
+@register("collect_products_reviews")
+def q_collect_products_reviews(spark, sf_dir):
+    _, reviews = flows.collect_products(url_list(spark, sf_dir), fx.product_pages(spark, sf_dir))
+    return reviews

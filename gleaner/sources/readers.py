@@ -81,6 +81,7 @@ def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     if not exists:
         return spark.range(1).select(F.lit(None).cast("timestamp").alias("last_date"))
     raw = (spark.read.schema(schemas.CHECKPOINT).option("mode", "PERMISSIVE")
+           .option("recursiveFileLookup", "true")
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     parsed = raw.select(F.try_to_timestamp(F.col("last_date")).alias("last_date"))
     return parsed.agg(F.max("last_date").alias("last_date"))
