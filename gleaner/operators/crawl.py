@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.functions.ranking import row_number_within
 from gleaner.functions.scan import blocked_running_sum
 
 # HTTP statuses the review collector retries.
@@ -51,22 +52,49 @@ def fetch_outcome(attempts: DataFrame, key: str = "url", order=("attempt_ts", "a
 
 
 def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "attempt_seq"), n: int = 5,
-                 is_error: str = "is_error", resets: str = "resets") -> DataFrame:
+                 is_error: str = "is_error", resets: str = "resets", block: int = 10_000) -> DataFrame:
     """FLT-8: keep a crawl's attempts up to and including its ``n``-th
     consecutive error.  Errors count up; an attempt that found results
     resets the count; other attempts leave it unchanged.
 
-    Gaps and islands: a running count of resets numbers the islands, a
-    running count of errors inside an island is the streak."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = log.withColumn("_island", F.sum(F.col(resets).cast("int")).over(w))
-    w2 = Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_streak", F.sum(F.col(is_error).cast("int")).over(w2))
-    hit = F.struct(*[F.col(c) for c in order])
-    cut = (df.where(F.col("_streak") == n).groupBy(key).agg(F.min(hit).alias("_cut")))
-    return (df.join(cut, key, "left")
-            .where(F.col("_cut").isNull() | (hit <= F.col("_cut")))
-            .drop("_island", "_streak", "_cut"))
+    A crawl's attempts are numbered (skew-safe, ``row_number_within``) and
+    cut into blocks of ``block`` positions.  Inside a block the streak is
+    a pair of bounded windows (islands between resets, errors per island);
+    what a block inherits from earlier blocks (the carry) and the first
+    cut-off per crawl come from windows over the small blocks table.  No
+    task ever holds a whole crawl."""
+    order = list(order)
+    df = row_number_within(log, [key], order, out="_pos")
+    df = df.withColumn("_blk", F.floor((F.col("_pos") - 1) / F.lit(block)).cast("long"))
+    w_blk = Window.partitionBy(key, "_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("_isl", F.sum(F.col(resets).cast("int")).over(w_blk))
+    w_isl = Window.partitionBy(key, "_blk", "_isl").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("_err", F.sum(F.col(is_error).cast("int")).over(w_isl))
+
+    # Per block: did it reset, errors in total, errors after its last reset.
+    blocks = df.groupBy(key, "_blk").agg(
+        F.max(F.col(resets).cast("int")).alias("_has_reset"),
+        F.sum(F.col(is_error).cast("int")).alias("_total"),
+        F.max_by("_err", "_pos").alias("_tail"))
+    # Carry into block b: errors since the last reset before b.
+    w_prev = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    cum_before = F.coalesce(F.sum("_total").over(w_prev), F.lit(0))
+    last_reset_tail = F.last(F.when(F.col("_has_reset") == 1, F.col("_tail")), ignorenulls=True).over(w_prev)
+    last_reset_cum = F.last(F.when(F.col("_has_reset") == 1, F.col("_cum_incl")), ignorenulls=True).over(w_prev)
+    w_incl = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
+    carry = (blocks.withColumn("_cum_incl", F.sum("_total").over(w_incl))
+             .select(key, "_blk", F.when(last_reset_tail.isNull(), cum_before)
+                     .otherwise(last_reset_tail + cum_before - last_reset_cum).alias("_carry")))
+
+    df = df.join(carry, [key, "_blk"])
+    streak = F.when(F.col("_isl") == 0, F.col("_carry") + F.col("_err")).otherwise(F.col("_err"))
+    df = df.withColumn("_hit", F.col(is_error) & (streak == n))
+    first_hit = df.groupBy(key, "_blk").agg(F.min(F.when(F.col("_hit"), F.col("_pos"))).alias("_h"))
+    w_key = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cuts = first_hit.select(key, "_blk", F.min("_h").over(w_key).alias("_cut"))
+    return (df.join(cuts, [key, "_blk"])
+            .where(F.col("_cut").isNull() | (F.col("_pos") <= F.col("_cut")))
+            .drop("_pos", "_blk", "_isl", "_err", "_carry", "_hit", "_cut"))
 
 
 def interim_snapshots(per_product: DataFrame, order: str = "product_no", n: str = "n_reviews",

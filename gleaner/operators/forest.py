@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.functions.ranking import row_number_within
 from gleaner.session import ensure_checkpoint_dir
 
 
@@ -43,7 +44,8 @@ def expand_comment_forest(edges: DataFrame, id_col: str = "id", parent_col: str
     nodes = levels[0]
     for lvl in levels[1:]:
         nodes = nodes.unionByName(lvl)
-    w = Window.partitionBy("_root").orderBy("_depth", "_path")
-    return nodes.select(
+    # Breadth-first position inside each tree, without one task per tree.
+    numbered = row_number_within(nodes, ["_root"], ["_depth", "_path"], out="bfs_no")
+    return numbered.select(
         F.col("_id").alias(id_col), F.col("_parent").alias(parent_col), F.col("_root").alias("root_id"),
-        F.col("_depth").alias("depth"), F.row_number().over(w).cast("long").alias("bfs_no"))
+        F.col("_depth").alias("depth"), F.col("bfs_no").cast("long").alias("bfs_no"))

@@ -336,3 +336,4 @@ ORACLES["collect_product_urls"] = LISTING_URLS
 ORACLES["collect_reviews"] = REVIEWS
 ORACLES["collect_products"] = ORACLES["project_products"]
 ORACLES["collect_products_reviews"] = ORACLES["explode_reviews_narrow"]
+ORACLES["append_reviews"] = REVIEWS

@@ -339,12 +339,12 @@ def q_error_cutoff(spark, sf_dir):
 
 
 def page_counts(spark, sf_dir) -> DataFrame:
-    """Listing fetches per crawl numbered in attempt order."""
-    from pyspark.sql import Window
-    log = crawl_log(spark, sf_dir)
-    w = Window.partitionBy("crawl_id").orderBy("attempt_ts", "attempt_seq")
-    return log.select("crawl_id", F.row_number().over(w).cast("long").alias("page_no"),
-                      (F.col("status") == 200).alias("ok"), F.col("n_results").alias("n_containers"))
+    """Listing fetches per crawl numbered in attempt order (skew-safe numbering)."""
+    from gleaner.functions.ranking import row_number_within
+    log = crawl_log(spark, sf_dir).select("crawl_id", "attempt_ts", "attempt_seq", "status", "n_results")
+    numbered = row_number_within(log, ["crawl_id"], ["attempt_ts", "attempt_seq"], out="page_no")
+    return numbered.select("crawl_id", F.col("page_no").cast("long").alias("page_no"),
+                           (F.col("status") == 200).alias("ok"), F.col("n_results").alias("n_containers"))
 
 
 @register("listing_frontier")
@@ -644,3 +644,11 @@ def q_collect_products(spark, sf_dir):
 def q_collect_products_reviews(spark, sf_dir):
     _, reviews = flows.collect_products(url_list(spark, sf_dir), fx.product_pages(spark, sf_dir))
     return reviews
+
+
+@register("append_reviews")
+def q_append_reviews(spark, sf_dir):
+    """Reviews of two collection runs (even and odd products) in one table."""
+    parsed = parsed_pages(spark, sf_dir)
+    runs = [catalog.explode_reviews(parsed.where(F.col("page_id") % 2 == r)) for r in (0, 1)]
+    return threads.append_reviews(runs)
