@@ -24,19 +24,28 @@ def resolve_url(href: Column | str, root: str) -> Column:
     root = root.rstrip("/")
     scheme = root.split(":", 1)[0].lower()
 
-    path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    rest = F.substring(href, F.length(path) + 1, 1 << 30)
-    frag_at = F.instr(rest, "#")
-    query = F.when(frag_at > 0, F.substring(rest, 2, frag_at - 2)).otherwise(F.substring(rest, 2, 1 << 30))
-    query = F.when(F.startswith(rest, F.lit("?")), query).otherwise(F.lit(""))
-    frag = F.when(frag_at > 0, F.substring(rest, frag_at + 1, 1 << 30)).otherwise(F.lit(""))
+    has_scheme = href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
+    href_scheme = F.lower(F.regexp_extract(href, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+    # Drop a scheme equal to the base's; what remains may carry an authority.
+    rest = F.when(has_scheme, F.substring(href, F.length(href_scheme) + 2, 1 << 30)).otherwise(href)
+    authority = F.regexp_extract(rest, r"^//([^/?#]*)", 1)
+    network = F.startswith(rest, F.lit("//")) & (authority != "")
+    # "//" with an empty authority keeps the base host: resolve what follows.
+    ref = F.when(F.startswith(rest, F.lit("//")), F.substring(rest, 3, 1 << 30)).otherwise(rest)
+
+    path = F.regexp_extract(ref, r"^([^?#]*)", 1)
+    tail_text = F.substring(ref, F.length(path) + 1, 1 << 30)
+    frag_at = F.instr(tail_text, "#")
+    query = F.when(frag_at > 0, F.substring(tail_text, 2, frag_at - 2)).otherwise(F.substring(tail_text, 2, 1 << 30))
+    query = F.when(F.startswith(tail_text, F.lit("?")), query).otherwise(F.lit(""))
+    frag = F.when(frag_at > 0, F.substring(tail_text, frag_at + 1, 1 << 30)).otherwise(F.lit(""))
     tail = F.concat(F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
                     F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(F.lit("")))
 
     parts = F.split(path, "/")
     # Relative paths: merge with the (empty) base path and drop empty
     # inner segments; absolute paths keep theirs.
-    rel_parts = F.concat(F.array(F.lit("")), F.filter(parts, lambda s: s != ""))
+    rel_parts = F.concat(F.array(F.lit("")), F.filter(parts, lambda x: x != ""))
     rel_parts = F.when(F.endswith(path, F.lit("/")), F.array_append(rel_parts, F.lit(""))).otherwise(rel_parts)
     segs = F.when(F.startswith(path, F.lit("/")), parts).otherwise(rel_parts)
     folded = _fold_segments(segs)
@@ -45,15 +54,11 @@ def resolve_url(href: Column | str, root: str) -> Column:
     joined = F.array_join(folded, "/")
     joined = F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
 
-    has_scheme = href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
-    href_scheme = F.lower(F.regexp_extract(href, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
     return (
         F.when(href.isNull(), F.lit(None).cast("string"))
         .when(href == "", F.lit(root))
         .when(has_scheme & (href_scheme != scheme), href)
-        .when(has_scheme & F.substring(href, F.length(href_scheme) + 2, 2).eqNullSafe("//"),
-              F.concat(href_scheme, F.substring(href, F.length(href_scheme) + 1, 1 << 30)))
-        .when(F.startswith(href, F.lit("//")), F.concat(F.lit(scheme + ":"), href))
+        .when(network, F.concat(F.lit(scheme + ":"), rest))
         .when(path == "", F.concat(F.lit(root), tail))
         .otherwise(F.concat(F.lit(root), joined, tail))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner import schemas
 
@@ -12,7 +13,7 @@ def read_threads(spark: SparkSession, path: str | list[str], fmt: str = "json")
     """SRC-1: archived threads (one row per post, comments nested) with the
     declared schema; malformed JSON lines land in ``_corrupt_record``."""
     if fmt == "json":
-        schema = schemas.THREAD.add("_corrupt_record", "string")
+        schema = T.StructType(schemas.THREAD.fields + [T.StructField("_corrupt_record", T.StringType())])
         return (spark.read.schema(schema).option("mode", "PERMISSIVE")
                 .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     return spark.read.schema(schemas.THREAD).format(fmt).load(path)

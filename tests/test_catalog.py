@@ -92,7 +92,8 @@ def test_extract_listing_links_udf_matches_python(spark):
 HREFS = ["", "/p/a.html", "p/a.html", "./p/a.html", "../p/a.html", "/c/../p/a.html", "/a/./b/../c",
          "a//b/c", "/a//b", "?q=1", "#frag", "/p/a.html?x=1#f", "//cdn.example.org/x.js",
          "http://other.example/p/", "https://shop.example.com/p/z.html", "mailto:x@y.z", "/a/b/..", "a/.",
-         "..", ".", "/", "p/a.html?", "p/a.html#", "/é/ü"]
+         "..", ".", "/", "p/a.html?", "p/a.html#", "/é/ü", "//", "///p/a", "https:p/a", "https:///x",
+         "HTTPS://Shop.example.com/A", "//cdn.example.org"]
 
 
 def _resolve_all(spark, hrefs):
