@@ -54,9 +54,9 @@ def distinct_urls_stream(links: DataFrame, col: str = "url", watermark: tuple[st
 def interim_reviews_stream(spark: SparkSession, pages_dir: str, out_root: str, ckpt: str,
                            products_per_batch: int = 5, schema: T.StructType = schemas.PAGES) -> StreamingQuery:
     """STR-3 / SNK-6: product pages in micro-batches of ``products_per_batch``
-    files; each batch appends its reviews and records the progress row
-    (batch, products, reviews so far).  The cumulative table is simply the
-    reviews folder read at any time; progress is written after the data."""
+    files; each batch appends its reviews and then its progress row, which
+    carries the running totals (previous batch's totals + this batch).  The
+    cumulative table is simply the reviews folder read at any time."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", products_per_batch)
               .parquet(pages_dir))
 
@@ -64,23 +64,33 @@ def interim_reviews_stream(spark: SparkSession, pages_dir: str, out_root: str, c
         parsed = catalog.parse_product_json(catalog.extract_structured_data(batch))
         reviews = catalog.explode_reviews(parsed)
         reviews.write.mode("overwrite").parquet(f"{out_root}/reviews/batch_id={batch_id}")
-        stats = parsed.agg(F.count(F.lit(1)).alias("products"),
+        stats = parsed.agg(F.count(F.lit(1)).cast("long").alias("products"),
                            F.coalesce(F.sum(F.when(F.col("parse_ok"), F.size("product.review"))), F.lit(0))
                            .cast("long").alias("reviews"))
-        stats.withColumn("batch_id", F.lit(batch_id).cast("long")) \
-             .write.mode("overwrite").parquet(f"{out_root}/progress/batch_id={batch_id}")
+        prev = _previous_progress(spark, out_root, batch_id)
+        (stats.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .withColumn("products_so_far", F.col("products") + F.lit(prev[0]))
+         .withColumn("rows_so_far", F.col("reviews") + F.lit(prev[1]))
+         .write.mode("overwrite").parquet(f"{out_root}/progress/batch_id={batch_id}"))
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
+def _previous_progress(spark: SparkSession, out_root: str, batch_id: int) -> tuple[int, int]:
+    """Running totals after the previous batch (batch ids are consecutive;
+    a replayed batch reads the same previous row, so it writes the same)."""
+    if batch_id == 0:
+        return 0, 0
+    row = (spark.read.schema("products_so_far long, rows_so_far long")
+           .parquet(f"{out_root}/progress/batch_id={batch_id - 1}").first())
+    return (row["products_so_far"], row["rows_so_far"]) if row else (0, 0)
+
+
 def interim_progress(spark: SparkSession, out_root: str) -> DataFrame:
-    """Cumulative reviews after each batch (a running sum over batches)."""
-    from pyspark.sql import Window
-    prog = spark.read.parquet(f"{out_root}/progress")
-    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)   # one row per batch: tiny
-    return prog.select("batch_id", F.sum("products").over(w).alias("products_so_far"),
-                       F.sum("reviews").over(w).alias("rows_so_far"))
+    """Progress after each batch: products and review rows so far."""
+    return spark.read.parquet(f"{out_root}/progress").select(
+        F.col("batch_id").cast("long").alias("batch_id"), "products_so_far", "rows_so_far")
 
 
 STREAK_OUT = T.StructType([
