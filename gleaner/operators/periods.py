@@ -75,6 +75,27 @@ def month_window(df: DataFrame, ts: str, start, end=None, bounds: str = "calenda
     return df.where(cond)
 
 
+def epoch_range(df: DataFrame, epoch: str, lo=None, hi=None, lo_inclusive: bool = True) -> DataFrame:
+    """The same time bounds as a filter on a stored epoch-seconds column,
+    so a Parquet scan can skip row groups (a filter on a derived timestamp
+    cannot be pushed down)."""
+    cond = F.lit(True)
+    if lo is not None:
+        lo_s = F.unix_seconds(_ts(lo))
+        cond = cond & ((F.col(epoch) >= lo_s) if lo_inclusive else (F.col(epoch) > lo_s))
+    if hi is not None:
+        cond = cond & (F.col(epoch) <= F.unix_seconds(_ts(hi)))
+    return df.where(cond)
+
+
+def period_start(period: str, as_of) -> Column | None:
+    if period == "all":
+        return None
+    if period not in PERIODS:
+        raise ValueError(f"unknown period {period!r}")
+    return _ts(as_of) - F.expr(f"INTERVAL {PERIODS[period]}")
+
+
 def listing_period(df: DataFrame, ts: str, period: str, as_of) -> DataFrame:
     """FLT-2: the trailing ``day/week/month/year`` window ending at the
     explicit ``as_of`` time (inclusive); ``all`` keeps everything up to it."""

@@ -45,6 +45,9 @@ def collect_communities(threads_df: DataFrame, communities: list[str] | None, pe
     t = _good(threads_df)
     if communities is not None:
         t = t.where(F.col("community").isin(list(communities)))
+    if as_of is not None:   # post-time bounds on the stored epoch column: pushed to the scan
+        t = periods.epoch_range(t, "created_epoch", periods.period_start(period, as_of), as_of,
+                                lo_inclusive=False)
     posts = threads.project_posts(t, keep=("community",))
     if as_of is not None:
         posts = periods.listing_period(posts, "created_utc", period, as_of)
@@ -98,6 +101,9 @@ def backfill_by_month(spark: SparkSession, threads_df: DataFrame, root: str, sta
     t = _good(threads_df)
     if communities is not None:
         t = t.where(F.col("community").isin(list(communities)))
+    # Only posts inside the range can be selected; comments come from them.
+    t = periods.epoch_range(t, "created_epoch", start_ts.replace(day=1, hour=0, minute=0, second=0,
+                                                                 microsecond=0), end_ts)
     posts = periods.assign_month(threads.project_posts(t, keep=("community",)), "created_utc",
                                  start_ts, end_ts, bounds)
     selected = threads.top_posts(posts, by=["community", "scrape_month"], limit=limit)

@@ -105,3 +105,43 @@ def test_csv_round_trip_keeps_quotes_and_newlines(spark):
     writers.write_csv_compat(df, path)
     back = writers.read_csv_compat(spark, path, df.schema)
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_thread_archive_pages_large_threads(spark):
+    """Force paging (3 comments per page): every post once, every comment once."""
+    archive = fx.thread_archive(spark, SF_SMALL, comments_per_page=3)
+    posts = threads.project_posts(archive)
+    comments = threads.flatten_comments(archive)
+    assert posts.count() == fx.table(spark, SF_SMALL, "orders").count()
+    assert comments.count() == fx.table(spark, SF_SMALL, "lineitem").count()
+    unpaged = threads.flatten_comments(fx.thread_archive(spark, SF_SMALL))
+    assert sorted(comments.collect(), key=repr) == sorted(unpaged.collect(), key=repr)
+    assert archive.where("comment_page > 0").count() > 0
+    assert archive.where("comment_page = 0 AND num_comments > 3 AND size(comments) > 0").count() == 0
+
+
+def test_run_snapshot_needs_a_post(spark):
+    root = scratch_dir(spark, "t-run")
+    empty = spark.createDataFrame([], "id string")
+    assert not writers.write_run_snapshot({"posts": empty, "comments": empty}, root, "20240101_000000")
+    one = spark.createDataFrame([("p",)], "id string")
+    assert writers.write_run_snapshot({"posts": one, "comments": empty}, root, "20240101_000000")
+    assert spark.read.parquet(f"{root}/comments/run=20240101_000000").count() == 0
+
+
+def test_backfill_comments_filtered_by_their_own_time(spark):
+    """D15: a comment goes to the month of its own time; one outside its
+    post's month window is not written with that month."""
+    from gleaner import schemas
+    e = lambda s: int(dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp())
+    rows = [{"id": "p1", "community": "c", "title": "t", "body": "b", "score": 5,
+             "created_epoch": e("2024-01-20 00:00:00"), "num_comments": 2, "comment_page": 0,
+             "comments": [{"id": "in", "body": "x", "score": 1, "created_epoch": e("2024-01-25 00:00:00"),
+                           "author": "a"},
+                          {"id": "late", "body": "y", "score": 1, "created_epoch": e("2024-02-02 00:00:00"),
+                           "author": "a"}]}]
+    root = scratch_dir(spark, "t-d15")
+    archive = spark.createDataFrame(rows, schemas.THREAD)
+    flows.backfill_by_month(spark, archive, root, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 28), limit=10)
+    got = sorted((r["comment_id"], r["scrape_month"]) for r in spark.read.parquet(f"{root}/comments").collect())
+    assert got == [("in", "2024-01")]

@@ -174,3 +174,17 @@ def test_backfill_summary_counts_rows_not_frames(spark):
     out = {r["scrape_month"]: (r["posts"], r["comments"], r["is_total"])
            for r in threads.backfill_summary(p, c).collect()}
     assert out == {"2024-01": (2, 0, False), "2024-02": (1, 1, False), None: (3, 1, True)}   # D9
+
+
+def test_period_and_community_filters_reach_the_parquet_scan(spark):
+    from gleaner.session import scratch_dir
+    from gleaner.sources import fixtures as fx
+    from gleaner.sources.readers import read_threads
+    path = scratch_dir(spark, "t-archive")
+    fx.thread_archive(spark, "/root/testdata/sf0.001").write.parquet(path)
+    t = read_threads(spark, path, fmt="parquet")
+    posts, comments = flows.collect_communities(t, ["1-URGENT"], "year", 10, dt.datetime(1998, 8, 2))
+    for df in (posts, comments):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+        assert pushed and all("created_epoch" in line and "community" in line for line in pushed), plan
