@@ -5,7 +5,9 @@ Which link belongs to which product container depends on the element tree
 regex gets right.  This is the one Python helper on the catalogue path: an
 Arrow-batched pandas UDF over the stdlib HTML tokenizer, returning one
 struct per container; the caller explodes it, so Spark partitions the pages
-and nothing is gathered.
+and nothing is gathered.  Input batches are bounded by both
+``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``
+(64 MB by default), so large pages do not pile up in one Python worker.
 """
 
 from __future__ import annotations

@@ -145,3 +145,24 @@ def test_backfill_comments_filtered_by_their_own_time(spark):
     flows.backfill_by_month(spark, archive, root, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 28), limit=10)
     got = sorted((r["comment_id"], r["scrape_month"]) for r in spark.read.parquet(f"{root}/comments").collect())
     assert got == [("in", "2024-01")]
+
+
+def test_url_list_keep_blank(spark):
+    from gleaner.sources.readers import url_lines
+    df = spark.createDataFrame([(" a ",), ("",), ("  ",), ("b",)], "value string")
+    assert sorted(r["url"] for r in url_lines(df).collect()) == ["a", "b"]
+    assert sorted(r["url"] for r in url_lines(df, keep_blank=True).collect()) == ["", "", "a", "b"]
+
+
+def test_distinct_urls_stream_with_watermark(spark):
+    base = scratch_dir(spark, "t-wm")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("u1", t0), ("u1", t0 + dt.timedelta(minutes=1)), ("u2", t0), ("u1", t0 + dt.timedelta(days=2))]
+    spark.createDataFrame(rows, "url string, seen_at timestamp").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("url string, seen_at timestamp").parquet(f"{base}/in")
+    (jobs.distinct_urls_stream(stream, watermark=("seen_at", "1 hour")).writeStream.format("parquet")
+     .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+     .trigger(availableNow=True).start().awaitTermination())
+    got = sorted(r["url"] for r in spark.read.parquet(f"{base}/out").collect())
+    # within one batch duplicates are removed regardless of the delay
+    assert got == ["u1", "u2"]
