@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.session import ensure_checkpoint_dir
+from gleaner.session import materialize
 
 
 def _same(a: tuple, b: tuple) -> bool:
@@ -70,10 +70,9 @@ def row_number_within(df: DataFrame, group: list[str], order: list[str], out: st
             last_key, last_count = tuple(keyframe.iloc[-1].tolist()), int(local.iloc[-1])
             yield pdf.assign(_pid=pid, _local=local.to_numpy())
 
-    # Materialised once in the shared checkpoint folder: the summary and the
-    # join below both read it (no second sort, survives lost executors).
-    ensure_checkpoint_dir(spark)
-    numbered = ranged.mapInPandas(number, schema).checkpoint()
+    # Written once to the shared checkpoint folder: the summary and the join
+    # below both read it (one sort, one Python pass; survives lost executors).
+    numbered = materialize(ranged.mapInPandas(number, schema), "numbered")
     gstruct = F.struct(*[F.col(c) for c in group])
     row = F.struct(*[F.col(c) for c in keys])
     summary = (numbered.groupBy("_pid")

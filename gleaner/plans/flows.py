@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.operators import catalog, links, periods, threads
+from gleaner.session import materialize
 from gleaner.sinks import writers
 from gleaner.sources import readers
 
@@ -38,7 +39,7 @@ def _comments_of(threads_df: DataFrame, selected: DataFrame, bound: int | None)
 
 
 def collect_communities(threads_df: DataFrame, communities: list[str] | None, period: str = "day",
-                        limit: int = 100, as_of=None) -> tuple[DataFrame, DataFrame]:
+                        limit: int = 100, as_of=None, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """PIP-2: period filter + top-k per community + flatten, for many
     communities in one partitioned plan.  Malformed archive rows are set
     aside, the rest continues (a bad source never fails the run)."""
@@ -52,6 +53,10 @@ def collect_communities(threads_df: DataFrame, communities: list[str] | None, pe
     if as_of is not None:
         posts = periods.listing_period(posts, "created_utc", period, as_of)
     top = threads.top_posts(posts, by="community", limit=limit)
+    if materialize:
+        # At most `limit` rows per community: written once to the shared
+        # folder, then read by both outputs instead of ranking twice.
+        top = materialize(top, "selected-posts")
     bound = limit * len(communities) if communities is not None else None
     return top, _comments_of(t, top, bound)
 
@@ -68,7 +73,7 @@ def daily_snapshot(spark: SparkSession, threads_df: DataFrame, root: str, as_of:
     """PIP-3: the daily job.  Writes ``posts`` and ``comments`` under
     ``run_date=<as_of date>`` (a rerun of the day replaces them, empty
     results included) and returns the row counts of what was written."""
-    posts, comments = collect_communities(threads_df, communities, period, limit, as_of)
+    posts, comments = collect_communities(threads_df, communities, period, limit, as_of, materialize=True)
     run_date = as_of.strftime("%Y-%m-%d")
     writers.write_daily({"posts": posts, "comments": comments}, root, run_date)
     written = [spark.read.parquet(f"{root}/{k}/run_date={run_date}").select(F.lit(k).alias("kind"))
@@ -106,7 +111,10 @@ def backfill_by_month(spark: SparkSession, threads_df: DataFrame, root: str, sta
                                                                  microsecond=0), end_ts)
     posts = periods.assign_month(threads.project_posts(t, keep=("community",)), "created_utc",
                                  start_ts, end_ts, bounds)
-    selected = threads.top_posts(posts, by=["community", "scrape_month"], limit=limit)
+    # Bounded by limit x communities x months; materialised once, then used
+    # for the posts output and for the comment join.
+    selected = materialize(threads.top_posts(posts, by=["community", "scrape_month"], limit=limit),
+                           "selected-posts")
     bound = limit * n_months * len(communities) if communities is not None else None
     sel = selected.select("id", F.col("scrape_month").alias("_post_month"))
     if bound is not None and bound <= SELECTED_BROADCAST_ROWS:

@@ -80,3 +80,14 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable (reliable, shared storage)."""
     scratch_dir(spark, "init")
+
+
+def materialize(df, name: str = "table"):
+    """Compute ``df`` once into a Parquet table in the shared checkpoint
+    folder and continue from the files: lineage is cut, a lost executor
+    costs nothing already written, and (unlike ``Dataset.checkpoint`` on an
+    unpersisted plan) the plan runs once, not twice."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
