@@ -39,7 +39,7 @@ def _comments_of(threads_df: DataFrame, selected: DataFrame, bound: int | None)
 
 
 def collect_communities(threads_df: DataFrame, communities: list[str] | None, period: str = "day",
-                        limit: int = 100, as_of=None, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+                        limit: int = 100, as_of=None, stage_selection: bool = False) -> tuple[DataFrame, DataFrame]:
     """PIP-2: period filter + top-k per community + flatten, for many
     communities in one partitioned plan.  Malformed archive rows are set
     aside, the rest continues (a bad source never fails the run)."""
@@ -53,7 +53,7 @@ def collect_communities(threads_df: DataFrame, communities: list[str] | None, pe
     if as_of is not None:
         posts = periods.listing_period(posts, "created_utc", period, as_of)
     top = threads.top_posts(posts, by="community", limit=limit)
-    if materialize:
+    if stage_selection:
         # At most `limit` rows per community: written once to the shared
         # folder, then read by both outputs instead of ranking twice.
         top = materialize(top, "selected-posts")
@@ -73,7 +73,7 @@ def daily_snapshot(spark: SparkSession, threads_df: DataFrame, root: str, as_of:
     """PIP-3: the daily job.  Writes ``posts`` and ``comments`` under
     ``run_date=<as_of date>`` (a rerun of the day replaces them, empty
     results included) and returns the row counts of what was written."""
-    posts, comments = collect_communities(threads_df, communities, period, limit, as_of, materialize=True)
+    posts, comments = collect_communities(threads_df, communities, period, limit, as_of, stage_selection=True)
     run_date = as_of.strftime("%Y-%m-%d")
     writers.write_daily({"posts": posts, "comments": comments}, root, run_date)
     written = [spark.read.parquet(f"{root}/{k}/run_date={run_date}").select(F.lit(k).alias("kind"))

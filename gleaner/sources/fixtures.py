@@ -8,11 +8,15 @@ oracles in ``__spark_entry__`` restate the same rules in SQL.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner import schemas
+from gleaner.session import scratch_dir
 
 # Threads whose comment count exceeds this are split over several rows
 # (comment pages) so no single row or aggregation group grows with the data.
@@ -29,6 +33,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Derived views are staged once per application: built by Spark from the
+# tables, written to the shared checkpoint folder, then read like any table.
+_STAGED: dict[tuple, str] = {}
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _STAGED.get(key)
+    if path is None:
+        df = build()
+        path = scratch_dir(spark, f"staged-{name}")
+        df.write.mode("overwrite").parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- threads
 
 def _comment_rows(lineitem: DataFrame) -> DataFrame:
@@ -47,6 +67,14 @@ def _comment_rows(lineitem: DataFrame) -> DataFrame:
 
 def thread_archive(spark: SparkSession, sf_dir: str,
                    comments_per_page: int = COMMENTS_PER_PAGE) -> DataFrame:
+    """`fx_threads`, staged (see ``build_thread_archive``)."""
+    if comments_per_page != COMMENTS_PER_PAGE:
+        return build_thread_archive(spark, sf_dir, comments_per_page)
+    return staged(spark, sf_dir, "threads", lambda: build_thread_archive(spark, sf_dir))
+
+
+def build_thread_archive(spark: SparkSession, sf_dir: str,
+                         comments_per_page: int = COMMENTS_PER_PAGE) -> DataFrame:
     """`fx_threads`: one row per post (per comment page), comments nested.
 
     Nesting is the data model of a thread archive.  To keep every row
@@ -120,6 +148,11 @@ def product_url() -> F.Column:
 
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`fx_product_pages`, staged (see ``build_product_pages``)."""
+    return staged(spark, sf_dir, "product-pages", lambda: build_product_pages(spark, sf_dir))
+
+
+def build_product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`fx_product_pages`: one archived product page per part.
 
     Reviews are the documents with ``doc_id div 5 = p_partkey`` (at most
@@ -215,6 +248,11 @@ def url_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`fx_listing_pages`, staged (see ``build_listing_pages``)."""
+    return staged(spark, sf_dir, "listing-pages", lambda: build_listing_pages(spark, sf_dir))
+
+
+def build_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`fx_listing_pages`: 24 parts per listing page, in product containers.
 
     Container variants by ``p_partkey % 24``: 5 classes in another order (not
