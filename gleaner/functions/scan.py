@@ -19,13 +19,23 @@ OFFSETS_BROADCAST_ROWS = 1_000_000
 
 def blocked_running_sum(df: DataFrame, value: str, order: str, by: list[str] | tuple = (),
                         out: str = "running", block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Inclusive running sum of ``value`` by the dense 1-based ``order``
+    within ``by``.  Block offsets are themselves a running sum over the
+    block totals, computed the same way when there are more than ``block``
+    of them, so every window holds at most ``block`` rows."""
     by = list(by)
-    blk = F.floor((F.col(order) - 1) / F.lit(block)).cast("long")
-    df = df.withColumn("_blk", blk)
+    df = df.withColumn("_blk", F.floor((F.col(order) - 1) / F.lit(block)).cast("long"))
     totals = df.groupBy(*by, "_blk").agg(F.sum(value).alias("_t"))
-    w_off = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_blk", F.coalesce(F.sum("_t").over(w_off), F.lit(0)).alias("_off"))
-    if offsets.count() <= OFFSETS_BROADCAST_ROWS:
+    n_blocks = totals.count()
+    if n_blocks > block:
+        # block indices are dense (positions are), so they order the next level
+        level = totals.select(*by, F.col("_blk").alias("_ublk"), "_t", (F.col("_blk") + 1).alias("_bpos"))
+        upper = blocked_running_sum(level, "_t", "_bpos", by, out="_incl", block=block)
+        offsets = upper.select(*by, F.col("_ublk").alias("_blk"), (F.col("_incl") - F.col("_t")).alias("_off"))
+    else:
+        w_off = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(*by, "_blk", F.coalesce(F.sum("_t").over(w_off), F.lit(0)).alias("_off"))
+    if n_blocks <= OFFSETS_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     w_in = Window.partitionBy(*by, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (df.withColumn("_in", F.sum(value).over(w_in))

@@ -52,7 +52,7 @@ def fetch_outcome(attempts: DataFrame, key: str = "url", order=("attempt_ts", "a
 
 
 def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "attempt_seq"), n: int = 5,
-                 is_error: str = "is_error", resets: str = "resets", block: int = 10_000) -> DataFrame:
+                 is_error: str = "is_error", resets: str = "resets", block: int = 1_000_000) -> DataFrame:
     """FLT-8: keep a crawl's attempts up to and including its ``n``-th
     consecutive error.  Errors count up; an attempt that found results
     resets the count; other attempts leave it unchanged.

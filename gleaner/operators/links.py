@@ -16,7 +16,13 @@ PRODUCT_MARKER = "/p/"
 def extract_listing_links(pages: DataFrame, container_class: str, tag: str = "div") -> DataFrame:
     """PRJ-12: per product container (exact, order-sensitive class list) the
     first link with an href; ``href`` is null for a container without one.
-    One row per container, so the container count is a plain count."""
+    One row per container, so the container count is a plain count.
+
+    Pages whose text lacks a class token cannot hold a container: a JVM
+    substring filter drops them before any row reaches Python."""
+    plain = [t for t in container_class.split() if t.replace("-", "").isalnum()]
+    if plain:
+        pages = pages.where(F.instr("html", max(plain, key=len)) > 0)
     return (pages.select("page_id", F.explode(container_links("html", container_class, tag)).alias("c"))
             .select("page_id", F.col("c.container_no").alias("container_no"), F.col("c.href").alias("href")))
 

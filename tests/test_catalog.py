@@ -180,3 +180,13 @@ def test_train_test_split_is_stable(spark):
     assert sorted(a.collect()) == sorted(b.collect())
     share = a.where("is_test").count() / 10000
     assert 0.18 < share < 0.22
+
+
+def test_blocked_running_sum_recursive_levels(spark):
+    from pyspark.sql import Window
+
+    from gleaner.functions.scan import blocked_running_sum
+    df = spark.range(1, 1001).select(F.col("id").alias("pos"), (F.col("id") * 13 % 7).alias("v"))
+    got = blocked_running_sum(df, "v", "pos", out="run", block=4)     # 250 blocks -> 63 -> 16 -> 4 levels
+    want = df.withColumn("run", F.sum("v").over(Window.orderBy("pos")))
+    assert sorted(got.collect()) == sorted(want.collect())
