@@ -103,8 +103,9 @@ def newest_pages(pages: DataFrame) -> DataFrame:
     cols = [c for c in pages.columns if c != "url"]
     order = F.struct(F.coalesce(F.col("fetched_at").cast("timestamp"), F.lit("1970-01-01").cast("timestamp")),
                      F.col("page_id")) if "fetched_at" in pages.columns else F.col("page_id")
-    return (pages.groupBy("url").agg(F.max_by(F.struct(*cols), order).alias("_p"))
-            .select("url", "_p.*"))
+    # One max_by per column over the same (unique) ordering key: all pick the
+    # same version, and columns the caller never uses (e.g. html) are pruned.
+    return pages.groupBy("url").agg(*[F.max_by(c, order).alias(c) for c in cols])
 
 
 def lookup_pages(urls: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -181,8 +181,7 @@ def collect_product_urls(pages: DataFrame, container_class: str, root: str,
 def collect_reviews(spark: SparkSession, list_root: str, pages: DataFrame,
                     prefix: str = "product_urls_") -> DataFrame:
     """PIP-6: newest URL list -> archived pages -> payload -> reviews."""
-    lists = spark.read.text(list_root)
-    urls = readers.url_lines(readers.latest_snapshot(lists, prefix, "snapshot"))
+    urls = readers.url_lines(readers.read_latest_snapshot(spark, list_root, prefix))
     found, _ = catalog.lookup_pages(urls, pages)
     return catalog.explode_reviews(catalog.parse_product_json(catalog.extract_structured_data(found)))
 

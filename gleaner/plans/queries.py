@@ -430,8 +430,7 @@ def q_read_url_list(spark, sf_dir):
 @register("latest_snapshot")
 def q_latest_snapshot(spark, sf_dir):
     root = _write_snapshots(spark, sf_dir, scratch_dir(spark, "snapshots"))
-    return readers.url_lines(readers.latest_snapshot(spark.read.text(root), "product_urls_", "snapshot")) \
-        .select("url")
+    return readers.url_lines(readers.read_latest_snapshot(spark, root, "product_urls_")).select("url")
 
 
 @register("read_checkpoint")

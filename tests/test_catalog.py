@@ -190,3 +190,19 @@ def test_blocked_running_sum_recursive_levels(spark):
     got = blocked_running_sum(df, "v", "pos", out="run", block=4)     # 250 blocks -> 63 -> 16 -> 4 levels
     want = df.withColumn("run", F.sum("v").over(Window.orderBy("pos")))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_latest_snapshot_from_plain_files(spark):
+    import os
+    import tempfile
+
+    from gleaner.sources.readers import latest_snapshot, read_latest_snapshot
+    d = tempfile.mkdtemp(dir="/tmp")
+    for name, body in [("product_urls_20240101_000000.txt", "a\n"), ("product_urls_20240301_000000.txt", "b\nc\n"),
+                       ("reviews_20250101_000000.csv", "x\n")]:
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(body)
+    got = read_latest_snapshot(spark, d, "product_urls_")
+    assert sorted(r["value"] for r in got.collect()) == ["b", "c"]
+    df = spark.createDataFrame([("product_urls_1", "a"), ("product_urls_2", "b"), ("zz", "c")], "snapshot string, v string")
+    assert [r["v"] for r in latest_snapshot(df, "product_urls_").collect()] == ["b"]
