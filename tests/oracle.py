@@ -57,6 +57,7 @@ def compare(spark, name, build, sql, sf_dir, con=None):
     t0 = time.time()
     sdf = build(spark, sf_dir)
     scols = sdf.columns
+    compare.last_plan = sdf._jdf.queryExecution().executedPlan().toString()
     srows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)

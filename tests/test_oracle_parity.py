@@ -29,3 +29,6 @@ def test_entry_smoke(spark):
 def test_parity(spark, con, name):
     ok, n, _, detail = compare(spark, name, QUERIES[name], ORACLES[name], SF_SMALL, con)
     assert ok, f"{name}: {detail}"
+    # Scale guards: no cross product and no nested-loop (range) join anywhere.
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in compare.last_plan, f"{name}: {bad} in plan"
