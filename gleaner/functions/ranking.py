@@ -15,6 +15,8 @@ task.  Here:
    the last group) and broadcast.
 
 Pass a narrow frame: every column crosses into Python once (Arrow batches).
+When the largest group is small enough for one task (measured first), a
+plain window is used instead.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +41,28 @@ def _key_change(keys: pd.DataFrame) -> pd.Series:
     return ~same.all(axis=1)
 
 
+# Groups up to this many rows are numbered by a plain window: one task
+# sorts at most this many rows.  Larger groups take the range-partitioned path.
+MAX_GROUP_ROWS = 5_000_000
+
+
 def row_number_within(df: DataFrame, group: list[str], order: list[str], out: str = "pos",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row inside its group, by the
-    ascending ``order`` columns (which must make rows unique in a group)."""
+    ascending ``order`` columns (which must make rows unique in a group).
+
+    The largest group is measured first (a partial aggregate); when it fits
+    in one task a plain window is used, otherwise the skew-safe path."""
+    cap = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if largest <= cap:
+        w = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
+    return _row_number_ranged(df, group, order, out, partitions)
+
+
+def _row_number_ranged(df: DataFrame, group: list[str], order: list[str], out: str,
+                       partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = list(group) + list(order)

@@ -52,7 +52,8 @@ def fetch_outcome(attempts: DataFrame, key: str = "url", order=("attempt_ts", "a
 
 
 def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "attempt_seq"), n: int = 5,
-                 is_error: str = "is_error", resets: str = "resets", block: int = 1_000_000) -> DataFrame:
+                 is_error: str = "is_error", resets: str = "resets", block: int = 1_000_000,
+                 max_group_rows: int | None = None) -> DataFrame:
     """FLT-8: keep a crawl's attempts up to and including its ``n``-th
     consecutive error.  Errors count up; an attempt that found results
     resets the count; other attempts leave it unchanged.
@@ -64,7 +65,8 @@ def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "at
     cut-off per crawl come from windows over the small blocks table.  No
     task ever holds a whole crawl."""
     order = list(order)
-    df = row_number_within(log, [key], order, out="_pos")
+    kw = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
+    df = row_number_within(log, [key], order, out="_pos", **kw)
     df = df.withColumn("_blk", F.floor((F.col("_pos") - 1) / F.lit(block)).cast("long"))
     w_blk = Window.partitionBy(key, "_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_isl", F.sum(F.col(resets).cast("int")).over(w_blk))

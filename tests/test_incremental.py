@@ -166,3 +166,17 @@ def test_distinct_urls_stream_with_watermark(spark):
     got = sorted(r["url"] for r in spark.read.parquet(f"{base}/out").collect())
     # within one batch duplicates are removed regardless of the delay
     assert got == ["u1", "u2"]
+
+
+def test_forest_skew_path_matches(spark):
+    from gleaner.functions import ranking
+    edges = fx.comment_forest(spark, SF_SMALL)
+    plain = forest.expand_comment_forest(edges)
+    old = ranking.MAX_GROUP_ROWS
+    try:
+        ranking.MAX_GROUP_ROWS = 0
+        skew = forest.expand_comment_forest(edges)
+        skew_rows = sorted(skew.collect(), key=repr)
+    finally:
+        ranking.MAX_GROUP_ROWS = old
+    assert sorted(plain.collect(), key=repr) == skew_rows
