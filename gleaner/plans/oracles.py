@@ -337,3 +337,16 @@ ORACLES["collect_reviews"] = REVIEWS
 ORACLES["collect_products"] = ORACLES["project_products"]
 ORACLES["collect_products_reviews"] = ORACLES["explode_reviews_narrow"]
 ORACLES["append_reviews"] = REVIEWS
+
+# ---------------------------------------------------------------- second modes
+
+ORACLES["classify_fetch_narrow"] = f"""
+SELECT crawl_id, attempt_seq, status,
+  CASE WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status IN (403) THEN 'retryable' ELSE 'error' END
+    AS fetch_class
+FROM ({CRAWL})"""
+ORACLES["read_url_list_keep_blank"] = f"""
+{URL_LIST}
+UNION ALL SELECT '' FROM part WHERE p_partkey % 10 IN (0, 1)"""
+ORACLES["flatten_comments_compat"] = f"SELECT * REPLACE (coalesce(author, 'None') AS author) FROM ({COMMENTS})"
+ORACLES["error_cutoff_first_error"] = ORACLES["error_cutoff"].replace("WHERE streak = 5", "WHERE streak = 1")

@@ -651,3 +651,29 @@ def q_append_reviews(spark, sf_dir):
     parsed = parsed_pages(spark, sf_dir)
     runs = [catalog.explode_reviews(parsed.where(F.col("page_id") % 2 == r)) for r in (0, 1)]
     return threads.append_reviews(runs)
+
+
+# ---------------------------------------------------------------- second modes of two-mode operators
+
+@register("classify_fetch_narrow")
+def q_classify_fetch_narrow(spark, sf_dir):
+    return crawl.classify_fetch(crawl_log(spark, sf_dir), retry_codes=crawl.RETRY_CODES_NARROW) \
+        .select("crawl_id", "attempt_seq", "status", "fetch_class")
+
+
+@register("read_url_list_keep_blank")
+def q_read_url_list_keep_blank(spark, sf_dir):
+    path = scratch_dir(spark, "url-list")
+    fx.url_list_rows(spark, sf_dir).write.mode("overwrite").text(path)
+    return readers.read_url_list(spark, path, keep_blank=True)
+
+
+@register("flatten_comments_compat")
+def q_flatten_comments_compat(spark, sf_dir):
+    return threads.flatten_comments(fx.thread_archive(spark, sf_dir), compat_author=True)
+
+
+@register("error_cutoff_first_error")
+def q_error_cutoff_first_error(spark, sf_dir):
+    """The older listing collector stops at the first error (n = 1)."""
+    return crawl.error_cutoff(_flagged_log(spark, sf_dir), n=1).select("crawl_id", "attempt_seq", "status")
