@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.operators import crawl, forest, threads
 from gleaner.plans import flows
@@ -180,3 +181,22 @@ def test_forest_skew_path_matches(spark):
     finally:
         ranking.MAX_GROUP_ROWS = old
     assert sorted(plain.collect(), key=repr) == skew_rows
+
+
+def test_read_checkpoint_missing_or_malformed(spark):
+    from gleaner.sources.readers import read_checkpoint
+    base = scratch_dir(spark, "t-ckpt")
+    assert read_checkpoint(spark, f"{base}/nothing-here").first()["last_date"] is None
+    spark.createDataFrame([('{"last_date": "garbage"}',)], "value string").write.text(f"{base}/bad")
+    assert read_checkpoint(spark, f"{base}/bad").first()["last_date"] is None
+    spark.createDataFrame([('{"last_date": "2024-03-31T06:00:00"}',)], "value string").write.text(f"{base}/ok")
+    assert read_checkpoint(spark, f"{base}/ok").first()["last_date"] == dt.datetime(2024, 3, 31, 6, 0)
+
+
+def test_csv_writes_arrays_as_json_text(spark):
+    path = scratch_dir(spark, "t-csv-arr")
+    df = spark.createDataFrame([("u", ["a.jpg", "b.jpg"]), ("v", [])], "url string, image_urls array<string>")
+    writers.write_csv_compat(df, path)
+    schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("image_urls", T.StringType())])
+    back = writers.read_csv_compat(spark, path, schema)
+    assert sorted((r["url"], r["image_urls"]) for r in back.collect()) == [("u", '["a.jpg","b.jpg"]'), ("v", "[]")]
