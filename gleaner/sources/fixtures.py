@@ -97,8 +97,9 @@ def build_thread_archive(spark: SparkSession, sf_dir: str,
     )
     pages = paged.groupBy("post_key", "comment_page").agg(
         F.max("num_comments").alias("num_comments"),
-        F.array_sort(F.collect_list(F.struct("id", "body", "score", "created_epoch", "author")))
-         .alias("comments"),
+        # Order inside a thread is not part of the data model (every reader
+        # explodes or counts), so no per-group sort.
+        F.collect_list(F.struct("id", "body", "score", "created_epoch", "author")).alias("comments"),
     )
     empty = F.array().cast(T.ArrayType(schemas.COMMENT))
     headers = counts.where(F.col("num_comments") > k).select(
