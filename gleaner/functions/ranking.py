@@ -46,6 +46,11 @@ def _key_change(keys: pd.DataFrame) -> pd.Series:
 MAX_GROUP_ROWS = 5_000_000
 
 
+def largest_group(df: DataFrame, group: list[str]) -> int:
+    """Rows in the largest group: a partial (map-side) count, then a max."""
+    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
 def row_number_within(df: DataFrame, group: list[str], order: list[str], out: str = "pos",
                       partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row inside its group, by the
@@ -54,8 +59,7 @@ def row_number_within(df: DataFrame, group: list[str], order: list[str], out: st
     The largest group is measured first (a partial aggregate); when it fits
     in one task a plain window is used, otherwise the skew-safe path."""
     cap = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= cap:
+    if largest_group(df, group) <= cap:
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
     return _row_number_ranged(df, group, order, out, partitions)

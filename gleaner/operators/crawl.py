@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.ranking import row_number_within
+from gleaner.functions.ranking import largest_group, row_number_within
 from gleaner.functions.scan import blocked_running_sum
 
 # HTTP statuses the review collector retries.
@@ -58,13 +58,16 @@ def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "at
     consecutive error.  Errors count up; an attempt that found results
     resets the count; other attempts leave it unchanged.
 
-    A crawl's attempts are numbered (skew-safe, ``row_number_within``) and
-    cut into blocks of ``block`` positions.  Inside a block the streak is
+    When the largest crawl fits in one block, plain windows do it (each
+    task holds at most ``block`` rows).  Otherwise a crawl's attempts are
+    numbered (``row_number_within``) and cut into blocks of ``block`` positions.  Inside a block the streak is
     a pair of bounded windows (islands between resets, errors per island);
     what a block inherits from earlier blocks (the carry) and the first
     cut-off per crawl come from windows over the small blocks table.  No
     task ever holds a whole crawl."""
     order = list(order)
+    if largest_group(log, [key]) <= block:
+        return _error_cutoff_windows(log, key, order, n, is_error, resets)
     kw = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
     df = row_number_within(log, [key], order, out="_pos", **kw)
     df = df.withColumn("_blk", F.floor((F.col("_pos") - 1) / F.lit(block)).cast("long"))
@@ -99,6 +102,22 @@ def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "at
             .drop("_pos", "_blk", "_isl", "_err", "_carry", "_hit", "_cut"))
 
 
+def _error_cutoff_windows(log: DataFrame, key: str, order: list[str], n: int, is_error: str,
+                          resets: str) -> DataFrame:
+    """Every crawl fits in one block: gaps and islands with plain windows
+    (a running count of resets numbers the islands, a running count of
+    errors inside an island is the streak)."""
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    df = log.withColumn("_isl", F.sum(F.col(resets).cast("int")).over(w))
+    w2 = Window.partitionBy(key, "_isl").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("_streak", F.sum(F.col(is_error).cast("int")).over(w2))
+    hit = F.struct(*[F.col(c) for c in order])
+    w_key = Window.partitionBy(key)
+    df = df.withColumn("_cut", F.min(F.when(F.col(is_error) & (F.col("_streak") == n), hit)).over(w_key))
+    return (df.where(F.col("_cut").isNull() | (hit <= F.col("_cut")))
+            .drop("_isl", "_streak", "_cut"))
+
+
 def interim_snapshots(per_product: DataFrame, order: str = "product_no", n: str = "n_reviews",
                       every: int = 5, by: tuple = ()) -> DataFrame:
     """WIN-3: after every ``every``-th product that has reviews, the

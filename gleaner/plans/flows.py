@@ -168,7 +168,9 @@ def collect_product_urls(pages: DataFrame, container_class: str, root: str,
     """PIP-5: listing pages -> cap -> end of listing -> containers ->
     first links -> product links -> absolute URLs -> distinct."""
     capped = links.page_cap(pages, max_pages, page_col)
-    found = links.extract_listing_links(capped, container_class)
+    # One row per container (far smaller than the pages): parsed once, then
+    # the counts, the end of the listing and the URLs all read it.
+    found = materialize(links.extract_listing_links(capped, container_class), "listing-links")
     counts = links.containers_per_page(capped, found)
     ok = F.col("status").between(200, 299) if "status" in capped.columns else F.lit(True)
     page_counts = (counts.join(capped.select(page_col, ok.alias("ok")), page_col)
