@@ -81,7 +81,8 @@ def listing_frontier(page_counts: DataFrame, key: str | None = "crawl_id", page_
     equi-join on the crawl key."""
     if key is None:   # one crawl: the end page is a scalar subquery, no join
         end = page_counts.where(F.col(ok) & (F.col(n) == 0)).agg(F.min(page_col)).scalar()
-        return page_counts.where(end.isNull() | (F.col(page_col) < end))
+        # one reference to the subquery: no end page means no bound
+        return page_counts.where(F.col(page_col) < F.coalesce(end, F.lit(2 ** 62)))
     ends = (page_counts.where(F.col(ok) & (F.col(n) == 0))
             .groupBy(key).agg(F.min(page_col).alias("_end")))
     return (page_counts.join(ends, key, "left")

@@ -23,7 +23,19 @@ def summarise(plan: str) -> dict:
     lines = plan.splitlines()
     c = Counter()
     scans = []
+    seen, skip_depth = set(), None
     for line in lines:
+        depth = len(line) - len(line.lstrip(" :|+-"))
+        if skip_depth is not None:
+            if depth > skip_depth:
+                continue
+            skip_depth = None
+        sub = re.search(r"(?:Subquery|ReusedSubquery) subquery#?(\d*), \[id=#?(\d+)\]", line)
+        if sub:
+            if sub.group(2) in seen:       # the same subquery printed again: count it once
+                skip_depth = depth
+                continue
+            seen.add(sub.group(2))
         body = line.strip(" :+-*()0123456789")
         if body.startswith("Exchange"):
             kind = "single" if "SinglePartition" in body else (
@@ -61,8 +73,8 @@ def main(argv):
     print("Generated by `python tests/plan_report.py`. `exchange:hash` / `range` / `single` are shuffles;")
     print("`broadcast` is a broadcast exchange (size-checked); `WindowGroupLimit` is a top-k applied before")
     print("the shuffle; `python` counts Arrow-batched Python nodes. Scans list the columns they read and")
-    print("whether filters were pushed into them. A scalar subquery is printed once per reference (same")
-    print("subquery id, executed once), so operators inside it can appear several times.\n")
+    print("whether filters were pushed into them. A scalar subquery printed at several references (same")
+    print("id, executed once) is counted once.\n")
     print("| query | operators | scans |")
     print("|---|---|---|")
     for name, build in sorted(entry.queries().items()):
