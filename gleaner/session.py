@@ -1,8 +1,8 @@
 """Session settings shared by every job.
 
-`configure` pins what results depend on (UTC, dynamic partition overwrite)
-and turns on adaptive execution; it never overrides cluster-provided
-sizing.  `scratch_dir` returns the shared checkpoint folder the cluster
+`configure` pins what results depend on (the UTC session time zone) and
+turns on adaptive execution where the cluster left it unset; it never
+overrides cluster-provided sizing.  `scratch_dir` returns the shared checkpoint folder the cluster
 names in ``spark.checkpoint.dir`` and only invents one when none is set
 (local runs and tests).
 """
@@ -15,10 +15,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that change results: always pinned.
+# Settings that change results: always pinned.  (Dynamic partition
+# overwrite is passed per write, so the caller's session default is kept.)
 _PINNED = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Performance defaults: only applied when the cluster has not set them.
