@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.ranking import row_number_within
-from gleaner.session import ensure_checkpoint_dir
+from gleaner.session import ensure_checkpoint_dir, materialize
 
 
 def expand_comment_forest(edges: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
@@ -17,18 +17,17 @@ def expand_comment_forest(edges: DataFrame, id_col: str = "id", parent_col: str
 
     Each level is one equi-join of the frontier with the edges.  The edges
     are hash-partitioned by parent once and checkpointed, so a level only
-    shuffles the (smaller) frontier; each frontier is checkpointed to the
-    shared checkpoint folder, which cuts lineage and survives lost
+    shuffles the (smaller) frontier; each level is written once as a table
+    in the shared checkpoint folder, which cuts lineage and survives lost
     executors.  The loop ends when a level is empty."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     e = edges.select(F.col(id_col).alias("_id"), F.col(parent_col).alias("_parent"),
                      F.col(sibling_col).alias("_sib"))
     children = e.where(F.col("_parent").isNotNull()).repartition("_parent").checkpoint()
-    frontier = (e.where(F.col("_parent").isNull())
-                .select("_id", "_parent", F.col("_id").alias("_root"), F.lit(0).alias("_depth"),
-                        F.array(F.col("_sib")).alias("_path"))
-                .checkpoint())
+    frontier = materialize(e.where(F.col("_parent").isNull())
+                           .select("_id", "_parent", F.col("_id").alias("_root"), F.lit(0).alias("_depth"),
+                                   F.array(F.col("_sib")).alias("_path")), "forest-level")
     levels = [frontier]
     depth = 0
     while not frontier.isEmpty():
@@ -36,10 +35,9 @@ def expand_comment_forest(edges: DataFrame, id_col: str = "id", parent_col: str
         if depth > max_depth:
             raise ValueError(f"reply forest deeper than {max_depth} levels (cycle?)")
         parents = frontier.select(F.col("_id").alias("_parent"), "_root", F.col("_path").alias("_ppath"))
-        frontier = (children.join(parents, "_parent")
-                    .select("_id", "_parent", "_root", F.lit(depth).alias("_depth"),
-                            F.concat("_ppath", F.array("_sib")).alias("_path"))
-                    .checkpoint())
+        frontier = materialize(children.join(parents, "_parent")
+                               .select("_id", "_parent", "_root", F.lit(depth).alias("_depth"),
+                                       F.concat("_ppath", F.array("_sib")).alias("_path")), "forest-level")
         levels.append(frontier)
     nodes = levels[0]
     for lvl in levels[1:]:
