@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,8 +152,8 @@ def _read_kind(spark: SparkSession, root: str, kind: str) -> DataFrame:
     try:
         return spark.read.schema("scrape_month string").parquet(f"{root}/{kind}") \
             .select("scrape_month", F.lit(kind).alias("kind"))
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:   # nothing written yet
+        if "PATH_NOT_FOUND" in str(exc):
             return spark.createDataFrame([], "scrape_month string, kind string")
         raise
 

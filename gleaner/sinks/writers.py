@@ -5,6 +5,7 @@ to the same files."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,7 +85,7 @@ def write_checkpoint(manifest: DataFrame, path: str) -> None:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(schemas.MANIFEST).parquet(path)
-    except Exception as exc:  # a first run has no manifest yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:  # a first run has no manifest yet
+        if "PATH_NOT_FOUND" in str(exc):
             return spark.createDataFrame([], schemas.MANIFEST)
         raise

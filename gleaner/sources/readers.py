@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,18 +97,14 @@ def plan_listing_pages(spark: SparkSession, base: str, max_pages: int | None = N
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """SRC-7: the last completed date; a missing or malformed file means
     none (one row, null)."""
-    import os
-    exists = True
+    none = spark.range(1).select(F.lit(None).cast("timestamp").alias("last_date"))
     try:
-        jvm = spark._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        exists = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
-    except Exception:  # no JVM gateway (e.g. Connect): fall back to the local view
-        exists = os.path.exists(path)
-    if not exists:
-        return spark.range(1).select(F.lit(None).cast("timestamp").alias("last_date"))
-    raw = (spark.read.schema(schemas.CHECKPOINT).option("mode", "PERMISSIVE")
-           .option("recursiveFileLookup", "true")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+        raw = (spark.read.schema(schemas.CHECKPOINT).option("mode", "PERMISSIVE")
+               .option("recursiveFileLookup", "true")
+               .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return none
+        raise
     parsed = raw.select(F.try_to_timestamp(F.col("last_date")).alias("last_date"))
     return parsed.agg(F.max("last_date").alias("last_date"))
