@@ -5,15 +5,22 @@ UTC so they compare with DuckDB's TIMESTAMP regardless of client zone."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.operators import periods, threads
-from gleaner.session import configure
+from gleaner.functions.keys import review_key
+from gleaner.functions.ranking import row_number_within
+from gleaner.operators import catalog, crawl, forest, links, periods, split, threads
+from gleaner.plans import flows
+from gleaner.session import configure, scratch_dir
+from gleaner.sinks import writers
 from gleaner.sources import fixtures as fx
+from gleaner.sources import readers
+from gleaner.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -159,11 +166,6 @@ def q_pending_months(spark, sf_dir):
 
 # ---------------------------------------------------------------- catalogue
 
-from gleaner.functions.keys import review_key  # noqa: E402
-from gleaner.operators import catalog, crawl, forest, links, split  # noqa: E402
-from gleaner.sources import readers  # noqa: E402
-from gleaner.session import scratch_dir  # noqa: E402
-
 
 def parsed_pages(spark, sf_dir) -> DataFrame:
     return catalog.parse_product_json(catalog.extract_structured_data(fx.product_pages(spark, sf_dir)))
@@ -340,7 +342,6 @@ def q_error_cutoff(spark, sf_dir):
 
 def page_counts(spark, sf_dir) -> DataFrame:
     """Listing fetches per crawl numbered in attempt order (skew-safe numbering)."""
-    from gleaner.functions.ranking import row_number_within
     log = crawl_log(spark, sf_dir).select("crawl_id", "attempt_ts", "attempt_seq", "status", "n_results")
     numbered = row_number_within(log, ["crawl_id"], ["attempt_ts", "attempt_seq"], out="page_no")
     return numbered.select("crawl_id", F.col("page_no").cast("long").alias("page_no"),
@@ -374,11 +375,6 @@ def q_train_test_split(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources over written data
 
-import datetime as _dt  # noqa: E402
-
-from gleaner.plans import flows  # noqa: E402
-from gleaner.sinks import writers  # noqa: E402
-from gleaner.streaming import jobs  # noqa: E402
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
