@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,11 +42,14 @@ _STAGED: dict[tuple, str] = {}
 def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     path = _STAGED.get(key)
-    if path is None:
-        df = build()
-        path = scratch_dir(spark, f"staged-{name}")
-        df.write.mode("overwrite").parquet(path)
-        _STAGED[key] = path
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:    # staged files were removed: build again
+            _STAGED.pop(key, None)
+    path = scratch_dir(spark, f"staged-{name}")
+    build().write.mode("overwrite").parquet(path)
+    _STAGED[key] = path
     return spark.read.parquet(path)
 
 

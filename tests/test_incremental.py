@@ -200,3 +200,11 @@ def test_csv_writes_arrays_as_json_text(spark):
     schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("image_urls", T.StringType())])
     back = writers.read_csv_compat(spark, path, schema)
     assert sorted((r["url"], r["image_urls"]) for r in back.collect()) == [("u", '["a.jpg","b.jpg"]'), ("v", "[]")]
+
+
+def test_staged_view_rebuilds_when_files_vanish(spark):
+    a = fx.product_pages(spark, SF_SMALL).count()
+    key = next(k for k in fx._STAGED if k[2] == "product-pages" and k[1].endswith("sf0.001"))
+    fx._STAGED[key] = fx._STAGED[key] + "-gone"          # as if the staged files were lost
+    assert fx.product_pages(spark, SF_SMALL).count() == a
+    assert not fx._STAGED[key].endswith("-gone")
