@@ -199,7 +199,7 @@ def _assemble_product_pages(part: DataFrame, reviews: DataFrame, key: F.Column,
         F.when(key % 7 == 0, F.lit(None)).otherwise(F.struct(F.col("p_brand").alias("name"))).alias("brand"),
         # Products without documents still carry an (empty) review list.
         F.when(key % 11 == 0, F.lit(None))
-         .otherwise(F.coalesce(F.col("reviews"), F.expr("filter(array(reviews[0]), x -> false)")))
+         .otherwise(F.coalesce(F.col("reviews"), F.array().cast(reviews.schema["reviews"].dataType)))
          .alias("review"),
     ))
     base = F.when(key % 2 == 0, F.regexp_replace(base, '"ratingValue":"([0-9])"', '"ratingValue":$1')) \
