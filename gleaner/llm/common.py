@@ -15,6 +15,7 @@ from gleaner.session import materialize
 # Bytes of text one numpy pass works on: temporaries are a few dozen bytes
 # per text byte, so a task's memory follows this and its longest document.
 CHUNK_BYTES = 1 << 20
+BLOOM_BITS = 1 << 23     # of the filter in texts_of: 131,072 rows of 64 bits at most
 
 
 def utf8_parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,3 +88,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     roots = pairs.select(F.col("b").alias("node")).distinct()
     return (pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .unionAll(roots.select("node", F.col("node").alias("component"))))
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents whose ids are in ``wanted``.
+
+    A Bloom filter of fixed size, built from all wanted ids, is broadcast
+    first, so that few other texts enter the join's shuffle; the join decides."""
+    ids = materialize(wanted.select("doc_id").distinct(), "wanted")
+    bit = F.pmod(F.xxhash64("doc_id", F.lit("bloom")), F.lit(BLOOM_BITS))
+    word, mask = (bit / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    words = ids.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    return (docs.select("doc_id", "text").withColumn("_word", word).join(F.broadcast(words), "_word")   # BLOOM_BITS / 64 rows at most
+            .where(F.col("_bits").bitwiseAND(mask) != 0).select("doc_id", "text").join(ids, "doc_id", "left_semi"))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import connected_components, mix64, utf8_parts
+from gleaner.llm.common import connected_components, mix64, texts_of, utf8_parts
 from gleaner.llm.shingles import shingle_sets
 from gleaner.session import materialize
 
@@ -47,7 +47,6 @@ SKETCH_WORDS = 16        # 64-bit words of the parity sketch
 SKETCH_BITS = 64 * SKETCH_WORDS
 FREQUENT = 100_000       # shingles moved to the end of the order: 0.8 MB
 REPEATS = 4              # texts of one batch that hold a shingle before it counts as frequent
-BLOOM_BITS = 1 << 23     # of the filter over wanted documents: 131,072 rows of 64 bits
 
 
 def _sketch(shingles: np.ndarray) -> list[int]:
@@ -167,13 +166,7 @@ def _reachable(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 def _verified(docs: DataFrame, owners: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The links (u, v) among ``pairs`` by exact counts on whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(owners, "node")
-    wanted = materialize(wanted.select("doc_id"), "jaccard-wanted")
-    bit = F.pmod(F.xxhash64("doc_id", F.lit("bloom")), F.lit(BLOOM_BITS))
-    word, mask = (bit / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
-    words = (wanted.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits")))
-    texts = (docs.select("doc_id", "text").withColumn("_word", word).join(F.broadcast(words), "_word")   # BLOOM_BITS / 64 rows at most
-             .where(F.col("_bits").bitwiseAND(mask) != 0).select("doc_id", "text")
-             .join(wanted, "doc_id", "left_semi"))
+    texts = texts_of(docs, wanted)
     sets = materialize(texts.select("text").mapInArrow(_full_sets(size), "node long, members binary")
                        .where("node is not null").dropDuplicates(["node"]), "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))

@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleaner.llm import bpe, jaccard, mixing, secret_scan, toxicity
+from gleaner.llm import ann, bpe, jaccard, langid, mixing, neardup, passages, secret_scan, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +33,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_order(table(spark, sf_dir, "documents"), corpus_pipeline.MIX_WEIGHTS)
 
 
+@query("op2_ann_int8")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query("op3_secret_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
@@ -42,12 +48,32 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query("op5_url_filter")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
 @query("op6_byte_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(corpus_pipeline.VOCABULARY),
                              public_tokenizers.PATTERN)
 
 
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op8_embedding_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_language(table(spark, sf_dir, "documents"))
+
+
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
