@@ -23,8 +23,7 @@ similarity t or more meet in the first n - ceil(t n) + 1 shingles of each
 A pair is discarded when its sizes cannot reach the threshold, or when its
 sketches differ in more bits than the size-derived bound on the symmetric
 difference allows (the sketches' distance never exceeds that difference).
-Surviving pairs are counted exactly on whole sets, read again from the texts
-of the documents concerned; a Bloom filter of fixed size keeps other texts
+Surviving pairs are counted exactly on the whole texts of their documents; a Bloom filter of fixed size keeps other texts
 out of that shuffle.
 """
 
@@ -63,7 +62,7 @@ def _node_of(shingles: np.ndarray) -> int:
 
 
 def _profile(size: int):
-    names = ["kind", "doc_id", "node", "n", "sketch"]
+    names = ["kind", "doc_id", "text_hash", "node", "n", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,6 +79,7 @@ def _profile(size: int):
             yield pa.RecordBatch.from_arrays([
                 pa.array([0] * rows + [1] * k, pa.int32()),
                 pa.concat_arrays([batch.column(0), pa.nulls(k, pa.int64())]),
+                pa.concat_arrays([batch.column(2), pa.nulls(k, pa.int64())]),
                 pa.array(nodes + found[often].astype(np.int64).tolist(), pa.int64()),
                 pa.array(sizes + counts[often].tolist(), pa.int64()),
                 pa.array(sketches + [None] * k, pa.list_(pa.int64()))], names)
@@ -121,31 +121,19 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray):
     return run
 
 
-def _full_sets(size: int):
+def _overlaps(size: int, percent: int):
+    """Links among (a, b, text of a, text of b), by exact counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sets = [], []
-            for _, s in shingle_sets(*utf8_parts(batch.column(0)), size):
-                nodes.append(_node_of(s) if len(s) else None)
-                sets.append(s.tobytes())
-                if len(sets) == 256:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "members"])
-                    nodes, sets = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "members"])
-    return run
-
-
-def _overlaps(percent: int):
-    """Links among (a, b, members of a, members of b)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, xs, ys = (batch.column(i) for i in range(4))
+            a, b = batch.column(0), batch.column(1)
             keep = []
-            for x, y in zip(xs, ys):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            left, right = (shingle_sets(*utf8_parts(batch.column(i)), size) for i in (2, 3))
+            for (_, x), (_, y) in zip(left, right):
+                both = 0
+                if len(x) and len(y):
+                    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                    both = int((y[at] == x).sum())
+                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["u", "v"])
     return run
@@ -164,14 +152,16 @@ def _reachable(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 
 def _verified(docs: DataFrame, owners: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The links (u, v) among ``pairs`` by exact counts on whole sets."""
+    """The links (u, v) among ``pairs`` by exact counts on whole texts.  A
+    text is about half the size of its shingles' hashes, so texts move."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(owners, "node")
-    texts = texts_of(docs, wanted)
-    sets = materialize(texts.select("text").mapInArrow(_full_sets(size), "node long, members binary")
-                       .where("node is not null").dropDuplicates(["node"]), "jaccard-sets")
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_overlaps(percent), "u long, v long")
+    named = (texts_of(docs, wanted).withColumn("text_hash", F.xxhash64("text"))
+             .join(owners, ["doc_id", "text_hash"]))            # rows of one id may differ in text
+    again = Window.partitionBy("doc_id", "text_hash").orderBy("doc_id")
+    texts = materialize(named.withColumn("_n", F.row_number().over(again)).where("_n = 1").select("node", "text"), "jaccard-texts")
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_overlaps(size, percent), "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -182,15 +172,17 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     of one doc_id count as documents of their own that share that id; a null
     doc_id takes its group's least id, or null alone."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    profile = materialize(docs.mapInArrow(_profile(size), "kind int, doc_id long, node long, n long, sketch array<long>"),
-                          "jaccard-profile")
+    profile = materialize(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _profile(size), "kind int, doc_id long, text_hash long, node long, n long, sketch array<long>"), "jaccard-profile")
     rows = profile.where("kind = 0")
     often = (profile.where("kind = 1").groupBy("node").agg(F.sum("n").alias("c"))
              .orderBy(F.desc("c"), "node").limit(FREQUENT).select("node").toArrow())      # FREQUENT numbers at most
     frequent = often.column(0).to_numpy().astype(np.int64).astype(np.uint64)
     nodes = materialize(rows.where("node is not null").groupBy("node").agg(
-        F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")), "jaccard-nodes")
-    sketches, owners = nodes.select("node", "n", "sketch"), nodes.where("doc_id is not null").select("node", "doc_id")
+        F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"),
+        F.min_by("text_hash", "doc_id").alias("text_hash")), "jaccard-nodes")
+    sketches = nodes.select("node", "n", "sketch")
+    owners = nodes.where("doc_id is not null").select("node", "doc_id", "text_hash")
 
     entries = materialize(docs.select("text").mapInArrow(_prefixes(size, percent, frequent), "shingle long, node long"),
                           "jaccard-entries")
