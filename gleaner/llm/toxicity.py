@@ -10,13 +10,14 @@ by the norm a string of that length has without repeats.
 
 Training.  On a bounded sample of labelled rows (``SAMPLE_PER_CLASS`` of each
 class, chosen by hash).  Sentences of rejected documents are weak positives:
-words whose document rate there is far above the other class are candidates,
-and the fewest that cover every such document twice seed the positive class
-(chance words add no cover); words of clean sentences are the negatives, and
-the highest scoring clean words are mined as hard negatives for refits.  Landmark
+words and word beginnings that occur there far more than chance allows are
+candidates, and the fewest that cover every such document twice seed
+the positive class (chance words add no cover), with the words they begin;
+words of clean sentences are the negatives, and the highest scoring clean
+words are mined as hard negatives for refits.  Landmark
 strings of both classes give the Nystroem map; a squared-hinge linear SVM is
-fitted on it by Newton steps, and a logistic layer over a document's two
-highest words gives the score.
+fitted on it by Newton steps, and a logistic layer over a document's two highest
+words and its length gives the score.
 
 Scoring.  The SVM's value is linear in the subsequence counts, so the
 landmark sum folds into one 64**3 table and every text is scored whole by
@@ -26,6 +27,7 @@ array look-ups in an Arrow UDF: narrow, no shuffle.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,9 +45,12 @@ WINDOW = 10               # longest string compared at once (word mark included)
 SAMPLE_PER_CLASS = 2000   # labelled rows of a class used for the fit
 LANDMARKS = 400
 POSITIVE_WORDS, NEGATIVE_WORDS, MINED_WORDS = 300, 6000, 3000
-CANDIDATE_WORDS = 2000    # candidates the cover chooses from
+CANDIDATE_WORDS = 5000    # candidates the cover chooses from
+STEMS = (4, 5, 6)         # letters of the word beginnings among them
 COVER = 2                 # seeds wanted in each rejected document
 _SKIP = 255
+FLOOR = -1e9               # score of a window that does not count
+LOWEST = -3.0              # highest word of a text without words
 _LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 
@@ -135,21 +140,23 @@ def window_scores(w: Words, weights: np.ndarray, bias: float) -> np.ndarray:
     stop = np.minimum(pos + WINDOW, end)
     whole = (pos == w.starts[w.word]) | (stop - pos == WINDOW)
     sq = squares[stop] - squares[pos]
-    score = np.where(whole & (sq > 0), (total[stop] - total[pos]) / np.sqrt(np.maximum(sq, 1e-9)), -2.0) + bias
+    score = np.where(whole & (sq > 0), (total[stop] - total[pos]) / np.sqrt(np.maximum(sq, 1e-9)) + bias, FLOOR)
     return np.maximum.reduceat(score, w.starts)
 
 
 def document_features(w: Words, scores: np.ndarray, n_docs: int) -> np.ndarray:
-    """(highest word, second highest word, log of words) of each text."""
-    out = np.full((n_docs, 3), -3.0)
+    """(highest word, second highest word, log of words) of each text: a
+    clean text may hold one chance word, and a long one a higher one."""
+    out = np.full((n_docs, 3), LOWEST)
     out[:, 2] = 0.0
     if len(scores):
+        scores = np.maximum(scores, LOWEST)
         docs, first, counts = np.unique(w.doc, return_index=True, return_counts=True)
         top = np.maximum.reduceat(scores, first)
         at_top = np.flatnonzero(scores == np.repeat(top, counts))
         once = at_top[np.unique(w.doc[at_top], return_index=True)[1]]
         rest = scores.copy()
-        rest[once] = -3.0
+        rest[once] = LOWEST
         out[docs, 0] = top
         out[docs, 1] = np.maximum.reduceat(rest, first)
         out[docs, 2] = np.log1p(counts)
@@ -243,12 +250,16 @@ def _document_words(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int,
             yield a + int(d), set(data[cuts[i]:cuts[i + 1]].split(b"\0")) - {b""}
 
 
+def _with_stems(words: set[bytes]) -> set[bytes]:
+    return words | {w[:n] for w in words for n in STEMS if len(w) > n}
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels = batch.column(1).to_numpy(zero_copy_only=False)
         counts: dict[bytes, list[int]] = {}
         for d, words in _document_words(*utf8_parts(batch.column(0))):
-            for word in words:
+            for word in _with_stems(words):
                 counts.setdefault(word, [0, 0])[labels[d]] += 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
@@ -284,11 +295,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
     counts = materialize(sample.mapInArrow(_count_words, "word binary, pos long, neg long")
                          .groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "toxic-words")
     long_enough = counts.where(F.length("word") >= 2)
-    least = max(2.0, 0.005 * n_pos)
-    p, q = F.col("pos") / F.lit(float(n_pos)), (F.col("neg") + 0.5) / F.lit(float(n_neg + 1))
-    candidates = (long_enough.where((F.col("pos") >= least) & (p > 6 * q))
-                  .withColumn("gain", F.col("pos") * F.log(p / q)).orderBy(F.desc("gain"), "word").limit(CANDIDATE_WORDS))
-    positive = _cover(sample, [bytes(r["word"]) for r in candidates.collect()])
+    # log-likelihood gain over the sample's share of toxic rows; of all strings that occur three times or
+    # more, fewer than one is expected to gain this much by chance
+    tested = long_enough.where(F.col("pos") + F.col("neg") >= 3)
+    bar = math.log(max(tested.count(), 2))
+    share = F.col("pos") / (F.col("pos") + F.col("neg"))
+    gain = F.col("pos") * F.log(share / prior) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / (1 - prior))).otherwise(0.0)
+    candidates = (tested.where((F.col("pos") > 0) & (share > 0.5) & (share > prior)).withColumn("gain", gain).where(F.col("gain") >= bar)
+                  .orderBy(F.desc("gain"), "word").limit(CANDIDATE_WORDS))
+    chosen = _cover(sample, [bytes(r["word"]) for r in candidates.collect()])
+    starts = F.lit(False)
+    for n in STEMS:
+        stems = [bytearray(w) for w in chosen if len(w) == n]
+        starts = starts | (F.substring("word", 1, n).isin(stems) if stems else F.lit(False))
+    begun = long_enough.where((F.col("neg") == 0) & starts).orderBy(F.desc("pos"), "word").limit(POSITIVE_WORDS)
+    positive = sorted(set(chosen) | {bytes(r["word"]) for r in begun.collect()})
     clean = long_enough.where(F.col("neg") > 0)
     frequent = clean.orderBy(F.desc("neg"), "word").limit(NEGATIVE_WORDS // 2)
     spread = clean.orderBy(F.xxhash64("word"), "word").limit(NEGATIVE_WORDS // 2)
@@ -330,7 +351,7 @@ def _cover(sample: DataFrame, words: list[bytes]) -> list[bytes]:
 
     def hits(batches):
         for batch in batches:
-            found = [sorted(wanted[w] for w in ws & wanted.keys())
+            found = [sorted(wanted[w] for w in _with_stems(ws) & wanted.keys())
                      for _, ws in _document_words(*utf8_parts(batch.column(0)))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["hits"])
 
@@ -379,7 +400,7 @@ def _mine(sample: DataFrame, model: ToxicityModel) -> set[bytes]:
 
 def _fit_words(positive: list[bytes], negative: list[bytes]) -> ToxicityModel:
     half = LANDMARKS // 2
-    marks = positive[:half] + negative[::max(1, len(negative) // half)][:half]
+    marks = positive[::max(1, len(positive) // half)][:half] + negative[::max(1, len(negative) // half)][:half]
     words = positive + negative
     zr, zk, zv = _word_vectors(marks)
     keys = np.unique(zk)
