@@ -18,7 +18,8 @@ def script_by_id(html: Column | str, element_id: str) -> Column:
     Empty string when there is none."""
     html = F.col(html) if isinstance(html, str) else html
     ident = re.escape(element_id)
-    id_attr = (rf"(?is)^<script\b[^>]*?\sid\s*=\s*"
+    # tag and attribute names are case-insensitive, the id itself is not
+    id_attr = (rf"(?s)^<(?i:script)\b[^>]*?\s(?i:id)\s*=\s*"
                rf"(\"{ident}\"|'{ident}'|{ident}(?=[\s>/]))")
     tokens = F.regexp_extract_all(html, F.lit(_TOKENS), 1)
     hits = F.filter(tokens, lambda t: t.rlike(id_attr))

@@ -1,120 +1,34 @@
 """Row numbers inside a group without putting the group in one task.
 
-``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a
-group to one task; a group holding a third of the data then runs in one
-task.  Here:
-
-1. ``repartitionByRange(g, o)`` + ``sortWithinPartitions``: ranges are cut
-   on (g, o), so a hot group is spread over many partitions, each sorted.
-2. one ``mapInPandas`` pass numbers rows per group *inside* each partition
-   (a running count over the sorted batches, carried across batches).
-3. only a group that continues from the previous partition needs an
-   offset (the rows it had there).  That is at most one group per
-   partition, so the offsets table has at most one row per partition: it
-   is computed from a per-partition summary (first/last group, count of
-   the last group) and broadcast.
-
-Pass a narrow frame: every column crosses into Python once (Arrow batches).
-When the largest group is small enough for one task (measured first), a
-plain window is used instead.
-"""
+``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a group
+to one task.  Here rows are range-partitioned on (g, o), so a group of any
+size is spread over as many ranges as it fills, and the ranges of a group
+follow one another.  A window inside (range, group) numbers the rows of a
+range; the rows that a group has in earlier ranges are a prefix sum over one
+row per (range, group), joined back.  The ranged rows are written once to the
+shared checkpoint folder, so the range number of a row is fixed."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleaner.session import materialize
 
 
-def _same(a: tuple, b: tuple) -> bool:
-    return all((x is None and y is None) or (x == y) for x, y in zip(a, b))
-
-
-def _key_change(keys: pd.DataFrame) -> pd.Series:
-    prev = keys.shift(1)
-    same = (keys == prev) | (keys.isna() & prev.isna())
-    return ~same.all(axis=1)
-
-
-# Groups up to this many rows are numbered by a plain window: one task
-# sorts at most this many rows.  Larger groups take the range-partitioned path.
-MAX_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, group: list[str]) -> int:
-    """Rows in the largest group: a partial (map-side) count, then a max."""
-    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-
-
 def row_number_within(df: DataFrame, group: list[str], order: list[str], out: str = "pos",
-                      partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row inside its group, by the
-    ascending ``order`` columns (which must make rows unique in a group).
-
-    The largest group is measured first (a partial aggregate); when it fits
-    in one task a plain window is used, otherwise the skew-safe path."""
-    cap = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    if largest_group(df, group) <= cap:
-        w = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-    return _row_number_ranged(df, group, order, out, partitions)
-
-
-def _row_number_ranged(df: DataFrame, group: list[str], order: list[str], out: str,
-                       partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = list(group) + list(order)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
-                                                  T.StructField("_local", T.LongType(), False)])
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        last_key, last_count = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_pid=pd.Series(dtype="int32"), _local=pd.Series(dtype="int64"))
-                continue
-            keyframe = pdf[list(group)].reset_index(drop=True)
-            change = _key_change(keyframe)
-            first = tuple(keyframe.iloc[0].tolist())
-            continues = last_key is not None and _same(first, last_key)
-            change.iloc[0] = not continues
-            run = change.cumsum()
-            local = keyframe.groupby(run).cumcount().astype("int64") + 1
-            if continues:
-                local[run == run.iloc[0]] += last_count
-            last_key, last_count = tuple(keyframe.iloc[-1].tolist()), int(local.iloc[-1])
-            yield pdf.assign(_pid=pid, _local=local.to_numpy())
-
-    # Written once to the shared checkpoint folder: the summary and the join
-    # below both read it (one sort, one Python pass; survives lost executors).
-    numbered = materialize(ranged.mapInPandas(number, schema), "numbered")
-    gstruct = F.struct(*[F.col(c) for c in group])
-    row = F.struct(*[F.col(c) for c in keys])
-    summary = (numbered.groupBy("_pid")
-               .agg(F.min_by(gstruct, row).alias("first"), F.max_by(gstruct, row).alias("last"),
-                    F.max_by(F.col("_local"), row).alias("last_count"))
-               .collect())                     # one small row per partition
-    offsets, prev = [], None
-    for r in sorted(summary, key=lambda r: r["_pid"]):
-        first, last = tuple(r["first"]), tuple(r["last"])
-        first_off = 0
-        if prev is not None and _same(first, prev[0]):
-            first_off = prev[1] + prev[2]
-            offsets.append((r["_pid"], *first, first_off))
-        prev = (last, first_off if _same(last, first) else 0, r["last_count"])
-    off_schema = T.StructType([T.StructField("_pid", T.IntegerType())] +
-                              [numbered.schema[c] for c in group] + [T.StructField("_off", T.LongType())])
-    off_df = F.broadcast(spark.createDataFrame(offsets, off_schema))   # at most one row per partition
-    cond = [numbered["_pid"] == off_df["_pid"]] + [numbered[c].eqNullSafe(off_df[c]) for c in group]
-    joined = numbered.join(off_df, cond, "left")
-    return joined.select(*[numbered[c] for c in df.columns],
-                         (numbered["_local"] + F.coalesce(off_df["_off"], F.lit(0))).alias(out))
+    ascending ``order`` columns (which must make rows unique in a group)."""
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranged = materialize(df.repartitionByRange(n, *group, *order)
+                         .withColumn("_range", F.spark_partition_id()), "ranged")
+    inside = Window.partitionBy("_range", *group).orderBy(*order)
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (ranged.groupBy("_range", *group).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .select(F.col("_range").alias("_r"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_before"))
+    local = ranged.withColumn("_local", F.row_number().over(inside))
+    same = [local["_range"] == counts["_r"]] + [local[g].eqNullSafe(counts[f"_g{i}"]) for i, g in enumerate(group)]
+    return (local.join(counts, same)
+            .select(*[local[c] for c in df.columns], (F.col("_local") + F.col("_before")).cast("long").alias(out)))

@@ -4,9 +4,21 @@ expression.  Matches ``urllib.parse.urljoin(root, href)`` when ``root`` is
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What URL parsers strip in front of a reference.
+_LEADING = "".join(map(chr, range(0x21)))
+_REST = 1 << 30
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once: a lambda variable, not
+    a copy of its expression at every mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
 def _fold_segments(segments: Column) -> Column:
     """Remove dot segments: '.' is skipped, '..' drops the previous one."""
@@ -19,46 +31,61 @@ def _fold_segments(segments: Column) -> Column:
     )
 
 
+def _path_of(path: Column) -> Column:
+    """An absolute path: merged with the empty base path, dots folded."""
+    def fold(segs: Column) -> Column:
+        last = F.element_at(segs, -1)
+        folded = _fold_segments(segs)
+        return F.array_join(F.when(last.isin(".", ".."), F.array_append(folded, F.lit(""))).otherwise(folded), "/")
+
+    def segments(parts: Column) -> Column:
+        # a relative path drops its empty inner segments, an absolute one keeps them
+        rel = F.concat(F.array(F.lit("")), F.filter(parts, lambda x: x != ""))
+        rel = F.when(F.element_at(parts, -1) == "", F.array_append(rel, F.lit(""))).otherwise(rel)
+        return F.when(F.get(parts, F.lit(0)) == "", parts).otherwise(rel)
+
+    joined = _bind(_bind(F.split(path, "/"), segments), fold)
+    return _bind(joined, lambda j: F.when(F.startswith(j, F.lit("/")), j).otherwise(F.concat(F.lit("/"), j)))
+
+
+def _tail_of(tail: Column) -> Column:
+    """Query and fragment; an empty one loses its mark."""
+    def build(t: Column) -> Column:
+        at = F.instr(t, "#")
+        query = F.when(at > 0, F.substring(t, F.lit(1), at - 1)).otherwise(t)
+        frag = F.when(at > 0, F.substring(t, at, F.lit(_REST))).otherwise(F.lit(""))
+        drop = lambda c, mark: F.when(c == mark, F.lit("")).otherwise(c)
+        return F.concat(drop(query, "?"), drop(frag, "#"))
+    return _bind(tail, build)
+
+
 def resolve_url(href: Column | str, root: str) -> Column:
     href = F.col(href) if isinstance(href, str) else href
     root = root.rstrip("/")
     scheme = root.split(":", 1)[0].lower()
 
-    has_scheme = href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
-    href_scheme = F.lower(F.regexp_extract(href, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
-    # Drop a scheme equal to the base's; what remains may carry an authority.
-    rest = F.when(has_scheme, F.substring(href, F.length(href_scheme) + 2, 1 << 30)).otherwise(href)
-    authority = F.regexp_extract(rest, r"^//([^/?#]*)", 1)
-    network = F.startswith(rest, F.lit("//")) & (authority != "")
-    # "//" with an empty authority keeps the base host: resolve what follows.
-    ref = F.when(F.startswith(rest, F.lit("//")), F.substring(rest, 3, 1 << 30)).otherwise(rest)
-
-    path = F.regexp_extract(ref, r"^([^?#]*)", 1)
-    tail_text = F.substring(ref, F.length(path) + 1, 1 << 30)
-    frag_at = F.instr(tail_text, "#")
-    query = F.when(frag_at > 0, F.substring(tail_text, 2, frag_at - 2)).otherwise(F.substring(tail_text, 2, 1 << 30))
-    query = F.when(F.startswith(tail_text, F.lit("?")), query).otherwise(F.lit(""))
-    frag = F.when(frag_at > 0, F.substring(tail_text, frag_at + 1, 1 << 30)).otherwise(F.lit(""))
-    tail = F.concat(F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-                    F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(F.lit("")))
-
-    parts = F.split(path, "/")
-    # Relative paths: merge with the (empty) base path and drop empty
-    # inner segments; absolute paths keep theirs.
-    rel_parts = F.concat(F.array(F.lit("")), F.filter(parts, lambda x: x != ""))
-    rel_parts = F.when(F.endswith(path, F.lit("/")), F.array_append(rel_parts, F.lit(""))).otherwise(rel_parts)
-    segs = F.when(F.startswith(path, F.lit("/")), parts).otherwise(rel_parts)
-    folded = _fold_segments(segs)
-    last = F.element_at(segs, -1)
-    folded = F.when(last.isin(".", ".."), F.array_append(folded, F.lit(""))).otherwise(folded)
-    joined = F.array_join(folded, "/")
-    joined = F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
-
-    return (
-        F.when(href.isNull(), F.lit(None).cast("string"))
-        .when(href == "", F.lit(root))
-        .when(has_scheme & (href_scheme != scheme), href)
-        .when(network, F.concat(F.lit(scheme + ":"), rest))
-        .when(path == "", F.concat(F.lit(root), tail))
-        .otherwise(F.concat(F.lit(root), joined, tail))
-    )
+    def with_parts(p: Column) -> Column:
+        """p: rest (the reference without the base's own scheme)."""
+        authority = F.regexp_extract(p, r"^//([^/?#]*)", 1)
+
+        def local(ref: Column) -> Column:
+            return _bind(F.regexp_extract(ref, r"^([^?#]*)", 1), lambda path: _bind(
+                F.substring(ref, F.length(path) + 1, F.lit(_REST)), lambda tail: F.concat(
+                    F.lit(root), F.when(path == "", F.lit("")).otherwise(_path_of(path)), _tail_of(tail))))
+
+        # "//" with an empty authority keeps the base host: resolve what follows
+        return (F.when(authority != "", F.concat(F.lit(scheme + ":"), p))
+                .otherwise(_bind(F.regexp_replace(p, "^//", ""), local)))
+
+    def with_scheme(h: Column) -> Column:
+        return _bind(F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1), lambda s: (
+            F.when(h == "", F.lit(root))
+            .when((s != "") & (F.lower(s) != scheme), h)
+            .otherwise(_bind(F.when(s != "", F.substring(h, F.length(s) + 2, F.lit(_REST))).otherwise(h), with_parts))))
+
+    # leading controls and blanks go, and tabs and line ends anywhere
+    clean = F.translate(F.ltrim(href, F.lit(_LEADING)), "\t\r\n", "")
+    # an absolute path that needs no folding is the common case
+    plain = href.rlike(r"^/[^/?#\x00-\x20][^?#\t\r\n]*\z") & ~F.contains(href, F.lit("/."))
+    return (F.when(href.isNull(), F.lit(None).cast("string")).when(plain, F.concat(F.lit(root), href))
+            .otherwise(_bind(clean, with_scheme)))

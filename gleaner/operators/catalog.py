@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner import schemas
 from gleaner.functions.html import script_by_id
-from gleaner.functions.keys import review_key
+from gleaner.functions.keys import review_key, review_uid
 
 # Id of the script element holding the product payload.
 PAYLOAD_ELEMENT_ID = "product_structured_data"
@@ -86,6 +86,15 @@ def explode_reviews(parsed: DataFrame) -> DataFrame:
     )
 
 
+def with_review_ids(reviews: DataFrame) -> DataFrame:
+    """Reviews with ``rating_num`` (null where the rating is no number) and
+    ``review_uid``, an id that equal bodies of different products, authors or
+    dates do not share (D3)."""
+    return reviews.withColumns({
+        "rating_num": F.col("rating").try_cast("double"),
+        "review_uid": review_uid("product_sku", "author", "date_published", "body")})
+
+
 def explode_reviews_narrow(parsed: DataFrame) -> DataFrame:
     """PRJ-10: the 7-column variant (no product name, no brand)."""
     return explode_reviews(parsed).drop("product_name", "brand")
@@ -97,15 +106,18 @@ def reviews_per_product(reviews: DataFrame) -> DataFrame:
 
 
 def newest_pages(pages: DataFrame) -> DataFrame:
-    """One page per url: the newest fetch (ties: highest page_id).  A
-    declarative max_by aggregate, combined map-side, so a url fetched many
-    times never gathers its copies in one place."""
-    cols = [c for c in pages.columns if c != "url"]
-    order = F.struct(F.coalesce(F.col("fetched_at").cast("timestamp"), F.lit("1970-01-01").cast("timestamp")),
-                     F.col("page_id")) if "fetched_at" in pages.columns else F.col("page_id")
-    # One max_by per column over the same (unique) ordering key: all pick the
-    # same version, and columns the caller never uses (e.g. html) are pruned.
-    return pages.groupBy("url").agg(*[F.max_by(c, order).alias(c) for c in cols])
+    """One page per url: the newest fetch (ties: highest page_id, then by
+    content).  The newest version is found on narrow columns (a partial
+    aggregate) and joined back, so page text moves once and is never sorted
+    into an aggregate; the last step keeps one of wholly equal rows."""
+    time = F.col("fetched_at").cast("timestamp") if "fetched_at" in pages.columns else F.lit(None).cast("timestamp")
+    version = F.struct(F.coalesce(time, F.lit("1970-01-01").cast("timestamp")).alias("t"), F.col("page_id").alias("p"),
+                       F.xxhash64(*pages.columns).alias("h"))
+    dated = pages.withColumn("_version", version)
+    newest = dated.groupBy("url").agg(F.max("_version").alias("_newest"))
+    one = Window.partitionBy("url").orderBy("url")
+    return (dated.join(newest, "url").where(F.col("_version") == F.col("_newest"))
+            .withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*pages.columns))
 
 
 def lookup_pages(urls: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.ranking import largest_group, row_number_within
+from gleaner.functions.ranking import row_number_within
 from gleaner.functions.scan import blocked_running_sum
 
 # HTTP statuses the review collector retries.
@@ -23,6 +23,14 @@ def classify_fetch(attempts: DataFrame, retry_codes=RETRY_CODES, status: str = "
         F.when(s.between(200, 299), "ok").when(s.isin(*retry_codes), "retryable").otherwise("error"))
 
 
+def attempt_flags(attempts: DataFrame, status: str = "status", found: str = "n_results") -> DataFrame:
+    """``is_error`` and ``resets`` of each attempt, as FLT-8 takes them: an
+    attempt that did not load, timeouts without a status included, is an
+    error; one that loaded and found something resets the count."""
+    ok = F.coalesce(F.col(status).between(200, 299), F.lit(False))
+    return attempts.withColumns({"is_error": ~ok, "resets": ok & F.coalesce(F.col(found) > 0, F.lit(False))})
+
+
 def fetch_outcome(attempts: DataFrame, key: str = "url", order=("attempt_ts", "attempt_seq"),
                   max_attempts: int = 3, retry_all_errors: bool = True,
                   retry_codes=RETRY_CODES_NARROW) -> DataFrame:
@@ -36,8 +44,8 @@ def fetch_outcome(attempts: DataFrame, key: str = "url", order=("attempt_ts", "a
     w = Window.partitionBy(key).orderBy(*order)
     first = (attempts.withColumn("_n", F.row_number().over(w))
              .where(F.col("_n") <= max_attempts))
-    ok = F.col("status").between(200, 299)
-    fatal = F.lit(False) if retry_all_errors else (~ok & ~F.col("status").isin(*retry_codes))
+    ok = F.coalesce(F.col("status").between(200, 299), F.lit(False))     # no status: a failed attempt
+    fatal = F.lit(False) if retry_all_errors else (~ok & ~F.coalesce(F.col("status").isin(*retry_codes), F.lit(False)))
     agg = first.groupBy(key).agg(
         F.min(F.when(ok, F.col("_n"))).alias("_ok"),
         F.min(F.when(fatal, F.col("_n"))).alias("_fatal"),
@@ -52,24 +60,20 @@ def fetch_outcome(attempts: DataFrame, key: str = "url", order=("attempt_ts", "a
 
 
 def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "attempt_seq"), n: int = 5,
-                 is_error: str = "is_error", resets: str = "resets", block: int = 1_000_000,
-                 max_group_rows: int | None = None) -> DataFrame:
+                 is_error: str = "is_error", resets: str = "resets", block: int = 100_000) -> DataFrame:
     """FLT-8: keep a crawl's attempts up to and including its ``n``-th
     consecutive error.  Errors count up; an attempt that found results
-    resets the count; other attempts leave it unchanged.
-
-    When the largest crawl fits in one block, plain windows do it (each
-    task holds at most ``block`` rows).  Otherwise a crawl's attempts are
-    numbered (``row_number_within``) and cut into blocks of ``block`` positions.  Inside a block the streak is
-    a pair of bounded windows (islands between resets, errors per island);
-    what a block inherits from earlier blocks (the carry) and the first
-    cut-off per crawl come from windows over the small blocks table.  No
-    task ever holds a whole crawl."""
-    order = list(order)
-    if largest_group(log, [key]) <= block:
-        return _error_cutoff_windows(log, key, order, n, is_error, resets)
-    kw = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
-    df = row_number_within(log, [key], order, out="_pos", **kw)
+    resets the count; other attempts leave it unchanged.  A null flag is
+    false (set the flags so that an attempt without a status is an error).
+
+    A crawl's attempts are numbered (``row_number_within``) and cut into
+    blocks of ``block`` positions.  Inside a block the streak is a pair of
+    bounded windows (islands between resets, errors per island); what a block
+    inherits from earlier blocks (the carry) and the first cut-off per crawl
+    come from windows over the small blocks table.  No task ever holds a
+    whole crawl."""
+    flags = {is_error: F.coalesce(F.col(is_error), F.lit(False)), resets: F.coalesce(F.col(resets), F.lit(False))}
+    df = row_number_within(log.withColumns(flags), [key], list(order), out="_pos")
     df = df.withColumn("_blk", F.floor((F.col("_pos") - 1) / F.lit(block)).cast("long"))
     w_blk = Window.partitionBy(key, "_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_isl", F.sum(F.col(resets).cast("int")).over(w_blk))
@@ -102,22 +106,6 @@ def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "at
             .drop("_pos", "_blk", "_isl", "_err", "_carry", "_hit", "_cut"))
 
 
-def _error_cutoff_windows(log: DataFrame, key: str, order: list[str], n: int, is_error: str,
-                          resets: str) -> DataFrame:
-    """Every crawl fits in one block: gaps and islands with plain windows
-    (a running count of resets numbers the islands, a running count of
-    errors inside an island is the streak)."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = log.withColumn("_isl", F.sum(F.col(resets).cast("int")).over(w))
-    w2 = Window.partitionBy(key, "_isl").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_streak", F.sum(F.col(is_error).cast("int")).over(w2))
-    hit = F.struct(*[F.col(c) for c in order])
-    w_key = Window.partitionBy(key)
-    df = df.withColumn("_cut", F.min(F.when(F.col(is_error) & (F.col("_streak") == n), hit)).over(w_key))
-    return (df.where(F.col("_cut").isNull() | (hit <= F.col("_cut")))
-            .drop("_isl", "_streak", "_cut"))
-
-
 def interim_snapshots(per_product: DataFrame, order: str = "product_no", n: str = "n_reviews",
                       every: int = 5, by: tuple = ()) -> DataFrame:
     """WIN-3: after every ``every``-th product that has reviews, the

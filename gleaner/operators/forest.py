@@ -6,44 +6,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.ranking import row_number_within
-from gleaner.session import ensure_checkpoint_dir, materialize
+from gleaner.session import materialize
 
 
 def expand_comment_forest(edges: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
-                          sibling_col: str = "sibling_key", max_depth: int = 10_000) -> DataFrame:
+                          sibling_col: str = "sibling_key") -> DataFrame:
     """PRJ-3: every node of a reply forest with its root, depth and
     breadth-first position inside its tree (depth, then sibling order of
     the path from the root).
 
-    Each level is one equi-join of the frontier with the edges.  The edges
-    are hash-partitioned by parent once and checkpointed, so a level only
-    shuffles the (smaller) frontier; each level is written once as a table
-    in the shared checkpoint folder, which cuts lineage and survives lost
-    executors.  The loop ends when a level is empty."""
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = edges.select(F.col(id_col).alias("_id"), F.col(parent_col).alias("_parent"),
-                     F.col(sibling_col).alias("_sib"))
-    children = e.where(F.col("_parent").isNotNull()).repartition("_parent").checkpoint()
-    frontier = materialize(e.where(F.col("_parent").isNull())
-                           .select("_id", "_parent", F.col("_id").alias("_root"), F.lit(0).alias("_depth"),
-                                   F.array(F.col("_sib")).alias("_path")), "forest-level")
+    A node whose parent is not among the ids starts a tree of its own and is
+    flagged ``is_orphan``.  Nodes on a cycle, or below one, have no root:
+    root, depth and position are null.
+
+    Each level is one equi-join of the frontier with the edges (adaptive
+    execution splits it where one parent has very many replies) and is
+    written once to the shared checkpoint folder.  The loop ends when a
+    level is empty: a node has one parent, so no depth bound is needed."""
+    e = materialize(edges.select(F.col(id_col).alias("_id"), F.col(parent_col).alias("_parent"),
+                                 F.col(sibling_col).alias("_sib")), "forest-edges")
+    children = e.where(F.col("_parent").isNotNull())
+    known = e.select(F.col("_id").alias("_parent"))
+    orphans = children.join(known, "_parent", "left_anti").withColumn("_orphan", F.lit(True))
+    tops = e.where(F.col("_parent").isNull()).withColumn("_orphan", F.lit(False)).unionByName(orphans)
+    frontier = materialize(tops.select("_id", "_parent", F.col("_id").alias("_root"), F.lit(0).alias("_depth"),
+                                       F.array(F.col("_sib")).alias("_path"), "_orphan"), "forest-level")
     levels = [frontier]
-    depth = 0
     while not frontier.isEmpty():
-        depth += 1
-        if depth > max_depth:
-            raise ValueError(f"reply forest deeper than {max_depth} levels (cycle?)")
         parents = frontier.select(F.col("_id").alias("_parent"), "_root", F.col("_path").alias("_ppath"))
         frontier = materialize(children.join(parents, "_parent")
-                               .select("_id", "_parent", "_root", F.lit(depth).alias("_depth"),
-                                       F.concat("_ppath", F.array("_sib")).alias("_path")), "forest-level")
+                               .select("_id", "_parent", "_root", F.lit(len(levels)).alias("_depth"),
+                                       F.concat("_ppath", F.array("_sib")).alias("_path"),
+                                       F.lit(False).alias("_orphan")), "forest-level")
         levels.append(frontier)
     nodes = levels[0]
     for lvl in levels[1:]:
         nodes = nodes.unionByName(lvl)
     # Breadth-first position inside each tree, without one task per tree.
     numbered = row_number_within(nodes, ["_root"], ["_depth", "_path"], out="bfs_no")
-    return numbered.select(
+    placed = numbered.select("_id", "_parent", "_root", "_depth", "bfs_no", "_orphan")
+    lost = (e.join(numbered.select("_id"), "_id", "left_anti")
+            .select("_id", "_parent", F.lit(None).cast(placed.schema["_root"].dataType).alias("_root"),
+                    F.lit(None).cast("int").alias("_depth"), F.lit(None).cast("long").alias("bfs_no"),
+                    F.lit(False).alias("_orphan")))
+    return placed.unionByName(lost).select(
         F.col("_id").alias(id_col), F.col("_parent").alias(parent_col), F.col("_root").alias("root_id"),
-        F.col("_depth").alias("depth"), F.col("bfs_no").cast("long").alias("bfs_no"))
+        F.col("_depth").alias("depth"), F.col("bfs_no").cast("long").alias("bfs_no"), F.col("_orphan").alias("is_orphan"))

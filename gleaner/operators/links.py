@@ -18,11 +18,12 @@ def extract_listing_links(pages: DataFrame, container_class: str, tag: str = "di
     first link with an href; ``href`` is null for a container without one.
     One row per container, so the container count is a plain count.
 
-    Pages whose text lacks a class token cannot hold a container: a JVM
-    substring filter drops them before any row reaches Python."""
+    A page that holds neither a class token as written nor an ampersand (a
+    token may be written with entities) cannot hold a container: a JVM
+    substring filter drops it before any row reaches Python."""
     plain = [t for t in container_class.split() if t.replace("-", "").isalnum()]
     if plain:
-        pages = pages.where(F.instr("html", max(plain, key=len)) > 0)
+        pages = pages.where((F.instr("html", max(plain, key=len)) > 0) | (F.instr("html", "&") > 0))
     return (pages.select("page_id", F.explode(container_links("html", container_class, tag)).alias("c"))
             .select("page_id", F.col("c.container_no").alias("container_no"), F.col("c.href").alias("href")))
 
@@ -77,8 +78,9 @@ def listing_frontier(page_counts: DataFrame, key: str | None = "crawl_id", page_
                      ok: str = "ok", n: str = "n_containers") -> DataFrame:
     """FLT-7: keep the pages before the first page that loaded fine with zero
     containers (the end of the listing); a page that failed to load does not
-    end it.  The end page per crawl is an aggregate; joining it back is an
+    end it, one whose state is not known (null) counts as loaded.  The end page per crawl is an aggregate; joining it back is an
     equi-join on the crawl key."""
+    page_counts = page_counts.withColumn(ok, F.coalesce(F.col(ok), F.lit(True)))
     if key is None:   # one crawl: the end page is a scalar subquery, no join
         end = page_counts.where(F.col(ok) & (F.col(n) == 0)).agg(F.min(page_col)).scalar()
         # one reference to the subquery: no end page means no bound

@@ -7,10 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Row count below which a months table is broadcast: the number of months
-# comes from the date range, not from the data, so the bound is proven.
-MONTHS_BROADCAST_LIMIT = 100_000
-
 # Trailing windows of the listing periods.
 PERIODS = {"day": "1 DAY", "week": "7 DAYS", "month": "1 MONTH", "year": "1 YEAR"}
 
@@ -51,6 +47,18 @@ def plan_months_for(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
+def last_n_months(spark: SparkSession, as_of, n: int) -> DataFrame:
+    """SRC-6: the ``n`` newest month starts up to ``as_of``, as plan_months."""
+    end = _ts(as_of)
+    start = F.add_months(F.date_trunc("MONTH", end).cast("date"), 1 - n).cast("timestamp")
+    return plan_months(spark, start, end)
+
+
+def years_back(as_of: dt.datetime, years: int) -> dt.datetime:
+    """The start of a backfill: ``years`` times 365 days before ``as_of``."""
+    return as_of - dt.timedelta(days=365 * years)
+
+
 def month_window(df: DataFrame, ts: str, start, end=None, bounds: str = "calendar") -> DataFrame:
     """FLT-1: rows whose time lies in the month of ``start``, capped at ``end``.
 
@@ -98,11 +106,11 @@ def period_start(period: str, as_of) -> Column | None:
 
 def listing_period(df: DataFrame, ts: str, period: str, as_of) -> DataFrame:
     """FLT-2: the trailing ``day/week/month/year`` window ending at the
-    explicit ``as_of`` time (inclusive); ``all`` keeps everything up to it."""
+    explicit ``as_of`` time (inclusive); ``all`` keeps everything."""
     t = F.col(ts).cast("timestamp")
     a = _ts(as_of)
     if period == "all":
-        return df.where(t <= a)
+        return df
     if period not in PERIODS:
         raise ValueError(f"unknown period {period!r}")
     return df.where((t > a - F.expr(f"INTERVAL {PERIODS[period]}")) & (t <= a))
@@ -115,8 +123,8 @@ def assign_month(df: DataFrame, ts: str, start, end, bounds: str = "calendar",
     Both window modes lie inside one calendar month, so the month is a
     function of the row's own time: no range join, no shuffle.  The row is
     kept when it lies inside its month's window and inside [start, end].
-    ``months`` (e.g. the pending months) restricts the result with a
-    left-semi join that is broadcast when the month count is small.
+    ``months`` (e.g. the pending months) restricts the result by a left-semi
+    join.
     """
     t = F.col(ts).cast("timestamp")
     m = F.date_trunc("MONTH", t)
@@ -131,10 +139,7 @@ def assign_month(df: DataFrame, ts: str, start, end, bounds: str = "calendar",
         raise ValueError(f"unknown bounds {bounds!r}")
     out = df.where(inside).withColumn(month_col, F.date_format(m, "yyyy-MM"))
     if months is not None:
-        keys = months.select(month_col).distinct()
-        if keys.count() <= MONTHS_BROADCAST_LIMIT:
-            keys = F.broadcast(keys)
-        out = out.join(keys, month_col, "left_semi")
+        out = out.join(months.select(month_col), month_col, "left_semi")
     return out
 
 

@@ -15,11 +15,21 @@ def _tags(df: DataFrame, extra: list[str]) -> list[str]:
     return [c for c in extra if c in df.columns]
 
 
+def split_malformed(threads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """FLT-5 for threads: (good, bad).  A line that is no JSON of the schema,
+    or a thread without an id, never fails the run and is no post: it is set
+    aside with a ``reason``."""
+    corrupt = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in threads.columns else F.lit(False)
+    reason = F.when(corrupt, F.lit("malformed_json")).when(F.col("id").isNull(), F.lit("no_id"))
+    tagged = threads.withColumn("reason", reason)
+    return tagged.where(F.col("reason").isNull()).drop("reason", "_corrupt_record"), tagged.where(F.col("reason").isNotNull())
+
+
 def project_posts(threads: DataFrame, keep: tuple[str, ...] = ("community", "scrape_month")) -> DataFrame:
     """PRJ-1: the post columns; epoch seconds become a timestamp and the
     nested comments are dropped (only the page-0 row of a thread carries
-    the post)."""
-    df = threads
+    the post; a row without an id is none)."""
+    df = threads.where(F.col("id").isNotNull())
     if "comment_page" in df.columns:
         df = df.where(F.coalesce(F.col("comment_page"), F.lit(0)) == 0)
     return df.select(
@@ -34,7 +44,7 @@ def flatten_comments(threads: DataFrame, keep: tuple[str, ...] = ("community", "
     """PRJ-2: one row per comment with its post id; threads without
     comments give no row.  ``compat_author`` writes a missing author as the
     text 'None' (deviation D4)."""
-    exploded = threads.select(F.col("id").alias("post_id"), *_tags(threads, list(keep)),
+    exploded = threads.where(F.col("id").isNotNull()).select(F.col("id").alias("post_id"), *_tags(threads, list(keep)),
                               F.explode("comments").alias("c"))
     author = F.col("c.author")
     if compat_author:

@@ -8,15 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.operators import catalog, links, periods, threads
+from gleaner.operators import catalog, crawl, links, periods, threads
 from gleaner.session import materialize
 from gleaner.sinks import writers
 from gleaner.sources import readers
 
-# Selected-post sets up to this many rows are broadcast to the comment scan.
-# The bound is proven by the parameters (limit x communities x months).
-SELECTED_BROADCAST_ROWS = 2_000_000
-
 # The daily job's communities, period and limit.
 DAILY_COMMUNITIES = ("AsianBeauty", "SkincareAddiction", "30PlusSkinCare")
 DAILY_PERIOD = "day"
@@ -25,26 +21,18 @@ BACKFILL_LIMIT = 500
 BACKFILL_YEARS = 5
 
 
-def _good(threads_df: DataFrame) -> DataFrame:
-    if "_corrupt_record" in threads_df.columns:
-        return threads_df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return threads_df
-
-
-def _comments_of(threads_df: DataFrame, selected: DataFrame, bound: int | None) -> DataFrame:
-    ids = selected.select("id").distinct()
-    if bound is not None and bound <= SELECTED_BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    keep = [c for c in ("community",) if c in threads_df.columns]
-    return threads.flatten_comments(threads_df.join(ids, "id", "left_semi"), keep=tuple(keep))
+def _comments_of(threads_df: DataFrame, selected: DataFrame) -> DataFrame:
+    keep = tuple(c for c in ("community",) if c in threads_df.columns)
+    return threads.flatten_comments(threads_df.join(selected.select("id").distinct(), "id", "left_semi"), keep=keep)
 
 
 def collect_communities(threads_df: DataFrame, communities: list[str] | None, period: str = "day",
                         limit: int = 100, as_of=None, stage_selection: bool = False) -> tuple[DataFrame, DataFrame]:
     """PIP-2: period filter + top-k per community + flatten, for many
-    communities in one partitioned plan.  Malformed archive rows are set
-    aside, the rest continues (a bad source never fails the run)."""
-    t = _good(threads_df)
+    communities in one partitioned plan.  Malformed archive rows are left
+    out (``threads.split_malformed`` gives them with their reason), the rest
+    continues: a bad source never fails the run."""
+    t, _ = threads.split_malformed(threads_df)
     if communities is not None:
         t = t.where(F.col("community").isin(list(communities)))
     if as_of is not None:   # post-time bounds on the stored epoch column: pushed to the scan
@@ -58,8 +46,7 @@ def collect_communities(threads_df: DataFrame, communities: list[str] | None, pe
         # At most `limit` rows per community: written once to the shared
         # folder, then read by both outputs instead of ranking twice.
         top = materialize(top, "selected-posts")
-    bound = limit * len(communities) if communities is not None else None
-    return top, _comments_of(t, top, bound)
+    return top, _comments_of(t, top)
 
 
 def collect_threads(threads_df: DataFrame, community: str, period: str = "day", limit: int = 100,
@@ -71,66 +58,89 @@ def collect_threads(threads_df: DataFrame, community: str, period: str = "day",
 def daily_snapshot(spark: SparkSession, threads_df: DataFrame, root: str, as_of: dt.datetime,
                    communities=DAILY_COMMUNITIES, period: str = DAILY_PERIOD,
                    limit: int = DAILY_LIMIT) -> DataFrame:
-    """PIP-3: the daily job.  Writes ``posts`` and ``comments`` under
+    """PIP-3: the daily job.  Writes ``posts``, ``comments`` and
+    ``quarantine`` (malformed archive rows with their reason) under
     ``run_date=<as_of date>`` (a rerun of the day replaces them, empty
     results included) and returns the row counts of what was written."""
     posts, comments = collect_communities(threads_df, communities, period, limit, as_of, stage_selection=True)
     run_date = as_of.strftime("%Y-%m-%d")
-    writers.write_daily({"posts": posts, "comments": comments}, root, run_date)
+    writers.write_daily({"posts": posts, "comments": comments, "quarantine": quarantine_rows(threads_df)}, root, run_date)
     written = [spark.read.parquet(f"{root}/{k}/run_date={run_date}").select(F.lit(k).alias("kind"))
                for k in ("posts", "comments")]
     return (written[0].unionByName(written[1]).groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
             .withColumn("run_date", F.lit(run_date)))
 
 
+def quarantine_rows(threads_df: DataFrame) -> DataFrame:
+    """(id, community, reason, raw) of the archive rows that are no posts."""
+    _, bad = threads.split_malformed(threads_df)
+    raw = F.col("_corrupt_record") if "_corrupt_record" in bad.columns else F.lit(None).cast("string")
+    community = F.col("community") if "community" in bad.columns else F.lit(None).cast("string")
+    return bad.select("id", community.alias("community"), "reason", raw.alias("raw"))
+
+
 def backfill_by_month(spark: SparkSession, threads_df: DataFrame, root: str, start, end,
                       communities: list[str] | None = None, limit: int = BACKFILL_LIMIT,
                       bounds: str = "calendar") -> DataFrame:
     """PIP-4: month-by-month backfill as one job.
 
-    Each month is self-contained, as one iteration of the reference's
-    loop: the top ``limit`` posts per (community, month), and the comments
-    on those posts filtered by their **own** time to the same month window
-    (D15: the comment filter is independent of the post's time).  Only
-    months not complete in the manifest are written (dynamic partition
-    overwrite), then the manifest, then the per-month summary is read back
-    from the written data.  Because a month depends only on its own rows, a
-    resumed run writes exactly what one full run writes."""
+    Posts: the top ``limit`` per (community, month).  Comments: those of any
+    selected post, each in the month of its **own** time, whatever the
+    post's month (D15).  Months that the manifest shows complete are not
+    done again: only posts of pending months are scanned and ranked, and the
+    selections of finished months are the ids already written.  Comments of
+    pending months on posts of finished months are found through those ids.
+    The partitions of rewritten months are emptied first; then posts and
+    comments are written (dynamic partition overwrite), then the manifest,
+    and the summary is read back from the written data."""
     root = root.rstrip("/")
     start_ts = start if isinstance(start, dt.datetime) else dt.datetime.fromisoformat(str(start))
     end_ts = end if isinstance(end, dt.datetime) else dt.datetime.fromisoformat(str(end))
     months = periods.plan_months(spark, start_ts, end_ts)
     manifest = writers.read_manifest(spark, f"{root}/_manifest")
-    pending = periods.pending_months(months, manifest)
-    n_months = (end_ts.year - start_ts.year) * 12 + end_ts.month - start_ts.month + 1
+    pending = materialize(periods.pending_months(months, manifest), "pending-months")
+    todo = sorted((r["scrape_month"], r["month_start"]) for r in pending.collect())     # months of the range
+    if todo:
+        _fill_months(spark, threads_df, root, todo, pending, start_ts, end_ts, communities, limit, bounds)
+    in_range = months.select("scrape_month")
+    return threads.backfill_summary(
+        _read_kind(spark, root, "posts").join(in_range, "scrape_month", "left_semi").drop("kind"),
+        _read_kind(spark, root, "comments").join(in_range, "scrape_month", "left_semi").drop("kind"))
+
 
-    t = _good(threads_df)
+def pending_posts(threads_df: DataFrame, todo: list[tuple[str, dt.datetime]], pending: DataFrame, start_ts, end_ts,
+                  communities: list[str] | None, limit: int, bounds: str) -> DataFrame:
+    """The selection of the pending months: the scan is bounded to them on
+    the stored epoch column, and only their posts are ranked."""
+    t, _ = threads.split_malformed(threads_df)
     if communities is not None:
         t = t.where(F.col("community").isin(list(communities)))
-    # Only posts inside the range can be selected; comments come from them.
-    t = periods.epoch_range(t, "created_epoch", start_ts.replace(day=1, hour=0, minute=0, second=0,
-                                                                 microsecond=0), end_ts)
-    posts = periods.assign_month(threads.project_posts(t, keep=("community",)), "created_utc",
-                                 start_ts, end_ts, bounds)
-    # Bounded by limit x communities x months; materialised once, then used
-    # for the posts output and for the comment join.
-    selected = materialize(threads.top_posts(posts, by=["community", "scrape_month"], limit=limit),
-                           "selected-posts")
-    bound = limit * n_months * len(communities) if communities is not None else None
-    sel = selected.select("id", F.col("scrape_month").alias("_post_month"))
-    if bound is not None and bound <= SELECTED_BROADCAST_ROWS:
-        sel = F.broadcast(sel)
-    comments = periods.assign_month(
-        threads.flatten_comments(t.join(sel, "id"), keep=("community", "_post_month")),
-        "created_utc", start_ts, end_ts, bounds)
-    comments = comments.where(F.col("scrape_month") == F.col("_post_month")).drop("_post_month")
-
-    keys = F.broadcast(pending.select("scrape_month"))   # months of the range: bounded by n_months
-    posts_out = selected.join(keys, "scrape_month", "left_semi")
-    comments_out = comments.join(keys, "scrape_month", "left_semi")
-    writers.write_monthly(posts_out, f"{root}/posts")
-    writers.write_monthly(comments_out, f"{root}/comments")
+    last = (todo[-1][1] + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(seconds=1)
+    t = periods.epoch_range(t, "created_epoch", todo[0][1], min(last, end_ts))
+    posts = periods.assign_month(threads.project_posts(t, keep=("community",)), "created_utc", start_ts, end_ts, bounds,
+                                 months=pending)
+    return threads.top_posts(posts, by=["community", "scrape_month"], limit=limit)
+
 
+def _fill_months(spark, threads_df, root, todo, pending, start_ts, end_ts, communities, limit, bounds) -> None:
+    selected = materialize(pending_posts(threads_df, todo, pending, start_ts, end_ts, communities, limit, bounds),
+                           "selected-posts")
+    names = [m for m, _ in todo]
+    finished = _written_ids(spark, root).where(~F.col("scrape_month").isin(names)).select("id")
+    ids = selected.select("id").unionByName(finished).distinct()
+    t, _ = threads.split_malformed(threads_df)
+    if communities is not None:
+        t = t.where(F.col("community").isin(list(communities)))
+    t = periods.epoch_range(t, "created_epoch", None, end_ts)
+    # comments outside the pending months are dropped before they are exploded
+    lo = F.unix_seconds(F.lit(todo[0][1]).cast("timestamp"))
+    t = t.join(ids, "id", "left_semi").withColumn("comments", F.filter("comments", lambda c: c["created_epoch"] >= lo))
+    comments = periods.assign_month(threads.flatten_comments(t, keep=("community",)), "created_utc", start_ts, end_ts, bounds,
+                                    months=pending)
+
+    for kind, rows in (("posts", selected), ("comments", comments)):
+        writers.clear_months(spark, f"{root}/{kind}", names, rows.schema)
+        writers.write_monthly(rows, f"{root}/{kind}")
     counts = (_read_kind(spark, root, "posts").unionByName(_read_kind(spark, root, "comments"))
               .groupBy("scrape_month", "kind").agg(F.count(F.lit(1)).alias("rows")))
     done_through = F.lit(end_ts).cast("timestamp")
@@ -142,10 +152,22 @@ def backfill_by_month(spark: SparkSession, threads_df: DataFrame, root: str, sta
                        F.least(F.col("month_end"), done_through).alias("last_date")))
     writers.write_checkpoint(entries, f"{root}/_manifest")
 
-    in_range = F.broadcast(months.select("scrape_month"))
-    return threads.backfill_summary(
-        _read_kind(spark, root, "posts").join(in_range, "scrape_month", "left_semi").drop("kind"),
-        _read_kind(spark, root, "comments").join(in_range, "scrape_month", "left_semi").drop("kind"))
+
+def _written_ids(spark: SparkSession, root: str) -> DataFrame:
+    """(id, scrape_month) of the posts written so far."""
+    try:
+        return spark.read.schema("id string, scrape_month string").parquet(f"{root}/posts").select("id", "scrape_month")
+    except AnalysisException as exc:   # nothing written yet
+        if "PATH_NOT_FOUND" in str(exc):
+            return spark.createDataFrame([], "id string, scrape_month string")
+        raise
+
+
+def read_backfill(spark: SparkSession, root: str) -> DataFrame:
+    """The written posts and comments, one table with a ``kind``."""
+    read = lambda kind: (spark.read.option("mergeSchema", "true").parquet(f"{root}/{kind}")
+                         .withColumn("scrape_month", F.col("scrape_month").cast("string")).withColumn("kind", F.lit(kind)))
+    return read("posts").unionByName(read("comments"), allowMissingColumns=True)
 
 
 def _read_kind(spark: SparkSession, root: str, kind: str) -> DataFrame:
@@ -165,33 +187,43 @@ def resume_backfill(spark: SparkSession, threads_df: DataFrame, root: str, start
 
 
 def collect_product_urls(pages: DataFrame, container_class: str, root: str,
-                         max_pages: int | None = None, page_col: str = "page_id") -> DataFrame:
-    """PIP-5: listing pages -> cap -> end of listing -> containers ->
-    first links -> product links -> absolute URLs -> distinct."""
+                         max_pages: int | None = None, page_col: str = "page_id", max_errors: int = 5) -> DataFrame:
+    """PIP-5: listing pages -> cap -> containers -> stop rules -> first links
+    -> product links -> absolute URLs -> distinct.
+
+    The walk ends after ``max_errors`` failed pages in a row (FLT-8; a page
+    with containers resets the count) and before the first page that loaded
+    without containers (FLT-7).  A page that is there without a status
+    counts as loaded; a failed page gives no links."""
     capped = links.page_cap(pages, max_pages, page_col)
+    ok = F.coalesce(F.col("status").between(200, 299), F.lit(True)) if "status" in capped.columns else F.lit(True)
     # One row per container (far smaller than the pages): parsed once, then
     # the counts, the end of the listing and the URLs all read it.
-    found = materialize(links.extract_listing_links(capped, container_class), "listing-links")
+    found = materialize(links.extract_listing_links(capped.where(ok), container_class), "listing-links")
     counts = links.containers_per_page(capped, found)
-    ok = F.col("status").between(200, 299) if "status" in capped.columns else F.lit(True)
     page_counts = (counts.join(capped.select(page_col, ok.alias("ok")), page_col)
-                   .select(F.col(page_col).alias("page_no"), "ok", F.col("containers").alias("n_containers")))
-    live = links.listing_frontier(page_counts, key=None).select(F.col("page_no").alias(page_col))
+                   .select(F.lit(1).alias("walk"), F.col(page_col).alias("page_no"), "ok",
+                           F.col("containers").alias("n_containers")))
+    flags = page_counts.withColumns({"is_error": ~F.col("ok"), "resets": F.col("ok") & (F.col("n_containers") > 0)})
+    walked = crawl.error_cutoff(flags, key="walk", order=("page_no",), n=max_errors)
+    live = links.listing_frontier(walked, key=None).select(F.col("page_no").alias(page_col))
     found = found.join(live, page_col, "left_semi")
     return links.distinct_product_urls(links.resolve_urls(links.product_links(found), root))
 
 
 def collect_reviews(spark: SparkSession, list_root: str, pages: DataFrame,
                     prefix: str = "product_urls_") -> DataFrame:
-    """PIP-6: newest URL list -> archived pages -> payload -> reviews."""
+    """PIP-6: newest URL list -> archived pages -> payload -> reviews.  The
+    payload is taken out before pages are matched, so page text is never
+    shuffled."""
     urls = readers.url_lines(readers.read_latest_snapshot(spark, list_root, prefix))
-    found, _ = catalog.lookup_pages(urls, pages)
-    return catalog.explode_reviews(catalog.parse_product_json(catalog.extract_structured_data(found)))
+    found, _ = catalog.lookup_pages(urls, catalog.extract_structured_data(pages))
+    return catalog.explode_reviews(catalog.parse_product_json(found))
 
 
 def collect_products(urls: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """PIP-7: URL list -> products and (7-column) reviews; a product with no
     reviews is still a product."""
-    found, _ = catalog.lookup_pages(urls, pages)
-    parsed = catalog.parse_product_json(catalog.extract_structured_data(found))
+    found, _ = catalog.lookup_pages(urls, catalog.extract_structured_data(pages))
+    parsed = catalog.parse_product_json(found)
     return catalog.project_products(parsed), catalog.explode_reviews_narrow(parsed)

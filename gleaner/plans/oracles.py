@@ -49,10 +49,12 @@ SELECT m AS scrape_month, CAST(sum(p) AS BIGINT) AS posts, CAST(sum(c) AS BIGINT
        grouping(m) = 1 AS is_total
 FROM u GROUP BY ROLLUP (m)"""
 
-ORACLES["listing_period"] = f"""
+for _p, _interval in (("day", "1 DAY"), ("week", "7 DAY"), ("month", "1 MONTH"), ("year", "1 YEAR")):
+    ORACLES["listing_period" if _p == "year" else f"listing_period_{_p}"] = f"""
 SELECT * FROM ({POSTS})
-WHERE created_utc > (SELECT max(o_orderdate) FROM orders) - INTERVAL 1 YEAR
+WHERE created_utc > (SELECT max(o_orderdate) FROM orders) - INTERVAL {_interval}
   AND created_utc <= (SELECT max(o_orderdate) FROM orders)"""
+ORACLES["listing_period_all"] = POSTS
 ORACLES["month_window"] = f"""
 SELECT * FROM ({COMMENTS})
 WHERE created_utc >= TIMESTAMP '1997-03-01' AND created_utc < TIMESTAMP '1997-04-01'"""
@@ -90,20 +92,35 @@ URL = f"'https://shop.example.com/p/' || {SLUG} || '.html'"
 NREV = "(SELECT doc_id // 5 AS k, count(*) AS n FROM documents GROUP BY 1)"
 
 ORACLES["read_pages"] = "SELECT page_id, url, CAST(length(html) AS BIGINT) AS html_chars FROM pages"
+_IMG = "'https://shop.example.com/img/' || CAST(p_partkey AS VARCHAR)"
+_REVIEW_JSON = """(SELECT k, '[' || string_agg(j, ',' ORDER BY doc_id) || ']' AS js FROM (
+  SELECT doc_id // 5 AS k, doc_id, '{"name":' || CAST(to_json(lang || ' review ' || CAST(doc_id AS VARCHAR)) AS VARCHAR)
+    || ',"reviewBody":' || replace(CAST(to_json(text) AS VARCHAR), '</', '<\\/') || ',"datePublished":"'
+    || printf('2024-%02d-%02d', doc_id % 12 + 1, doc_id % 28 + 1) || '"'
+    || CASE WHEN doc_id % 9 = 0 THEN '' ELSE ',"author":{"name":"user' || CAST(doc_id % 97 AS VARCHAR) || '"}' END
+    || ',"reviewRating":{"ratingValue":' || CASE WHEN (doc_id // 5) % 2 = 0 THEN CAST(doc_id % 5 + 1 AS VARCHAR)
+         ELSE '"' || CAST(doc_id % 5 + 1 AS VARCHAR) || '"' END || '}}' AS j
+  FROM documents) GROUP BY k)"""
+_PAYLOAD = f"""'{{"sku":"SKU-' || CAST(p_partkey AS VARCHAR) || '","name":' || CAST(to_json(p_name) AS VARCHAR)
+  || ',"description":' || CAST(to_json(p_type || ' ' || p_name) AS VARCHAR) || ',"size":"' || CAST(p_size AS VARCHAR)
+  || 'ml","material":' || CAST(to_json('aqua, ' || p_brand) AS VARCHAR)
+  || CASE WHEN p_partkey % 7 = 0 THEN '' ELSE ',"brand":{{"name":' || CAST(to_json(p_brand) AS VARCHAR) || '}}' END
+  || CASE WHEN p_partkey % 11 = 0 THEN '' ELSE ',"review":' || coalesce(r.js, '[]') END
+  || CASE p_partkey % 3 WHEN 0 THEN ',"image":"' || {_IMG} || '.jpg"'
+       WHEN 1 THEN ',"image":["' || {_IMG} || 'a.jpg","' || {_IMG} || 'b.jpg"]' ELSE '' END || '}}'"""
 ORACLES["extract_structured_data"] = f"""
-SELECT {URL} AS url, p_partkey % 13 <> 0 AS has_payload,
-       CASE WHEN p_partkey % 13 = 0 THEN '' ELSE 'SKU-' || CAST(p_partkey AS VARCHAR) END AS payload_sku
-FROM part"""
+SELECT url, CASE WHEN k % 13 = 0 THEN '' WHEN k % 17 = 0 THEN left(p, length(p) // 2) ELSE p END AS payload
+FROM (SELECT {URL} AS url, p_partkey AS k, {_PAYLOAD} AS p FROM part LEFT JOIN {_REVIEW_JSON} r ON r.k = p_partkey)"""
 ORACLES["pages_with_payload"] = f"SELECT {URL} AS url FROM part WHERE p_partkey % 13 <> 0"
 ORACLES["parse_product_json"] = f"""
 SELECT {URL} AS url, p_partkey % 17 <> 0 AS parse_ok,
   CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE 'SKU-' || CAST(p_partkey AS VARCHAR) END AS sku,
   CASE WHEN p_partkey % 17 = 0 OR p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS brand,
-  CAST(CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN 1 WHEN p_partkey % 3 = 1 THEN 2 ELSE 0 END
-       AS BIGINT) AS n_images,
-  CAST(CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN 0 ELSE coalesce(r.n, 0) END AS BIGINT)
-       AS n_reviews
-FROM part LEFT JOIN {NREV} r ON r.k = p_partkey WHERE p_partkey % 13 <> 0"""
+  CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN {_IMG} || '.jpg'
+       WHEN p_partkey % 3 = 1 THEN {_IMG} || 'a.jpg ' || {_IMG} || 'b.jpg' ELSE '' END AS images,
+  CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN '' ELSE coalesce(r.b, '') END AS review_bodies
+FROM part LEFT JOIN (SELECT doc_id // 5 AS k, string_agg(text, '|' ORDER BY doc_id) AS b FROM documents GROUP BY 1) r
+  ON r.k = p_partkey WHERE p_partkey % 13 <> 0"""
 ORACLES["project_products"] = f"""
 SELECT {URL} AS url, 'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, p_name AS name,
   CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS brand, p_type || ' ' || p_name AS description,
@@ -125,10 +142,17 @@ SELECT md5(text) AS review_id, 'SKU-' || CAST(p_partkey AS VARCHAR) AS product_s
 FROM part JOIN documents ON doc_id // 5 = p_partkey
 WHERE p_partkey % 13 <> 0 AND p_partkey % 17 <> 0 AND p_partkey % 11 <> 0"""
 ORACLES["explode_reviews"] = REVIEWS
+ORACLES["review_ids"] = f"""
+SELECT product_sku, title, CAST(rating AS DOUBLE) AS rating_num,
+  md5(concat_ws(chr(1), product_sku, coalesce(author, ''), date_published, body)) AS review_uid
+FROM ({REVIEWS})"""
 ORACLES["explode_reviews_narrow"] = f"SELECT * EXCLUDE (product_name, brand) FROM ({REVIEWS})"
 ORACLES["review_key"] = "SELECT doc_id, md5(text) AS review_key FROM documents"
 ORACLES["reviews_per_product"] = f"SELECT product_sku, count(*) AS reviews FROM ({REVIEWS}) GROUP BY 1"
 ORACLES["lookup_pages"] = f"SELECT {URL} AS url, p_partkey AS page_id FROM part"
+ORACLES["lookup_pages_refetched"] = f"""
+SELECT {URL} AS url, p_partkey AS page_id, TIMESTAMP '2024-02-01 00:00:00' + to_seconds(p_partkey) AS fetched_at,
+       false AS is_old FROM part"""
 ORACLES["lookup_pages_missing"] = """
 SELECT 'https://shop.example.com/p/discontinued-' || CAST(p_partkey AS VARCHAR) || '.html' AS url
 FROM part WHERE p_partkey % 19 = 0"""
@@ -223,7 +247,7 @@ e AS (SELECT crawl_id, min(page_no) AS stop FROM p WHERE ok AND n = 0 GROUP BY 1
 SELECT p.crawl_id, CAST(page_no AS BIGINT) AS page_no FROM p LEFT JOIN e USING (crawl_id)
 WHERE e.stop IS NULL OR page_no < e.stop"""
 ORACLES["interim_snapshots"] = f"""
-WITH p AS (SELECT p_partkey + 1 AS product_no,
+WITH p AS (SELECT row_number() OVER (ORDER BY p_partkey) AS product_no,
              CASE WHEN p_partkey % 13 = 0 OR p_partkey % 17 = 0 OR p_partkey % 11 = 0 THEN 0
                   ELSE coalesce(r.n, 0) END AS n
            FROM part LEFT JOIN {NREV} r ON r.k = p_partkey),
@@ -233,18 +257,26 @@ FROM r WHERE product_no % 5 = 0 AND n > 0"""
 
 # ---------------------------------------------------------------- forest, split
 
-ORACLES["expand_comment_forest"] = """
-WITH RECURSIVE e AS (
-  SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id,
+_FOREST_EDGES = """SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id,
          CASE WHEN turn = 0 THEN NULL ELSE CAST(conv_id AS VARCHAR) || '-' || CAST((turn - 1) // 2 AS VARCHAR) END
            AS parent_id, turn AS sib
-  FROM conversations),
-t AS (SELECT id, parent_id, id AS root_id, 0 AS depth, [sib] AS path FROM e WHERE parent_id IS NULL
+  FROM conversations"""
+_LOOPS = """SELECT 'a' || CAST(conv_id AS VARCHAR) AS id, 'b' || CAST(conv_id AS VARCHAR) AS parent_id, 0 AS sib
+  FROM conversations WHERE turn = 0 AND conv_id % 50 = 0
+  UNION ALL SELECT 'b' || CAST(conv_id AS VARCHAR), 'a' || CAST(conv_id AS VARCHAR), 1
+  FROM conversations WHERE turn = 0 AND conv_id % 50 = 0"""
+_FOREST = """
+WITH RECURSIVE e AS ({edges}),
+t AS (SELECT id, parent_id, id AS root_id, 0 AS depth, [sib] AS path, parent_id IS NOT NULL AS is_orphan FROM e
+      WHERE parent_id IS NULL OR parent_id NOT IN (SELECT id FROM e)
       UNION ALL
-      SELECT e.id, e.parent_id, t.root_id, t.depth + 1, list_append(t.path, e.sib)
+      SELECT e.id, e.parent_id, t.root_id, t.depth + 1, list_append(t.path, e.sib), false
       FROM e JOIN t ON e.parent_id = t.id)
-SELECT id, parent_id, root_id, depth, row_number() OVER (PARTITION BY root_id ORDER BY depth, path) AS bfs_no
-FROM t"""
+SELECT id, parent_id, root_id, depth, row_number() OVER (PARTITION BY root_id ORDER BY depth, path) AS bfs_no, is_orphan
+FROM t
+UNION ALL SELECT id, parent_id, NULL, NULL, NULL, false FROM e WHERE id NOT IN (SELECT id FROM t)"""
+ORACLES["expand_comment_forest"] = _FOREST.format(edges=_FOREST_EDGES)
+ORACLES["expand_comment_forest_orphans"] = _FOREST.format(edges=f"{_FOREST_EDGES} WHERE turn <> 1 UNION ALL {_LOOPS}")
 ORACLES["train_test_split"] = """
 SELECT doc_id, CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS is_test
 FROM documents"""
@@ -257,35 +289,47 @@ UNION ALL
 SELECT 'https://shop.example.com/p/discontinued-' || CAST(p_partkey AS VARCHAR) || '.html' FROM part
 WHERE p_partkey % 19 = 0"""
 ORACLES["read_threads"] = POSTS
+ORACLES["read_threads_good"] = f"SELECT * FROM ({POSTS}) WHERE CAST(id AS BIGINT) % 17 <> 0 AND CAST(id AS BIGINT) % 19 <> 0"
+ORACLES["quarantine_threads"] = """
+SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'malformed_json' ELSE 'no_id' END AS reason, count(*) AS rows
+FROM orders WHERE o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 GROUP BY 1"""
 ORACLES["read_url_list"] = URL_LIST
+ORACLES["latest_snapshot_table"] = URL_LIST
 ORACLES["latest_snapshot"] = URL_LIST
 ORACLES["read_checkpoint"] = "SELECT max(o_orderdate) AS last_date FROM orders"
 
 # ---------------------------------------------------------------- sinks
 
-ORACLES["write_csv_compat"] = "SELECT doc_id, text, lang FROM documents"
-ORACLES["write_run_snapshot"] = """
-SELECT 'posts' AS kind, '20240101_000000' AS run, count(*) AS rows FROM orders
-UNION ALL SELECT 'comments', '20240101_000000', count(*) FROM lineitem"""
-ORACLES["write_daily"] = """
-SELECT 'posts' AS kind, '2024-01-01' AS run_date, count(*) AS rows FROM orders
-UNION ALL SELECT 'comments', '2024-01-01', count(*) FROM lineitem"""
-ORACLES["write_monthly"] = """
-SELECT 'posts' AS kind, strftime(o_orderdate, '%Y-%m') AS scrape_month, count(*) AS rows FROM orders GROUP BY 2
-UNION ALL SELECT 'comments', strftime(l_shipdate, '%Y-%m'), count(*) FROM lineitem GROUP BY 2"""
+# Posts and comments as one table: what one kind lacks is null.
+_BOTH = f"""
+SELECT *, {{post_tag}} FROM (SELECT *, 'posts' AS kind FROM ({POSTS}))
+UNION ALL BY NAME SELECT *, {{comment_tag}} FROM (SELECT *, 'comments' AS kind FROM ({COMMENTS}))"""
+
+
+def _both(tag: str) -> str:
+    return _BOTH.format(post_tag=tag, comment_tag=tag)
+
+
+ORACLES["write_csv_compat"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+ORACLES["write_run_snapshot"] = _both("'20240101_000000' AS run")
+ORACLES["write_daily"] = _both("'2024-01-01' AS run_date")
+ORACLES["write_monthly"] = _both("strftime(created_utc, '%Y-%m') AS scrape_month")
 ORACLES["write_url_list"] = LISTING_URLS
 ORACLES["write_checkpoint"] = """
-SELECT m AS scrape_month, kind, rows, CASE WHEN m <= '1998-12' THEN 'complete' ELSE 'open' END AS status
+SELECT m AS scrape_month, kind, rows, CASE WHEN m <= '1998-12' THEN 'complete' ELSE 'open' END AS status,
+  strptime(m || '-01', '%Y-%m-%d') + INTERVAL 1 MONTH AS last_date
 FROM (SELECT strftime(o_orderdate, '%Y-%m') AS m, 'posts' AS kind, count(*) AS rows FROM orders GROUP BY 1
       UNION ALL SELECT strftime(l_shipdate, '%Y-%m'), 'comments', count(*) FROM lineitem GROUP BY 1)"""
+ORACLES["checkpoint_iso_text"] = """
+SELECT '{"last_date":"' || strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%S') || '"}' AS line FROM orders"""
 
 # ---------------------------------------------------------------- streaming
 
-ORACLES["ingest_threads_stream"] = COMMENTS
+ORACLES["ingest_threads_stream"] = f"""
+SELECT *, 'posts' AS kind FROM ({POSTS}) UNION ALL BY NAME SELECT *, 'comments' AS kind FROM ({COMMENTS})"""
 ORACLES["distinct_urls_stream"] = LISTING_URLS
 ORACLES["interim_reviews_stream"] = REVIEWS
-ORACLES["write_interim"] = f"""
-SELECT (SELECT count(*) FROM part) AS products, (SELECT count(*) FROM ({REVIEWS})) AS reviews"""
+ORACLES["write_interim"] = ORACLES["interim_snapshots"]
 ORACLES["error_streak_stream"] = f"""
 WITH a AS (SELECT *, sum(CASE WHEN status = 200 AND n_results > 0 THEN 1 ELSE 0 END)
              OVER (PARTITION BY crawl_id ORDER BY attempt_ts, attempt_seq ROWS UNBOUNDED PRECEDING) AS isl
@@ -314,24 +358,64 @@ ORACLES["collect_threads_comments"] = _TOP_COMMENTS.format(comments=COMMENTS, to
 ORACLES["collect_communities"] = _T3
 ORACLES["collect_communities_comments"] = _TOP_COMMENTS.format(comments=COMMENTS, top=_T3)
 ORACLES["daily_snapshot"] = f"""
-SELECT 'posts' AS kind, count(*) AS rows, strftime((SELECT max(o_orderdate) FROM orders), '%Y-%m-%d') AS run_date
-FROM ({_TD})
-UNION ALL
-SELECT 'comments', count(*), strftime((SELECT max(o_orderdate) FROM orders), '%Y-%m-%d')
-FROM ({_TOP_COMMENTS.format(comments=COMMENTS, top=_TD)})"""
-_BACKFILL = f"""
+WITH top AS ({_TD}), day AS (SELECT strftime(max(o_orderdate), '%Y-%m-%d') AS run_date FROM orders)
+SELECT top.*, 'posts' AS kind, run_date FROM top, day
+UNION ALL BY NAME
+SELECT c.*, 'comments' AS kind, run_date FROM ({COMMENTS}) c, day WHERE post_id IN (SELECT id FROM top)"""
+# From the collector's own rule: posts and comments of a listing are filtered
+# by their own time, independently of one another.
+_BACKFILL = """
 WITH r AS (SELECT date_trunc('month', min(o_orderdate)) AS s, max(o_orderdate) AS e FROM orders),
-p AS (SELECT *, strftime(created_utc, '%Y-%m') AS m FROM ({POSTS}), r WHERE created_utc >= r.s AND created_utc <= r.e),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY community, m ORDER BY score DESC, id) AS rn FROM p)
-        WHERE rn <= 20),
-c AS (SELECT top.m FROM ({COMMENTS}) cm JOIN top ON cm.post_id = top.id, r
-      WHERE strftime(cm.created_utc, '%Y-%m') = top.m AND cm.created_utc >= r.s AND cm.created_utc <= r.e),
-u AS (SELECT m, 1 AS p, 0 AS c FROM top UNION ALL SELECT m, 0, 1 FROM c)
-SELECT m AS scrape_month, CAST(sum(p) AS BIGINT) AS posts, CAST(sum(c) AS BIGINT) AS comments,
-       grouping(m) = 1 AS is_total
-FROM u GROUP BY ROLLUP (m)"""
-ORACLES["backfill_by_month"] = _BACKFILL
-ORACLES["resume_backfill"] = _BACKFILL
+p AS (SELECT q.*, strftime(created_utc, '%Y-%m') AS scrape_month FROM ({posts}) q, r
+      WHERE created_utc >= r.s AND created_utc <= r.e),
+top AS (SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY community, scrape_month ORDER BY score DESC, id) AS rn FROM p)
+        WHERE rn <= {limit}),
+c AS (SELECT q.*, strftime(created_utc, '%Y-%m') AS scrape_month FROM ({comments}) q, r
+      WHERE post_id IN (SELECT id FROM top) AND created_utc >= r.s AND created_utc <= r.e)
+SELECT *, 'posts' AS kind FROM top UNION ALL BY NAME SELECT *, 'comments' AS kind FROM c"""
+ORACLES["backfill_by_month"] = _BACKFILL.format(posts=POSTS, comments=COMMENTS, limit=500)
+ORACLES["backfill_by_month_top20"] = _BACKFILL.format(posts=POSTS, comments=COMMENTS, limit=20)
+# The first run ends on 1998-06-15: months before June were finished with the
+# posts known then (test comments may be older than their post); the second
+# run does June and later only.
+ORACLES["resume_backfill"] = f"""
+WITH r AS (SELECT date_trunc('month', min(o_orderdate)) AS s, max(o_orderdate) AS e FROM orders),
+p AS (SELECT q.*, strftime(created_utc, '%Y-%m') AS scrape_month FROM ({POSTS}) q, r
+      WHERE created_utc >= r.s AND created_utc <= r.e),
+top AS (SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY community, scrape_month ORDER BY score DESC, id) AS rn FROM p)
+        WHERE rn <= 500),
+early AS (SELECT id FROM (
+          SELECT *, row_number() OVER (PARTITION BY community, scrape_month ORDER BY score DESC, id) AS rn FROM p
+          WHERE created_utc <= TIMESTAMP '1998-06-15 12:00:00') WHERE rn <= 500),
+c AS (SELECT q.*, strftime(created_utc, '%Y-%m') AS scrape_month FROM ({COMMENTS}) q, r
+      WHERE created_utc >= r.s AND created_utc <= r.e
+        AND CASE WHEN created_utc < TIMESTAMP '1998-06-01' THEN post_id IN (SELECT id FROM early)
+                 ELSE post_id IN (SELECT id FROM top) END)
+SELECT *, 'posts' AS kind FROM top UNION ALL BY NAME SELECT *, 'comments' AS kind FROM c"""
+ORACLES["last_n_months"] = """
+SELECT CAST(m AS TIMESTAMP) AS month_start, CAST(m + INTERVAL 1 MONTH AS TIMESTAMP) AS month_end,
+       strftime(m, '%Y-%m') AS scrape_month
+FROM (SELECT unnest(generate_series(date_trunc('month', max(o_orderdate)) - INTERVAL 5 MONTH,
+                                    date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS m FROM orders)"""
+# The walk, page by page, as the collector does it: a failed page counts up,
+# a page with products resets, five failures in a row end it, and so does a
+# page that loaded without products.
+ORACLES["collect_product_urls_failures"] = f"""
+WITH RECURSIVE n AS (SELECT max(p_partkey) // 24 + 2 AS last FROM part),
+page AS (SELECT page_no, page_no <> 2 AND (page_no % 9 = 4 OR page_no BETWEEN last * 3 // 4 AND last * 3 // 4 + 4) AS failed,
+                page_no < last AS full FROM n, unnest(range(1, last + 1)) AS u(page_no)),
+walk AS (SELECT 0 AS page_no, 0 AS errors, true AS go_on, false AS used
+         UNION ALL
+         SELECT p.page_no, CASE WHEN p.failed THEN w.errors + 1 WHEN p.full THEN 0 ELSE w.errors END,
+                (p.failed OR p.full) AND CASE WHEN p.failed THEN w.errors + 1 WHEN p.full THEN 0 ELSE w.errors END < 5,
+                NOT p.failed AND p.full
+         FROM walk w JOIN page p ON p.page_no = w.page_no + 1 WHERE w.go_on)
+SELECT DISTINCT 'https://shop.example.com/p/' || {SLUG} || '.html'
+       || CASE WHEN p_partkey % 24 = 17 THEN '?src=list&pos=17' ELSE '' END AS url
+FROM part WHERE p_partkey % 24 NOT IN (5, 7, 11, 13)
+  AND p_partkey // 24 + 1 IN (SELECT page_no FROM walk WHERE used)"""
 ORACLES["collect_product_urls"] = LISTING_URLS
 ORACLES["collect_reviews"] = REVIEWS
 ORACLES["collect_products"] = ORACLES["project_products"]

@@ -113,9 +113,16 @@ def q_backfill_summary(spark, sf_dir):
 
 # ---------------------------------------------------------------- periods
 
-@register("listing_period")
-def q_listing_period(spark, sf_dir):
-    return periods.listing_period(posts_of(spark, sf_dir), "created_utc", "year", _max_post_time(spark, sf_dir))
+def _listing_period(period: str):
+    @register("listing_period" if period == "year" else f"listing_period_{period}")
+    def q(spark, sf_dir):
+        return periods.listing_period(posts_of(spark, sf_dir), "created_utc", period, _max_post_time(spark, sf_dir))
+    q.__name__ = f"q_listing_period_{period}"
+    return q
+
+
+for _period in ("day", "week", "month", "year", "all"):
+    _listing_period(_period)
 
 
 @register("month_window")
@@ -180,8 +187,7 @@ def q_read_pages(spark, sf_dir):
 @register("extract_structured_data")
 def q_extract_structured_data(spark, sf_dir):
     df = catalog.extract_structured_data(fx.product_pages(spark, sf_dir))
-    return df.select("url", (F.col("payload") != "").alias("has_payload"),
-                     F.regexp_extract("payload", r'^\{"sku":"([^"]*)"', 1).alias("payload_sku"))
+    return df.select("url", "payload")
 
 
 @register("pages_with_payload")
@@ -194,8 +200,8 @@ def q_pages_with_payload(spark, sf_dir):
 def q_parse_product_json(spark, sf_dir):
     df = catalog.pages_with_payload(parsed_pages(spark, sf_dir))
     return df.select("url", "parse_ok", F.col("product.sku").alias("sku"), F.col("product.brand").alias("brand"),
-                     F.size("product.image_urls").cast("long").alias("n_images"),
-                     F.size("product.review").cast("long").alias("n_reviews"))
+                     F.array_join("product.image_urls", " ").alias("images"),
+                     F.array_join(F.transform("product.review", lambda r: r["reviewBody"]), "|").alias("review_bodies"))
 
 
 @register("project_products")
@@ -208,6 +214,12 @@ def q_explode_reviews(spark, sf_dir):
     return catalog.explode_reviews(parsed_pages(spark, sf_dir))
 
 
+@register("review_ids")
+def q_review_ids(spark, sf_dir):
+    reviews = catalog.with_review_ids(catalog.explode_reviews(parsed_pages(spark, sf_dir)))
+    return reviews.select("product_sku", "title", "rating_num", "review_uid")
+
+
 @register("explode_reviews_narrow")
 def q_explode_reviews_narrow(spark, sf_dir):
     return catalog.explode_reviews_narrow(parsed_pages(spark, sf_dir))
@@ -330,9 +342,7 @@ def q_fetch_outcome_narrow(spark, sf_dir):
 
 
 def _flagged_log(spark, sf_dir) -> DataFrame:
-    log = crawl_log(spark, sf_dir)
-    return log.withColumn("is_error", F.col("status") != 200) \
-              .withColumn("resets", (F.col("status") == 200) & (F.col("n_results") > 0))
+    return crawl.attempt_flags(crawl_log(spark, sf_dir))
 
 
 @register("error_cutoff")
@@ -353,12 +363,16 @@ def q_listing_frontier(spark, sf_dir):
     return links.listing_frontier(page_counts(spark, sf_dir)).select("crawl_id", "page_no")
 
 
+def _products_in_order(spark, sf_dir) -> DataFrame:
+    """(product_no, n_reviews): the place in list order, reviews of the page."""
+    per_page = parsed_pages(spark, sf_dir).select(
+        "page_id", F.when(F.col("parse_ok"), F.size("product.review")).otherwise(0).cast("long").alias("n_reviews"))
+    return row_number_within(per_page, [], ["page_id"], out="product_no").select("product_no", "n_reviews")
+
+
 @register("interim_snapshots")
 def q_interim_snapshots(spark, sf_dir):
-    per_product = parsed_pages(spark, sf_dir).select(
-        (F.col("page_id") + 1).alias("product_no"),
-        F.when(F.col("parse_ok"), F.size("product.review")).otherwise(0).cast("long").alias("n_reviews"))
-    return crawl.interim_snapshots(per_product)
+    return crawl.interim_snapshots(_products_in_order(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- forest, split
@@ -368,6 +382,12 @@ def q_expand_comment_forest(spark, sf_dir):
     return forest.expand_comment_forest(fx.comment_forest(spark, sf_dir))
 
 
+@register("expand_comment_forest_orphans")
+def q_expand_comment_forest_orphans(spark, sf_dir):
+    """Turns that answer a removed turn start trees of their own."""
+    return forest.expand_comment_forest(fx.broken_forest(spark, sf_dir))
+
+
 @register("train_test_split")
 def q_train_test_split(spark, sf_dir):
     return split.train_test_split(fx.table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
@@ -416,6 +436,33 @@ def q_read_threads(spark, sf_dir):
     return threads.project_posts(readers.read_threads(spark, path))
 
 
+def _with_bad_lines(spark, sf_dir, path) -> str:
+    """The archive as JSON lines; every 17th order's line is cut in half and
+    every 19th lacks its id."""
+    archive = fx.thread_archive(spark, sf_dir)
+    line = F.to_json(F.struct(*[F.when(F.col("id").cast("long") % 19 == 0, F.lit(None)).otherwise(F.col(c)).alias(c)
+                                if c == "id" else F.col(c) for c in archive.columns]))
+    key = F.col("id").cast("long")
+    archive.select(F.when(key % 17 == 0, F.substring(line, F.lit(1), (F.length(line) / 2).cast("int"))).otherwise(line)
+                   .alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+@register("quarantine_threads")
+def q_quarantine_threads(spark, sf_dir):
+    path = _with_bad_lines(spark, sf_dir, scratch_dir(spark, "threads-bad"))
+    _, bad = threads.split_malformed(readers.read_threads(spark, path))
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("read_threads_good")
+def q_read_threads_good(spark, sf_dir):
+    """The posts that are left when malformed lines are set aside."""
+    path = _with_bad_lines(spark, sf_dir, scratch_dir(spark, "threads-bad"))
+    good, _ = threads.split_malformed(readers.read_threads(spark, path))
+    return threads.project_posts(good)
+
+
 @register("read_url_list")
 def q_read_url_list(spark, sf_dir):
     path = scratch_dir(spark, "url-list")
@@ -429,6 +476,14 @@ def q_latest_snapshot(spark, sf_dir):
     return readers.url_lines(readers.read_latest_snapshot(spark, root, "product_urls_")).select("url")
 
 
+@register("latest_snapshot_table")
+def q_latest_snapshot_table(spark, sf_dir):
+    """The scalar-subquery form over a table with a snapshot column."""
+    root = _write_snapshots(spark, sf_dir, scratch_dir(spark, "snapshots"))
+    newest = readers.latest_snapshot(spark.read.text(root), "product_urls_")
+    return readers.url_lines(newest).select("url")
+
+
 @register("read_checkpoint")
 def q_read_checkpoint(spark, sf_dir):
     root = scratch_dir(spark, "checkpoint")
@@ -446,9 +501,19 @@ def q_read_checkpoint(spark, sf_dir):
 @register("write_csv_compat")
 def q_write_csv_compat(spark, sf_dir):
     path = scratch_dir(spark, "csv")
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = fx.table(spark, sf_dir, "documents")
     writers.write_csv_compat(docs, path)
-    return writers.read_csv_compat(spark, path, docs.schema)
+    return readers_csv(spark, path, docs)
+
+
+def readers_csv(spark, path, like) -> DataFrame:
+    return writers.read_csv_compat(spark, path, like.schema)
+
+
+def _written(spark, root: str) -> DataFrame:
+    """Posts and comments as written, one table with a ``kind``."""
+    read = lambda kind: spark.read.parquet(f"{root}/{kind}").withColumn("kind", F.lit(kind))
+    return read("posts").unionByName(read("comments"), allowMissingColumns=True)
 
 
 @register("write_run_snapshot")
@@ -456,9 +521,7 @@ def q_write_run_snapshot(spark, sf_dir):
     root = scratch_dir(spark, "run")
     writers.write_run_snapshot({"posts": posts_of(spark, sf_dir), "comments": comments_of(spark, sf_dir)},
                                root, "20240101_000000")
-    return (spark.read.parquet(f"{root}/posts").select(F.lit("posts").alias("kind"), "run")
-            .unionByName(spark.read.parquet(f"{root}/comments").select(F.lit("comments").alias("kind"), "run"))
-            .groupBy("kind", F.col("run").cast("string").alias("run")).agg(F.count(F.lit(1)).alias("rows")))
+    return _written(spark, root).withColumn("run", F.col("run").cast("string"))
 
 
 @register("write_daily")
@@ -467,11 +530,7 @@ def q_write_daily(spark, sf_dir):
     tables = {"posts": posts_of(spark, sf_dir), "comments": comments_of(spark, sf_dir)}
     writers.write_daily(tables, root, "2024-01-01")
     writers.write_daily(tables, root, "2024-01-01")      # same-day rerun replaces
-    return (spark.read.schema(f"run_date string").parquet(f"{root}/posts").select(F.lit("posts").alias("kind"),
-                                                                                  "run_date")
-            .unionByName(spark.read.schema("run_date string").parquet(f"{root}/comments")
-                         .select(F.lit("comments").alias("kind"), "run_date"))
-            .groupBy("kind", "run_date").agg(F.count(F.lit(1)).alias("rows")))
+    return _written(spark, root).withColumn("run_date", F.date_format("run_date", "yyyy-MM-dd"))
 
 
 @register("write_monthly")
@@ -479,10 +538,7 @@ def q_write_monthly(spark, sf_dir):
     root = scratch_dir(spark, "monthly")
     writers.write_monthly(threads.tag_month(posts_of(spark, sf_dir)), f"{root}/posts")
     writers.write_monthly(threads.tag_month(comments_of(spark, sf_dir)), f"{root}/comments")
-    read = lambda k: spark.read.schema("scrape_month string").parquet(f"{root}/{k}") \
-        .select(F.lit(k).alias("kind"), "scrape_month")
-    return read("posts").unionByName(read("comments")).groupBy("kind", "scrape_month") \
-        .agg(F.count(F.lit(1)).alias("rows"))
+    return _written(spark, root).withColumn("scrape_month", F.col("scrape_month").cast("string"))
 
 
 @register("write_url_list")
@@ -495,8 +551,19 @@ def q_write_url_list(spark, sf_dir):
 @register("write_checkpoint")
 def q_write_checkpoint(spark, sf_dir):
     path = scratch_dir(spark, "manifest")
-    writers.write_checkpoint(manifest_of(spark, sf_dir).withColumn("last_date", F.lit(None)), path)
-    return writers.read_manifest(spark, path).select("scrape_month", "kind", "rows", "status")
+    month = F.to_timestamp(F.concat("scrape_month", F.lit("-01")))
+    writers.write_checkpoint(manifest_of(spark, sf_dir).withColumn("last_date", F.add_months(month.cast("date"), 1).cast("timestamp")),
+                             path)
+    return writers.read_manifest(spark, path).select("scrape_month", "kind", "rows", "status", "last_date")
+
+
+@register("checkpoint_iso_text")
+def q_checkpoint_iso_text(spark, sf_dir):
+    """The saved date as ISO text, written and read back as written."""
+    path = scratch_dir(spark, "iso")
+    orders = fx.table(spark, sf_dir, "orders")
+    writers.write_last_date(orders.agg(F.max("o_orderdate").alias("last_date")), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 # ---------------------------------------------------------------- streaming
@@ -507,7 +574,7 @@ def q_ingest_threads_stream(spark, sf_dir):
     _write_threads_json(spark, sf_dir, f"{base}/in")
     q = jobs.ingest_threads_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=3)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out/comments").drop("batch_id")
+    return _written(spark, f"{base}/out").drop("query", "batch_id")
 
 
 @register("distinct_urls_stream")
@@ -525,9 +592,15 @@ def q_distinct_urls_stream(spark, sf_dir):
 
 
 def _run_interim(spark, sf_dir) -> str:
+    """Product pages arrive in list order, in four files written one after
+    the other."""
     base = scratch_dir(spark, "interim")
-    fx.product_pages(spark, sf_dir).repartition(12).write.mode("overwrite").parquet(f"{base}/in")
-    q = jobs.interim_reviews_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", products_per_batch=5)
+    pages = fx.product_pages(spark, sf_dir)
+    top = pages.agg(F.max("page_id")).first()[0] + 1
+    for k in range(4):
+        (pages.where((F.col("page_id") >= k * top // 4) & (F.col("page_id") < (k + 1) * top // 4)).coalesce(1)
+         .write.mode("append").parquet(f"{base}/in"))
+    q = jobs.interim_reviews_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", every=5, files_per_batch=1)
     q.awaitTermination()
     return base
 
@@ -535,15 +608,13 @@ def _run_interim(spark, sf_dir) -> str:
 @register("interim_reviews_stream")
 def q_interim_reviews_stream(spark, sf_dir):
     base = _run_interim(spark, sf_dir)
-    return spark.read.parquet(f"{base}/out/reviews").drop("batch_id")
+    return spark.read.parquet(f"{base}/out/reviews").drop("query", "batch_id")
 
 
 @register("write_interim")
 def q_write_interim(spark, sf_dir):
     base = _run_interim(spark, sf_dir)
-    prog = jobs.interim_progress(spark, f"{base}/out")
-    return prog.agg(F.max("products_so_far").cast("long").alias("products"),
-                    F.max("rows_so_far").cast("long").alias("reviews"))
+    return jobs.interim_progress(spark, f"{base}/out")
 
 
 @register("error_streak_stream")
@@ -556,7 +627,7 @@ def q_error_streak_stream(spark, sf_dir):
     schema = log.drop("_run").schema
     for run in range(3):
         log.where(F.col("_run") == run).drop("_run").write.mode("overwrite").parquet(f"{base}/in/run={run}")
-        stream = spark.readStream.schema(schema).parquet(f"{base}/in/run=*")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{base}/in/run=*")
         q = (jobs.error_streak_stream(stream, n=5).writeStream.format("parquet")
              .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
              .outputMode("append").trigger(availableNow=True).start())
@@ -596,26 +667,39 @@ def q_collect_communities_comments(spark, sf_dir):
 
 @register("daily_snapshot")
 def q_daily_snapshot(spark, sf_dir):
-    return flows.daily_snapshot(spark, fx.thread_archive(spark, sf_dir), scratch_dir(spark, "daily-job"),
-                                _max_order_date(spark, sf_dir), communities=PRIORITIES)
+    root = scratch_dir(spark, "daily-job")
+    flows.daily_snapshot(spark, fx.thread_archive(spark, sf_dir), root, _max_order_date(spark, sf_dir),
+                         communities=PRIORITIES)
+    return _written(spark, root).withColumn("run_date", F.date_format("run_date", "yyyy-MM-dd"))
+
+
+def _backfill(spark, sf_dir, limit: int) -> DataFrame:
+    start, end = _order_date_range(spark, sf_dir)
+    root = scratch_dir(spark, "backfill")
+    flows.backfill_by_month(spark, fx.thread_archive(spark, sf_dir), root, start, end, limit=limit)
+    return flows.read_backfill(spark, root)
 
 
 @register("backfill_by_month")
 def q_backfill_by_month(spark, sf_dir):
-    start, end = _order_date_range(spark, sf_dir)
-    return flows.backfill_by_month(spark, fx.thread_archive(spark, sf_dir), scratch_dir(spark, "backfill"),
-                                   start, end, limit=20)
+    return _backfill(spark, sf_dir, flows.BACKFILL_LIMIT)
+
+
+@register("backfill_by_month_top20")
+def q_backfill_by_month_top20(spark, sf_dir):
+    return _backfill(spark, sf_dir, 20)
 
 
 @register("resume_backfill")
 def q_resume_backfill(spark, sf_dir):
     """First run stops mid-range; the second run over the whole range only
-    writes the months the manifest does not show complete."""
+    does the months the manifest does not show complete."""
     start, end = _order_date_range(spark, sf_dir)
     root = scratch_dir(spark, "resume")
     archive = fx.thread_archive(spark, sf_dir)
-    flows.backfill_by_month(spark, archive, root, start, _dt.datetime(1998, 6, 15, 12, 0), limit=20)
-    return flows.resume_backfill(spark, archive, root, start, end, limit=20)
+    flows.backfill_by_month(spark, archive, root, start, _dt.datetime(1998, 6, 15, 12, 0))
+    flows.resume_backfill(spark, archive, root, start, end)
+    return flows.read_backfill(spark, root)
 
 
 @register("collect_product_urls")
@@ -623,6 +707,25 @@ def q_collect_product_urls(spark, sf_dir):
     return flows.collect_product_urls(fx.listing_pages(spark, sf_dir), fx.CONTAINER_CLASS, fx.SITE_ROOT)
 
 
+@register("collect_product_urls_failures")
+def q_collect_product_urls_failures(spark, sf_dir):
+    """The same listing with failed pages: every 9th fails, one has no known
+    status, and five in a row fail three quarters of the way, which ends it."""
+    return flows.collect_product_urls(fx.failing_listing_pages(spark, sf_dir), fx.CONTAINER_CLASS, fx.SITE_ROOT)
+
+
+@register("last_n_months")
+def q_last_n_months(spark, sf_dir):
+    return periods.last_n_months(spark, _max_order_date(spark, sf_dir), 6)
+
+
+@register("lookup_pages_refetched")
+def q_lookup_pages_refetched(spark, sf_dir):
+    """Every third page was fetched three times; the newest version counts."""
+    found, _ = catalog.lookup_pages(url_list(spark, sf_dir), fx.refetched_pages(spark, sf_dir))
+    return found.select("url", "page_id", "fetched_at", F.startswith("html", F.lit("<!-- old")).alias("is_old"))
+
+
 @register("collect_reviews")
 def q_collect_reviews(spark, sf_dir):
     root = _write_snapshots(spark, sf_dir, scratch_dir(spark, "review-lists"))

@@ -3,13 +3,17 @@
 `configure` pins what results depend on (the UTC session time zone) and
 turns on adaptive execution where the cluster left it unset; it never
 overrides cluster-provided sizing.  `scratch_dir` returns the shared checkpoint folder the cluster
-names in ``spark.checkpoint.dir`` and only invents one when none is set
-(local runs and tests).
+names in ``spark.checkpoint.dir``.  Only a local session (tests, the
+benchmark) may go without: it gets a temporary folder, removed at exit; on a
+cluster an unset folder is an error, since executors do not share disks.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -65,14 +69,17 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the session's shared checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage; it is read,
-    never replaced.  Only when it is unset (local runs, tests) a folder is
-    created and registered as the checkpoint directory.
+    never replaced.  Where it is unset, a local session gets a temporary
+    folder for its lifetime, any other an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gleaner-ckpt-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     elif spark.sparkContext.getCheckpointDir() is None:

@@ -62,13 +62,29 @@ def write_daily(tables: dict[str, DataFrame], root: str, run_date: str) -> None:
 
 def write_monthly(df: DataFrame, path: str, month: str = "scrape_month", fmt: str = "parquet") -> None:
     """SNK-4: partitioned by month with dynamic overwrite (only the months
-    present are replaced).  REBALANCE lets adaptive execution split a hot
-    month into several files and merge small ones, instead of one task per
-    month."""
+    present are replaced; see ``clear_months`` for months that may have
+    become empty).  REBALANCE lets adaptive execution split a hot month into
+    several files and merge small ones, instead of one task per month."""
     (df.hint("rebalance", month).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(month).format(fmt).save(path))
 
 
+def clear_months(spark: SparkSession, path: str, months: list[str], schema: T.StructType, month: str = "scrape_month",
+                 fmt: str = "parquet") -> None:
+    """Empty the partitions of ``months`` that exist under ``path``, so that
+    a rewritten month without rows keeps none of its old ones."""
+    fields = T.StructType([f for f in schema.fields if f.name != month])
+    try:
+        there = spark.read.schema(T.StructType([T.StructField(month, T.StringType())])).format(fmt).load(path)
+    except AnalysisException as exc:   # nothing written yet
+        if "PATH_NOT_FOUND" in str(exc):
+            return
+        raise
+    held = {r[0] for r in there.select(month).distinct().where(F.col(month).isin(months)).collect()}   # of the months asked for
+    for m in sorted(held):
+        spark.createDataFrame([], fields).write.mode("overwrite").format(fmt).save(f"{path}/{month}={m}")
+
+
 def write_url_list(urls: DataFrame, path: str, col: str = "url") -> None:
     """SNK-5: one URL per line."""
     urls.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
@@ -82,6 +98,16 @@ def write_checkpoint(manifest: DataFrame, path: str) -> None:
     write_monthly(manifest.select(*cols), path, month="scrape_month")
 
 
+def write_last_date(last: DataFrame, path: str, col: str = "last_date") -> None:
+    """SNK-7, single-date form: one JSON line with the date as ISO text (no
+    fraction where there is none), the form ``read_checkpoint`` reads."""
+    ts = F.col(col).cast("timestamp")
+    iso = F.when(F.date_format(ts, "SSSSSS") == "000000", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")) \
+        .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    (last.select(F.to_json(F.struct(iso.alias("last_date"))).alias("value")).coalesce(1)
+     .write.mode("overwrite").text(path))
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(schemas.MANIFEST).parquet(path)

@@ -312,6 +312,39 @@ def build_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def failing_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages of a walk with failures: pages with ``page_id % 9 = 4``
+    failed, page 2 has no known status, and five pages in a row failed from
+    page 3/4 of the last one on (the walk ends there)."""
+    pages = listing_pages(spark, sf_dir)
+    last = pages.agg(F.max("page_id")).scalar()
+    stop = F.floor(last * 3 / 4).cast("long")
+    page = F.col("page_id")
+    failed = (page % 9 == 4) | page.between(stop, stop + 4)
+    return pages.withColumn("status", F.when(page == 2, F.lit(None)).when(failed, F.lit(503)).otherwise(F.lit(200)).cast("int"))
+
+
+def refetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product pages where every third was fetched three times: an older
+    version, the page itself, and a second copy of the same fetch."""
+    pages = product_pages(spark, sf_dir)
+    again = pages.where(F.col("page_id") % 3 == 0)
+    older = again.withColumn("html", F.concat(F.lit("<!-- old -->"), F.col("html"))).withColumn(
+        "fetched_at", F.col("fetched_at") - F.expr("INTERVAL 1 DAY"))
+    return pages.unionByName(older).unionByName(again)
+
+
+def broken_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reply forest without the turns whose number is 1, and a cycle of
+    two nodes for every 50th conversation."""
+    edges = comment_forest(spark, sf_dir).drop("role")
+    conv = table(spark, sf_dir, "conversations").where((F.col("turn") == 0) & (F.col("conv_id") % 50 == 0))
+    name = lambda x: F.concat(F.lit(x), F.col("conv_id").cast("string"))
+    loop = conv.select(name("a").alias("id"), name("b").alias("parent_id"), F.lit(0).cast("long").alias("sibling_key")).unionAll(
+        conv.select(name("b"), name("a"), F.lit(1).cast("long")))
+    return edges.where(F.col("sibling_key") != 1).unionByName(loop)
+
+
 # ---------------------------------------------------------------- crawl log
 
 def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ from gleaner import schemas
 
 def read_threads(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
     """SRC-1: archived threads (one row per post, comments nested) with the
-    declared schema; malformed JSON lines land in ``_corrupt_record``."""
+    declared schema; malformed JSON lines land in ``_corrupt_record`` (see
+    ``threads.split_malformed``)."""
     if fmt == "json":
         schema = T.StructType(schemas.THREAD.fields + [T.StructField("_corrupt_record", T.StringType())])
         return (spark.read.schema(schema).option("mode", "PERMISSIVE")
@@ -31,9 +32,13 @@ def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
                      *[c for c in df.columns if c not in schemas.PAGES.fieldNames()])
 
 
+# What counts as white space at the ends of a list line.
+LINE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
+
 def url_lines(df: DataFrame, col: str = "value", keep_blank: bool = False) -> DataFrame:
-    """Lines to URLs: trimmed, blank lines dropped unless ``keep_blank``."""
-    out = df.withColumn("url", F.trim(F.col(col))).drop(col)
+    """Lines to URLs: white space at the ends off, blank lines dropped unless ``keep_blank``."""
+    out = df.withColumn("url", F.btrim(F.col(col), F.lit(LINE_SPACE))).drop(col)
     return out if keep_blank else out.where(F.col("url") != "")
 
 

@@ -18,24 +18,40 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gleaner import schemas
+from gleaner.functions.ranking import row_number_within
+from gleaner.functions.scan import blocked_running_sum
 from gleaner.operators import catalog, threads
 
 
+def _batch_folder(batch: DataFrame, batch_id: int) -> str:
+    """``query=<id>/batch_id=<n>``: the query's id is kept in its checkpoint,
+    so a restart writes on, a replayed batch replaces its own files, and a
+    query with a fresh checkpoint never overwrites another's output."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"query={query}/batch_id={batch_id}"
+
+
 def ingest_threads_stream(spark: SparkSession, in_dir: str, out_root: str, ckpt: str,
                           max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """STR-1: thread files not seen yet -> posts and comments, each batch
-    written to ``batch_id=<n>`` with overwrite, so a replayed batch
-    replaces its own output (exactly-once files)."""
-    reader = spark.readStream.schema(schemas.THREAD)
+    """STR-1: thread files not seen yet -> posts, comments and quarantine
+    (malformed lines with their reason), each batch read once and written
+    under its own folder with overwrite (exactly-once files)."""
+    reader = spark.readStream.schema(T.StructType(schemas.THREAD.fields + [T.StructField("_corrupt_record", T.StringType())]))
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(in_dir)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        posts = threads.project_posts(batch)
-        comments = threads.flatten_comments(batch)
-        posts.write.mode("overwrite").parquet(f"{out_root}/posts/batch_id={batch_id}")
-        comments.write.mode("overwrite").parquet(f"{out_root}/comments/batch_id={batch_id}")
+        folder = _batch_folder(batch, batch_id)
+        batch.persist()
+        try:
+            good, bad = threads.split_malformed(batch)
+            for kind, rows in (("posts", threads.project_posts(good)), ("comments", threads.flatten_comments(good)),
+                               ("quarantine", bad.select("id", "reason", F.col("_corrupt_record").alias("raw")))):
+                rows.write.mode("overwrite").parquet(f"{out_root}/{kind}/{folder}")
+        finally:
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
@@ -51,46 +67,53 @@ def distinct_urls_stream(links: DataFrame, col: str = "url", watermark: tuple[st
     return links.withWatermark(ts, delay).dropDuplicatesWithinWatermark([col])
 
 
-def interim_reviews_stream(spark: SparkSession, pages_dir: str, out_root: str, ckpt: str,
-                           products_per_batch: int = 5, schema: T.StructType = schemas.PAGES) -> StreamingQuery:
-    """STR-3 / SNK-6: product pages in micro-batches of ``products_per_batch``
-    files; each batch appends its reviews and then its progress row, which
-    carries the running totals (previous batch's totals + this batch).  The
-    cumulative table is simply the reviews folder read at any time."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", products_per_batch)
+def interim_reviews_stream(spark: SparkSession, pages_dir: str, out_root: str, ckpt: str, every: int = 5,
+                           files_per_batch: int = 4, schema: T.StructType = schemas.PAGES) -> StreamingQuery:
+    """STR-3 / SNK-6: product pages in micro-batches of ``files_per_batch``
+    files; each batch appends its reviews, an interim row after every
+    ``every``-th product of the whole run (in list order; a product without
+    reviews skips its save, D19), and its totals, which the next batch goes
+    on from.  The cumulative table is the reviews folder read at any time."""
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(pages_dir))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = catalog.parse_product_json(catalog.extract_structured_data(batch))
-        reviews = catalog.explode_reviews(parsed)
-        reviews.write.mode("overwrite").parquet(f"{out_root}/reviews/batch_id={batch_id}")
-        stats = parsed.agg(F.count(F.lit(1)).cast("long").alias("products"),
-                           F.coalesce(F.sum(F.when(F.col("parse_ok"), F.size("product.review"))), F.lit(0))
-                           .cast("long").alias("reviews"))
-        prev = _previous_progress(spark, out_root, batch_id)
-        (stats.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .withColumn("products_so_far", F.col("products") + F.lit(prev[0]))
-         .withColumn("rows_so_far", F.col("reviews") + F.lit(prev[1]))
-         .write.mode("overwrite").parquet(f"{out_root}/progress/batch_id={batch_id}"))
+        folder = _batch_folder(batch, batch_id)
+        query = folder.split("/")[0]
+        parsed = catalog.parse_product_json(catalog.extract_structured_data(batch)).persist()
+        try:
+            catalog.explode_reviews(parsed).write.mode("overwrite").parquet(f"{out_root}/reviews/{folder}")
+            products, rows = _previous_totals(spark, out_root, query, batch_id)
+            narrow = parsed.select("page_id", F.when(F.col("parse_ok"), F.size("product.review")).otherwise(0).cast("long").alias("n"))
+            placed = row_number_within(narrow, [], ["page_id"], out="at").withColumn("product_no", F.col("at") + products)
+            run = blocked_running_sum(placed, "n", "at", out="rows")
+            (run.where((F.col("product_no") % every == 0) & (F.col("n") > 0))
+             .select((F.col("product_no") / every).cast("long").alias("snapshot_no"), "product_no",
+                     (F.col("rows") + rows).cast("long").alias("rows_so_far"))
+             .write.mode("overwrite").parquet(f"{out_root}/interim/{folder}"))
+            (narrow.agg((F.count(F.lit(1)) + products).alias("products_so_far"),
+                        (F.coalesce(F.sum("n"), F.lit(0)) + rows).alias("rows_so_far"))
+             .write.mode("overwrite").parquet(f"{out_root}/progress/{folder}"))
+        finally:
+            parsed.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
-def _previous_progress(spark: SparkSession, out_root: str, batch_id: int) -> tuple[int, int]:
-    """Running totals after the previous batch (batch ids are consecutive;
-    a replayed batch reads the same previous row, so it writes the same)."""
+def _previous_totals(spark: SparkSession, out_root: str, query: str, batch_id: int) -> tuple[int, int]:
+    """Products and review rows after the previous batch (batch ids are
+    consecutive; a replayed batch reads the same row, so it writes the same)."""
     if batch_id == 0:
         return 0, 0
     row = (spark.read.schema("products_so_far long, rows_so_far long")
-           .parquet(f"{out_root}/progress/batch_id={batch_id - 1}").first())
+           .parquet(f"{out_root}/progress/{query}/batch_id={batch_id - 1}").first())
     return (row["products_so_far"], row["rows_so_far"]) if row else (0, 0)
 
 
 def interim_progress(spark: SparkSession, out_root: str) -> DataFrame:
-    """Progress after each batch: products and review rows so far."""
-    return spark.read.parquet(f"{out_root}/progress").select(
-        F.col("batch_id").cast("long").alias("batch_id"), "products_so_far", "rows_so_far")
+    """The interim saves so far: snapshot_no, product_no, rows_so_far."""
+    return spark.read.parquet(f"{out_root}/interim").select("snapshot_no", "product_no", "rows_so_far")
 
 
 STREAK_OUT = T.StructType([
@@ -102,17 +125,28 @@ STREAK_OUT = T.StructType([
 STREAK_STATE = T.StructType([
     T.StructField("streak", T.LongType()),
     T.StructField("stopped", T.BooleanType()),
+    T.StructField("last_ts", T.LongType()),        # microseconds; the last attempt counted
+    T.StructField("last_seq", T.LongType()),
 ])
+# Attempts are kept narrow: 26 bytes a row in the worker.
+_NARROW = ["attempt_ts", "attempt_seq", "is_error", "resets"]
 
 
 def _streak_fn(n: int):
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        streak, stopped = state.get if state.exists else (0, False)
+        streak, stopped, last_ts, last_seq = state.get if state.exists else (0, False, None, None)
         if stopped:
             for _ in batches:
                 pass
             return
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["attempt_ts", "attempt_seq"])
+        pdf = pd.concat([b[_NARROW] for b in batches], ignore_index=True).sort_values(["attempt_ts", "attempt_seq"])
+        ts = pdf["attempt_ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        seq = pdf["attempt_seq"].astype("int64").to_numpy()
+        if last_ts is not None:      # attempts at or before the counted position are late: they change nothing
+            new = (ts > last_ts) | ((ts == last_ts) & (seq > last_seq))
+            pdf, ts, seq = pdf[new], ts[new], seq[new]
+        if pdf.empty:
+            return
         resets = pdf["resets"].astype(bool).to_numpy()
         errors = pdf["is_error"].astype(bool).to_numpy().astype("int64")
         island = resets.cumsum()
@@ -121,20 +155,24 @@ def _streak_fn(n: int):
         hit = (running == n).nonzero()[0]
         if len(hit):
             row = pdf.iloc[int(hit[0])]
-            state.update((n, True))
+            state.update((n, True, int(ts[hit[0]]), int(seq[hit[0]])))
             yield pd.DataFrame({"crawl_id": [int(key[0])], "attempt_seq": [int(row["attempt_seq"])],
                                 "attempt_ts": [row["attempt_ts"]], "streak": [n]})
         else:
-            state.update((int(running[-1]) if len(running) else streak, False))
+            state.update((int(running[-1]), False, int(ts[-1]), int(seq[-1])))
     return step
 
 
 def error_streak_stream(log: DataFrame, key: str = "crawl_id", n: int = 5) -> DataFrame:
     """STR-4: live consecutive-error counter per crawl; emits the attempt
     at which a crawl reaches ``n`` errors in a row (then stops counting).
-    State is one small record per crawl; each micro-batch is bounded by
-    the source's trigger limits, so a hot crawl never gathers its history."""
-    return (log.select(key, "attempt_ts", "attempt_seq", "is_error", "resets")
+
+    State is one small record per crawl with the place of the last counted
+    attempt: an attempt that arrives later with an earlier place is not
+    counted again.  A micro-batch holds what the source's trigger lets in
+    (set ``maxFilesPerTrigger`` or the like), which bounds what a crawl
+    gathers at once."""
+    return (log.select(key, *_NARROW)
             .groupBy(key)
             .applyInPandasWithState(_streak_fn(n), STREAK_OUT, STREAK_STATE, "append",
                                     GroupStateTimeout.NoTimeout))

@@ -206,3 +206,51 @@ def test_latest_snapshot_from_plain_files(spark):
     assert sorted(r["value"] for r in got.collect()) == ["b", "c"]
     df = spark.createDataFrame([("product_urls_1", "a"), ("product_urls_2", "b"), ("zz", "c")], "snapshot string, v string")
     assert [r["v"] for r in latest_snapshot(df, "product_urls_").collect()] == ["b"]
+
+
+def test_resolve_url_strips_as_the_standard_library_does(spark):
+    from urllib.parse import urljoin
+
+    from gleaner.functions.urls import resolve_url
+    root = "https://shop.example.com"
+    hrefs = [" /p/a ", "\t/p/a", "/p/a\n", "/p\n/a", "\x00\x1f /p/b", "/a/./b/../c", "a//b", "/a//b", "?q=1", "#f", "/a?", "/a#", "//", "///x",
+             "//other.org/x?y#z", "HTTPS:/p/x", "mailto:a@b", "", "/", ".", "..", "/..", "a/", "/a/..", "./p/x.html?src=a&b=./c", "/p/.hidden", "/p/a b"]
+    df = spark.createDataFrame([(h,) for h in hrefs], "href string")
+    got = {r["href"]: r["url"] for r in df.select("href", resolve_url("href", root).alias("url")).collect()}
+    assert got == {h: urljoin(root, h) for h in hrefs}
+
+
+def test_resolve_url_plan_stays_small(spark):
+    from gleaner.functions.urls import resolve_url
+    df = spark.createDataFrame([("/p/a",)], "href string").select(resolve_url("href", "https://shop.example.com").alias("u"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") < 20
+
+
+def test_payload_script_id_is_exact(spark):
+    from gleaner.functions.html import script_by_id
+    html = ('<SCRIPT ID="PRODUCT_STRUCTURED_DATA">{"no":1}</SCRIPT><script id="product_structured_data ">{"no":2}</script>'
+            "<Script type=x Id='product_structured_data'>{\"yes\":1}</sCRIPT>")
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(script_by_id("html", "product_structured_data").alias("p")).first()["p"] == '{"yes":1}'
+
+
+def test_newest_page_is_one_whole_version(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, "u", "old", 200, t), (1, "u", "A", 200, t + dt.timedelta(1)), (1, "u", "B", 404, t + dt.timedelta(1)),
+            (1, "u", "A", 200, t + dt.timedelta(1)), (2, "v", "x", 200, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, status int, fetched_at timestamp")
+    got = catalog.newest_pages(pages)
+    out = {r["url"]: (r["html"], r["status"]) for r in got.collect()}
+    assert got.count() == 2 and out["v"] == ("x", 200) and out["u"] in (("A", 200), ("B", 404))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any("SortAggregate" in line and "html" in line for line in plan.splitlines())
+
+
+def test_containers_with_entity_written_classes_are_found(spark):
+    from gleaner.operators import links
+    html = '<div class="relat&#105;ve rounded&#45;md border-[1px] border-[#e1dfdf]"><a href="/p/x">x</a></div>'
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = links.extract_listing_links(df, "relative rounded-md border-[1px] border-[#e1dfdf]").collect()
+    assert [r["href"] for r in got] == ["/p/x"]

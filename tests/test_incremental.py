@@ -5,11 +5,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner import schemas
 from gleaner.operators import crawl, forest, threads
 from gleaner.plans import flows
 from gleaner.session import scratch_dir
 from gleaner.sinks import writers
 from gleaner.sources import fixtures as fx
+from gleaner.sources import readers
 from gleaner.streaming import jobs
 from tests.conftest import SF_SMALL
 
@@ -20,7 +22,7 @@ def test_ingest_stream_equals_batch_and_replay_is_idempotent(spark):
     jobs.ingest_threads_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", 1).awaitTermination()
     # A second run finds nothing new and changes nothing.
     jobs.ingest_threads_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", 1).awaitTermination()
-    streamed = spark.read.parquet(f"{base}/out/comments").drop("batch_id")
+    streamed = spark.read.parquet(f"{base}/out/comments").drop("query", "batch_id")
     batch = threads.flatten_comments(fx.thread_archive(spark, SF_SMALL))
     assert sorted(streamed.collect()) == sorted(batch.collect())
 
@@ -130,22 +132,108 @@ def test_run_snapshot_needs_a_post(spark):
     assert spark.read.parquet(f"{root}/comments/run=20240101_000000").count() == 0
 
 
-def test_backfill_comments_filtered_by_their_own_time(spark):
-    """D15: a comment goes to the month of its own time; one outside its
-    post's month window is not written with that month."""
-    from gleaner import schemas
+def _thread(i, community, created, comments):
     e = lambda s: int(dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp())
-    rows = [{"id": "p1", "community": "c", "title": "t", "body": "b", "score": 5,
-             "created_epoch": e("2024-01-20 00:00:00"), "num_comments": 2, "comment_page": 0,
-             "comments": [{"id": "in", "body": "x", "score": 1, "created_epoch": e("2024-01-25 00:00:00"),
-                           "author": "a"},
-                          {"id": "late", "body": "y", "score": 1, "created_epoch": e("2024-02-02 00:00:00"),
-                           "author": "a"}]}]
+    return {"id": i, "community": community, "title": "t", "body": "b", "score": 5, "created_epoch": e(created),
+            "num_comments": len(comments), "comment_page": 0,
+            "comments": [{"id": c, "body": "x", "score": 1, "created_epoch": e(t), "author": "a"} for c, t in comments]}
+
+
+def _months_of(spark, root, kind="comments", key="comment_id"):
+    return sorted((r[key], r["scrape_month"]) for r in spark.read.parquet(f"{root}/{kind}").collect())
+
+
+def test_backfill_comments_filtered_by_their_own_time(spark):
+    """D15: a comment goes to the month of its own time, whatever the month
+    of its post."""
+    rows = [_thread("p1", "c", "2024-01-20", [("in", "2024-01-25"), ("late", "2024-02-02"), ("after", "2024-03-02")])]
     root = scratch_dir(spark, "t-d15")
     archive = spark.createDataFrame(rows, schemas.THREAD)
     flows.backfill_by_month(spark, archive, root, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 28), limit=10)
-    got = sorted((r["comment_id"], r["scrape_month"]) for r in spark.read.parquet(f"{root}/comments").collect())
-    assert got == [("in", "2024-01")]
+    assert _months_of(spark, root) == [("in", "2024-01"), ("late", "2024-02")]
+
+
+def test_backfill_resume_leaves_finished_months_alone(spark):
+    """The second run ranks posts of pending months only, and still finds a
+    late comment on a post of a finished month."""
+    rows = [_thread("p1", "c", "2024-01-20", [("in", "2024-01-25"), ("late", "2024-02-20")]),
+            _thread("p2", "c", "2024-02-10", [("feb", "2024-02-11")])]
+    root = scratch_dir(spark, "t-resume")
+    archive = spark.createDataFrame(rows, schemas.THREAD)
+    flows.backfill_by_month(spark, archive, root, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31, 23, 59, 59))
+    flows.backfill_by_month(spark, archive, root, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))     # January is complete now
+    # a post that January would select, had January been done again
+    more = spark.createDataFrame(rows + [_thread("new", "c", "2024-01-05", [])], schemas.THREAD)
+    flows.resume_backfill(spark, more, root, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 28))
+    assert _months_of(spark, root, "posts", "id") == [("p1", "2024-01"), ("p2", "2024-02")]
+    assert _months_of(spark, root) == [("feb", "2024-02"), ("in", "2024-01"), ("late", "2024-02")]
+    months = spark.createDataFrame([("2024-02", dt.datetime(2024, 2, 1))], "scrape_month string, month_start timestamp")
+    plan = flows.pending_posts(more, [("2024-02", dt.datetime(2024, 2, 1))], months, dt.datetime(2024, 1, 1),
+                               dt.datetime(2024, 2, 28), None, 10, "calendar")
+    assert [r["id"] for r in plan.collect()] == ["p2"]
+
+
+def test_backfill_scan_is_bounded_to_pending_months(spark):
+    path = scratch_dir(spark, "t-scan")
+    spark.createDataFrame([_thread("p2", "c", "2024-02-10", [])], schemas.THREAD).write.parquet(path)
+    months = spark.createDataFrame([("2024-02", dt.datetime(2024, 2, 1))], "scrape_month string, month_start timestamp")
+    plan = flows.pending_posts(spark.read.parquet(path), [("2024-02", dt.datetime(2024, 2, 1))], months, dt.datetime(2023, 1, 1),
+                               dt.datetime(2024, 2, 28), None, 10, "calendar")._jdf.queryExecution().executedPlan().toString()
+    feb = int(dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc).timestamp())
+    assert f"GreaterThanOrEqual(created_epoch,{feb})" in plan
+
+
+def test_backfill_month_that_became_empty_keeps_no_rows(spark):
+    root = scratch_dir(spark, "t-empty")
+    first = spark.createDataFrame([_thread("p1", "c", "2024-01-20", [("c1", "2024-01-25")])], schemas.THREAD)
+    span = (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 28))                       # January stays open
+    flows.backfill_by_month(spark, first, root, *span)
+    assert _months_of(spark, root) == [("c1", "2024-01")]
+    flows.backfill_by_month(spark, spark.createDataFrame([], schemas.THREAD), root, *span)
+    assert spark.read.schema("comment_id string").parquet(f"{root}/comments").count() == 0
+
+
+def test_malformed_threads_are_set_aside_with_a_reason(spark):
+    base = scratch_dir(spark, "t-bad")
+    good = '{"id": "p", "community": "c", "title": "t", "created_epoch": 0, "comments": []}'
+    spark.createDataFrame([(good,), ('{"id": "q", "comm',), ('{"community": "c"}',)], "value string").coalesce(1).write.text(f"{base}/in")
+    ok, bad = threads.split_malformed(readers.read_threads(spark, f"{base}/in"))
+    assert [r["id"] for r in threads.project_posts(ok).collect()] == ["p"]
+    assert sorted(r["reason"] for r in bad.select("id", "reason").collect()) == ["malformed_json", "no_id"]
+    assert threads.project_posts(readers.read_threads(spark, f"{base}/in")).count() == 1
+    jobs.ingest_threads_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    assert [r["id"] for r in spark.read.parquet(f"{base}/out/posts").collect()] == ["p"]
+    assert spark.read.parquet(f"{base}/out/quarantine").count() == 2
+    # a fresh checkpoint over the same output does not overwrite what is there
+    jobs.ingest_threads_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt2").awaitTermination()
+    assert spark.read.parquet(f"{base}/out/posts").count() == 2
+
+
+def test_streak_ignores_late_attempts(spark):
+    """A late attempt with an earlier place must not count twice."""
+    base = scratch_dir(spark, "t-late")
+    schema = "crawl_id long, attempt_ts timestamp, attempt_seq long, is_error boolean, resets boolean"
+    t = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)
+    runs = [[(1, t(i), i, True, False) for i in (0, 2, 3)], [(1, t(1), 1, True, False), (1, t(4), 4, True, False)],
+            [(1, t(5), 5, True, False)]]
+    for k, rows in enumerate(runs):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in/run={k}")
+        (jobs.error_streak_stream(spark.readStream.schema(schema).parquet(f"{base}/in/run=*"), n=5).writeStream
+         .format("parquet").option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+         .trigger(availableNow=True).start().awaitTermination())
+    assert [r["attempt_seq"] for r in spark.read.parquet(f"{base}/out").collect()] == [5]
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode():
+    import types
+
+    import pytest
+
+    from gleaner.session import scratch_dir as scratch
+    context = types.SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    fake = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, d=None: None), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        scratch(fake)
 
 
 def test_url_list_keep_blank(spark):
@@ -169,18 +257,27 @@ def test_distinct_urls_stream_with_watermark(spark):
     assert got == ["u1", "u2"]
 
 
-def test_forest_skew_path_matches(spark):
-    from gleaner.functions import ranking
-    edges = fx.comment_forest(spark, SF_SMALL)
-    plain = forest.expand_comment_forest(edges)
-    old = ranking.MAX_GROUP_ROWS
-    try:
-        ranking.MAX_GROUP_ROWS = 0
-        skew = forest.expand_comment_forest(edges)
-        skew_rows = sorted(skew.collect(), key=repr)
-    finally:
-        ranking.MAX_GROUP_ROWS = old
-    assert sorted(plain.collect(), key=repr) == skew_rows
+def _forest(spark, rows):
+    df = spark.createDataFrame(rows, "id string, parent_id string, sibling_key long")
+    return {r["id"]: r for r in forest.expand_comment_forest(df).collect()}
+
+
+def test_forest_keeps_orphans_and_reports_cycles(spark):
+    got = _forest(spark, [("r", None, 0), ("a", "r", 1), ("o", "gone", 0), ("p", "o", 0),
+                          ("x", "y", 0), ("y", "x", 0), ("z", "y", 5)])
+    assert len(got) == 7
+    assert got["o"]["is_orphan"] and got["o"]["root_id"] == "o" and got["p"]["root_id"] == "o" and got["p"]["depth"] == 1
+    assert not got["p"]["is_orphan"] and not got["r"]["is_orphan"]
+    assert all(got[i]["root_id"] is None and got[i]["bfs_no"] is None for i in "xyz")
+
+
+def test_forest_deep_chain_and_hot_parent(spark):
+    depth = 30
+    rows = [("c0", None, 0)] + [(f"c{i}", f"c{i - 1}", 0) for i in range(1, depth)]
+    rows += [("h", None, 0)] + [(f"h{i}", "h", i) for i in range(3000)]
+    got = _forest(spark, rows)
+    assert got[f"c{depth - 1}"]["depth"] == depth - 1 and got[f"c{depth - 1}"]["bfs_no"] == depth
+    assert all(got[f"h{i}"]["bfs_no"] == i + 2 for i in range(3000))
 
 
 def test_read_checkpoint_missing_or_malformed(spark):

@@ -145,7 +145,7 @@ def test_listing_period_trailing_window(spark):
     df = ts_df(spark, ["2024-03-09 12:00:00", "2024-03-10 00:00:01", "2024-03-11 00:00:00", "2024-03-11 00:00:01"])
     out = periods.listing_period(df, "t", "day", "2024-03-11 00:00:00").count()
     assert out == 2
-    assert periods.listing_period(df, "t", "all", "2024-03-11 00:00:00").count() == 3
+    assert periods.listing_period(df, "t", "all", "2024-03-11 00:00:00").count() == 4     # no bound at all
     with pytest.raises(ValueError):
         periods.listing_period(df, "t", "decade", "2024-03-11")
 
