@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LANE = 32                # longest piece, in bytes, of the batched trees
-KEPT_PIECES = 600_000    # pieces a worker remembers before it starts afresh
+KEPT_PIECES = 150_000    # pieces a worker remembers before it starts afresh
 _NONE = np.int32((1 << 22) - 1)   # above every rank; rank << 8 | position fits 31 bits
 
 

@@ -14,7 +14,7 @@ from gleaner.session import materialize
 
 # Bytes of text one numpy pass works on: temporaries are a few dozen bytes
 # per text byte, so a task's memory follows this and its longest document.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 BLOOM_BITS = 1 << 23     # of the filter in texts_of: 131,072 rows of 64 bits at most
 
 

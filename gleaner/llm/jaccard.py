@@ -17,8 +17,11 @@ similarity t or more meet in the first n - ceil(t n) + 1 shingles of each
    node only, so a group of near copies costs as many pairs as it has nodes.
    Verified links give provisional components.
 4. Cross round: nodes of one block that are still in different components are
-   paired, each pair once.  Pairs inside a component need no look: they change
-   nothing.  So every link between components is found, and no link is lost.
+   paired.  Pairs inside a component need no look: they change nothing.  So
+   every link between components is found, and no link is lost.  An entry
+   carries the two shingles before it in its node's prefix: where one of them
+   is common too, the pair has met there already and is not made again, so a
+   pair comes out once a stretch of common shingles, not once a shingle.
 
 A pair is discarded when its sizes cannot reach the threshold, or when its
 sketches differ in more bits than the size-derived bound on the symmetric
@@ -44,8 +47,9 @@ WORDS = 4                # words of a shingle
 PERCENT = 85             # 100 * intersection >= PERCENT * union
 SKETCH_WORDS = 16        # 64-bit words of the parity sketch
 SKETCH_BITS = 64 * SKETCH_WORDS
-FREQUENT = 100_000       # shingles moved to the end of the order: 0.8 MB
-REPEATS = 4              # texts of one batch that hold a shingle before it counts as frequent
+FREQUENT = 300_000       # shingles moved to the end of the order: 2.4 MB
+REPEATS = 3              # texts of one slice that hold a shingle before it counts as frequent
+SLICE = 2_000_000        # shingles of a slice
 
 
 def _sketch(shingles: np.ndarray) -> list[int]:
@@ -64,36 +68,44 @@ def _node_of(shingles: np.ndarray) -> int:
 def _profile(size: int):
     names = ["kind", "doc_id", "text_hash", "node", "n", "sketch"]
 
+    def repeated(seen: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(seen), return_counts=True)
+        often = np.flatnonzero(counts >= REPEATS)
+        k, none = len(often), lambda t: pa.nulls(len(often), t)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.ones(k, np.int32)), none(pa.int64()), none(pa.int64()), pa.array(found[often].astype(np.int64)),
+            pa.array(counts[often].astype(np.int64)), none(pa.list_(pa.int64()))], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held = [], 0
         for batch in batches:
-            nodes, sizes, sketches, seen = [], [], [], []
+            nodes, sizes, sketches = [], [], []
             for _, s in shingle_sets(*utf8_parts(batch.column(1)), size):
                 nodes.append(_node_of(s) if len(s) else None)
                 sizes.append(len(s))
                 sketches.append(_sketch(s) if len(s) else None)
                 seen.append(s)
-            found, counts = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64),) * 2
-            often = np.flatnonzero(counts >= REPEATS)
-            k = len(often)
-            rows = len(nodes)
+                held += len(s)
+                if held >= SLICE:
+                    yield repeated(seen)
+                    seen, held = [], 0
             yield pa.RecordBatch.from_arrays([
-                pa.array([0] * rows + [1] * k, pa.int32()),
-                pa.concat_arrays([batch.column(0), pa.nulls(k, pa.int64())]),
-                pa.concat_arrays([batch.column(2), pa.nulls(k, pa.int64())]),
-                pa.array(nodes + found[often].astype(np.int64).tolist(), pa.int64()),
-                pa.array(sizes + counts[often].tolist(), pa.int64()),
-                pa.array(sketches + [None] * k, pa.list_(pa.int64()))], names)
+                pa.array(np.zeros(len(nodes), np.int32)), batch.column(0), batch.column(2), pa.array(nodes, pa.int64()),
+                pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))], names)
+        if seen:
+            yield repeated(seen)
     return run
 
 
 def _prefixes(size: int, percent: int, frequent: np.ndarray):
-    """Entries (shingle, node) of each text's prefix."""
+    """Entries (shingle, node, before) of each text's prefix; before: 32 bits
+    of each of the two shingles in front, 0 for none."""
     order = np.argsort(frequent)
     known, place = frequent[order], order            # place: how frequent, 0 the most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shingles, nodes, lengths = [], [], []
+            shingles, nodes, lengths, before = [], [], [], []
             done = set()                             # copies in one batch are emitted once
             for _, s in shingle_sets(*utf8_parts(batch.column(0)), size):
                 n = len(s)
@@ -113,11 +125,17 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray):
                 else:
                     s_ordered = s
                 shingles.append(s_ordered[:take])
+                half = (s_ordered[:take] >> np.uint64(32)) | np.uint64(1)
+                front = np.zeros(take, np.uint64)
+                front[1:] = half[:-1] << np.uint64(32)
+                front[2:] |= half[:-2]
+                before.append(front)
                 nodes.append(node)
                 lengths.append(take)
             flat = np.concatenate(shingles) if shingles else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat.astype(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), lengths))], ["shingle", "node"])
+                [pa.array(flat.astype(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), lengths)),
+                 pa.array((np.concatenate(before) if before else flat).astype(np.int64))], ["shingle", "node", "before"])
     return run
 
 
@@ -139,6 +157,10 @@ def _overlaps(size: int, percent: int):
     return run
 
 
+def _front(before: str, side: str) -> list:
+    return [F.shiftrightunsigned(before, 32).alias(f"{side}1"), F.col(before).bitwiseAND(F.lit(0xFFFFFFFF)).alias(f"{side}2")]
+
+
 def _reachable(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow a link."""
     left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -184,7 +206,7 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     sketches = nodes.select("node", "n", "sketch")
     owners = nodes.where("doc_id is not null").select("node", "doc_id", "text_hash")
 
-    entries = materialize(docs.select("text").mapInArrow(_prefixes(size, percent, frequent), "shingle long, node long"),
+    entries = materialize(docs.select("text").mapInArrow(_prefixes(size, percent, frequent), "shingle long, node long, before long"),
                           "jaccard-entries")
     blocks = (entries.groupBy("shingle").agg(F.min("node").alias("least"), F.max("node").alias("most"))
               .where("least != most").select("shingle", "least"))
@@ -195,14 +217,16 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     links = materialize(_verified(docs, owners, star, size, percent), "jaccard-links")
     found = connected_components(links)
 
-    placed = (shared.select("shingle", "node").join(nodes.select("node", "n"), "node").join(found, "node", "left")
-              .select("shingle", "node", "n", F.coalesce("component", "node").alias("root")))
+    placed = (shared.select("shingle", "node", "before").join(nodes.select("node", "n"), "node").join(found, "node", "left")
+              .select("shingle", "node", "before", "n", F.coalesce("component", "node").alias("root")))
     placed = materialize(placed, "jaccard-placed")
     mixed = (placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
              .where("low != high").select("shingle"))
-    left = placed.join(mixed, "shingle").select("shingle", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    right = placed.select("shingle", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+    left = placed.join(mixed, "shingle").select("shingle", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"),
+                                                 *_front("before", "x"))
+    right = placed.select("shingle", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), *_front("before", "y"))
     cross = (left.join(right, "shingle").where("rx < ry")
+             .where("not ((x1 != 0 and (x1 = y1 or x1 = y2)) or (x2 != 0 and (x2 = y1 or x2 = y2)))")
              .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     cross = materialize(_reachable(cross, sketches, percent), "jaccard-cross")
