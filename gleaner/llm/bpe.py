@@ -288,9 +288,10 @@ def encode_udf(path: str, pattern: str):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tok = tokenizer(path, pattern)
         for texts in batches:
-            out = [ids for group in _text_groups(texts) for ids in tok.encode_batch(group)]
-            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in out]))).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4"), pa.int32()))
+            for group in _text_groups(texts):          # as many rows out as in, a few texts at a time
+                out = tok.encode_batch(group)
+                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in out]))).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4"), pa.int32()))
     return encode
 
 
