@@ -180,6 +180,12 @@ def _read_kind(spark: SparkSession, root: str, kind: str) -> DataFrame:
         raise
 
 
+def backfill_last_years(spark: SparkSession, threads_df: DataFrame, root: str, as_of: dt.datetime,
+                        years: int = BACKFILL_YEARS, **kw) -> DataFrame:
+    """PIP-4 over the ``years`` times 365 days before ``as_of``."""
+    return backfill_by_month(spark, threads_df, root, periods.years_back(as_of, years), as_of, **kw)
+
+
 def resume_backfill(spark: SparkSession, threads_df: DataFrame, root: str, start, end, **kw) -> DataFrame:
     """STR-5: a restart continues after the complete months (the manifest
     is the checkpoint); open or missing months are recomputed."""

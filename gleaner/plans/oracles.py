@@ -376,6 +376,8 @@ c AS (SELECT q.*, strftime(created_utc, '%Y-%m') AS scrape_month FROM ({comments
 SELECT *, 'posts' AS kind FROM top UNION ALL BY NAME SELECT *, 'comments' AS kind FROM c"""
 ORACLES["backfill_by_month"] = _BACKFILL.format(posts=POSTS, comments=COMMENTS, limit=500)
 ORACLES["backfill_by_month_top20"] = _BACKFILL.format(posts=POSTS, comments=COMMENTS, limit=20)
+ORACLES["backfill_last_years"] = ORACLES["backfill_by_month"].replace(
+    "date_trunc('month', min(o_orderdate))", "date_trunc('month', max(o_orderdate) - INTERVAL 1825 DAY)")
 # The first run ends on 1998-06-15: months before June were finished with the
 # posts known then (test comments may be older than their post); the second
 # run does June and later only.

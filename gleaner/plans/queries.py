@@ -690,6 +690,13 @@ def q_backfill_by_month_top20(spark, sf_dir):
     return _backfill(spark, sf_dir, 20)
 
 
+@register("backfill_last_years")
+def q_backfill_last_years(spark, sf_dir):
+    root = scratch_dir(spark, "backfill-years")
+    flows.backfill_last_years(spark, fx.thread_archive(spark, sf_dir), root, _max_order_date(spark, sf_dir))
+    return flows.read_backfill(spark, root)
+
+
 @register("resume_backfill")
 def q_resume_backfill(spark, sf_dir):
     """First run stops mid-range; the second run over the whole range only

@@ -25,26 +25,6 @@ THREAD = T.StructType([
     T.StructField("comments", T.ArrayType(COMMENT)),
 ])
 
-POSTS = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("title", T.StringType()),
-    T.StructField("body", T.StringType()),
-    T.StructField("score", T.LongType()),
-    T.StructField("created_utc", T.TimestampType()),
-    T.StructField("num_comments", T.LongType()),
-    T.StructField("community", T.StringType()),
-])
-
-COMMENTS = T.StructType([
-    T.StructField("comment_id", T.StringType(), False),
-    T.StructField("post_id", T.StringType(), False),
-    T.StructField("body", T.StringType()),
-    T.StructField("score", T.LongType()),
-    T.StructField("created_utc", T.TimestampType()),
-    T.StructField("author", T.StringType()),
-    T.StructField("community", T.StringType()),
-])
-
 PAGES = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("url", T.StringType()),
@@ -74,18 +54,6 @@ PRODUCT_PAYLOAD = T.StructType([
     T.StructField("review", T.ArrayType(_REVIEW)),
 ])
 
-PRODUCTS = T.StructType([
-    T.StructField("url", T.StringType()),
-    T.StructField("sku", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("brand", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("size", T.StringType()),
-    T.StructField("ingredients", T.StringType()),
-    T.StructField("image_urls", T.ArrayType(T.StringType())),
-    T.StructField("scraped_at", T.TimestampType()),
-])
-
 CHECKPOINT = T.StructType([
     T.StructField("last_date", T.StringType()),
     T.StructField("_corrupt_record", T.StringType()),
@@ -99,11 +67,3 @@ MANIFEST = T.StructType([
     T.StructField("last_date", T.TimestampType()),
 ])
 
-CRAWL_LOG = T.StructType([
-    T.StructField("crawl_id", T.LongType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("attempt_ts", T.TimestampType()),
-    T.StructField("attempt_seq", T.LongType()),
-    T.StructField("status", T.IntegerType()),
-    T.StructField("n_results", T.LongType()),
-])
