@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleaner.llm import ann, bpe, jaccard, langid, mixing, neardup, passages, secret_scan, toxicity, url_filter
+from gleaner.llm import ann, bpe, jaccard, langid, mixing, neardup, oracles, passages, secret_scan, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+# Where SQL can express the result by plain means.
+ORACLES: dict[str, str] = {"op3_secret_scan": oracles.SECRETS, "op4_ngram_jaccard": oracles.JACCARD,
+                           "op8_embedding_dedup": oracles.VECTOR_LINKS}
 
 
 def query(name: str) -> Callable[[Query], Query]:
