@@ -7,15 +7,16 @@ similarity t or more meet in the first n - ceil(t n) + 1 shingles of each
 (n the set's size).  Spark blocks the product by shingle.
 
 1. One pass over the texts gives each row its node, size and a parity sketch
-   (every shingle flips one of ``SKETCH_BITS`` bits), and counts shingles that
+   (every shingle flips one bit), and counts shingles that
    repeat inside a batch.  The most frequent of these, a bounded list, come
    last in the global order, so passages that many texts share stay out of
    the prefixes.  The order changes cost only, never links.
 2. A second pass emits the prefix entries (shingle, node).  Shingles with one
    node fall away.
-3. Star round: in each block every node is paired with the block's least
-   node only, so a group of near copies costs as many pairs as it has nodes.
-   Verified links give provisional components.
+3. Star rounds: in each block every node is paired with one leader only (the
+   least node, then others for nodes not yet in the leader's component), so a
+   group of near copies costs as many pairs as it has nodes.  Verified links
+   give provisional components.
 4. Cross round: nodes of one block that are still in different components are
    paired.  Pairs inside a component need no look: they change nothing.  So
    every link between components is found, and no link is lost.  An entry
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import connected_components, mix64, texts_of, utf8_parts
@@ -45,16 +46,19 @@ from gleaner.session import materialize
 
 WORDS = 4                # words of a shingle
 PERCENT = 85             # 100 * intersection >= PERCENT * union
-SKETCH_WORDS = 16        # 64-bit words of the parity sketch
-SKETCH_BITS = 64 * SKETCH_WORDS
+SKETCH_WORDS = 16        # least 64-bit words of a parity sketch
+STARS = 3                # star rounds before the cross round
 FREQUENT = 300_000       # shingles moved to the end of the order: 2.4 MB
 REPEATS = 3              # texts of one slice that hold a shingle before it counts as frequent
 SLICE = 2_000_000        # shingles of a slice
 
 
 def _sketch(shingles: np.ndarray) -> list[int]:
-    at = (mix64(shingles + np.uint64(77)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    bits = (np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    """Parity bits, a power of two of them and as many as shingles at least,
+    so that the bound on the difference of two sets of any size can bite."""
+    size = max(64 * SKETCH_WORDS, 1 << (len(shingles) - 1).bit_length())
+    at = (mix64(shingles + np.uint64(77)) & np.uint64(size - 1)).astype(np.int64)
+    bits = (np.bincount(at, minlength=size) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").view("<i8").tolist()
 
 
@@ -166,10 +170,18 @@ def _reachable(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    xor = lambda x, y: x.bitwiseXOR(y)
+
+    def folded(mine: str, other: str) -> Column:
+        """The longer sketch folded to the other's length (sizes that can link differ by one fold at most)."""
+        half = F.size(other)
+        return F.when(F.size(mine) > half, F.zip_with(F.slice(mine, 1, half), F.slice(mine, half + 1, half), xor)).otherwise(F.col(mine))
+
+    apart = F.aggregate(F.zip_with(folded("sa", "sb"), folded("sb", "sa"), lambda x, y: F.bit_count(xor(x, y))),
+                        F.lit(0), lambda s, x: s + x)
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     # overlap >= t * union  <=>  symmetric difference <= (1 - t) / (1 + t) * (na + nb)
-    return (both.where(100 * small >= percent * large)
+    return (both.where(100 * small >= percent * large)       # first: only such sketches fold to one length
             .where(apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
@@ -212,10 +224,21 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
               .where("least != most").select("shingle", "least"))
     shared = materialize(entries.join(blocks, "shingle").distinct(), "jaccard-shared")
 
-    star = shared.where("node != least").select(F.least("node", "least").alias("a"), F.greatest("node", "least").alias("b")).distinct()
-    star = materialize(_reachable(star, sketches, percent), "jaccard-star")
-    links = materialize(_verified(docs, owners, star, size, percent), "jaccard-links")
-    found = connected_components(links)
+    # star rounds: the least node of a block first, then other leaders for nodes not yet with the last one
+    links, found = None, None
+    for turn in range(STARS):
+        if turn == 0:
+            star = shared.where("node != least").select(F.col("node"), F.col("least").alias("lead"))
+        else:
+            rooted = shared.select("shingle", "node").join(found, "node", "left").select(
+                "shingle", "node", F.coalesce("component", "node").alias("root"))
+            lead = rooted.groupBy("shingle").agg(F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")).alias("l"))
+            star = (rooted.join(lead, "shingle").where("root != l.root").select("node", F.col("l.node").alias("lead")))
+        star = star.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+        star = materialize(_reachable(star, sketches, percent), "jaccard-star")
+        new = materialize(_verified(docs, owners, star, size, percent), "jaccard-links")
+        links = new if links is None else links.unionAll(new)
+        found = connected_components(links)
 
     placed = (shared.select("shingle", "node", "before").join(nodes.select("node", "n"), "node").join(found, "node", "left")
               .select("shingle", "node", "before", "n", F.coalesce("component", "node").alias("root")))
