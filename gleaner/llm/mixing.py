@@ -1,15 +1,19 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 A source's documents, in an order shuffled by hash, are cut into blocks of
-``block_docs``.  Weights become whole quotas that add up to ``round_slots``
-blocks, so a round of that many slots holds every source's share exactly.  In
-a round of m slots, block k (from 0) of a source with quota q is released at
-slot floor(k * m / q) and due before slot ceil((k + 1) * m / q); every slot
-takes the released block with the earliest deadline.  On one resource that
-keeps every source less than one block from its share at every slot.
+``block_docs``.  Weights become the smallest whole quotas in their proportions,
+so a round of as many slots as they add up to holds every source's share
+exactly.  The share itself is a fluid: after u rounds a source with quota q and
+n blocks has had min(q * u, n) of them, at slot t(u), the sum of these over all
+sources.  So weights hold until a source's last block and the others go on in
+their proportions from there, in the middle of a round too.  Block k (from 0)
+is released at slot floor(t(k / q)) and due before slot ceil(t((k + 1) / q));
+every slot takes the released block with the earliest deadline.  On one
+resource that keeps every source less than one block from its share at every
+slot, whatever the sources' sizes.
 
 At the end of a round every source is exactly at its share, so all rounds with
-the same quotas have the same schedule.  Quotas change only where a source
+the same blocks have the same schedule.  Rounds change only where a source
 runs out: its last round holds what is left, later rounds go on without it,
 and no document is dropped or repeated.  With S weighted sources there are at
 most 2 S + 1 phases of equal rounds.  Their bounds are worked out from one
@@ -27,6 +31,8 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Mapping
+from fractions import Fraction
+from math import gcd, lcm
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -34,32 +40,55 @@ from pyspark.sql import functions as F
 
 from gleaner.session import materialize
 
-ROUND_SLOTS = 1000    # blocks of a full round
+ROUND_SLOTS = 1000    # blocks of a full round where the weights have no exact one of EXACT_SLOTS
+EXACT_SLOTS = 100_000 # longest round taken to hold the weights exactly
 BLOCK_DOCS = 16       # documents of a block
 RANGE_ROWS = 4096     # rows aimed at in one numbering window
 REST = "(rest)"       # the entry of sources without a weight of their own
 
 
-def pfair_slots(quotas: Mapping[str, int]) -> list[tuple[int, str, int]]:
+def pfair_slots(blocks: Mapping[str, int], quotas: Mapping[str, int] | None = None) -> list[tuple[int, str, int]]:
     """(slot, source, k) of one round: the earliest deadline first among
-    released blocks, ties by source name."""
-    slots = sum(quotas.values())
-    waiting = [(0, -(-slots // q), s, 0) for s, q in quotas.items() if q > 0]   # release, deadline, source, k
+    released blocks, ties by source name.  ``quotas`` are those of a full
+    round, of which the sources still have ``blocks``; None: the same."""
+    quotas = quotas or blocks
+    held = [(quotas[s], n) for s, n in blocks.items() if n > 0]
+
+    def scaled(s: str, k: int) -> int:
+        """The slot, times s's quota, at which s's share reaches k blocks."""
+        return sum(min(q * k, n * quotas[s]) for q, n in held)
+
+    def entry(s: str, k: int) -> tuple[int, int, str, int]:
+        return scaled(s, k) // quotas[s], -(-scaled(s, k + 1) // quotas[s]), s, k     # release, deadline, source, k
+
+    waiting = [entry(s, 0) for s, n in blocks.items() if n > 0]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
     out = []
-    for slot in range(slots):
+    for slot in range(sum(blocks.values())):
         while waiting and waiting[0][0] <= slot:
             _, due, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (due, s, k))
         _, s, k = heapq.heappop(ready)
         out.append((slot, s, k))
-        if k + 1 < quotas[s]:
-            q = quotas[s]
-            heapq.heappush(waiting, ((k + 1) * slots // q, -(-(k + 2) * slots // q), s, k + 1))
+        if k + 1 < blocks[s]:
+            heapq.heappush(waiting, entry(s, k + 1))
     return out
 
 
+def exact_quotas(weights: Mapping[str, float]) -> dict[str, int]:
+    """The smallest whole numbers in the weights' proportions; weights whose
+    round would be longer than EXACT_SLOTS are rounded to ROUND_SLOTS."""
+    if any(not w > 0 for w in weights.values()):
+        raise ValueError("weights must be positive")
+    parts = {s: Fraction(str(w)) for s, w in weights.items()}       # as written: 0.1 is a tenth
+    whole = lcm(*[f.denominator for f in parts.values()])
+    quotas = {s: int(f * whole) for s, f in parts.items()}
+    shared = gcd(*quotas.values())
+    quotas = {s: q // shared for s, q in quotas.items()}
+    return quotas if sum(quotas.values()) <= EXACT_SLOTS else round_quotas(weights, max(ROUND_SLOTS, len(weights)))
+
+
 def round_quotas(weights: Mapping[str, float], round_slots: int) -> dict[str, int]:
     """Whole quotas of a round, at least one each, by largest remainder."""
     if any(not w > 0 for w in weights.values()):
@@ -76,7 +105,7 @@ def round_quotas(weights: Mapping[str, float], round_slots: int) -> dict[str, in
 
 
 def phases(blocks: Mapping[str, int], quotas: Mapping[str, int]) -> list[tuple[int, int, dict[str, int]]]:
-    """(first round, first slot, quotas) of each stretch of equal rounds."""
+    """(first round, first slot, blocks of a round) of each stretch of equal rounds."""
     marks = sorted({0} | {b // quotas[s] for s, b in blocks.items()} | {-(-b // quotas[s]) for s, b in blocks.items()})
     out, start = [], 0
     for a, b in zip(marks, marks[1:]):
@@ -96,21 +125,26 @@ def _entry(weights: Mapping[str, float]) -> Column:
 
 
 def mix_positions(docs: DataFrame, weights: Mapping[str, float], rest_weight: float = 1.0,
-                  block_docs: int = BLOCK_DOCS, round_slots: int = ROUND_SLOTS) -> DataFrame:
+                  block_docs: int = BLOCK_DOCS, round_slots: int | None = None) -> DataFrame:
     """The mixed order: one row per (mix_source, mix_key) with block, slot
     and position, ``position`` rising in mixed order (slot * block_docs +
     place in the block).
 
     mix_key is the doc_id, or the text's hash where the id is null; repeated
     rows share their place.  Null sources count with the rest; weights of
-    absent sources have no effect; no rows give no rows."""
+    absent sources have no effect; no rows give no rows.
+
+    ``round_slots`` asks for rounds of a fixed length, each spread evenly on
+    its own: there the blocks of a source's last round follow what is left of
+    it, not the weights.  None (all queries) keeps to the weights throughout."""
     spark = docs.sparkSession
     weights = {**weights, REST: rest_weight}
     units = materialize(docs.select(_entry(weights).alias("mix_source"), _unit_key().alias("mix_key")).distinct(), "mix-units")
     sizes = {r["mix_source"]: r["count"] for r in units.groupBy("mix_source").count().collect()}   # one row a weight at most
     if not sizes:
         return units.select("mix_source", "mix_key", *[F.lit(0).cast("long").alias(c) for c in ("block", "slot", "position")])
-    quotas = round_quotas({s: weights[s] for s in sizes}, round_slots)
+    present = {s: weights[s] for s in sizes}
+    quotas = exact_quotas(present) if round_slots is None else round_quotas(present, round_slots)
     plan = phases({s: -(-n // block_docs) for s, n in sizes.items()}, quotas)
 
     # place in the source: hash ranges, rows inside a range, rows before it
@@ -132,12 +166,13 @@ def mix_positions(docs: DataFrame, weights: Mapping[str, float], rest_weight: fl
               .withColumn("first_round", F.array_max(F.filter(starts, lambda a: a <= F.col("_round")))))
 
     table = spark.createDataFrame([(a, start, sum(own.values()), own) for a, start, own in plan],
-                                  "first_round long, first_slot long, period long, quotas map<string,long>")
+                                  "first_round long, first_slot long, period long, blocks map<string,long>")
 
     def schedule(batches):
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                got = pd.DataFrame(pfair_slots({s: int(q) for s, q in dict(r.quotas).items()}), columns=["at", "mix_source", "k"])
+                blocks = {s: int(n) for s, n in dict(r.blocks).items()}
+                got = pd.DataFrame(pfair_slots(blocks, quotas if round_slots is None else None), columns=["at", "mix_source", "k"])
                 yield got.assign(first_round=r.first_round, first_slot=r.first_slot, period=r.period)
 
     slots = materialize(table.repartition(max(1, len(plan))).mapInPandas(
@@ -149,7 +184,7 @@ def mix_positions(docs: DataFrame, weights: Mapping[str, float], rest_weight: fl
 
 
 def mixed_order(docs: DataFrame, weights: Mapping[str, float], rest_weight: float = 1.0,
-                block_docs: int = BLOCK_DOCS, round_slots: int = ROUND_SLOTS) -> DataFrame:
+                block_docs: int = BLOCK_DOCS, round_slots: int | None = None) -> DataFrame:
     """One row per document row: doc_id, source, block, slot, position."""
     places = mix_positions(docs, weights, rest_weight, block_docs, round_slots)
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("source").alias("source"),
@@ -158,7 +193,7 @@ def mixed_order(docs: DataFrame, weights: Mapping[str, float], rest_weight: floa
 
 
 def mix_documents(docs: DataFrame, weights: Mapping[str, float], rest_weight: float = 1.0,
-                  block_docs: int = BLOCK_DOCS, round_slots: int = ROUND_SLOTS) -> DataFrame:
+                  block_docs: int = BLOCK_DOCS, round_slots: int | None = None) -> DataFrame:
     """All rows of ``docs``, columns unchanged, laid out in mixed order: the
     partitions follow one another in position, and so do the rows in each.
     Positions are dense, so partition bounds are arithmetic, not sampled."""

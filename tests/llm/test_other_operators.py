@@ -1,6 +1,7 @@
 """Mixing, vectors, urls, the pipeline and the registration."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -59,6 +60,45 @@ def test_mixed_order_equals_round_by_round_schedule(spark):
     assert all(taken.count(s) == q for s, q in quotas.items())
 
 
+def shares(blocks, weights):
+    """Each source's share at every slot: weights among the sources that last, a block at a time in fractions."""
+    out, have = [], dict.fromkeys(blocks, Fraction(0))
+    for _ in range(sum(blocks.values())):
+        left = Fraction(1)
+        while left:
+            active = [s for s in blocks if have[s] < blocks[s]]
+            total = sum(weights[s] for s in active)
+            step = min([left] + [(blocks[s] - have[s]) * total / weights[s] for s in active])
+            for s in active:
+                have[s] += step * weights[s] / total
+            left -= step
+        out.append(dict(have))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[4] * 20, [32] * 20, [1 + 7 * i % 40 for i in range(20)]])
+def test_every_prefix_follows_the_weights(spark, sizes):
+    names = [f"src{i}" for i in range(20)]
+    blocks = dict(zip(names, sizes))
+    rows = [(i, f"t{i}", "en", s, 2) for i, s in enumerate(s for s, n in blocks.items() for _ in range(2 * n))]
+    got = mixing.mixed_order(spark.createDataFrame(rows, DOCS), corpus_pipeline.MIX_WEIGHTS, block_docs=2).collect()
+    at = {r["slot"]: r["source"] for r in got}
+    assert len(got) == len(rows) and sorted(at) == list(range(sum(sizes)))
+    weights = {s: Fraction(w) for s, w in corpus_pipeline.MIX_WEIGHTS.items()}
+    have = dict.fromkeys(names, 0)
+    for slot, share in enumerate(shares(blocks, weights)):
+        have[at[slot]] += 1
+        assert all(abs(have[s] - share[s]) < 1 for s in names), slot
+
+
+def test_rounds_are_the_smallest_exact_ones():
+    assert sum(mixing.exact_quotas(corpus_pipeline.MIX_WEIGHTS).values()) == 35
+    assert mixing.exact_quotas({"a": 0.3, "b": 0.1, "c": 2.0}) == {"a": 3, "b": 1, "c": 20}
+    assert sum(mixing.exact_quotas({"a": 0.123456789, "b": 1.0}).values()) == mixing.ROUND_SLOTS
+    with pytest.raises(ValueError):
+        mixing.exact_quotas({"a": 0.0})
+
+
 def test_mixing_edge_cases(spark):
     docs = spark.createDataFrame([(1, "x", "en", "a", 1), (1, "x", "en", "a", 1), (None, "y", "en", "a", 1), (None, None, None, None, None)], DOCS)
     both = docs.withColumn("slot", F.lit(7)).withColumn("mix_source", F.lit("own"))
