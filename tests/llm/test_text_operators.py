@@ -347,6 +347,71 @@ def test_passages_find_exact_and_near_repeats_and_leave_clean_texts(spark):
     assert passages.near_duplicate_passages(df.where("doc_id is null")).count() == 0
 
 
+def word_shingles(words):
+    return np.array([int.from_bytes(hashlib.sha1(" ".join(map(str, words[i:i + 5])).encode()).digest()[:7]) for i in range(len(words) - 4)], np.uint64)
+
+
+def passage_places(x, y, least=46, similarity=0.8):
+    """Common shingles of x inside any stretch, from one common shingle to
+    another, that reaches the threshold (texts that do not repeat themselves)."""
+    spot = {v: i for i, v in enumerate(y.tolist())}
+    at = [i for i, v in enumerate(x.tolist()) if v in spot]
+    to = [spot[v] for v in x[at].tolist()]
+    out = set()
+    for a in range(len(at)):
+        for b in range(a, len(at)):
+            n, both = at[b] - at[a] + 1, b - a + 1
+            other = max(to[a:b + 1]) - min(to[a:b + 1]) + 1
+            if n >= least and both >= similarity * (n + other - both):
+                out.update(at[a:b + 1])
+    return out
+
+
+def found_places(x, y):
+    got = passages.shared_passages(x, y, 46, 0.8)
+    assert all(f[1] - f[0] >= 45 and f[4] >= 0.8 for f in got)
+    common = np.flatnonzero(np.isin(x, y)).tolist()
+    return {i for f in got for i in common if f[0] <= i <= f[1]}
+
+
+def test_passages_inside_weaker_chains_are_found():
+    rnd, count = random.Random(12), iter(range(10 ** 6))
+    words = lambda n: [next(count) for _ in range(n)]
+    for _ in range(25):
+        near, weak = words(60), words(rnd.randint(30, 90))
+        changed, weaker = list(near), list(weak)
+        changed[30] = next(count)                      # Jaccard 0.84, no exact run of 46
+        weaker[7::8] = words(len(weaker[7::8]))        # three common shingles in eight: the chain goes on
+        x, y = word_shingles(words(9) + near + weak), word_shingles(changed + weaker + words(20))
+        want = passage_places(x, y)
+        assert want and found_places(x, y) == want
+    runs, between = words(98), words(7)                # two runs of 45 shingles, 11 changed between: 0.80 as a whole
+    x, y = word_shingles(runs[:49] + between + runs[49:]), word_shingles(runs[:49] + words(7) + runs[49:])
+    assert len(passages.shared_passages(x, y, 46, 0.8)) == 1
+
+
+def test_passages_cover_all_stretches_of_edited_texts():
+    rnd, count = random.Random(13), iter(range(10 ** 6))
+    words = lambda n: [next(count) for _ in range(n)]
+    some = 0
+    for _ in range(60):
+        text = words(rnd.randint(60, 160))
+        other = list(text)
+        for _ in range(rnd.randint(1, 16)):
+            i, n = rnd.randrange(len(other)), rnd.choice([0, 1, 1, 9])
+            other[i:i + n] = words(rnd.choice([0, 1, 1, 12]))
+        x, y = word_shingles(text), word_shingles(other)
+        want = passage_places(x, y)
+        some += bool(want) and len(want) < len(x) // 2
+        assert found_places(x, y) == want
+    assert some >= 3
+    phrase = words(3)
+    line = [w for _ in range(40) for w in phrase]      # texts that repeat themselves, among other words
+    assert [f[:2] for f in passages.shared_passages(word_shingles(words(30) + line), word_shingles(line + words(50)), 46, 0.8)] == [(30, 145)]
+    block = words(20) * 4
+    assert found_places(word_shingles(words(40) + block), word_shingles(words(5) + block))
+
+
 # ---------------------------------------------------------------- 9 language, 10 toxicity
 
 def test_language_id_holds_out_accuracy_and_defined_cases(spark):
