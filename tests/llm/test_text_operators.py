@@ -347,6 +347,27 @@ def test_passages_find_exact_and_near_repeats_and_leave_clean_texts(spark):
     assert passages.near_duplicate_passages(df.where("doc_id is null")).count() == 0
 
 
+@pytest.mark.parametrize("quotes", [5, 20])
+def test_short_quotes_before_full_copies_hide_no_passage(spark, quotes):
+    rnd, count = random.Random(quotes), iter(range(10 ** 6))
+    words = lambda n: [f"q{next(count)}" for _ in range(n)]
+    texts, want = {}, set()
+    for case in range(40):
+        passage, first = words(60), 100 * case
+        for i in range(quotes):
+            n = rnd.randint(30, 49)
+            a = rnd.randint(0, 60 - n)
+            texts[first + i] = words(30) + passage[a:a + n] + words(30)
+        for i in (50, 51):
+            texts[first + i] = words(40) + passage + words(40)
+        want.add((first + 51, first + 50))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = passages.near_duplicate_passages(df).collect()
+    pairs = {(max(r["doc_id"], r["partner_id"]), min(r["doc_id"], r["partner_id"])) for r in got}
+    assert pairs == want
+    assert all(r["similarity"] == 1.0 and r["stop"] - r["start"] == 60 for r in got)
+
+
 def word_shingles(words):
     return np.array([int.from_bytes(hashlib.sha1(" ".join(map(str, words[i:i + 5])).encode()).digest()[:7]) for i in range(len(words) - 4)], np.uint64)
 
