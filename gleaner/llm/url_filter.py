@@ -4,7 +4,7 @@ Every url is split into host and path and judged by the longest rule that fits
 its host (or a parent domain) and the start of its path.  Pages also say which
 other urls they are: canonical links and refresh redirects in their html are
 edges between url keys (scheme, fragment and tracking parameters dropped), and
-urls of one key are one node.  Distributed connected components over the edges
+urls of one key are one node, with edges or without.  Distributed connected components over the edges
 give classes of aliases.  A url without a rule of its own takes its class's
 decision: allow where any member is explicitly allowed, else block where any
 member is blocked, else allow.
@@ -77,16 +77,40 @@ def named_urls(html: Column) -> Column:
     return F.filter(F.concat(canonical, refresh), lambda u: u != "")
 
 
+def plain_path(path: Column) -> Column:
+    """``path`` (from its first /) without dot segments, as RFC 3986 removes them."""
+    parts = F.split(path, "/", -1)
+    dots = lambda p: (p == ".") | (p == "..")
+
+    def step(kept, p):
+        # the first part is the empty one in front of the path
+        up = F.when(F.size(kept) > 1, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
+        return F.when(p == "..", up).when(p == ".", kept).otherwise(F.array_append(kept, p))
+
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")), step)
+    # a dot segment at the end leaves its folder
+    kept = F.when(dots(F.element_at(parts, -1)), F.array_append(kept, F.lit(""))).otherwise(kept)
+    return F.when(F.exists(parts, dots), F.array_join(kept, "/")).otherwise(path)
+
+
 def resolve(target: Column, url: Column) -> Column:
-    """A target as an absolute url (dot segments stay as they are)."""
+    """A target as an absolute url without dot segments."""
     scheme = F.regexp_extract(url, r"^([^:/?#]+)://", 1)
     site = F.concat(scheme, F.lit("://"), F.regexp_extract(_rest(url), r"^([^/?#]*)", 1))
     folder = F.regexp_extract(path_of(url), r"^(.*/)", 1)
-    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+    full = (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
             .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
             .when(F.startswith(target, F.lit("/")), F.concat(site, target))
             .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))          # mailto: and the like
             .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
+    path = path_of(full)
+    front = F.regexp_extract(full, r"^([^:]*://[^/?#]*)", 1)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(front, plain_path(path), F.substring(
+        full, F.length(front) + F.length(path) + 1, F.length(full)))).otherwise(full)
+
+
+def _decisions() -> list[Column]:
+    return [F.max((F.col("verdict") == v).cast("int")).alias(n) for v, n in (("allow", "allowed"), ("block", "blocked"))]
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -106,14 +130,16 @@ def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES
                                      rule_of(host_of(F.col("target")), path_of(F.col("target")), rules)["verdict"].alias("verdict"))
                         .where("u is not null and v is not null").distinct(), "url-edges")
     classes = materialize(connected_components(edges.select("u", "v")), "url-classes")
-    # decisions of members: pages by their own rule, and urls that are only named
-    known = (judged.where("own is not null").select(F.col("key").alias("node"), F.col("own.verdict").alias("verdict"))
-             .unionAll(edges.where("verdict is not null").select(F.col("v").alias("node"), "verdict")))
-    decided = (known.join(classes, "node").groupBy("component")
-               .agg(F.max((F.col("verdict") == "allow").cast("int")).alias("allowed"),
-                    F.max((F.col("verdict") == "block").cast("int")).alias("blocked")))
-    passed = (classes.join(decided, "component").where("allowed = 0 and blocked = 1")
-              .select(F.col("node").alias("key"), F.lit("block").alias("passed")))
+    # decisions of members: pages by their own rule, and urls that are only named; a key without edges is its own class
+    known = (judged.where("own is not null and key is not null").select(F.col("key").alias("node"), F.col("own.verdict").alias("verdict"))
+             .unionAll(edges.where("verdict is not null").select(F.col("v").alias("node"), "verdict"))
+             .groupBy("node").agg(*_decisions()))
+    decided = materialize(known.join(classes, "node", "left").groupBy(F.coalesce("component", "node").alias("component"))
+                          .agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked"))
+                          .where("allowed = 0 and blocked = 1").select("component"), "url-blocked")
+    # the keys of a blocked class: its root without edges, or all that have it as their component
+    passed = (decided.select(F.col("component").alias("key")).unionAll(
+        classes.join(decided, "component").select(F.col("node").alias("key"))).distinct().withColumn("passed", F.lit("block")))
     return (judged.join(passed, "key", "left")
             .select("page_id", "host", "path", F.col("own.rule").alias("rule"),
                     F.coalesce(F.col("own.verdict"), F.col("passed"), F.lit("allow")).alias("verdict")))

@@ -260,6 +260,27 @@ def test_aliases_take_the_class_decision_and_allow_wins(spark):
     assert "Python" not in url_filter.url_verdicts(df)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_urls_of_one_key_are_one_class_without_edges(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    pages = [(1, "http://example.com:80/de/a", None), (2, "http://example.com/de/a", None),      # block by the port-less url's rule
+             (3, "http://example.com:80/de/b", None), (4, "http://example.com:80/x", None),
+             (5, "http://n.net/p/q/x", link("../de/1")), (6, "http://n.net/p/de/1", link("http://example.com/de/z")),
+             (7, "http://n.net/k/x", link("http://example.com/a/./../de/9?u=../v")), (8, None, None), (9, "no url", None),
+             (10, "http://n.net:80/a", None), (11, "http://n.net/a", link("http://example.com/de/k"))]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.url_verdicts(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {1, 2, 5, 6, 7, 10, 11} and len(got) == len(pages)
+
+
+def test_resolve_removes_dot_segments(spark):
+    cases = {"../de/1": "http://h.net/de/1", "../../../d": "http://h.net/d", "./": "http://h.net/p/", "..": "http://h.net/",
+             "a/b/../c?x=/../y#/./z": "http://h.net/p/a/c?x=/../y#/./z", "a..b/.c": "http://h.net/p/a..b/.c", "/.": "http://h.net/",
+             "//k.net/a/../b": "http://k.net/b", "x//../y": "http://h.net/p/x/y", "mailto:a@b.c": None}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r["t"]: r["r"] for r in df.select("t", url_filter.resolve(F.col("t"), F.lit("http://h.net/p/q")).alias("r")).collect()}
+    assert got == cases
+
+
 # ---------------------------------------------------------------- pipeline, registration
 
 def test_one_query_each_and_the_pipeline():
