@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries that SQL can express: secrets, n-gram Jaccard
 components and vector links, each by plain means (window by window, shared
-n-grams pair by pair, all pairs of a label)."""
+n-grams pair by pair, all pairs of a label); exact copies, hash trees and hard
+negatives likewise."""
 
 from __future__ import annotations
 
@@ -79,3 +80,77 @@ reach AS (SELECT vec_id AS d, vec_id AS c FROM embeddings UNION SELECT links.b,
 c AS (SELECT d, min(c) AS c FROM reach GROUP BY d)
 SELECT vec_id, CAST(coalesce(l.n, 0) AS BIGINT) AS n_links, c.c AS component_id, c.c = vec_id AS kept
 FROM embeddings JOIN c ON c.d = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = vec_id"""
+
+
+EXACT_DUPLICATES = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS n FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY n) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(n) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST)"""
+
+
+def _leaf(n_chars: str) -> str:
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    return f"sha256({' || '.join(map(field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+_PAIRED = "[sha256(h[2 * i + 1] || coalesce(h[2 * i + 2], '')) for i in range(0, (len(h) + 1) // 2)]"
+# crc32 bit by bit: eight shifts a byte of the decimal id
+MERKLE = f"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM documents WHERE doc_id IS NOT NULL
+  UNION
+  SELECT doc_id, s, k + 1, CASE WHEN b % 2 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END
+  FROM (SELECT doc_id, s, k, CASE WHEN k % 8 = 0 THEN xor(c, CAST(ascii(s[k // 8 + 1]) AS BIGINT)) ELSE c END AS b
+        FROM crc WHERE k < 8 * length(s))),
+seventh AS (SELECT doc_id FROM crc WHERE k = 8 * length(s) AND xor(c, 4294967295) % 7 = 0),
+leaves AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, {_leaf("(n_chars + 1)")} AS other,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos FROM documents),
+lv AS (
+  SELECT lang, 0 AS lvl, list(leaf ORDER BY pos) AS h FROM leaves GROUP BY lang
+  UNION ALL SELECT lang, lvl + 1, {_PAIRED} FROM lv WHERE len(h) > 1),
+subroots AS (SELECT lang, h[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM lv WHERE len(h) = 1),
+tv AS (
+  SELECT 0 AS lvl, list(subroot ORDER BY place) AS h FROM subroots
+  UNION ALL SELECT lvl + 1, {_PAIRED} FROM tv WHERE len(h) > 1),
+steps AS (
+  SELECT false AS top, lang, lvl, h FROM lv WHERE len(h) > 1
+  UNION ALL SELECT true, NULL, lvl, h FROM tv WHERE len(h) > 1),
+climb AS (
+  SELECT l.doc_id, l.lang, l.pos AS spot, 0 AS lvl, false AS top, place,
+         CASE WHEN l.doc_id IN (SELECT doc_id FROM seventh) THEN other ELSE leaf END AS fold, '' AS proof FROM leaves l
+  JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang
+  UNION ALL
+  SELECT doc_id, lang, spot, lvl, top, place, fold, proof FROM (
+    SELECT c.doc_id, c.lang, c.place,
+      CASE WHEN s.h IS NULL THEN c.place ELSE c.spot // 2 END AS spot, CASE WHEN s.h IS NULL THEN 0 ELSE c.lvl + 1 END AS lvl,
+      c.top OR s.h IS NULL AS top,
+      CASE WHEN s.h IS NULL THEN c.fold WHEN c.spot % 2 = 1 THEN sha256(s.h[c.spot] || c.fold)
+           ELSE sha256(c.fold || coalesce(s.h[c.spot + 2], '')) END AS fold,
+      CASE WHEN s.h IS NULL THEN c.proof WHEN c.spot % 2 = 1 THEN c.proof || s.h[c.spot]
+           ELSE c.proof || coalesce(s.h[c.spot + 2], '') END AS proof,
+      s.h IS NULL AND c.top AS done
+    FROM climb c LEFT JOIN steps s ON s.top = c.top AND s.lvl = c.lvl AND (c.top OR s.lang IS NOT DISTINCT FROM c.lang))
+  WHERE NOT done),
+ends AS (
+  SELECT doc_id, lang, fold, proof FROM climb c WHERE top AND lvl = (SELECT max(lvl) FROM tv))
+SELECT l.doc_id, l.leaf, r.subroot, t.h[1] AS root, sha256(e.proof) AS proof_sha256, e.fold AS folded_root, e.fold = t.h[1] AS verified
+FROM leaves l JOIN ends e ON e.doc_id IS NOT DISTINCT FROM l.doc_id AND e.lang IS NOT DISTINCT FROM l.lang
+JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang, (SELECT h FROM tv WHERE len(h) = 1) t"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT a, b, score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+negatives AS (
+  SELECT p.a AS anchor_id, p.b AS positive_id, n.b AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) AS r
+  FROM positives p JOIN scored n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE r <= 5"""

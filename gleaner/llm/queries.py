@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleaner.llm import ann, bpe, jaccard, langid, mixing, neardup, oracles, passages, secret_scan, toxicity, url_filter
+from gleaner.llm import (ann, bpe, cuckoo, jaccard, langid, merkle, mixing, neardup, negatives, oracles, passages, secret_scan,
+                         toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 # Where SQL can express the result by plain means.
 ORACLES: dict[str, str] = {"op3_secret_scan": oracles.SECRETS, "op4_ngram_jaccard": oracles.JACCARD,
-                           "op8_embedding_dedup": oracles.VECTOR_LINKS}
+                           "op8_embedding_dedup": oracles.VECTOR_LINKS, "op11_cuckoo_dedup": oracles.EXACT_DUPLICATES,
+                           "op12_merkle_manifest": oracles.MERKLE, "op13_hard_negatives": oracles.HARD_NEGATIVES}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -81,6 +83,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_cuckoo_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_leaves(table(spark, sf_dir, "documents"), merkle.one_in_seven())
+
+
+@query("op13_hard_negatives")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.query_labels(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
