@@ -8,9 +8,9 @@ tree over a thousand million leaves takes three shuffles of nodes.  The node
 rows of a run are written with their siblings on all its levels and a link to
 the parent, the node that their group becomes.
 
-A recursive query then climbs from every leaf: each step follows a parent
-link, appends the siblings of the run and folds them into the leaf's hash,
-which for a tampered leaf is the tampered one.  ``levels = 1`` climbs level by
+A recursive query then climbs from every leaf: each step appends the siblings
+of the run, folds them into the leaf's hash, which for a tampered leaf is the
+tampered one, and follows the parent link.  ``levels = 1`` climbs level by
 level; larger runs make fewer steps with the same rows.  Node rows above the
 first run are copied for each first-run group below them, so a link is
 followed by at most 2 ** levels leaves and a language with a third of all rows
@@ -45,16 +45,16 @@ def tampered_leaf() -> Column:
 
 
 def _grouped(nodes: DataFrame, levels: int) -> DataFrame:
-    """tree, grp, built: nodes (tree, pos, hash) in groups of 2 ** levels
-    consecutive ones, with all levels of each group, leaves first.
+    """tree, grp, items, built: nodes (tree, pos, hash, doc_id, other) in groups
+    of 2 ** levels consecutive ones, with all levels of each group, leaves first.
 
     The only group of a tree ends at one node; where a tree has more groups
     (group 0 is full then) each rises the whole run, alone or not."""
     size = 1 << levels
     groups = nodes.groupBy("tree", F.shiftright("pos", levels).alias("grp")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash"))), lambda x: x["hash"]).alias("base"))   # 2 ** levels at most
-    alone = (F.col("grp") == 0) & (F.size("base") < size)
-    rise = F.when(alone, F.ceil(F.log2(F.size("base"))).cast("int")).otherwise(F.lit(levels))
+        F.array_sort(F.collect_list(F.struct("pos", "hash", "doc_id", "other"))).alias("items"))   # 2 ** levels at most
+    alone = (F.col("grp") == 0) & (F.size("items") < size)
+    rise = F.when(alone, F.ceil(F.log2(F.size("items"))).cast("int")).otherwise(F.lit(levels))
 
     def parents(row: Column) -> Column:
         pair = lambda i: F.sha2(F.concat(F.get(row, 2 * i), F.coalesce(F.get(row, 2 * i + 1), F.lit(""))), 256)
@@ -62,100 +62,105 @@ def _grouped(nodes: DataFrame, levels: int) -> DataFrame:
 
     up = lambda built, _: F.concat(built, F.array(parents(F.element_at(built, -1))))
     steps = F.slice(F.sequence(F.lit(1), F.lit(levels)), F.lit(1), F.col("rise"))
-    return (groups.withColumn("rise", rise)
-            .select("tree", "grp", F.aggregate(steps, F.array("base"), up).alias("built")))
+    return (groups.withColumn("rise", rise).withColumn("base", F.transform("items", lambda x: x["hash"]))
+            .select("tree", "grp", "items", F.aggregate(steps, F.array("base"), up).alias("built")))
 
 
 def _links(grouped: DataFrame, levels: int) -> DataFrame:
-    """tree, pos, grp, top, siblings: every node of the groups with its
-    siblings up to the group's top, null where there is none."""
-    inside = F.posexplode(F.element_at("built", 1)).alias("at", "hash")
-    rows = grouped.select("tree", "grp", "built", F.element_at(F.element_at("built", -1), 1).alias("top"), inside)
-    run = F.slice("built", F.lit(1), F.size("built") - 1)
+    """tree, pos, grp, hash, doc_id, other, siblings: every node of the groups
+    with its siblings up to the group's top, null where there is none."""
+    rows = grouped.select("tree", "grp", F.slice("built", F.lit(1), F.size("built") - 1).alias("run"),
+                          F.posexplode("items").alias("at", "item"))
     sibling = lambda row, i: F.unhex(F.get(row, F.call_function("shiftright", F.col("at"), i).bitwiseXOR(F.lit(1))))
-    return rows.select("tree", (F.shiftleft("grp", levels) + F.col("at")).alias("pos"), "grp", "top",
-                       F.transform(run, sibling).alias("siblings"))
+    return rows.select("tree", (F.shiftleft("grp", levels) + F.col("at")).alias("pos"), "grp", F.unhex("item.hash").alias("hash"),
+                       "item.doc_id", F.unhex("item.other").alias("other"), F.transform("run", sibling).alias("siblings"))
 
 
 def _rise(nodes: DataFrame, levels: int, name: str) -> tuple[list[DataFrame], DataFrame]:
-    """(written links of each run, roots (tree, hash)) of nodes (tree, pos, hash)."""
+    """(written links of each run, roots (tree, hash)) of nodes (tree, pos, hash, doc_id, other)."""
     runs = []
     while True:
         grouped = materialize(_grouped(nodes, levels), f"merkle-{name}")
         runs.append(materialize(_links(grouped, levels), f"merkle-{name}-links"))
-        nodes = grouped.select("tree", F.col("grp").alias("pos"), F.element_at(F.element_at("built", -1), 1).alias("hash"))
+        nodes = _inner(grouped.select("tree", F.col("grp").alias("pos"), F.element_at(F.element_at("built", -1), 1).alias("hash")))
         if grouped.where("grp > 0").isEmpty():
             return runs, nodes.select("tree", "hash")
 
 
-def build(leaves: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFrame, int]:
-    """(node rows, first nodes, steps): the written tree over ``leaves`` (tree,
-    pos from 0, leaf).
+def _inner(nodes: DataFrame) -> DataFrame:
+    return nodes.select("tree", "pos", "hash", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("other"))
 
-    Node rows: tree, step, at, siblings, subroot, root; the node at ``at`` on
-    climbing step ``step`` of its tree.  On step 0 ``at`` is the leaf's
-    place; above it is the leaf's first group, one row for each, linked by
-    (tree, at).  ``subroot`` and ``root`` are set where the climb reaches them."""
-    runs, roots = _rise(leaves.select("tree", "pos", F.col("leaf").alias("hash")), levels, "language")
+
+def build(leaves: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFrame, int, str]:
+    """(leaf rows, node rows, steps, root): the written tree over ``leaves``
+    (tree, pos from 0, hash, doc_id, other).
+
+    Leaf rows: tree, pos, grp, hash, doc_id, other, siblings; the parent of a
+    leaf's run is node (tree, grp, step 1).  Node rows: tree, first, step,
+    place, siblings, subroot; the parent of (tree, first, step) is (tree,
+    first, step + 1).  There is one for each first-run group, so a link is
+    followed by 2 ** levels leaves at most.  ``subroot`` is set where the
+    climb reaches it; the climb ends after ``steps`` steps at the root."""
+    runs, roots = _rise(leaves, levels, "language")
     placed = row_number_within(roots, [], ["tree"], out="n").select("tree", "hash", (F.col("n") - 1).alias("place"))
     placed = materialize(placed, "merkle-subroots")
-    tops, root = _rise(placed.select(F.lit("").alias("tree"), F.col("place").alias("pos"), "hash"), levels, "top")
+    tops, root = _rise(_inner(placed.select(F.lit("").alias("tree"), F.col("place").alias("pos"), "hash")), levels, "top")
     firsts = materialize(runs[0].select("tree", F.col("grp").alias("first")).distinct(), "merkle-firsts")
-    none = F.lit(None).cast("string")
 
-    nodes, last = [], len(runs) - 1
-    for step, run in enumerate(runs):
-        ends = F.col("top") if step == last else none
+    nodes = None
+    for step, run in enumerate(runs + tops):
         if step == 0:
-            nodes.append(run.select("tree", F.lit(0).alias("step"), F.col("pos").alias("at"), "siblings",
-                                    F.col("pos").alias("place"), ends.alias("subroot"), none.alias("root")))
-        else:
+            continue
+        if step < len(runs):
             below = firsts.withColumn("pos", F.shiftright("first", levels * (step - 1)))
-            nodes.append(below.join(run, ["tree", "pos"]).select(
-                "tree", F.lit(step).alias("step"), F.col("first").alias("at"), "siblings", F.col("pos").alias("place"),
-                ends.alias("subroot"), none.alias("root")))
-    for k, run in enumerate(tops):
-        ends = F.col("top") if k == len(tops) - 1 else none
-        mine = placed.select("tree", F.shiftright("place", levels * k).alias("pos")).join(
-            run.select("pos", "siblings", "top"), "pos")
-        nodes.append(firsts.join(mine.withColumn("ends", ends), "tree").select(
-            "tree", F.lit(last + 1 + k).alias("step"), F.col("first").alias("at"), "siblings", F.col("pos").alias("place"),
-            none.alias("subroot"), F.col("ends").alias("root")))
-    out = nodes[0]
-    for more in nodes[1:]:
-        out = out.unionByName(more)
-    return materialize(out, "merkle-nodes"), root, last + 1 + len(tops)
+            rows = below.join(run, ["tree", "pos"]).withColumn("subroot", F.lit(None).cast("binary"))
+        else:
+            mine = placed.select("tree", F.shiftright("place", levels * (step - len(runs))).alias("pos"), F.unhex("hash").alias("subroot"))
+            rows = firsts.join(mine.join(run.select("pos", "siblings"), "pos"), "tree")
+        rows = rows.select("tree", "first", F.lit(step).alias("step"), F.col("pos").alias("place"), "siblings", "subroot")
+        nodes = rows if nodes is None else nodes.unionByName(rows)
+    return runs[0], materialize(nodes, "merkle-nodes"), len(runs) + len(tops), root.first()["hash"]
 
 
+# A step folds the siblings that a row holds, appends them to its proof and
+# takes up the parent's; the last one keeps the proof's hash only.
 CLIMB = """
-WITH RECURSIVE climb(tree, pos, at, step, fold, proof, subroot, root) AS (
-  SELECT tree, pos, pos, 0, shown, CAST('' AS BINARY), CAST(NULL AS STRING), CAST(NULL AS STRING) FROM {leaves}
+WITH RECURSIVE climb(tree, first, step, place, siblings, doc_id, leaf, fold, proof, subroot) AS (
+  SELECT tree, grp, 0, pos, siblings, doc_id, hash, coalesce(other, hash), CAST('' AS BINARY), CAST(NULL AS BINARY) FROM {leaves}
   UNION ALL
-  SELECT c.tree, c.pos, shiftright(c.pos, {levels}), c.step + 1,
-    aggregate(sequence(1, {levels}), c.fold, (h, i) -> CASE WHEN i > size(n.siblings) THEN h
-      WHEN (shiftright(n.place, i - 1) & 1) = 1 THEN sha2(concat(lower(hex(n.siblings[i - 1])), h), 256)
-      ELSE sha2(concat(h, coalesce(lower(hex(get(n.siblings, i - 1))), '')), 256) END),
-    concat(c.proof, aggregate(n.siblings, CAST('' AS BINARY), (p, s) -> concat(p, coalesce(s, CAST('' AS BINARY))))),
-    coalesce(c.subroot, n.subroot), n.root
-  FROM climb c JOIN {nodes} n ON c.tree = n.tree AND c.step = n.step AND c.at = n.at)
-SELECT tree, pos, fold, proof, subroot, root FROM climb WHERE step = {steps}"""
+  SELECT tree, first, step, place, siblings, doc_id, leaf,
+    unhex(aggregate(sequence(1, {levels}), lower(hex(fold)), (h, i) -> CASE WHEN i > size(held) THEN h
+      WHEN (shiftright(at, i - 1) & 1) = 1 THEN sha2(concat(lower(hex(get(held, i - 1))), h), 256)
+      ELSE sha2(concat(h, coalesce(lower(hex(get(held, i - 1))), '')), 256) END)),
+    CASE WHEN step = {steps} THEN unhex(sha2(lower(hex(longer)), 256)) ELSE longer END, subroot
+  FROM (
+    SELECT c.tree, c.first, c.step + 1 AS step, c.place AS at, c.siblings AS held, n.place, n.siblings, c.doc_id, c.leaf, c.fold,
+      concat(c.proof, aggregate(c.siblings, CAST('' AS BINARY), (p, s) -> concat(p, coalesce(s, CAST('' AS BINARY))))) AS longer,
+      coalesce(c.subroot, n.subroot) AS subroot
+    FROM climb c LEFT JOIN {nodes} n ON n.tree = c.tree AND n.first = c.first AND n.step = c.step + 1
+    WHERE c.step < {steps}))
+SELECT doc_id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, '{root}' AS root, lower(hex(proof)) AS proof_sha256,
+  lower(hex(fold)) AS folded_root, lower(hex(fold)) = '{root}' AS verified
+FROM climb WHERE step = {steps}"""
 
 _ROWS, _DEPTH = "spark.sql.cteRecursionRowLimit", "spark.sql.cteRecursionLevelLimit"
 
 
-def _climbed(spark: SparkSession, leaves: DataFrame, nodes: DataFrame, steps: int, levels: int) -> DataFrame:
-    """tree, pos, fold, proof, subroot, root of every leaf (tree, pos, shown).
+def climb(leaves: DataFrame, nodes: DataFrame, steps: int, root: str, levels: int = LEVELS) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of
+    every leaf row.
 
     Spark bounds the rows of a recursive query; this one makes ``steps`` + 1
     rows a leaf, so the bound is lifted while the climb is written."""
+    spark = leaves.sparkSession
     leaves.createOrReplaceTempView("merkle_leaves")
     nodes.createOrReplaceTempView("merkle_nodes")
     kept = {k: spark.conf.get(k) for k in (_ROWS, _DEPTH)}
     try:
         spark.conf.set(_ROWS, "-1")
         spark.conf.set(_DEPTH, str(max(100, steps + 2)))
-        climb = spark.sql(CLIMB.format(leaves="merkle_leaves", nodes="merkle_nodes", levels=levels, steps=steps))
-        return materialize(climb, "merkle-climb")
+        return materialize(spark.sql(CLIMB.format(leaves="merkle_leaves", nodes="merkle_nodes", levels=levels, steps=steps, root=root)),
+                           "merkle-climb")
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
@@ -177,18 +182,14 @@ def verified_leaves(docs: DataFrame, is_tampered: Column, levels: int = LEVELS)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.col("n_chars").cast("long").alias("n_chars"), "text")
     # a tree's name keeps the order of its language: null first, then bytewise
     tree = F.coalesce(F.concat(F.lit("1"), "lang"), F.lit("0"))
-    shown = plain.select(tree.alias("tree"), "doc_id", leaf_hash().alias("leaf"),
+    shown = plain.select(tree.alias("tree"), "doc_id", leaf_hash().alias("hash"),
                          F.when(is_tampered, tampered_leaf()).alias("other"))
-    leaves = row_number_within(shown, ["tree"], ["doc_id", "leaf"], out="n").withColumn("pos", F.col("n") - 1).drop("n")
-    leaves = materialize(leaves, "merkle-leaves")
-    if leaves.isEmpty():
+    if docs.isEmpty():
         return spark.createDataFrame([], "doc_id long, leaf string, subroot string, root string, proof_sha256 string, "
                                          "folded_root string, verified boolean")
-    nodes, _, steps = build(leaves, levels)
-    climb = _climbed(spark, leaves.select("tree", "pos", F.coalesce("other", "leaf").alias("shown")), nodes, steps, levels)
-    return (leaves.join(climb, ["tree", "pos"])
-            .select("doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"),
-                    F.col("fold").alias("folded_root"), (F.col("fold") == F.col("root")).alias("verified")))
+    leaves = row_number_within(shown, ["tree"], ["doc_id", "hash"], out="n").withColumn("pos", F.col("n") - 1).drop("n")
+    rows, nodes, steps, root = build(leaves, levels)
+    return climb(rows, nodes, steps, root, levels)
 
 
 def one_in_seven() -> Column:
