@@ -619,16 +619,26 @@ def q_write_interim(spark, sf_dir):
 
 @register("error_streak_stream")
 def q_error_streak_stream(spark, sf_dir):
-    """The log arrives in three runs (days 1-10, 11-20, 21-30); each run
-    processes what is new and keeps the per-crawl streak in state."""
+    """The log arrives in three runs (days 1-10, 11-20, 21-30), in no order;
+    every third attempt of a run's last day comes one run late, which the
+    watermark waits for.  A heartbeat after the end lets the last ones be counted."""
     base = scratch_dir(spark, "streak")
-    log = _flagged_log(spark, sf_dir).withColumn("_run", F.least(F.floor((F.dayofmonth("attempt_ts") - 1) / 10),
-                                                                 F.lit(2)))
+    log = _flagged_log(spark, sf_dir)
+    day = F.dayofmonth("attempt_ts")
+    late = F.col("attempt_seq") % 3 == 0
+    run = F.least(F.floor((day - 1) / 10), F.lit(2))
+    log = log.withColumn("_run", F.when(day.isin(10, 20) & late, run + 1).otherwise(run))
     schema = log.drop("_run").schema
-    for run in range(3):
-        log.where(F.col("_run") == run).drop("_run").write.mode("overwrite").parquet(f"{base}/in/run={run}")
+    for run in range(4):
+        if run < 3:
+            rows = log.where(F.col("_run") == run).drop("_run").repartition(4, "attempt_seq")
+        else:
+            rows = (log.agg((F.max("attempt_ts") + F.expr("INTERVAL 10 DAYS")).alias("attempt_ts"))
+                    .select(*[F.col("attempt_ts") if f.name == "attempt_ts" else F.lit(-1).cast(f.dataType).alias(f.name)
+                              if f.name in ("crawl_id", "attempt_seq") else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]))
+        rows.write.mode("overwrite").parquet(f"{base}/in/run={run}")
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{base}/in/run=*")
-        q = (jobs.error_streak_stream(stream, n=5).writeStream.format("parquet")
+        q = (jobs.error_streak_stream(stream, n=5, delay="2 days").writeStream.format("parquet")
              .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
              .outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()

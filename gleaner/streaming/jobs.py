@@ -8,6 +8,7 @@ batch job and a restart continues where the last one committed.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from gleaner import schemas
 from gleaner.functions.ranking import row_number_within
@@ -122,57 +123,95 @@ STREAK_OUT = T.StructType([
     T.StructField("attempt_ts", T.TimestampType()),
     T.StructField("streak", T.LongType()),
 ])
-STREAK_STATE = T.StructType([
-    T.StructField("streak", T.LongType()),
-    T.StructField("stopped", T.BooleanType()),
-    T.StructField("last_ts", T.LongType()),        # microseconds; the last attempt counted
-    T.StructField("last_seq", T.LongType()),
-])
-# Attempts are kept narrow: 26 bytes a row in the worker.
+# What waits for the watermark: place (microseconds, number) and flags of an attempt.
+_WAITING = T.StructType([T.StructField("at", T.LongType()), T.StructField("seq", T.LongType()),
+                         T.StructField("is_error", T.BooleanType()), T.StructField("resets", T.BooleanType())])
+_COUNTED = T.StructType([T.StructField("streak", T.LongType()), T.StructField("stopped", T.BooleanType()),
+                         T.StructField("at", T.LongType()), T.StructField("seq", T.LongType())])
 _NARROW = ["attempt_ts", "attempt_seq", "is_error", "resets"]
 
 
-def _streak_fn(n: int):
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        streak, stopped, last_ts, last_seq = state.get if state.exists else (0, False, None, None)
-        if stopped:
-            for _ in batches:
-                pass
-            return
-        pdf = pd.concat([b[_NARROW] for b in batches], ignore_index=True).sort_values(["attempt_ts", "attempt_seq"])
-        ts = pdf["attempt_ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        seq = pdf["attempt_seq"].astype("int64").to_numpy()
-        if last_ts is not None:      # attempts at or before the counted position are late: they change nothing
-            new = (ts > last_ts) | ((ts == last_ts) & (seq > last_seq))
-            pdf, ts, seq = pdf[new], ts[new], seq[new]
-        if pdf.empty:
-            return
-        resets = pdf["resets"].astype(bool).to_numpy()
-        errors = pdf["is_error"].astype(bool).to_numpy().astype("int64")
-        island = resets.cumsum()
-        running = pd.Series(errors).groupby(island).cumsum().to_numpy()
-        running = running + (island == 0) * streak          # carry into the first island
-        hit = (running == n).nonzero()[0]
-        if len(hit):
-            row = pdf.iloc[int(hit[0])]
-            state.update((n, True, int(ts[hit[0]]), int(seq[hit[0]])))
-            yield pd.DataFrame({"crawl_id": [int(key[0])], "attempt_seq": [int(row["attempt_seq"])],
-                                "attempt_ts": [row["attempt_ts"]], "streak": [n]})
-        else:
-            state.update((int(running[-1]), False, int(ts[-1]), int(seq[-1])))
-    return step
-
-
-def error_streak_stream(log: DataFrame, key: str = "crawl_id", n: int = 5) -> DataFrame:
-    """STR-4: live consecutive-error counter per crawl; emits the attempt
-    at which a crawl reaches ``n`` errors in a row (then stops counting).
-
-    State is one small record per crawl with the place of the last counted
-    attempt: an attempt that arrives later with an earlier place is not
-    counted again.  A micro-batch holds what the source's trigger lets in
-    (set ``maxFilesPerTrigger`` or the like), which bounds what a crawl
-    gathers at once."""
-    return (log.select(key, *_NARROW)
-            .groupBy(key)
-            .applyInPandasWithState(_streak_fn(n), STREAK_OUT, STREAK_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+class ErrorStreak(StatefulProcessor):
+    """One crawl's attempts in order of their place, however they arrive: they
+    wait in a list until the watermark has passed them, a timer then counts
+    what is due.  A crawl without attempts for ``idle_ms`` of event time
+    leaves no state."""
+
+    def __init__(self, n: int, idle_ms: int):
+        self.n, self.idle_ms = n, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", _WAITING)
+        self.counted = handle.getValueState("counted", _COUNTED)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for batch in rows:
+            at = batch["attempt_ts"].astype("datetime64[us]").astype("int64").tolist()
+            self.waiting.appendList(list(zip(at, batch["attempt_seq"].astype("int64").tolist(),
+                                             batch["is_error"].eq(True).tolist(), batch["resets"].eq(True).tolist())))
+            first = min(at) if first is None else min(first, min(at))
+        if first is not None:
+            self.handle.registerTimer(-(-first // 1000))
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        due = [r for r in rows if r[0] <= passed]
+        hit = self._count(due) if due else None
+        if len(due) < len(rows):
+            self.waiting.put(rows[len(due):])
+            self.handle.registerTimer(-(-rows[len(due)][0] // 1000))
+        elif due:
+            self.waiting.clear()
+        if len(due) == len(rows) and self.counted.exists():
+            leave = self.counted.get()[2] // 1000 + self.idle_ms
+            if leave <= timerValues.getCurrentWatermarkInMs():
+                self.counted.clear()
+            elif due:
+                self.handle.registerTimer(leave)
+        yield pd.DataFrame() if hit is None else pd.DataFrame({
+            "crawl_id": [int(key[0])], "attempt_seq": [hit[1]], "attempt_ts": [pd.Timestamp(hit[0], unit="us")], "streak": [self.n]})
+
+    def _count(self, due: list[tuple]) -> tuple | None:
+        """Count on with the attempts ``due``; the one that reaches n, if any."""
+        streak, stopped, last = 0, False, None
+        if self.counted.exists():
+            streak, stopped, *last = self.counted.get()
+            last = tuple(last)
+        hit = None
+        for at, seq, is_error, resets in due:
+            if (at, seq) == last:      # a repeated attempt counts once
+                continue
+            last = (at, seq)
+            if resets:
+                streak = 0
+            if is_error and not stopped:
+                streak += 1
+                if streak == self.n:
+                    stopped, hit = True, last
+        self.counted.update((streak, stopped, *last))
+        return hit
+
+    def close(self) -> None:
+        pass
+
+
+def error_streak_stream(log: DataFrame, key: str = "crawl_id", n: int = 5, delay: str = "0 seconds",
+                        idle: dt.timedelta = dt.timedelta(days=90)) -> DataFrame:
+    """STR-4: live consecutive-error counter per crawl; emits the attempt at
+    which a crawl reaches ``n`` errors in a row (then stops counting).
+
+    Attempts may come in any order and up to ``delay`` (event time) late: they
+    are counted in the order of (attempt_ts, attempt_seq) once the watermark
+    has passed them, so the result is that of the batch operator; what comes
+    later still is dropped by the watermark.  (No delay: attempts of one
+    trigger in any order, none from before the last trigger.)  State is the attempts that wait
+    and one small record a crawl, which a timer removes after ``idle`` without
+    attempts (a crawl that goes on after that is counted anew).  The last
+    ``delay`` of a log is decided when a later attempt of any crawl moves the
+    watermark.  Needs the RocksDB state store (set by ``configure``)."""
+    return (log.select(F.col(key).cast("long").alias(key), *_NARROW).withWatermark("attempt_ts", delay).groupBy(key)
+            .transformWithStateInPandas(ErrorStreak(n, int(idle.total_seconds() * 1000)), STREAK_OUT, "Append", "EventTime"))

@@ -1,7 +1,9 @@
 """Streaming equals batch; reruns converge; the forest expansion."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +51,57 @@ def test_error_streak_stream_equals_batch_cutoff(spark):
     assert all(last[c] == s for c, s in got)
 
 
+STREAK_LOG = "crawl_id long, attempt_ts timestamp, attempt_seq long, is_error boolean, resets boolean"
+
+
+def _run_streak(spark, base, runs, **kw):
+    """Each run's rows arrive in files of their own; state rows after the last."""
+    for i, rows in enumerate(runs):
+        spark.createDataFrame(rows, STREAK_LOG).repartition(2).write.parquet(f"{base}/in/run={i}")
+        stream = spark.readStream.schema(STREAK_LOG).parquet(f"{base}/in/run=*")
+        q = (jobs.error_streak_stream(stream, **kw).writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
+             .option("path", f"{base}/out").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"])
+
+
+def test_error_streak_stream_waits_for_late_attempts_and_forgets_idle_crawls(spark):
+    """Attempts come shuffled, up to two hours late over three restarts, some
+    twice; the result is the batch operator's, and nothing stays in state."""
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 3, 1)
+    rows = [(c, t0 + dt.timedelta(minutes=rnd.randint(0, 60 * 30)), i, rnd.random() < 0.6, False) for c in range(5) for i in range(120)]
+    rows = [(c, t, i, e, not e and rnd.random() < 0.5) for c, t, i, e, _ in rows]
+    runs = [[], [], []]
+    for r in rows:
+        run = min(int((r[1] - t0).total_seconds() // 36000), 2)
+        runs[run if rnd.random() < 0.8 or (r[1] - t0).total_seconds() % 36000 < 28800 else min(run + 1, 2)].append(r)
+    runs[1] += rnd.sample(runs[1], 20)
+    for rs in runs:
+        rnd.shuffle(rs)
+    beat = lambda days: [(-1, t0 + dt.timedelta(days=days), 0, False, None)]
+    base = scratch_dir(spark, "t-late")
+    left = _run_streak(spark, base, [*runs, beat(3)], n=4, delay="2 hours", idle=dt.timedelta(days=5))
+    batch = spark.createDataFrame(rows, STREAK_LOG)
+    got = sorted((r["crawl_id"], r["attempt_seq"]) for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == brute_force_cuts(batch.collect(), 4) and len(got) == 5
+    last = crawl.error_cutoff(batch, n=4).groupBy("crawl_id").agg(F.max(F.struct("attempt_ts", "attempt_seq"))["attempt_seq"].alias("s"))
+    assert sorted(tuple(r) for r in last.collect()) == got
+    assert left > 0
+    for i, days in enumerate((30, 60, 90)):      # heartbeats move the watermark past every idle time
+        spark.createDataFrame(beat(days), STREAK_LOG).write.parquet(f"{base}/in/run=9{i}")
+        q = (jobs.error_streak_stream(spark.readStream.schema(STREAK_LOG).parquet(f"{base}/in/run=*"), n=4, delay="2 hours",
+                                      idle=dt.timedelta(days=5))
+             .writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    names = ("counted", "waiting")
+    state = {v: spark.read.format("statestore").option("path", f"{base}/ckpt").option("stateVarName", v).load() for v in names}
+    assert {r["k"] for r in state["counted"].select(F.col("key.crawl_id").alias("k")).collect()} <= {-1}
+    assert {r["k"] for r in state["waiting"].select(F.col("key.crawl_id").alias("k")).collect()} <= {-1}
+    assert sorted((r["crawl_id"], r["attempt_seq"]) for r in spark.read.parquet(f"{base}/out").collect()) == got
+
+
 def brute_force_cuts(rows, n):
     by = {}
     for r in rows:
@@ -101,6 +154,54 @@ def test_forest_bfs_order(spark):
                    "c": ("r", 2, 6), "s": ("s", 0, 1)}
 
 
+def brute_forest(rows):
+    ids, below = {r[0] for r in rows}, {}
+    for i, parent, sib in rows:
+        below.setdefault(parent if parent in ids else None, []).append((sib, i, parent))
+    out = {i: (None, None, None, False) for i in ids}
+    for _, root, parent in below[None]:
+        level, depth, n = [root], 0, 0
+        while level:
+            for x in level:
+                n += 1
+                out[x] = (root, depth, n, x == root and parent is not None)
+            level = [i for x in level for _, i, _ in sorted(below.get(x, []), key=lambda c: c[:2])]
+            depth += 1
+    return out
+
+
+@pytest.mark.parametrize("elements", [2, 4, 32])
+def test_deep_forest_equals_brute_force(spark, monkeypatch, elements):
+    """Random trees of depth over 60, ties, orphans, cycles and what hangs below them."""
+    monkeypatch.setattr(forest, "PATH_ELEMENTS", elements)
+    rnd = random.Random(elements)
+    rows = [(0, None, 0)] + [(i, max(0, i - rnd.randint(1, 5)), rnd.randint(0, 2)) for i in range(1, 250)]
+    rows += [(300, None, 1), (301, 300, 1), (400, 77777, 0), (401, 400, 0), (402, 401, 3), (403, 401, 2)]
+    rows += [(1000, 1001, 0), (1001, 1000, 0), (1002, 1001, 0), (1003, 1002, 0), (1004, 1004, 0)]
+    edges = spark.createDataFrame(rows, "id long, parent_id long, sibling_key int").repartition(6)
+    got = {r["id"]: (r["root_id"], r["depth"], r["bfs_no"], r["is_orphan"]) for r in forest.expand_comment_forest(edges).collect()}
+    want = brute_forest(rows)
+    assert got == want and max(w[1] or 0 for w in want.values()) > 60
+
+
+def test_chain_of_20000_takes_few_rounds_and_one_plan(spark, monkeypatch):
+    rounds, jump = [], forest._jump
+
+    def counted(nodes):
+        rounds.append(len(nodes._jdf.queryExecution().analyzed().toString()))
+        return jump(nodes)
+    monkeypatch.setattr(forest, "_jump", counted)
+    chain = spark.range(20_000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"), (F.col("id") % 7).alias("sibling_key"))
+    out = forest.expand_comment_forest(chain)
+    assert out.where("depth = id and bfs_no = id + 1 and root_id = 0 and not is_orphan").count() == 20_000
+    assert len(rounds) <= 20
+    assert max(rounds) < 2 * min(rounds)          # the plan does not grow with the depth
+
+
+def test_forest_without_edges(spark):
+    assert forest.expand_comment_forest(spark.createDataFrame([], "id long, parent_id long, sibling_key int")).collect() == []
+
+
 def test_csv_round_trip_keeps_quotes_and_newlines(spark):
     path = scratch_dir(spark, "t-csv")
     df = spark.createDataFrame([(1, 'say "hi"\nnext line', "  padded  "), (2, "plain", "x,y")],

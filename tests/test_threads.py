@@ -188,3 +188,16 @@ def test_period_and_community_filters_reach_the_parquet_scan(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
         assert pushed and all("created_epoch" in line and "community" in line for line in pushed), plan
+
+
+def test_entry_registers_without_the_training_data_part(tmp_path):
+    """Where that part or what it needs cannot be imported, the rest still is."""
+    import os
+    import subprocess
+    import sys
+    (tmp_path / "public_tokenizers.py").write_text("raise ModuleNotFoundError('public_tokenizers')")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; q = e.queries(); print(len(q), sorted(k for k in q if k.startswith('op') or k == 'pipeline'), set(e.oracle_sql()) == set(q))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": f"{tmp_path}:{root}"},
+                         capture_output=True, text=True, check=True).stdout
+    assert out.endswith("[] True\n")
