@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gleaner import schemas
 from gleaner.operators import catalog, crawl, links, periods, threads
 from gleaner.session import materialize
 from gleaner.sinks import writers
@@ -90,9 +91,9 @@ def backfill_by_month(spark: SparkSession, threads_df: DataFrame, root: str, sta
     done again: only posts of pending months are scanned and ranked, and the
     selections of finished months are the ids already written.  Comments of
     pending months on posts of finished months are found through those ids.
-    The partitions of rewritten months are emptied first; then posts and
-    comments are written (dynamic partition overwrite), then the manifest,
-    and the summary is read back from the written data."""
+    Posts and comments are staged under a new version, read back and checked,
+    then published by one new manifest; until then readers see the months as
+    they were.  The summary is read from what is published."""
     root = root.rstrip("/")
     start_ts = start if isinstance(start, dt.datetime) else dt.datetime.fromisoformat(str(start))
     end_ts = end if isinstance(end, dt.datetime) else dt.datetime.fromisoformat(str(end))
@@ -104,8 +105,8 @@ def backfill_by_month(spark: SparkSession, threads_df: DataFrame, root: str, sta
         _fill_months(spark, threads_df, root, todo, pending, start_ts, end_ts, communities, limit, bounds)
     in_range = months.select("scrape_month")
     return threads.backfill_summary(
-        _read_kind(spark, root, "posts").join(in_range, "scrape_month", "left_semi").drop("kind"),
-        _read_kind(spark, root, "comments").join(in_range, "scrape_month", "left_semi").drop("kind"))
+        _months(spark, root, "posts").join(in_range, "scrape_month", "left_semi"),
+        _months(spark, root, "comments").join(in_range, "scrape_month", "left_semi"))
 
 
 def pending_posts(threads_df: DataFrame, todo: list[tuple[str, dt.datetime]], pending: DataFrame, start_ts, end_ts,
@@ -126,7 +127,7 @@ def _fill_months(spark, threads_df, root, todo, pending, start_ts, end_ts, commu
     selected = materialize(pending_posts(threads_df, todo, pending, start_ts, end_ts, communities, limit, bounds),
                            "selected-posts")
     names = [m for m, _ in todo]
-    finished = _written_ids(spark, root).where(~F.col("scrape_month").isin(names)).select("id")
+    finished = _months(spark, root, "posts").where(~F.col("scrape_month").isin(names)).select("id")
     ids = selected.select("id").unionByName(finished).distinct()
     t, _ = threads.split_malformed(threads_df)
     if communities is not None:
@@ -138,46 +139,36 @@ def _fill_months(spark, threads_df, root, todo, pending, start_ts, end_ts, commu
     comments = periods.assign_month(threads.flatten_comments(t, keep=("community",)), "created_utc", start_ts, end_ts, bounds,
                                     months=pending)
 
+    version = writers.new_version()
     for kind, rows in (("posts", selected), ("comments", comments)):
-        writers.clear_months(spark, f"{root}/{kind}", names, rows.schema)
-        writers.write_monthly(rows, f"{root}/{kind}")
-    counts = (_read_kind(spark, root, "posts").unionByName(_read_kind(spark, root, "comments"))
-              .groupBy("scrape_month", "kind").agg(F.count(F.lit(1)).alias("rows")))
+        writers.stage_months(rows, root, kind, version)
+    staged = {kind: writers.read_staged(spark, root, kind, version, rows.schema) for kind, rows in (("posts", selected), ("comments", comments))}
+    chosen = selected.groupBy("scrape_month").agg(F.count(F.lit(1)).alias("rows"))
+    counts = (writers.audit_months(staged["posts"], "posts", pending, "id", "created_utc", chosen)
+              .unionByName(writers.audit_months(staged["comments"], "comments", pending, "post_id", "created_utc")))
     done_through = F.lit(end_ts).cast("timestamp")
     entries = (pending.select("scrape_month", "month_end",
                               F.explode(F.array(F.lit("posts"), F.lit("comments"))).alias("kind"))
                .join(counts, ["scrape_month", "kind"], "left")
                .select("scrape_month", "kind", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
                        F.when(F.col("month_end") <= done_through, "complete").otherwise("open").alias("status"),
-                       F.least(F.col("month_end"), done_through).alias("last_date")))
+                       F.least(F.col("month_end"), done_through).alias("last_date"), F.lit(version).alias("version")))
     writers.write_checkpoint(entries, f"{root}/_manifest")
 
 
-def _written_ids(spark: SparkSession, root: str) -> DataFrame:
-    """(id, scrape_month) of the posts written so far."""
-    try:
-        return spark.read.schema("id string, scrape_month string").parquet(f"{root}/posts").select("id", "scrape_month")
-    except AnalysisException as exc:   # nothing written yet
-        if "PATH_NOT_FOUND" in str(exc):
-            return spark.createDataFrame([], "id string, scrape_month string")
-        raise
+# What a backfill writes of each kind.
+_KINDS = {"posts": T.StructType([*schemas.POSTS.fields, T.StructField("community", T.StringType())]),
+          "comments": T.StructType([*schemas.COMMENTS.fields, T.StructField("community", T.StringType())])}
+
+
+def _months(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    return writers.read_months(spark, root.rstrip("/"), kind, _KINDS[kind])
 
 
 def read_backfill(spark: SparkSession, root: str) -> DataFrame:
-    """The written posts and comments, one table with a ``kind``."""
-    read = lambda kind: (spark.read.option("mergeSchema", "true").parquet(f"{root}/{kind}")
-                         .withColumn("scrape_month", F.col("scrape_month").cast("string")).withColumn("kind", F.lit(kind)))
-    return read("posts").unionByName(read("comments"), allowMissingColumns=True)
-
-
-def _read_kind(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    try:
-        return spark.read.schema("scrape_month string").parquet(f"{root}/{kind}") \
-            .select("scrape_month", F.lit(kind).alias("kind"))
-    except AnalysisException as exc:   # nothing written yet
-        if "PATH_NOT_FOUND" in str(exc):
-            return spark.createDataFrame([], "scrape_month string, kind string")
-        raise
+    """The published posts and comments, one table with a ``kind``."""
+    posts, comments = (_months(spark, root, kind).withColumn("kind", F.lit(kind)) for kind in _KINDS)
+    return posts.unionByName(comments, allowMissingColumns=True)
 
 
 def backfill_last_years(spark: SparkSession, threads_df: DataFrame, root: str, as_of: dt.datetime,

@@ -535,10 +535,15 @@ def q_write_daily(spark, sf_dir):
 
 @register("write_monthly")
 def q_write_monthly(spark, sf_dir):
+    """Every month is published with the rows whose score is even, then again
+    whole; readers see the second version only."""
     root = scratch_dir(spark, "monthly")
-    writers.write_monthly(threads.tag_month(posts_of(spark, sf_dir)), f"{root}/posts")
-    writers.write_monthly(threads.tag_month(comments_of(spark, sf_dir)), f"{root}/comments")
-    return _written(spark, root).withColumn("scrape_month", F.col("scrape_month").cast("string"))
+    tables = {"posts": threads.tag_month(posts_of(spark, sf_dir)), "comments": threads.tag_month(comments_of(spark, sf_dir))}
+    keys = {"posts": "id", "comments": "comment_id"}
+    writers.write_monthly({k: df.where(F.col("score") % 2 == 0) for k, df in tables.items()}, root, keys, status="open")
+    writers.write_monthly(tables, root, keys)
+    posts, comments = (writers.read_months(spark, root, k, df.schema).withColumn("kind", F.lit(k)) for k, df in tables.items())
+    return posts.unionByName(comments, allowMissingColumns=True)
 
 
 @register("write_url_list")

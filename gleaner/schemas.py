@@ -25,6 +25,25 @@ THREAD = T.StructType([
     T.StructField("comments", T.ArrayType(COMMENT)),
 ])
 
+# What is collected of a thread.
+POSTS = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("body", T.StringType()),
+    T.StructField("score", T.LongType()),
+    T.StructField("created_utc", T.TimestampType()),
+    T.StructField("num_comments", T.LongType()),
+])
+
+COMMENTS = T.StructType([
+    T.StructField("comment_id", T.StringType()),
+    T.StructField("post_id", T.StringType()),
+    T.StructField("body", T.StringType()),
+    T.StructField("score", T.LongType()),
+    T.StructField("created_utc", T.TimestampType()),
+    T.StructField("author", T.StringType()),
+])
+
 PAGES = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("url", T.StringType()),
@@ -65,5 +84,6 @@ MANIFEST = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("last_date", T.TimestampType()),
+    T.StructField("version", T.StringType()),      # the folder that holds the month's rows
 ])
 

@@ -1,10 +1,13 @@
 """Sinks: compatible CSV, run snapshots, daily and monthly partitions, URL
 lists, the backfill manifest.  Every write is an overwrite of exactly the
-slice it owns, so a rerun after a lost executor or a failed job converges
-to the same files."""
+slice it owns, or a new version that is published when it is whole, so a
+rerun after a lost executor or a failed job converges to the same result."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,29 +63,90 @@ def write_daily(tables: dict[str, DataFrame], root: str, run_date: str) -> None:
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/run_date={run_date}")
 
 
-def write_monthly(df: DataFrame, path: str, month: str = "scrape_month", fmt: str = "parquet") -> None:
-    """SNK-4: partitioned by month with dynamic overwrite (only the months
-    present are replaced; see ``clear_months`` for months that may have
-    become empty).  REBALANCE lets adaptive execution split a hot month into
-    several files and merge small ones, instead of one task per month."""
-    (df.hint("rebalance", month).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(month).format(fmt).save(path))
+# ---------------------------------------------------------------- months: write, audit, publish
+#
+#   <root>/<kind>/version=<v>/scrape_month=<YYYY-MM>/   rows of one run; never changed once written
+#   <root>/_manifest/snapshot=<n>-<id>/                 one file: the version of every month and kind
+#
+# Readers take the newest snapshot and see exactly the versions it names, so
+# a run that stops anywhere before its snapshot is there changes nothing.
+
+class AuditError(RuntimeError):
+    """What was written is not what should be published."""
+
+
+def new_version() -> str:
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def stage_months(rows: DataFrame, root: str, kind: str, version: str, month: str = "scrape_month") -> None:
+    """Write ``rows`` by month under their version, which no reader follows
+    yet.  REBALANCE lets adaptive execution split a hot month into several
+    files and merge small ones, instead of one task per month."""
+    rows.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(f"{root}/{kind}/version={version}")
+
+
+def audit_months(staged: DataFrame, kind: str, months: DataFrame, key: str, ts: str | None = None,
+                 expected: DataFrame | None = None) -> DataFrame:
+    """(scrape_month, kind, rows) of a staged version, read back.
 
+    Raises ``AuditError`` where a row has no ``key``, lies in a month that is
+    not among ``months`` or not in the month of its own time ``ts``, or where
+    the rows of a month are not as many as ``expected`` (scrape_month, rows)."""
+    own = F.lit(False) if ts is None else F.date_format(ts, "yyyy-MM") != F.col("scrape_month")
+    counts = staged.groupBy("scrape_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("no_key"), F.count_if(own).alias("misplaced"))
+    planned = months.select("scrape_month", F.lit(True).alias("planned")).distinct()
+    seen = counts.join(planned, "scrape_month", "full")
+    if expected is not None:
+        seen = seen.join(expected.select("scrape_month", F.col("rows").alias("expected")), "scrape_month", "full")
+    else:
+        seen = seen.withColumn("expected", F.col("rows"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    wrong = (F.col("planned").isNull() | (zero("no_key") > 0) | (zero("misplaced") > 0) | (zero("rows") != zero("expected")))
+    bad = seen.where(wrong).limit(5).collect()
+    if bad:
+        raise AuditError(f"{kind}: {'; '.join(str(r.asDict()) for r in bad)}")
+    return seen.select("scrape_month", F.lit(kind).alias("kind"), zero("rows").cast("long").alias("rows"))
 
-def clear_months(spark: SparkSession, path: str, months: list[str], schema: T.StructType, month: str = "scrape_month",
-                 fmt: str = "parquet") -> None:
-    """Empty the partitions of ``months`` that exist under ``path``, so that
-    a rewritten month without rows keeps none of its old ones."""
-    fields = T.StructType([f for f in schema.fields if f.name != month])
+
+def read_staged(spark: SparkSession, root: str, kind: str, version: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(_with_text(schema, "scrape_month")).parquet(f"{root}/{kind}/version={version}")
+
+
+def _with_text(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name not in names] + [T.StructField(n, T.StringType()) for n in names])
+
+
+def read_months(spark: SparkSession, root: str, kind: str, schema: T.StructType) -> DataFrame:
+    """The published rows of a kind (``schema`` and scrape_month): only the
+    version folders that the newest manifest names are read."""
+    live = read_manifest(spark, f"{root}/_manifest").where(F.col("kind") == kind).select("scrape_month", "version")
     try:
-        there = spark.read.schema(T.StructType([T.StructField(month, T.StringType())])).format(fmt).load(path)
+        every = spark.read.schema(_with_text(schema, "scrape_month", "version")).parquet(f"{root}/{kind}")
     except AnalysisException as exc:   # nothing written yet
-        if "PATH_NOT_FOUND" in str(exc):
-            return
-        raise
-    held = {r[0] for r in there.select(month).distinct().where(F.col(month).isin(months)).collect()}   # of the months asked for
-    for m in sorted(held):
-        spark.createDataFrame([], fields).write.mode("overwrite").format(fmt).save(f"{path}/{month}={m}")
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], _with_text(schema, "scrape_month"))
+    return every.join(live, ["scrape_month", "version"], "left_semi").select(*_with_text(schema, "scrape_month").names)
+
+
+def write_monthly(tables: dict[str, DataFrame], root: str, keys: dict[str, str], status: str = "complete") -> DataFrame:
+    """SNK-4: the months present in ``tables`` (kind to rows with a
+    ``scrape_month``) replace those published before, all at once: staged,
+    read back and checked, then named by a new manifest.  ``keys`` names the
+    column of each kind that must not be null.  Returns the rows per month and kind."""
+    root, version = root.rstrip("/"), new_version()
+    for kind, rows in tables.items():
+        stage_months(rows, root, kind, version)
+    counts = None
+    for kind, rows in tables.items():
+        staged = read_staged(rows.sparkSession, root, kind, version, rows.schema)
+        found = audit_months(staged, kind, staged, keys[kind])
+        counts = found if counts is None else counts.unionByName(found)
+    entries = counts.withColumns({"status": F.lit(status), "last_date": F.lit(None).cast("timestamp"), "version": F.lit(version)})
+    write_checkpoint(entries, f"{root}/_manifest")
+    return counts
 
 
 def write_url_list(urls: DataFrame, path: str, col: str = "url") -> None:
@@ -91,11 +155,37 @@ def write_url_list(urls: DataFrame, path: str, col: str = "url") -> None:
 
 
 def write_checkpoint(manifest: DataFrame, path: str) -> None:
-    """SNK-7: manifest rows (scrape_month, kind, rows, status, last_date),
-    partitioned by month with dynamic overwrite; written only after the
-    data it describes."""
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields]
-    write_monthly(manifest.select(*cols), path, month="scrape_month")
+    """SNK-7: publish manifest rows (scrape_month, kind, rows, status,
+    last_date, version) by one new snapshot: the rows given replace those of
+    their month and kind, all others stay.  A snapshot is one file that a
+    rename puts in place, so readers see the old one or the new one.  One
+    job publishes to a path at a time."""
+    spark = manifest.sparkSession
+    if "version" not in manifest.columns:
+        manifest = manifest.withColumn("version", F.lit(None))
+    new = manifest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields])
+    last = _snapshots(spark, path).agg(F.max("snapshot")).first()[0]
+    kept = read_manifest(spark, path).join(new.select("scrape_month", "kind"), ["scrape_month", "kind"], "left_anti")
+    number = int(last.split("-")[0]) + 1 if last else 1
+    (kept.select(*new.columns).unionByName(new).coalesce(1)      # one row a month and kind
+     .write.parquet(f"{path}/snapshot={number:08d}-{uuid.uuid4().hex[:8]}"))
+
+
+def _snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Every manifest row with its snapshot (a path that is not there has none)."""
+    schema = T.StructType(schemas.MANIFEST.fields + [T.StructField("snapshot", T.StringType())])
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:  # a first run has no manifest yet
+        if "PATH_NOT_FOUND" in str(exc):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot's rows; its name is a scalar subquery, so only its file is read."""
+    every = _snapshots(spark, path)
+    return every.where(F.col("snapshot") == every.agg(F.max("snapshot")).scalar()).drop("snapshot")
 
 
 def write_last_date(last: DataFrame, path: str, col: str = "last_date") -> None:
@@ -106,12 +196,3 @@ def write_last_date(last: DataFrame, path: str, col: str = "last_date") -> None:
         .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     (last.select(F.to_json(F.struct(iso.alias("last_date"))).alias("value")).coalesce(1)
      .write.mode("overwrite").text(path))
-
-
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(schemas.MANIFEST).parquet(path)
-    except AnalysisException as exc:  # a first run has no manifest yet
-        if "PATH_NOT_FOUND" in str(exc):
-            return spark.createDataFrame([], schemas.MANIFEST)
-        raise

@@ -241,7 +241,7 @@ def _thread(i, community, created, comments):
 
 
 def _months_of(spark, root, kind="comments", key="comment_id"):
-    return sorted((r[key], r["scrape_month"]) for r in spark.read.parquet(f"{root}/{kind}").collect())
+    return sorted((r[key], r["scrape_month"]) for r in flows.read_backfill(spark, root).where(F.col("kind") == kind).collect())
 
 
 def test_backfill_comments_filtered_by_their_own_time(spark):
@@ -291,7 +291,67 @@ def test_backfill_month_that_became_empty_keeps_no_rows(spark):
     flows.backfill_by_month(spark, first, root, *span)
     assert _months_of(spark, root) == [("c1", "2024-01")]
     flows.backfill_by_month(spark, spark.createDataFrame([], schemas.THREAD), root, *span)
-    assert spark.read.schema("comment_id string").parquet(f"{root}/comments").count() == 0
+    assert _months_of(spark, root) == [] and _months_of(spark, root, "posts", "id") == []
+
+
+@pytest.mark.parametrize("stop", ["posts staged", "comments staged", "audited", "manifest half written"])
+def test_stopped_backfill_leaves_the_old_months_whole(spark, monkeypatch, stop):
+    root = scratch_dir(spark, "t-stop")
+    old = [_thread("p1", "c", "2024-01-20", [("c1", "2024-01-25"), ("c2", "2024-02-02")])]
+    span = (dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 20))                       # February stays open
+    flows.backfill_by_month(spark, spark.createDataFrame(old, schemas.THREAD), root, *span)
+    before = (_months_of(spark, root), _months_of(spark, root, "posts", "id"))
+    assert before == ([("c1", "2024-01"), ("c2", "2024-02")], [("p1", "2024-01")])
+    new = spark.createDataFrame(old + [_thread("p2", "c", "2024-02-10", [("c3", "2024-02-11")])], schemas.THREAD)
+
+    class Stopped(Exception):
+        pass
+    real = {n: getattr(writers, n) for n in ("stage_months", "audit_months", "write_checkpoint")}
+
+    def stage(rows, root, kind, version):
+        real["stage_months"](rows, root, kind, version)
+        if stop.startswith(kind):
+            raise Stopped
+
+    def checkpoint(entries, path):
+        if stop == "audited":
+            raise Stopped
+        entries.write.parquet(f"{path}/snapshot=00000099-x/_temporary/0/task_0")      # what a job killed before its commit leaves
+        raise Stopped
+    with monkeypatch.context() as m:
+        m.setattr(writers, "stage_months", stage)
+        m.setattr(writers, "write_checkpoint", checkpoint)
+        with pytest.raises(Stopped):
+            flows.resume_backfill(spark, new, root, *span)
+    assert (_months_of(spark, root), _months_of(spark, root, "posts", "id")) == before
+    flows.resume_backfill(spark, new, root, *span)
+    assert _months_of(spark, root) == [("c1", "2024-01"), ("c2", "2024-02"), ("c3", "2024-02")]
+    assert _months_of(spark, root, "posts", "id") == [("p1", "2024-01"), ("p2", "2024-02")]
+
+
+def test_audit_refuses_what_is_not_as_planned(spark):
+    months = spark.createDataFrame([("2024-01",)], "scrape_month string")
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, created_utc timestamp, scrape_month string")
+    good = ("a", dt.datetime(2024, 1, 5), "2024-01")
+    expected = lambda n: spark.createDataFrame([("2024-01", n)], "scrape_month string, rows long")
+    assert [r["rows"] for r in writers.audit_months(rows(good), "posts", months, "id", "created_utc", expected(1)).collect()] == [1]
+    assert [r["rows"] for r in writers.audit_months(rows(), "posts", months, "id", "created_utc").collect()] == [0]
+    for bad, n in (((None, dt.datetime(2024, 1, 5), "2024-01"), 2), (("b", dt.datetime(2024, 2, 5), "2024-01"), 2),
+                   (("b", dt.datetime(2024, 2, 5), "2024-02"), 1), (good, 3)):
+        with pytest.raises(writers.AuditError):
+            writers.audit_months(rows(good, bad), "posts", months, "id", "created_utc", expected(n))
+
+
+def test_readers_follow_the_newest_manifest_and_skip_other_versions(spark):
+    root = scratch_dir(spark, "t-versions")
+    rows = lambda *r: {"posts": spark.createDataFrame(list(r), "id string, scrape_month string")}
+    writers.write_monthly(rows(("a", "2024-01"), ("b", "2024-02")), root, {"posts": "id"})
+    writers.write_monthly(rows(("c", "2024-02")), root, {"posts": "id"})
+    got = writers.read_months(spark, root, "posts", rows(("", ""))["posts"].schema)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", "2024-01"), ("c", "2024-02")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert spark.read.parquet(f"{root}/posts").count() == 3          # the old version is still there, unread
 
 
 def test_malformed_threads_are_set_aside_with_a_reason(spark):
