@@ -3,10 +3,14 @@ progress snapshots."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gleaner.functions.ranking import row_number_within
 from gleaner.functions.scan import blocked_running_sum
 
 # HTTP statuses the review collector retries.
@@ -66,44 +70,77 @@ def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "at
     resets the count; other attempts leave it unchanged.  A null flag is
     false (set the flags so that an attempt without a status is an error).
 
-    A crawl's attempts are numbered (``row_number_within``) and cut into
-    blocks of ``block`` positions.  Inside a block the streak is a pair of
-    bounded windows (islands between resets, errors per island); what a block
-    inherits from earlier blocks (the carry) and the first cut-off per crawl
-    come from windows over the small blocks table.  No task ever holds a
-    whole crawl."""
-    flags = {is_error: F.coalesce(F.col(is_error), F.lit(False)), resets: F.coalesce(F.col(resets), F.lit(False))}
-    df = row_number_within(log.withColumns(flags), [key], list(order), out="_pos")
-    df = df.withColumn("_blk", F.floor((F.col("_pos") - 1) / F.lit(block)).cast("long"))
-    w_blk = Window.partitionBy(key, "_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_isl", F.sum(F.col(resets).cast("int")).over(w_blk))
-    w_isl = Window.partitionBy(key, "_blk", "_isl").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_err", F.sum(F.col(is_error).cast("int")).over(w_isl))
-
-    # Per block: did it reset, errors in total, errors after its last reset.
-    blocks = df.groupBy(key, "_blk").agg(
-        F.max(F.col(resets).cast("int")).alias("_has_reset"),
-        F.sum(F.col(is_error).cast("int")).alias("_total"),
-        F.max_by("_err", "_pos").alias("_tail"))
-    # Carry into block b: errors since the last reset before b.
-    w_prev = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    cum_before = F.coalesce(F.sum("_total").over(w_prev), F.lit(0))
-    last_reset_tail = F.last(F.when(F.col("_has_reset") == 1, F.col("_tail")), ignorenulls=True).over(w_prev)
-    last_reset_cum = F.last(F.when(F.col("_has_reset") == 1, F.col("_cum_incl")), ignorenulls=True).over(w_prev)
-    w_incl = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
-    carry = (blocks.withColumn("_cum_incl", F.sum("_total").over(w_incl))
-             .select(key, "_blk", F.when(last_reset_tail.isNull(), cum_before)
-                     .otherwise(last_reset_tail + cum_before - last_reset_cum).alias("_carry")))
-
-    df = df.join(carry, [key, "_blk"])
-    streak = F.when(F.col("_isl") == 0, F.col("_carry") + F.col("_err")).otherwise(F.col("_err"))
-    df = df.withColumn("_hit", F.col(is_error) & (streak == n))
-    first_hit = df.groupBy(key, "_blk").agg(F.min(F.when(F.col("_hit"), F.col("_pos"))).alias("_h"))
-    w_key = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cuts = first_hit.select(key, "_blk", F.min("_h").over(w_key).alias("_cut"))
-    return (df.join(cuts, [key, "_blk"])
-            .where(F.col("_cut").isNull() | (F.col("_pos") <= F.col("_cut")))
-            .drop("_pos", "_blk", "_isl", "_err", "_carry", "_hit", "_cut"))
+    A segmented scan: the flags are range-partitioned and sorted by crawl and
+    order, and every run of at most ``block`` attempts of one crawl becomes
+    one record (see ``streak_records``).  Records merge: a window over them,
+    in order, gives the errors that each inherits, and with those a record
+    tells where the ``n``-th error lies.  The log itself is shuffled at most
+    once more, to meet its crawl's cut-off.  No task holds a whole crawl."""
+    order = list(order)
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    flags = log.select(F.col(key).alias("_key"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+                       flag(is_error).alias("_error"), flag(resets).alias("_resets"))
+    places = [f"_o{i}" for i in range(len(order))]
+    parts = max(int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranged = flags.repartitionByRange(parts, "_key", *places).sortWithinPartitions("_key", *places)
+    place = T.StructType([flags.schema[c] for c in places])
+    schema = T.StructType([flags.schema["_key"], T.StructField("first", place), T.StructField("head", T.ArrayType(place)),
+                           T.StructField("errors", T.LongType()), T.StructField("reset", T.BooleanType()),
+                           T.StructField("tail", T.LongType()), T.StructField("hit", place)])
+    records = ranged.mapInArrow(streak_records(n, block, places), schema)
+
+    earlier = Window.partitionBy("_key").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy("_key").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda c: F.last(F.when(F.col("reset"), F.col(c)), ignorenulls=True).over(earlier)
+    before = F.coalesce(F.sum("errors").over(earlier), F.lit(0))
+    carry = F.coalesce(last("tail") + before - last("sum"), before)
+    at = F.lit(n) - F.col("carry")
+    hit = F.when((at >= 1) & (at <= F.size("head")), F.get("head", (at - 1).cast("int"))).otherwise(F.col("hit"))
+    cuts = (records.withColumn("sum", F.sum("errors").over(up_to)).withColumn("carry", carry)
+            .groupBy("_key").agg(F.min(hit).alias("_cut")).where(F.col("_cut").isNotNull()))
+    here = F.struct(*[F.col(o).alias(p) for o, p in zip(order, places)])
+    return (log.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left")
+            .where(F.col("_cut").isNull() | (here <= F.col("_cut"))).select(*log.columns))
+
+
+def streak_records(n: int, block: int, places: list[str]):
+    """One record for each run of at most ``block`` rows of a key, in order:
+    the run's first place, the places of its first ``n`` errors before any
+    reset, all errors before any reset, whether there is a reset, the errors
+    after the last one, and where ``n`` errors follow one another after a reset."""
+    def of(rows: pa.RecordBatch) -> pa.RecordBatch:
+        key = rows.column(0)
+        size = rows.num_rows
+        codes = key.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        error, reset = (rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_error", "_resets"))
+        at = pa.StructArray.from_arrays([rows.column(p) for p in places], fields=[rows.schema.field(p) for p in places])
+        starts = np.concatenate([[0], np.nonzero(codes[1:] != codes[:-1])[0] + 1])
+        run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, size)))
+        total = np.cumsum(error)
+        since = np.maximum.accumulate(np.where((reset == 1) | np.isin(np.arange(size), starts), np.arange(size), 0))
+        streak = total - total[since] + error[since]              # errors since the run's start or last reset
+        resets = np.cumsum(reset)
+        headed = resets - (resets[starts] - reset[starts])[run] == 0   # before any reset of the run
+        ends = np.append(starts[1:], size) - 1
+        in_head = np.nonzero((error == 1) & headed & (streak <= n))[0]
+        inner = np.nonzero((error == 1) & ~headed & (streak == n))[0]
+        runs, first_inner = np.unique(run[inner], return_index=True)
+        hit = np.full(len(starts), -1)
+        hit[runs] = inner[first_inner]
+        reset_any = ~headed[ends]
+        errors = np.bincount(run[headed], weights=error[headed], minlength=len(starts)).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(run[in_head], minlength=len(starts)))])
+        return pa.RecordBatch.from_arrays([
+            key.take(pa.array(starts)), at.take(pa.array(starts)),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), at.take(pa.array(in_head))), pa.array(errors), pa.array(reset_any),
+            pa.array(streak[ends]), at.take(pa.array(hit, mask=hit < 0))],
+            names=["_key", "first", "head", "errors", "reset", "tail", "hit"])
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for a in range(0, rows.num_rows, block):
+                yield of(rows.slice(a, block))
+    return records
 
 
 def interim_snapshots(per_product: DataFrame, order: str = "product_no", n: str = "n_reviews",

@@ -12,7 +12,7 @@ from gleaner import schemas
 from gleaner.operators import catalog, crawl, links, periods, threads
 from gleaner.session import materialize
 from gleaner.sinks import writers
-from gleaner.sources import readers
+from gleaner.sources import archive, readers
 
 # The daily job's communities, period and limit.
 DAILY_COMMUNITIES = ("AsianBeauty", "SkincareAddiction", "30PlusSkinCare")
@@ -56,6 +56,19 @@ def collect_threads(threads_df: DataFrame, community: str, period: str = "day",
     return collect_communities(threads_df, [community], period, limit, as_of)
 
 
+def collect_sources(spark: SparkSession, root: str, communities: list[str] | None, period: str = "day", limit: int = 100,
+                    as_of=None, expected: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """PIP-2 over an archive folder: posts, comments and quarantine.  A file
+    that is broken or missing, and a line that is malformed, is named in the
+    quarantine (file, id, community, reason, raw) and leaves the rest intact."""
+    found, broken = archive.read_threads_isolated(spark, root, expected)
+    posts, comments = collect_communities(found, communities, period, limit, as_of)
+    files = broken.select("file", *[F.lit(None).cast("string").alias(c) for c in ("id", "community")], "reason",
+                          F.lit(None).cast("string").alias("raw"))
+    lines = quarantine_rows(found).select(F.lit(None).cast("string").alias("file"), "id", "community", "reason", "raw")
+    return posts, comments, files.unionByName(lines)
+
+
 def daily_snapshot(spark: SparkSession, threads_df: DataFrame, root: str, as_of: dt.datetime,
                    communities=DAILY_COMMUNITIES, period: str = DAILY_PERIOD,
                    limit: int = DAILY_LIMIT) -> DataFrame:

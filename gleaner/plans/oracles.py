@@ -357,6 +357,16 @@ ORACLES["collect_threads"] = _T1
 ORACLES["collect_threads_comments"] = _TOP_COMMENTS.format(comments=COMMENTS, top=_T1)
 ORACLES["collect_communities"] = _T3
 ORACLES["collect_communities_comments"] = _TOP_COMMENTS.format(comments=COMMENTS, top=_T3)
+# Threads of files 3, 5 and 7 (of 64, by id) are set aside with their file.
+_WHOLE = "CAST({id} AS BIGINT) % 64 NOT IN (3, 5, 7)"
+_T3W = _TOP.format(posts=f"SELECT * FROM ({POSTS}) WHERE {_WHOLE.format(id='id')}", communities="'1-URGENT', '3-MEDIUM', '5-LOW'",
+                   period="1 YEAR", limit=100)
+ORACLES["collect_sources"] = f"""
+SELECT *, 'posts' AS kind FROM ({_T3W}) UNION ALL BY NAME
+SELECT *, 'comments' AS kind FROM ({_TOP_COMMENTS.format(comments=COMMENTS, top=_T3W)})"""
+ORACLES["quarantine_files"] = """
+SELECT * FROM (VALUES (3, 'truncated'), (5, 'corrupt'), (NULL, 'missing')) AS t(part, reason)"""
+ORACLES["read_threads_isolated"] = f"SELECT * FROM ({POSTS}) WHERE {_WHOLE.format(id='id')}"
 ORACLES["daily_snapshot"] = f"""
 WITH top AS ({_TD}), day AS (SELECT strftime(max(o_orderdate), '%Y-%m-%d') AS run_date FROM orders)
 SELECT top.*, 'posts' AS kind, run_date FROM top, day

@@ -18,8 +18,8 @@ from gleaner.operators import catalog, crawl, forest, links, periods, split, thr
 from gleaner.plans import flows
 from gleaner.session import configure, scratch_dir
 from gleaner.sinks import writers
+from gleaner.sources import archive, readers
 from gleaner.sources import fixtures as fx
-from gleaner.sources import readers
 from gleaner.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -680,6 +680,34 @@ def q_collect_communities_comments(spark, sf_dir):
     return comments
 
 
+def _collect_sources(spark, sf_dir):
+    root, expected = fx.broken_archive(spark, sf_dir)
+    return flows.collect_sources(spark, root, ["1-URGENT", "3-MEDIUM", "5-LOW"], "year", 100, _max_order_date(spark, sf_dir), expected)
+
+
+@register("collect_sources")
+def q_collect_sources(spark, sf_dir):
+    """Posts and comments of an archive with a truncated, a corrupt and a missing file."""
+    posts, comments, _ = _collect_sources(spark, sf_dir)
+    return posts.withColumn("kind", F.lit("posts")).unionByName(comments.withColumn("kind", F.lit("comments")), allowMissingColumns=True)
+
+
+@register("quarantine_files")
+def q_quarantine_files(spark, sf_dir):
+    """The broken files; a missing one is known by its name, which holds no part."""
+    _, _, bad = _collect_sources(spark, sf_dir)
+    part = F.when(F.col("reason") != "missing", F.regexp_extract("file", "part=([0-9]+)/", 1).cast("int"))
+    return bad.select(part.alias("part"), "reason")
+
+
+@register("read_threads_isolated")
+def q_read_threads_isolated(spark, sf_dir):
+    """Every post of the files that are whole."""
+    root, expected = fx.broken_archive(spark, sf_dir)
+    found, _ = archive.read_threads_isolated(spark, root, expected)
+    return threads.project_posts(threads.split_malformed(found)[0])
+
+
 @register("daily_snapshot")
 def q_daily_snapshot(spark, sf_dir):
     root = scratch_dir(spark, "daily-job")

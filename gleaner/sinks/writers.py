@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner import schemas
+from gleaner.session import materialize
 
 CSV_OPTIONS = {
     "header": "true", "quote": '"', "escape": '"', "multiLine": "true",
@@ -104,7 +105,8 @@ def audit_months(staged: DataFrame, kind: str, months: DataFrame, key: str, ts:
         seen = seen.withColumn("expected", F.col("rows"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     wrong = (F.col("planned").isNull() | (zero("no_key") > 0) | (zero("misplaced") > 0) | (zero("rows") != zero("expected")))
-    bad = seen.where(wrong).limit(5).collect()
+    seen = materialize(seen.withColumn("wrong", wrong), "audit")       # one row a month
+    bad = seen.where("wrong").limit(5).collect()
     if bad:
         raise AuditError(f"{kind}: {'; '.join(str(r.asDict()) for r in bad)}")
     return seen.select("scrape_month", F.lit(kind).alias("kind"), zero("rows").cast("long").alias("rows"))

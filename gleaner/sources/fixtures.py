@@ -140,6 +140,41 @@ def comment_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ARCHIVE_FILES = 64
+
+
+def broken_archive(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """(folder, expected names): the thread archive as 64 gzipped JSON files,
+    thread ``id`` in file ``id % 64``.  File 3 is cut in half, file 5 has lost
+    its first bytes, file 7 is gone."""
+    root = scratch_dir(spark, "archive-files")
+    part = (F.col("id").cast("long") % ARCHIVE_FILES).cast("int")
+    rows = thread_archive(spark, sf_dir).withColumn("part", part)
+    rows.repartition(ARCHIVE_FILES, "part").write.partitionBy("part").option("compression", "gzip").json(f"{root}/in")
+    listed = spark.read.format("binaryFile").load(f"{root}/in").select("path", "length", "part", F.col("_metadata.file_name").alias("name"))
+    files = listed.collect()                                     # one a part
+    gateway = spark.sparkContext._gateway
+    hadoop = gateway.jvm.org.apache.hadoop.fs                    # bytes of two files are replaced, one file is deleted
+    for file in files:
+        if file["part"] not in (3, 5, 7):
+            continue
+        path = hadoop.Path(file["path"])
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if file["part"] == 7:
+            fs.delete(path, False)
+            continue
+        start, length = (0, file["length"] // 2) if file["part"] == 3 else (5, file["length"] - 5)
+        kept = gateway.new_array(gateway.jvm.byte, length)
+        source = fs.open(path)
+        source.readFully(start, kept)
+        source.close()
+        target = fs.create(path, True)
+        target.write(kept)
+        target.close()
+    expected = [(f"part={f['part']}/{f['name']}",) for f in files]
+    return f"{root}/in", spark.createDataFrame(expected, "name string")
+
+
 # ---------------------------------------------------------------- catalogue
 
 def _slug() -> F.Column:

@@ -56,29 +56,18 @@ def latest_snapshot(df: DataFrame, prefix: str, name_col: str = "snapshot") -> D
     return mine.where(F.col(name_col) == newest)
 
 
-def _snapshot_name(path: str, name_col: str) -> str:
-    for part in path.rstrip("/").split("/"):
-        if part.startswith(name_col + "="):
-            from urllib.parse import unquote
-            return unquote(part[len(name_col) + 1:])
-    return path.rstrip("/").rsplit("/", 1)[-1]
-
-
 def read_latest_snapshot(spark: SparkSession, root: str, prefix: str, name_col: str = "snapshot",
                          fmt: str = "text") -> DataFrame:
     """SRC-4 over a folder of snapshots (``<name_col>=<name>`` folders or
-    plain files): the newest name is found from the file index (a metadata
-    listing, like listing a directory), then only that snapshot is read."""
-    files = spark.read.format(fmt).load(root).inputFiles()
-    names = sorted({n for n in (_snapshot_name(f, name_col) for f in files) if n.startswith(prefix)})
-    if not names:
-        return spark.read.format(fmt).load(root).where(F.lit(False))
-    newest = names[-1]
-    partitioned = any(f"/{name_col}=" in f for f in files)
-    if partitioned:
-        return spark.read.format(fmt).load(root).where(F.col(name_col) == newest)
-    return (spark.read.format(fmt).load([f for f in files if _snapshot_name(f, name_col) == newest])
-            .withColumn(name_col, F.lit(newest)))
+    plain files).  The newest name is a scalar subquery over one row a file
+    (their bytes are not read), and a filter on the partition or on the
+    file's name, so only that snapshot's files are opened."""
+    files = spark.read.format("binaryFile").load(root)
+    folders = name_col in files.columns
+    name = F.col(name_col) if folders else F.col("_metadata.file_name")
+    newest = files.where(F.startswith(name.cast("string"), F.lit(prefix))).agg(F.max(name.cast("string"))).scalar()
+    rows = spark.read.format(fmt).load(root).where(name == newest)
+    return rows if folders else rows.withColumn(name_col, newest)
 
 
 def plan_listing_pages(spark: SparkSession, base: str, max_pages: int | None = None,
