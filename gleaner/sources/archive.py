@@ -57,7 +57,8 @@ def broken_files(spark: SparkSession, root: str, rows: DataFrame, expected: Data
 
     The listing (one row a file, its bytes unread) is reconciled with what was
     read: ``rows`` has a ``file`` column, the path of each row's file.
-    ``missing``: a path of ``expected`` (column ``name``, below ``root``) that is not listed;
+    ``missing``: a path of ``expected`` (column ``name``, below ``root``) that is
+    not listed or has no bytes (Spark lists neither);
     ``truncated`` or ``corrupt``: a .gz file whose stream does not end or does
     not inflate (one task inflates such a file whole to read it, and does so
     here once more); ``unreadable``: any other file with bytes but no rows."""

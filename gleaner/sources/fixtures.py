@@ -153,24 +153,21 @@ def broken_archive(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     rows.repartition(ARCHIVE_FILES, "part").write.partitionBy("part").option("compression", "gzip").json(f"{root}/in")
     listed = spark.read.format("binaryFile").load(f"{root}/in").select("path", "length", "part", F.col("_metadata.file_name").alias("name"))
     files = listed.collect()                                     # one a part
-    gateway = spark.sparkContext._gateway
-    hadoop = gateway.jvm.org.apache.hadoop.fs                    # bytes of two files are replaced, one file is deleted
+    jvm = spark.sparkContext._jvm                                # two files are cut, one is deleted
     for file in files:
         if file["part"] not in (3, 5, 7):
             continue
-        path = hadoop.Path(file["path"])
+        path, cut = (jvm.org.apache.hadoop.fs.Path(p) for p in (file["path"], f"{root}/cut-{file['part']}"))
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if file["part"] == 7:
-            fs.delete(path, False)
-            continue
-        start, length = (0, file["length"] // 2) if file["part"] == 3 else (5, file["length"] - 5)
-        kept = gateway.new_array(gateway.jvm.byte, length)
-        source = fs.open(path)
-        source.readFully(start, kept)
-        source.close()
-        target = fs.create(path, True)
-        target.write(kept)
-        target.close()
+        if file["part"] != 7:
+            start, end = (0, file["length"] // 2) if file["part"] == 3 else (5, file["length"])
+            source, target = fs.open(path), fs.create(cut)
+            jvm.org.apache.commons.io.IOUtils.copyLarge(source, target, start, end - start)
+            source.close()
+            target.close()
+        fs.delete(path, False)
+        if file["part"] != 7:
+            fs.rename(cut, path)
     expected = [(f"part={f['part']}/{f['name']}",) for f in files]
     return f"{root}/in", spark.createDataFrame(expected, "name string")
 
