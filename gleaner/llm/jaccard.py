@@ -22,7 +22,11 @@ similarity t or more meet in the first n - ceil(t n) + 1 shingles of each
    every link between components is found, and no link is lost.  An entry
    carries the two shingles before it in its node's prefix: where one of them
    is common too, the pair has met there already and is not made again, so a
-   pair comes out once a stretch of common shingles, not once a shingle.
+   pair comes out once a stretch of common shingles, not once a shingle.  At
+   its first common shingle a pair has no common one in front, and no more
+   common ones than are left in either set: a pair for which these are too few,
+   or whose folded sketches (PARITY words an entry) are too far apart, is not
+   made either.
 
 A pair is discarded when its sizes cannot reach the threshold, or when its
 sketches differ in more bits than the size-derived bound on the symmetric
@@ -46,10 +50,11 @@ from gleaner.session import materialize
 
 WORDS = 4                # words of a shingle
 PERCENT = 85             # 100 * intersection >= PERCENT * union
+PARITY = 4               # 64-bit words of the folded sketch that cross entries carry
 SKETCH_WORDS = 16        # least 64-bit words of a parity sketch
 STARS = 3                # star rounds before the cross round
 FREQUENT = 300_000       # shingles moved to the end of the order: 2.4 MB
-REPEATS = 3              # texts of one slice that hold a shingle before it counts as frequent
+REPEATS = 2              # different sets of one slice that hold a shingle before it counts as frequent
 SLICE = 2_000_000        # shingles of a slice
 
 
@@ -81,18 +86,21 @@ def _profile(size: int):
             pa.array(counts[often].astype(np.int64)), none(pa.list_(pa.int64()))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held = [], 0
+        seen, held, counted = [], 0, set()
         for batch in batches:
             nodes, sizes, sketches = [], [], []
             for _, s in shingle_sets(*utf8_parts(batch.column(1)), size):
                 nodes.append(_node_of(s) if len(s) else None)
                 sizes.append(len(s))
                 sketches.append(_sketch(s) if len(s) else None)
+                if not len(s) or nodes[-1] in counted:       # exact copies are one node
+                    continue
+                counted.add(nodes[-1])
                 seen.append(s)
                 held += len(s)
                 if held >= SLICE:
                     yield repeated(seen)
-                    seen, held = [], 0
+                    seen, held, counted = [], 0, set()
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.zeros(len(nodes), np.int32)), batch.column(0), batch.column(2), pa.array(nodes, pa.int64()),
                 pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))], names)
@@ -102,14 +110,14 @@ def _profile(size: int):
 
 
 def _prefixes(size: int, percent: int, frequent: np.ndarray):
-    """Entries (shingle, node, before) of each text's prefix; before: 32 bits
-    of each of the two shingles in front, 0 for none."""
+    """Entries (shingle, node, pos, b1, b2) of each text's prefix: the place
+    in the set's order and the two shingles in front (null for none)."""
     order = np.argsort(frequent)
     known, place = frequent[order], order            # place: how frequent, 0 the most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shingles, nodes, lengths, before = [], [], [], []
+            shingles, nodes, lengths = [], [], []
             done = set()                             # copies in one batch are emitted once
             for _, s in shingle_sets(*utf8_parts(batch.column(0)), size):
                 n = len(s)
@@ -129,17 +137,15 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray):
                 else:
                     s_ordered = s
                 shingles.append(s_ordered[:take])
-                half = (s_ordered[:take] >> np.uint64(32)) | np.uint64(1)
-                front = np.zeros(take, np.uint64)
-                front[1:] = half[:-1] << np.uint64(32)
-                front[2:] |= half[:-2]
-                before.append(front)
                 nodes.append(node)
                 lengths.append(take)
-            flat = np.concatenate(shingles) if shingles else np.zeros(0, np.uint64)
+            flat = (np.concatenate(shingles) if shingles else np.zeros(0, np.uint64)).astype(np.int64)
+            counts = np.array(lengths, np.int64)
+            pos = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+            one, two = (pa.array(np.concatenate([np.zeros(min(k, len(flat)), np.int64), flat[:-k]]), mask=pos < k) for k in (1, 2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat.astype(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), lengths)),
-                 pa.array((np.concatenate(before) if before else flat).astype(np.int64))], ["shingle", "node", "before"])
+                [pa.array(flat), pa.array(np.repeat(np.array(nodes, np.int64), counts)), pa.array(pos.astype(np.int32)), one, two],
+                ["shingle", "node", "pos", "b1", "b2"])
     return run
 
 
@@ -161,8 +167,10 @@ def _overlaps(size: int, percent: int):
     return run
 
 
-def _front(before: str, side: str) -> list:
-    return [F.shiftrightunsigned(before, 32).alias(f"{side}1"), F.col(before).bitwiseAND(F.lit(0xFFFFFFFF)).alias(f"{side}2")]
+def _parity(k: int) -> Column:
+    """Word ``k`` of a sketch folded to PARITY words."""
+    mine = F.filter("sketch", lambda _, i: i % PARITY == k)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x))
 
 
 def _reachable(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -212,13 +220,16 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     often = (profile.where("kind = 1").groupBy("node").agg(F.sum("n").alias("c"))
              .orderBy(F.desc("c"), "node").limit(FREQUENT).select("node").toArrow())      # FREQUENT numbers at most
     frequent = often.column(0).to_numpy().astype(np.int64).astype(np.uint64)
+    owner = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "text_hash"))
     nodes = materialize(rows.where("node is not null").groupBy("node").agg(
-        F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"),
-        F.min_by("text_hash", "doc_id").alias("text_hash")), "jaccard-nodes")
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), owner.alias("owner"))
+        .select("node", "n", "sketch", "owner.doc_id", "owner.text_hash"), "jaccard-nodes")
     sketches = nodes.select("node", "n", "sketch")
-    owners = nodes.where("doc_id is not null").select("node", "doc_id", "text_hash")
+    # a row without an id is found by its text's hash in the id's place
+    owners = nodes.select("node", F.coalesce("doc_id", "text_hash").alias("doc_id"), "text_hash")
+    keyed = docs.select(F.coalesce("doc_id", F.xxhash64("text")).alias("doc_id"), "text")
 
-    entries = materialize(docs.select("text").mapInArrow(_prefixes(size, percent, frequent), "shingle long, node long, before long"),
+    entries = materialize(docs.select("text").mapInArrow(_prefixes(size, percent, frequent), "shingle long, node long, pos int, b1 long, b2 long"),
                           "jaccard-entries")
     blocks = (entries.groupBy("shingle").agg(F.min("node").alias("least"), F.max("node").alias("most"))
               .where("least != most").select("shingle", "least"))
@@ -236,24 +247,29 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
             star = (rooted.join(lead, "shingle").where("root != l.root").select("node", F.col("l.node").alias("lead")))
         star = star.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         star = materialize(_reachable(star, sketches, percent), "jaccard-star")
-        new = materialize(_verified(docs, owners, star, size, percent), "jaccard-links")
+        new = materialize(_verified(keyed, owners, star, size, percent), "jaccard-links")
         links = new if links is None else links.unionAll(new)
         found = connected_components(links)
 
-    placed = (shared.select("shingle", "node", "before").join(nodes.select("node", "n"), "node").join(found, "node", "left")
-              .select("shingle", "node", "before", "n", F.coalesce("component", "node").alias("root")))
-    placed = materialize(placed, "jaccard-placed")
+    placed = materialize(shared.join(found, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component"),
+                         "jaccard-placed")
     mixed = (placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
              .where("low != high").select("shingle"))
-    left = placed.join(mixed, "shingle").select("shingle", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"),
-                                                 *_front("before", "x"))
-    right = placed.select("shingle", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), *_front("before", "y"))
-    cross = (left.join(right, "shingle").where("rx < ry")
-             .where("not ((x1 != 0 and (x1 = y1 or x1 = y2)) or (x2 != 0 and (x2 = y1 or x2 = y2)))")
-             .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    words = [f"w{k}" for k in range(PARITY)]
+    sized = nodes.select("node", "n", *[_parity(k).alias(w) for k, w in enumerate(words)])
+    open_ = materialize(placed.join(mixed, "shingle").join(sized, "node"), "jaccard-open")
+    left, right = (open_.select("shingle", *[F.col(c).alias(side + c) for c in open_.columns if c != "shingle"]) for side in "xy")
+    met = " or ".join(f"coalesce(x{a} = y{b}, false)" for a in ("b1", "b2") for b in ("b1", "b2"))
+    apart = sum((F.bit_count(F.col("x" + w).bitwiseXOR(F.col("y" + w))) for w in words), F.lit(0))
+    total = F.col("xn") + F.col("yn")
+    rest = F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos"))    # common shingles there can be from here on
+    cross = (left.join(right, "shingle").where("xroot < yroot").where(f"not ({met})")
+             .where(100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
+             .where((100 + percent) * rest >= percent * total)
+             .where((100 + percent) * apart <= (100 - percent) * total)
+             .select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct())
     cross = materialize(_reachable(cross, sketches, percent), "jaccard-cross")
-    more = materialize(_verified(docs, owners, cross, size, percent), "jaccard-links")
+    more = materialize(_verified(keyed, owners, cross, size, percent), "jaccard-links")
     groups = connected_components(links.unionAll(more))
 
     named = nodes.select("node", "doc_id").join(groups, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("root"))

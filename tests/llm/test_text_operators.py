@@ -214,6 +214,37 @@ def test_jaccard_components_equal_brute_force(spark, size, percent):
     assert len(set(want)) < len(texts) - 10
 
 
+def test_jaccard_links_through_texts_without_an_id(spark):
+    rnd = random.Random(8)
+    base = [f"v{i}" for i in range(140)]
+    chain = [list(base)]
+    for k in range(6):                                        # each a near copy of the last only
+        step = list(chain[-1])
+        step[10 + 20 * k:13 + 20 * k] = [f"x{k}", f"y{k}", f"z{k}"]
+        chain.append(step)
+    texts = [" ".join(c) for c in chain]
+    ids = [1, None, 3, None, None, 6, 7]
+    rows = [(i, t, "en", "s", len(t)) for i, t in zip(ids, texts)] + [(9, " ".join(rnd.sample(base, 60)), "en", "s", 9)]
+    out = jaccard.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in out) == [(0, 1)] * 3 + [(1, 1), (3, 1), (6, 1), (7, 1), (9, 9)]
+
+
+def test_jaccard_families_below_the_threshold_stay_apart(spark):
+    """Texts that share most of one text, each pair just below the threshold."""
+    rnd = random.Random(3)
+    base = [f"b{i}" for i in range(200)]
+    texts = []
+    for i in range(120):
+        own = list(base)
+        for k in rnd.sample(range(200), 6):
+            own[k] = f"own{i}x{k}"
+        texts.append(" ".join(own))
+    sets = [(i, shingle_set(t, 4)) for i, t in enumerate(texts)]
+    got = rows_by(jaccard.jaccard_components(docs_of(spark, texts)))
+    want = components_of(sets, 85)
+    assert {i: want[i] for i, _ in sets} == {i: r["component_id"] for i, r in got.items()}
+
+
 def test_jaccard_frequent_order_never_changes_links(spark, monkeypatch):
     texts = near_copies(6)
     plain = rows_by(jaccard.jaccard_components(docs_of(spark, texts)))
