@@ -15,8 +15,10 @@ similarity t or more meet in the first n - ceil(t n) + 1 shingles of each
    node fall away.
 3. Star rounds: in each block every node is paired with one leader only (the
    least node, then others for nodes not yet in the leader's component), so a
-   group of near copies costs as many pairs as it has nodes.  Verified links
-   give provisional components.
+   group of near copies costs a few pairs a node.  Blocks fall into LEADERS
+   classes whose leaders differ, so a node meets several of its group in one
+   round.  Verified links give provisional components; rounds go on while they
+   join many nodes.
 4. Cross round: nodes of one block that are still in different components are
    paired.  Pairs inside a component need no look: they change nothing.  So
    every link between components is found, and no link is lost.  An entry
@@ -52,7 +54,8 @@ WORDS = 4                # words of a shingle
 PERCENT = 85             # 100 * intersection >= PERCENT * union
 PARITY = 4               # 64-bit words of the folded sketch that cross entries carry
 SKETCH_WORDS = 16        # least 64-bit words of a parity sketch
-STARS = 3                # star rounds before the cross round
+LEADERS = 8              # classes of blocks with leaders of their own in a star round
+LAST_ROUND = 50          # no more star rounds after one with fewer than 1 / LAST_ROUND of the first one's links
 FREQUENT = 300_000       # shingles moved to the end of the order: 2.4 MB
 REPEATS = 2              # different sets of one slice that hold a shingle before it counts as frequent
 SLICE = 2_000_000        # shingles of a slice
@@ -236,20 +239,29 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     shared = materialize(entries.join(blocks, "shingle").distinct(), "jaccard-shared")
 
     # star rounds: the least node of a block first, then other leaders for nodes not yet with the last one
-    links, found = None, None
-    for turn in range(STARS):
+    links, first, turn = None, 0, 0
+    while True:
         if turn == 0:
             star = shared.where("node != least").select(F.col("node"), F.col("least").alias("lead"))
         else:
             rooted = shared.select("shingle", "node").join(found, "node", "left").select(
                 "shingle", "node", F.coalesce("component", "node").alias("root"))
-            lead = rooted.groupBy("shingle").agg(F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")).alias("l"))
+            rank = F.xxhash64("node", F.pmod("shingle", F.lit(LEADERS)), F.lit(turn))
+            lead = rooted.groupBy("shingle").agg(F.max(F.struct(rank, "node", "root")).alias("l"))
             star = (rooted.join(lead, "shingle").where("root != l.root").select("node", F.col("l.node").alias("lead")))
         star = star.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         star = materialize(_reachable(star, sketches, percent), "jaccard-star")
         new = materialize(_verified(keyed, owners, star, size, percent), "jaccard-links")
         links = new if links is None else links.unionAll(new)
-        found = connected_components(links)
+        joined = new.count()
+        first = max(first, joined)
+        if joined:
+            found = connected_components(links)
+        elif turn == 0:
+            found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))        # no rows
+        if turn and joined * LAST_ROUND <= first:
+            break
+        turn += 1
 
     placed = materialize(shared.join(found, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component"),
                          "jaccard-placed")
