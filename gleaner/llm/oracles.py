@@ -29,10 +29,21 @@ base AS (
     {_found("assign", 0, _ASSIGN)} UNION ALL {_found("access", 1, "AKIA[A-Z0-9]+")} UNION ALL {_found("hex", 2, "[0-9a-f]+")})
   WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '{_ASSIGN}', 1)) >= {scan.ASSIGN_VALUE}
              WHEN 'access' THEN length(hit) >= 20 ELSE length(hit) >= 24 END),
+whole AS (
+  SELECT * FROM (SELECT *, start + length(hit) AS stop FROM ({_found("entropy", 3, "[A-Za-z0-9+/_=-]{20,}")}))
+  WHERE NOT regexp_full_match(hit, '{_ALLOW}')),
+inside AS (          -- the runs with the base spans that touch them
+  SELECT r.doc_id, r.start AS run, b.start, b.stop FROM whole r JOIN base b ON b.doc_id = r.doc_id AND b.start < r.stop AND r.start < b.stop),
+begins AS (
+  SELECT doc_id, start AS run, start AS p FROM whole UNION SELECT doc_id, run, stop AS p FROM inside),
+ends AS (            -- a piece begins where no base span is, and goes on to the next one
+  SELECT g.doc_id, g.run, g.p, min(i.start) FILTER (i.start >= g.p) AS q
+  FROM begins g LEFT JOIN inside i ON i.doc_id = g.doc_id AND i.run = g.run GROUP BY g.doc_id, g.run, g.p
+  HAVING count(*) FILTER (i.start <= g.p AND g.p < i.stop) = 0),
 runs AS (
-  SELECT * FROM (SELECT *, start + length(hit) AS stop FROM ({_found("entropy", 3, "[A-Za-z0-9+/_=-]{20,}")})) r
-  WHERE NOT regexp_full_match(hit, '{_ALLOW}')
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start < r.stop AND r.start < b.stop)),
+  SELECT * FROM (SELECT e.doc_id, e.p AS start, substr(w.hit, e.p - w.start + 1, coalesce(e.q, w.stop) - e.p) AS hit
+                 FROM ends e JOIN whole w ON w.doc_id = e.doc_id AND w.start = e.run WHERE coalesce(e.q, w.stop) - e.p >= {scan.WINDOW})
+  WHERE NOT regexp_full_match(hit, '{_ALLOW}')),
 windows AS (
   SELECT doc_id, start, w FROM (
     SELECT *, unnest(range(0, length(hit) - {scan.WINDOW - 1})) AS w, CASE {_LIMIT} END AS least FROM runs)

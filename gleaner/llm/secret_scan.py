@@ -6,8 +6,9 @@ hexadecimal runs.  Spark returns matches without places, so a text is also
 split by the same pattern: the pieces between matches and the matches
 alternate, and running lengths give every start and end in code points.
 
-Entropy spans.  Runs of token characters that a base span does not touch are
-candidates.  An allow list drops what is known to be harmless (plain words,
+Entropy spans.  Runs of token characters are candidates; a run that base spans
+touch is cut there, and each piece of ``WINDOW`` characters or more is a
+candidate of its own.  An allow list drops what is known to be harmless (plain words,
 numbers, identifiers, paths, UUIDs, runs of one class).  In the rest a window
 of ``WINDOW`` characters slides over the run.  The state keeps one count per
 symbol of the run's character class and the running sum of c * log2(c); each
@@ -142,14 +143,30 @@ def entropy_stretches(token: Column) -> Column:
                            st["done"], F.struct(st["a"].alias("a"), st["b"].alias("b")))).otherwise(st["done"]))
 
 
+def _pieces(run: Column, base: Column) -> Column:
+    """What base spans leave of a run: (start, hit) of WINDOW characters or more."""
+    touching = F.filter(base, lambda b: (b["start"] < run["stop"]) & (run["start"] < b["stop"]))
+    first = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("left"))
+
+    def until(state, stop):
+        return F.array_append(state["left"], F.struct(state["at"].alias("start"), stop.alias("stop")))
+
+    left = F.aggregate(touching, first, lambda st, b: F.struct(F.greatest(st["at"], b["stop"]).alias("at"), until(st, b["start"]).alias("left")),
+                       lambda st: until(st, run["stop"]))
+    long = F.filter(left, lambda p: p["stop"] - p["start"] >= WINDOW)
+    return F.transform(long, lambda p: F.struct(p["start"].alias("start"), F.substring(
+        run["hit"], p["start"] - run["start"] + 1, p["stop"] - p["start"]).alias("hit")))
+
+
 def entropy_spans(text: Column, tokens: Column, base: Column) -> Column:
-    """Spans of the entropy scan over the token runs; runs that the allow
-    list knows, or that touch a base span, are left out."""
-    runs = F.filter(match_spans(text, tokens, TOKEN, "entropy"), lambda r: ~r["hit"].rlike(_ALLOWED))
-    free = F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["stop"]) & (r["start"] < b["stop"])))
-    return F.flatten(F.transform(free, lambda r: F.transform(entropy_stretches(r["hit"]), lambda e: F.struct(
-        (r["start"] + e["a"]).alias("start"), r["ord"].alias("ord"), (r["start"] + e["b"]).alias("stop"),
-        r["kind"].alias("kind")))))
+    """Spans of the entropy scan over the token runs, cut at base spans; runs
+    and pieces that the allow list knows are left out."""
+    order, kind = KINDS.index("entropy"), "entropy"
+    runs = F.filter(match_spans(text, tokens, TOKEN, kind), lambda r: ~r["hit"].rlike(_ALLOWED))
+    free = F.filter(F.flatten(F.transform(runs, lambda r: _pieces(r, base))), lambda p: ~p["hit"].rlike(_ALLOWED))
+    return F.flatten(F.transform(free, lambda p: F.transform(entropy_stretches(p["hit"]), lambda e: F.struct(
+        (p["start"] + e["a"]).alias("start"), F.lit(order).alias("ord"), (p["start"] + e["b"]).alias("stop"),
+        F.lit(kind).alias("kind")))))
 
 
 def _joined(spans: Column) -> Column:
