@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner import schemas
-from gleaner.session import scratch_dir
+from gleaner.session import scratch_dir, sorted_aggregates
 
 # Threads whose comment count exceeds this are split over several rows
 # (comment pages) so no single row or aggregation group grows with the data.
@@ -48,23 +48,31 @@ def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
         except AnalysisException:    # staged files were removed: build again
             _STAGED.pop(key, None)
     path = scratch_dir(spark, f"staged-{name}")
-    build().write.mode("overwrite").parquet(path)
+    with sorted_aggregates(spark):
+        build().write.mode("overwrite").parquet(path)
     _STAGED[key] = path
     return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- threads
 
-def _comment_rows(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_orderkey").alias("post_key"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
-        F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" "),
-                 F.col("l_returnflag"), F.col("l_linestatus")).alias("body"),
-        F.round("l_quantity").cast("long").alias("score"),
-        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("created_epoch"),
-        F.when(F.col("l_partkey") % 5 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")))
+# What a line carries until its comment is built: far narrower than the comment.
+_LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_shipdate"]
+
+
+def _comment_id(post_key: F.Column, line: Callable[[str], F.Column]) -> F.Column:
+    return F.concat_ws("-", post_key, line("l_linenumber"), line("l_partkey"), line("l_suppkey"))
+
+
+def _comment(post_key: F.Column, line: Callable[[str], F.Column]) -> F.Column:
+    return F.struct(
+        _comment_id(post_key, line).alias("id"),
+        F.concat(F.lit("line "), line("l_linenumber").cast("string"), F.lit(" "),
+                 line("l_returnflag"), line("l_linestatus")).alias("body"),
+        F.round(line("l_quantity")).cast("long").alias("score"),
+        F.unix_seconds(line("l_shipdate").cast("timestamp")).alias("created_epoch"),
+        F.when(line("l_partkey") % 5 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("Supplier#"), F.lpad(line("l_suppkey").cast("string"), 9, "0")))
          .alias("author"),
     )
 
@@ -84,31 +92,31 @@ def build_thread_archive(spark: SparkSession, sf_dir: str,
     Nesting is the data model of a thread archive.  To keep every row
     bounded, a thread with more than `comments_per_page` comments is split
     by a hash of the comment id into pages 1..n, and page 0 is a header
-    row with no comments.  Counting is a partial (map-side) aggregation;
-    the join back to the comments is an equi-join AQE can split when one
-    thread is hot.
+    row with no comments.  Only the threads that are split (fewer than one
+    for every `comments_per_page` comments) meet the rows by a broadcast, so a
+    hot thread is spread by page; any other thread is one group and counts
+    itself there.  Lines are shuffled once, sorted once and grouped as they are
+    in the table; they become comments when the rows are written.
     """
     orders = table(spark, sf_dir, "orders")
-    comments = _comment_rows(table(spark, sf_dir, "lineitem"))
-    k = F.lit(comments_per_page)
+    lines = (table(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isNotNull())
+             .select(F.col("l_orderkey").alias("post_key"), *_LINE))
+    large = F.broadcast(lines.groupBy("post_key").agg(F.count(F.lit(1)).alias("large"))
+                        .where(F.col("large") > comments_per_page))
+    last_page = F.ceil(F.col("large") / F.lit(comments_per_page))
 
-    counts = comments.groupBy("post_key").agg(F.count(F.lit(1)).alias("num_comments"))
-    paged = comments.join(counts, "post_key").withColumn(
+    paged = lines.join(large, "post_key", "left").withColumn(
         "comment_page",
-        F.when(F.col("num_comments") <= k, F.lit(0))
-         .otherwise(F.lit(1) + F.pmod(F.xxhash64("id"), F.ceil(F.col("num_comments") / k)))
+        F.when(F.col("large").isNull(), F.lit(0))
+         .otherwise(F.lit(1) + F.pmod(F.xxhash64(_comment_id(F.col("post_key"), F.col)), last_page))
          .cast("int"),
     )
-    pages = paged.groupBy("post_key", "comment_page").agg(
-        F.max("num_comments").alias("num_comments"),
+    pages = paged.repartition("post_key", "comment_page").groupBy("post_key", "comment_page").agg(
+        F.count(F.lit(1)).alias("n"),
         # Order inside a thread is not part of the data model (every reader
         # explodes or counts), so no per-group sort.
-        F.collect_list(F.struct("id", "body", "score", "created_epoch", "author")).alias("comments"),
+        F.collect_list(F.struct(*_LINE)).alias("lines"),
     )
-    empty = F.array().cast(T.ArrayType(schemas.COMMENT))
-    headers = counts.where(F.col("num_comments") > k).select(
-        "post_key", F.lit(0).alias("comment_page"), "num_comments", empty.alias("comments"))
-    pages = pages.unionByName(headers)
 
     posts = orders.select(
         F.col("o_orderkey").alias("post_key"),
@@ -119,12 +127,14 @@ def build_thread_archive(spark: SparkSession, sf_dir: str,
         F.round(F.col("o_totalprice") * 100).cast("long").alias("score"),
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("created_epoch"),
     )
-    return posts.join(pages, "post_key", "left").select(
-        "id", "community", "title", "body", "score", "created_epoch",
-        F.coalesce("num_comments", F.lit(0).cast("long")).alias("num_comments"),
-        F.coalesce("comment_page", F.lit(0)).alias("comment_page"),
-        F.coalesce("comments", empty).alias("comments"),
-    )
+    posts = posts.join(large, "post_key", "left").withColumn(
+        "comment_page", F.explode(F.sequence(F.lit(0), F.coalesce(last_page, F.lit(0)).cast("int"))))
+    comments = F.transform("lines", lambda line: _comment(F.col("post_key"), lambda c: line[c]))
+    return (posts.join(pages, ["post_key", "comment_page"], "left")
+            .where((F.col("comment_page") == 0) | F.col("n").isNotNull())        # a page that got no comment is none
+            .select("id", "community", "title", "body", "score", "created_epoch",
+                    F.coalesce("large", "n", F.lit(0)).cast("long").alias("num_comments"), "comment_page",
+                    F.coalesce(comments, F.array().cast(T.ArrayType(schemas.COMMENT))).alias("comments")))
 
 
 def comment_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
