@@ -23,8 +23,11 @@ BACKFILL_YEARS = 5
 
 
 def _comments_of(threads_df: DataFrame, selected: DataFrame) -> DataFrame:
+    """Comments of the selected posts, at most the limit for each community:
+    their ids go to the threads, so no comment is shuffled."""
     keep = tuple(c for c in ("community",) if c in threads_df.columns)
-    return threads.flatten_comments(threads_df.join(selected.select("id").distinct(), "id", "left_semi"), keep=keep)
+    ids = F.broadcast(selected.select("id").distinct())
+    return threads.flatten_comments(threads_df.join(ids, "id", "left_semi"), keep=keep)
 
 
 def collect_communities(threads_df: DataFrame, communities: list[str] | None, period: str = "day",
