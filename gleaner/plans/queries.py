@@ -597,16 +597,16 @@ def q_distinct_urls_stream(spark, sf_dir):
 
 
 def _run_interim(spark, sf_dir) -> str:
-    """Product pages arrive in list order, in four files written one after
-    the other."""
+    """Product pages arrive in list order, in four runs; a run's files, as many
+    as tasks write them, are one batch."""
     base = scratch_dir(spark, "interim")
     pages = fx.product_pages(spark, sf_dir)
     top = pages.agg(F.max("page_id")).first()[0] + 1
     for k in range(4):
-        (pages.where((F.col("page_id") >= k * top // 4) & (F.col("page_id") < (k + 1) * top // 4)).coalesce(1)
+        (pages.where((F.col("page_id") >= k * top // 4) & (F.col("page_id") < (k + 1) * top // 4))
          .write.mode("append").parquet(f"{base}/in"))
-    q = jobs.interim_reviews_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", every=5, files_per_batch=1)
-    q.awaitTermination()
+        q = jobs.interim_reviews_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", every=5, files_per_batch=None)
+        q.awaitTermination()
     return base
 
 

@@ -69,14 +69,16 @@ def distinct_urls_stream(links: DataFrame, col: str = "url", watermark: tuple[st
 
 
 def interim_reviews_stream(spark: SparkSession, pages_dir: str, out_root: str, ckpt: str, every: int = 5,
-                           files_per_batch: int = 4, schema: T.StructType = schemas.PAGES) -> StreamingQuery:
+                           files_per_batch: int | None = 4, schema: T.StructType = schemas.PAGES) -> StreamingQuery:
     """STR-3 / SNK-6: product pages in micro-batches of ``files_per_batch``
-    files; each batch appends its reviews, an interim row after every
+    files (None: all that are new); each batch appends its reviews, an interim row after every
     ``every``-th product of the whole run (in list order; a product without
     reviews skips its save, D19), and its totals, which the next batch goes
     on from.  The cumulative table is the reviews folder read at any time."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(pages_dir))
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(pages_dir)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = _batch_folder(batch, batch_id)
