@@ -63,7 +63,7 @@ def fetch_outcome(attempts: DataFrame, key: str = "url", order=("attempt_ts", "a
     )
 
 
-def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "attempt_seq"), n: int = 5,
+def error_cutoff(log: DataFrame, key: str | None = "crawl_id", order=("attempt_ts", "attempt_seq"), n: int = 5,
                  is_error: str = "is_error", resets: str = "resets", block: int = 100_000) -> DataFrame:
     """FLT-8: keep a crawl's attempts up to and including its ``n``-th
     consecutive error.  Errors count up; an attempt that found results
@@ -75,10 +75,11 @@ def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "at
     one record (see ``streak_records``).  Records merge: a window over them,
     in order, gives the errors that each inherits, and with those a record
     tells where the ``n``-th error lies.  The log itself is shuffled at most
-    once more, to meet its crawl's cut-off.  No task holds a whole crawl."""
+    once more, to meet its crawl's cut-off.  No task holds a whole crawl.
+    Without a ``key`` the log is one crawl, whose cut-off is a scalar subquery."""
     order = list(order)
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
-    flags = log.select(F.col(key).alias("_key"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+    flags = log.select((F.lit(1) if key is None else F.col(key)).alias("_key"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
                        flag(is_error).alias("_error"), flag(resets).alias("_resets"))
     places = [f"_o{i}" for i in range(len(order))]
     parts = max(int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -99,6 +100,8 @@ def error_cutoff(log: DataFrame, key: str = "crawl_id", order=("attempt_ts", "at
     cuts = (records.withColumn("sum", F.sum("errors").over(up_to)).withColumn("carry", carry)
             .groupBy("_key").agg(F.min(hit).alias("_cut")).where(F.col("_cut").isNotNull()))
     here = F.struct(*[F.col(o).alias(p) for o, p in zip(order, places)])
+    if key is None:   # no cut-off: the comparison is null
+        return log.where(F.coalesce(here <= cuts.agg(F.min("_cut")).scalar(), F.lit(True)))
     return (log.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left")
             .where(F.col("_cut").isNull() | (here <= F.col("_cut"))).select(*log.columns))
 

@@ -215,10 +215,10 @@ def collect_product_urls(pages: DataFrame, container_class: str, root: str,
     found = materialize(links.extract_listing_links(capped.where(ok), container_class), "listing-links")
     counts = links.containers_per_page(capped, found)
     page_counts = (counts.join(capped.select(page_col, ok.alias("ok")), page_col)
-                   .select(F.lit(1).alias("walk"), F.col(page_col).alias("page_no"), "ok",
+                   .select(F.col(page_col).alias("page_no"), "ok",
                            F.col("containers").alias("n_containers")))
     flags = page_counts.withColumns({"is_error": ~F.col("ok"), "resets": F.col("ok") & (F.col("n_containers") > 0)})
-    walked = crawl.error_cutoff(flags, key="walk", order=("page_no",), n=max_errors)
+    walked = crawl.error_cutoff(flags, key=None, order=("page_no",), n=max_errors)
     live = links.listing_frontier(walked, key=None).select(F.col("page_no").alias(page_col))
     found = found.join(live, page_col, "left_semi")
     return links.distinct_product_urls(links.resolve_urls(links.product_links(found), root))

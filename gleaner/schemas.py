@@ -84,6 +84,8 @@ MANIFEST = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("last_date", T.TimestampType()),
-    T.StructField("version", T.StringType()),      # the folder that holds the month's rows
 ])
 
+# A manifest row as published: with the folder that holds the month's rows.
+PUBLISHED = T.StructType([*MANIFEST.fields, T.StructField("version", T.StringType())])
+

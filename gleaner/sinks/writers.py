@@ -165,7 +165,7 @@ def write_checkpoint(manifest: DataFrame, path: str) -> None:
     spark = manifest.sparkSession
     if "version" not in manifest.columns:
         manifest = manifest.withColumn("version", F.lit(None))
-    new = manifest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields])
+    new = manifest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PUBLISHED.fields])
     last = _snapshots(spark, path).agg(F.max("snapshot")).first()[0]
     kept = read_manifest(spark, path).join(new.select("scrape_month", "kind"), ["scrape_month", "kind"], "left_anti")
     number = int(last.split("-")[0]) + 1 if last else 1
@@ -175,7 +175,7 @@ def write_checkpoint(manifest: DataFrame, path: str) -> None:
 
 def _snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Every manifest row with its snapshot (a path that is not there has none)."""
-    schema = T.StructType(schemas.MANIFEST.fields + [T.StructField("snapshot", T.StringType())])
+    schema = T.StructType(schemas.PUBLISHED.fields + [T.StructField("snapshot", T.StringType())])
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as exc:  # a first run has no manifest yet

@@ -533,3 +533,12 @@ def test_interim_runs_are_written_by_many_tasks(spark, monkeypatch):
         [], ["page_id"], out="product_no").select("product_no", "n_reviews"))
     got = jobs.interim_progress(spark, f"{base}/out")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) != []
+
+
+def test_one_crawl_without_a_key_is_cut_by_a_scalar(spark):
+    flags = [(p, p in (3, 4, 6), p == 5) for p in range(1, 9)]
+    log = spark.createDataFrame(flags, "page_no long, is_error boolean, resets boolean")
+    cut = lambda n: crawl.error_cutoff(log, key=None, order=("page_no",), n=n)
+    assert [r["page_no"] for r in cut(2).orderBy("page_no").collect()] == [1, 2, 3, 4]
+    assert cut(3).count() == 8                                                # never three in a row: all stay
+    assert "Join" not in cut(2)._jdf.queryExecution().executedPlan().toString()
