@@ -9,10 +9,12 @@ batch job and a restart continues where the last one committed.
 from __future__ import annotations
 
 import datetime as dt
+import struct
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -125,19 +127,27 @@ STREAK_OUT = T.StructType([
     T.StructField("attempt_ts", T.TimestampType()),
     T.StructField("streak", T.LongType()),
 ])
-# What waits for the watermark: place (microseconds, number) and flags of an attempt.
-_WAITING = T.StructType([T.StructField("at", T.LongType()), T.StructField("seq", T.LongType()),
-                         T.StructField("is_error", T.BooleanType()), T.StructField("resets", T.BooleanType())])
+# What waits for the watermark: attempts packed as place (microseconds, number) and flags, many to one element.
+_ATTEMPT = struct.Struct("<qqB")
+_ERROR, _RESET = 2, 1
+_WAITING = T.StructType([T.StructField("attempts", T.BinaryType())])
+_PACKED = 10_000         # attempts of one element
 _COUNTED = T.StructType([T.StructField("streak", T.LongType()), T.StructField("stopped", T.BooleanType()),
                          T.StructField("at", T.LongType()), T.StructField("seq", T.LongType())])
-_NARROW = ["attempt_ts", "attempt_seq", "is_error", "resets"]
+_NO_TIME = -1 << 63      # the place of an attempt without a time: before all others
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
 class ErrorStreak(StatefulProcessor):
     """One crawl's attempts in order of their place, however they arrive: they
     wait in a list until the watermark has passed them, a timer then counts
     what is due.  A crawl without attempts for ``idle_ms`` of event time
-    leaves no state."""
+    leaves no state.
+
+    Each call to the state costs a round trip, whatever it carries, so a
+    crawl's attempts of a batch go as one packed element and nothing is asked
+    for twice; rows come and go as rows, with no frame built for each crawl.
+    Of a task's crawls only the keys with a timer in the batch are kept."""
 
     def __init__(self, n: int, idle_ms: int):
         self.n, self.idle_ms = n, idle_ms
@@ -146,56 +156,60 @@ class ErrorStreak(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getListState("waiting", _WAITING)
         self.counted = handle.getValueState("counted", _COUNTED)
+        self.looked = set()      # crawls of this task whose timer has run in this batch
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for batch in rows:
-            at = batch["attempt_ts"].astype("datetime64[us]").astype("int64").tolist()
-            self.waiting.appendList(list(zip(at, batch["attempt_seq"].astype("int64").tolist(),
-                                             batch["is_error"].eq(True).tolist(), batch["resets"].eq(True).tolist())))
-            first = min(at) if first is None else min(first, min(at))
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first, attempts = None, (tuple(r[2:]) for r in rows)      # at, attempt_seq, flags
+        while some := list(islice(attempts, _PACKED)):
+            self.waiting.appendValue((b"".join(_ATTEMPT.pack(*a) for a in some),))
+            first = min(some)[0] if first is None else min(first, min(some)[0])
         if first is not None:
             self.handle.registerTimer(-(-first // 1000))
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
-        due = [r for r in rows if r[0] <= passed]
-        hit = self._count(due) if due else None
-        if len(due) < len(rows):
-            self.waiting.put(rows[len(due):])
-            self.handle.registerTimer(-(-rows[len(due)][0] // 1000))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if key in self.looked:      # a second timer of one batch: what is due was counted at the first
+            return iter(())
+        self.looked.add(key)
+        now = timerValues.getCurrentWatermarkInMs()
+        rows = sorted(a for (packed,) in self.waiting.get() for a in _ATTEMPT.iter_unpack(packed))
+        due = bisect_right(rows, now * 1000, key=lambda a: a[0])
+        counted, hit = self.counted.get(), None
+        if due:
+            counted, hit = self._count(counted, rows[:due])
+        if due < len(rows):
+            if due:
+                self.waiting.put([(b"".join(_ATTEMPT.pack(*a) for a in rows[k:k + _PACKED]),) for k in range(due, len(rows), _PACKED)])
+            self.handle.registerTimer(-(-rows[due][0] // 1000))
         elif due:
             self.waiting.clear()
-        if len(due) == len(rows) and self.counted.exists():
-            leave = self.counted.get()[2] // 1000 + self.idle_ms
-            if leave <= timerValues.getCurrentWatermarkInMs():
-                self.counted.clear()
-            elif due:
-                self.handle.registerTimer(leave)
-        yield pd.DataFrame() if hit is None else pd.DataFrame({
-            "crawl_id": [int(key[0])], "attempt_seq": [hit[1]], "attempt_ts": [pd.Timestamp(hit[0], unit="us")], "streak": [self.n]})
-
-    def _count(self, due: list[tuple]) -> tuple | None:
-        """Count on with the attempts ``due``; the one that reaches n, if any."""
-        streak, stopped, last = 0, False, None
-        if self.counted.exists():
-            streak, stopped, *last = self.counted.get()
-            last = tuple(last)
-        hit = None
-        for at, seq, is_error, resets in due:
+        gone = due == len(rows) and counted is not None and counted[2] // 1000 + self.idle_ms <= now
+        if gone:
+            self.counted.clear()
+        elif due:
+            self.counted.update(counted)
+            if due == len(rows):
+                self.handle.registerTimer(counted[2] // 1000 + self.idle_ms)
+        if hit is None:
+            return iter(())
+        ts = None if hit[0] == _NO_TIME else _EPOCH + dt.timedelta(microseconds=hit[0])
+        return iter([Row(crawl_id=key[0], attempt_seq=hit[1], attempt_ts=ts, streak=self.n)])
+
+    def _count(self, counted: tuple | None, due: list[tuple]) -> tuple[tuple, tuple | None]:
+        """``counted`` after the attempts ``due``, and the one that reaches n, if any."""
+        streak, stopped, *last = counted or (0, False)
+        last, hit = tuple(last), None
+        for at, seq, flags in due:
             if (at, seq) == last:      # a repeated attempt counts once
                 continue
             last = (at, seq)
-            if resets:
+            if flags & _RESET:
                 streak = 0
-            if is_error and not stopped:
+            if flags & _ERROR and not stopped:
                 streak += 1
                 if streak == self.n:
                     stopped, hit = True, last
-        self.counted.update((streak, stopped, *last))
-        return hit
+        return (streak, stopped, *last), hit
 
     def close(self) -> None:
         pass
@@ -215,5 +229,9 @@ def error_streak_stream(log: DataFrame, key: str = "crawl_id", n: int = 5, delay
     attempts (a crawl that goes on after that is counted anew).  The last
     ``delay`` of a log is decided when a later attempt of any crawl moves the
     watermark.  Needs the RocksDB state store (set by ``configure``)."""
-    return (log.select(F.col(key).cast("long").alias(key), *_NARROW).withWatermark("attempt_ts", delay).groupBy(key)
-            .transformWithStateInPandas(ErrorStreak(n, int(idle.total_seconds() * 1000)), STREAK_OUT, "Append", "EventTime"))
+    flag = lambda c, bit: F.when(F.coalesce(F.col(c), F.lit(False)), bit).otherwise(0)
+    at = F.coalesce(F.unix_micros(F.col("attempt_ts")), F.lit(_NO_TIME))
+    narrow = log.select(F.col(key).cast("long").alias(key), "attempt_ts", at.alias("at"),
+                        F.col("attempt_seq").cast("long").alias("attempt_seq"), (flag("is_error", _ERROR) + flag("resets", _RESET)).alias("flags"))
+    return (narrow.withWatermark("attempt_ts", delay).groupBy(key)
+            .transformWithState(ErrorStreak(n, int(idle.total_seconds() * 1000)), STREAK_OUT, "Append", "EventTime"))

@@ -105,6 +105,22 @@ def test_error_streak_stream_waits_for_late_attempts_and_forgets_idle_crawls(spa
     assert sorted((r["crawl_id"], r["attempt_seq"]) for r in spark.read.parquet(f"{base}/out").collect()) == got
 
 
+def test_error_streak_stream_asks_its_state_once_a_crawl_not_once_an_attempt(spark):
+    """A batch's attempts of a crawl wait as one element."""
+    t0 = dt.datetime(2024, 3, 1)
+    rows = [(c, t0 + dt.timedelta(minutes=i), i, i >= 60 + c, False) for c in range(3) for i in range(100)]
+    base = scratch_dir(spark, "t-packed")
+    _run_streak(spark, base, [rows], n=5, delay="1 day")
+    waiting = spark.read.format("statestore").option("path", f"{base}/ckpt").option("stateVarName", "waiting").load()
+    assert sorted(r["k"] for r in waiting.select(F.col("key.crawl_id").alias("k")).collect()) == [0, 1, 2]
+    spark.createDataFrame([(-1, t0 + dt.timedelta(days=9), 0, False, None)], STREAK_LOG).write.parquet(f"{base}/in/run=1")
+    stream = spark.readStream.schema(STREAK_LOG).parquet(f"{base}/in/run=*")
+    (jobs.error_streak_stream(stream, n=5, delay="1 day").writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
+     .option("path", f"{base}/out").trigger(availableNow=True).start().awaitTermination())
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == [(c, 64 + c, t0 + dt.timedelta(minutes=64 + c), 5) for c in range(3)]
+
+
 def brute_force_cuts(rows, n):
     by = {}
     for r in rows:
