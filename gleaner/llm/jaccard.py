@@ -17,8 +17,8 @@ similarity t or more meet in the first n - ceil(t n) + 1 shingles of each
    least node, then others for nodes not yet in the leader's component), so a
    group of near copies costs a few pairs a node.  Blocks fall into LEADERS
    classes whose leaders differ, so a node meets several of its group in one
-   round.  Verified links give provisional components; rounds go on while they
-   join many nodes.
+   round.  Verified links, contracted inside tasks, give provisional components;
+   rounds go on while they join many nodes.
 4. Cross round: nodes of one block that are still in different components are
    paired.  Pairs inside a component need no look: they change nothing.  So
    every link between components is found, and no link is lost.  An entry
@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import connected_components, mix64, texts_of, utf8_parts
+from gleaner.llm.common import connected_components, contracted, mix64, texts_of, utf8_parts
 from gleaner.llm.shingles import shingle_sets
 from gleaner.session import materialize
 
@@ -54,7 +54,7 @@ WORDS = 4                # words of a shingle
 PERCENT = 85             # 100 * intersection >= PERCENT * union
 PARITY = 4               # 64-bit words of the folded sketch that cross entries carry
 SKETCH_WORDS = 16        # least 64-bit words of a parity sketch
-LEADERS = 8              # classes of blocks with leaders of their own in a star round
+LEADERS = 32             # classes of blocks with leaders of their own in a star round
 LAST_ROUND = 50          # no more star rounds after one with fewer than 1 / LAST_ROUND of the first one's links
 FREQUENT = 300_000       # shingles moved to the end of the order: 2.4 MB
 REPEATS = 2              # different sets of one slice that hold a shingle before it counts as frequent
@@ -239,7 +239,8 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     shared = materialize(entries.join(blocks, "shingle").distinct(), "jaccard-shared")
 
     # star rounds: the least node of a block first, then other leaders for nodes not yet with the last one
-    links, first, turn = None, 0, 0
+    # tree: edges (u, v), fewer than all links so far, with their components
+    tree, held, first, turn = None, 0, 0, 0
     while True:
         if turn == 0:
             star = shared.where("node != least").select(F.col("node"), F.col("least").alias("lead"))
@@ -252,13 +253,14 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
         star = star.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         star = materialize(_reachable(star, sketches, percent), "jaccard-star")
         new = materialize(_verified(keyed, owners, star, size, percent), "jaccard-links")
-        links = new if links is None else links.unionAll(new)
         joined = new.count()
         first = max(first, joined)
-        if joined:
-            found = connected_components(links)
-        elif turn == 0:
-            found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))        # no rows
+        # components only have to be right, not whole, until the cross round: no rounds until nothing changes
+        edges = new if tree is None else new.unionAll(tree) if joined else None
+        if edges is not None:
+            tree = materialize(contracted(edges, held + joined), "jaccard-tree")
+            held = tree.count()
+            found = tree.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
         if turn and joined * LAST_ROUND <= first:
             break
         turn += 1
@@ -282,7 +284,7 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
              .select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct())
     cross = materialize(_reachable(cross, sketches, percent), "jaccard-cross")
     more = materialize(_verified(keyed, owners, cross, size, percent), "jaccard-links")
-    groups = connected_components(links.unionAll(more))
+    groups = connected_components(contracted(more.unionAll(tree), held + more.count()))
 
     named = nodes.select("node", "doc_id").join(groups, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

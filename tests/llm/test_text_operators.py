@@ -58,6 +58,49 @@ def test_connected_components_against_union_find(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_contracted_edges_keep_the_components(spark, monkeypatch):
+    from gleaner.llm import common
+    rnd = random.Random(9)
+    edges = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(250)] + [(i + 1, i) for i in range(1000, 1100)] + [(7, 7)]
+    df = spark.createDataFrame([*edges, (None, 3), (4, None)], "u long, v long").repartition(8)
+    whole = sorted(tuple(r) for r in connected_components(df).collect())
+    fewer = common.contracted(df, len(edges))
+    assert fewer.rdd.getNumPartitions() == 2 and fewer.count() < len(edges)
+    assert sorted(tuple(r) for r in connected_components(fewer).collect()) == whole
+    # several passes in one task: each holds about EDGES edges at most
+    monkeypatch.setattr(common, "EDGES", 40)
+    batch = pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], ["u", "v"])
+    passes = [b.to_pylist() for b in common._contract(batch.slice(k, 20) for k in range(0, len(edges), 20))]
+    assert len(passes) == 9 and all(len({r["u"] for r in p}) == len(p) <= 80 for p in passes)
+    got = spark.createDataFrame([(r["u"], r["v"]) for p in passes for r in p], "u long, v long")
+    assert sorted(tuple(r) for r in connected_components(got).collect()) == whole
+
+
+def test_star_rounds_need_no_whole_components(spark, monkeypatch):
+    """One exact run of connected components, however many star rounds; the links are those of brute force."""
+    runs = []
+    monkeypatch.setattr(jaccard, "connected_components", lambda edges: runs.append(1) or connected_components(edges))
+    rnd = random.Random(3)
+    base = [f"w{rnd.randint(0, 999)}" for _ in range(120)]
+    docs = []
+    for i in range(60):                                # near copies: a chain of components needs several rounds
+        words = list(base)
+        for at in rnd.sample(range(120), 2):
+            words[at] = f"x{rnd.randint(0, 3)}"
+        docs.append((i, " ".join(words)))
+    docs += [(100 + i, " ".join(f"v{rnd.randint(0, 999)}" for _ in range(50))) for i in range(10)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(runs) == 1
+    sets = {i: {tuple(w[k:k + 4]) for k in range(len(w) - 3)} for i, t in docs for w in [t.split()]}
+    low = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    low[a] = low[b] = min(low[a], low[b])
+    assert got == low and len(set(got.values())) < len(sets)
+
+
 # ---------------------------------------------------------------- 3 secrets
 
 FIXED = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)),
