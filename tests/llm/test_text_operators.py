@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner import session
 from gleaner.llm import bpe, jaccard, langid, passages, secret_scan, shingles, toxicity
 from gleaner.llm.common import connected_components, utf8_parts
 from tests.conftest import SF_SMALL
@@ -452,6 +453,66 @@ def test_short_quotes_before_full_copies_hide_no_passage(spark, quotes):
     assert all(r["similarity"] == 1.0 and r["stop"] - r["start"] == 60 for r in got)
 
 
+def test_passages_keep_no_dead_tables_and_verify_in_runs(spark, monkeypatch, tmp_path):
+    rnd, count = random.Random(4), iter(range(10 ** 6))
+    words = lambda n: [f"r{next(count)}" for _ in range(n)]
+    passage, texts = words(60), {}
+    for i in range(8):
+        a = rnd.randint(0, 20)
+        texts[i] = words(30) + passage[a:a + 40] + words(30)
+    for i in range(50, 53):
+        texts[i] = words(40) + passage + words(40)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    written = []
+    monkeypatch.setattr(session, "scratch_dir", lambda s, name=None: written.append(f"{tmp_path}/{len(written)}-{name}") or written[-1])
+    want = {tuple(r) for r in passages.near_duplicate_passages(df).collect()}
+    assert {(r[0], r[3]) for r in want} >= {(51, 50), (52, 50)}
+    # the tables of windows, pairs, shingles and open windows are gone, and so are the shuffles' files
+    assert {"passage-windows", "passage-parts", "passage-open", "passage-cross"} <= {w.rsplit("/", 1)[1].split("-", 1)[1] for w in written}
+    assert {p.name.split("-", 1)[1] for p in tmp_path.iterdir()} <= {"passage-found", "wanted"}
+    runs = sum(w.endswith("passage-found") for w in written)
+    monkeypatch.setattr(passages, "MOVED", 1)
+    assert {tuple(r) for r in passages.near_duplicate_passages(df).collect()} == want
+    assert sum(w.endswith("passage-found") for w in written) > 2 * runs
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    blocks = lambda: {str(b) for b in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split()
+                      if str(b).startswith("shuffle_")}
+    before = blocks()
+    got = session.materialize(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count())
+    assert got.count() == 7
+    stay = blocks() - before
+    session.materialize(spark.range(1000).selectExpr("id % 5 as k").groupBy("k").count(), "again")
+    assert blocks() - before <= stay                   # only got.count() left any, the written plans did not
+
+
+def test_cross_pairs_equal_those_of_all_windows(spark):
+    rnd = random.Random(21)
+    rows = []
+    for _ in range(900):
+        signature, f = rnd.randrange(12), rnd.randrange(4)
+        place = rnd.randrange(400)
+        rows.append((signature * 4 + f, rnd.randrange(2), rnd.randrange(2), rnd.randrange(40),
+                     (place + 45 << 20) | (rnd.randrange(46) << 12) | (rnd.randrange(46) << 4) | f, rnd.random() < 0.2))
+    keys = ["signature", "which", "side"]
+    df = spark.createDataFrame(rows, "signature long, which int, side long, doc_id long, window long, open boolean")
+    got = passages._cross(df.where("open").drop("open"), df.drop("open"), keys, 4, 2).collect()
+    met = {}
+    for a in rows:
+        for b in rows:
+            if a[5] and a[:3] == b[:3] and a[3] != b[3]:
+                x, y = (a, b) if a[3] > b[3] else (b, a)
+                ends = lambda w: (((w >> 20) - (w >> 12 & 255)), (w >> 20) + (w >> 4 & 255))
+                met.setdefault((x[3], y[3]), []).append((*ends(x[4]), *ends(y[4]), x[4] & 15))
+    want = set()
+    for (x, y), m in met.items():
+        if len({r[4] for r in m}) >= 2:
+            first, last = min(r[0] for r in m), max(r[1] for r in m)
+            want.add((x, y, first, last, max(min(r[2] - r[0] for r in m) + first, 0), max(r[3] - r[1] for r in m) + last))
+    assert len(want) > 50 and {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def word_shingles(words):
     return np.array([int.from_bytes(hashlib.sha1(" ".join(map(str, words[i:i + 5])).encode()).digest()[:7]) for i in range(len(words) - 4)], np.uint64)
 
