@@ -513,6 +513,95 @@ def test_cross_pairs_equal_those_of_all_windows(spark):
     assert len(want) > 50 and {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_pairs_searched_together_equal_those_searched_alone():
+    rnd, rows, plain = random.Random(14), [], 0
+    for n in range(400):
+        x = [rnd.randrange(10 ** 6) for _ in range(rnd.randint(60, 300))]
+        y, rate = list(x), rnd.choice([0.0, 0.02, 0.05, 0.1, 0.3])
+        for i in range(len(y)):
+            if rnd.random() < rate:
+                y[i] = rnd.randrange(10 ** 6)
+        a, b = sorted(rnd.sample(range(len(y)), 2))
+        kind = n % 5
+        if kind == 1:
+            y = y[:a] + [rnd.randrange(10 ** 6) for _ in range(rnd.randint(1, 40))] + y[b:]
+        elif kind == 2:
+            y = y[b:] + y[a:b] + y[:a]                 # another order
+        elif kind == 3:
+            x[a:b] = [x[a]] * (b - a)                  # a line that repeats itself
+            y[a:b] = [x[a]] * (b - a)
+        rows.append((n, np.array(x, np.uint64), np.array(y, np.uint64)))
+        plain += len(set(x)) == len(x) and len(set(y)) == len(y)
+    for least, similarity in ((46, 0.8), (20, 0.7), (30, 0.9), (25, 0.83)):
+        want = sorted((n, *r) for n, x, y in rows for r in passages.shared_passages(x, y, least, similarity))
+        got = sorted(passages._searched(iter(rows), least, similarity))
+        assert got == want and len(want) > 100 and plain > 150
+
+
+def test_hopeless_texts_equal_brute_force():
+    rnd = np.random.default_rng(5)
+    seen = set()
+    for _ in range(300):
+        length = rnd.integers(1, 40, rnd.integers(1, 5))
+        marked, twice = rnd.random(length.sum()) < rnd.choice([0.3, 0.7, 0.8, 0.9]), rnd.random(length.sum()) < 0.2
+        want, start = [], 0
+        for n in length:
+            m, t = marked[start:start + n], twice[start:start + n]
+            start += n
+            want.append(not any(m[i] and m[j] and 0.2 * m[i:j + 1].sum() - 0.8 * (~m[i:j + 1] & ~t[i:j + 1]).sum() >= -1e-6
+                                for i in range(n) for j in range(i + 7, n)))
+        assert passages._hopeless(marked, twice, length, 8, 0.8).tolist() == want
+        seen |= set(want)
+    assert seen == {True, False}
+
+
+def _family(n):
+    """Near copies of a text behind a common line, each with changes of its own, and texts that share the line only."""
+    rnd = random.Random(31)
+    words = lambda n: [f"w{rnd.randrange(10 ** 7)}" for _ in range(n)]
+    line, base, own, texts = words(12), words(260), "again and ".split(), {}
+    for i in range(n):
+        text = [w if rnd.random() > 0.025 else words(1)[0] for w in base]
+        texts[i] = line + (text if i % 3 else own * 60 + text[:100]) if i % 4 else line + words(100)
+    return texts
+
+
+def test_passages_of_tiles_equal_those_of_pairs(spark, monkeypatch):
+    texts = _family(40)
+    rnd, rows, keys = random.Random(2), [], ["signature", "which", "side"]
+    for i, t in texts.items():
+        for g in range(24):                            # windows everywhere, some open
+            place = rnd.randrange(45, max(46, len(t) - 5))
+            rows.append((4 * (g // 4 + 6 * rnd.randrange(2)) + g % 4, 0, 0, i, (place << 20) | (45 << 12) | (rnd.randrange(46) << 4) | g % 4, rnd.random() < 0.3))
+    df = spark.createDataFrame(rows, "signature long, which int, side long, doc_id long, window long, open boolean")
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    open_, crowd = df.where("open").drop("open"), df.drop("open")
+    hashes = dict(zip(texts, (s for _, some in passages._sequences(*passages.utf8_parts(pa.array([" ".join(t) for t in texts.values()])), 5) for s in some)))
+    pairs, want = passages._cross(open_, crowd, keys, 4, 2).collect(), []
+    for d, p, first, last, p_first, p_last in pairs:
+        want += [(d, first + i, first + j + 5, p, p_first + k, p_first + m + 5, v) for i, j, k, m, v in passages.shared_passages(
+            hashes[d][first:last + 1], hashes[p][p_first:p_last + 1], 46, 0.8)]
+    assert len(want) > 100 and len({(w[0], w[3]) for w in want}) < len(pairs)
+    for block in (passages.BLOCK, 7):                  # one block, and tiles of two
+        monkeypatch.setattr(passages, "BLOCK", block)
+        got = passages._crossed(docs, session.materialize(passages._cells(open_, crowd, keys, 2)), 5, 46, 2, 0.8).collect()
+        assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_pairs_of_the_cross_round_are_no_rows(spark, monkeypatch):
+    texts, made = _family(60), []
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    inner = session.materialize
+    monkeypatch.setattr(passages, "materialize", lambda table, name="table": made.append((name, inner(table, name))) or made[-1][1])
+    monkeypatch.setattr(passages, "discard", lambda *tables: None)
+    got = passages.near_duplicate_passages(df).collect()
+    names = [name for name, _ in made]
+    assert "passage-cross" in names
+    # a row a document, not a row a pair
+    assert dict(made)["passage-cross"].count() <= len(texts)
+    assert len({(r["doc_id"], r["partner_id"]) for r in got}) > len(texts)
+
+
 def word_shingles(words):
     return np.array([int.from_bytes(hashlib.sha1(" ".join(map(str, words[i:i + 5])).encode()).digest()[:7]) for i in range(len(words) - 4)], np.uint64)
 
